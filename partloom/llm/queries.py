@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from partloom.llm import bpe, decontamination, exact_dedup, simhash, token_counts, toxicity
+from partloom.llm import bpe, decontamination, exact_dedup, html_wrapper, license_scan, line_dedup, secret_scan, simhash, token_counts, toxicity
 
 #: The vocabulary of op1, op2 and the pipeline.
 VOCABULARY = "byte_bpe_50k.json"
@@ -57,6 +57,43 @@ FROM d JOIN g ON d.t = g.t
 """
 
 
+def document_path() -> Column:
+    """A directory tree for ``documents``, which have no paths: source, language, thousands and hundreds of the id, and a file each."""
+    level = lambda n: F.floor(F.col("doc_id") / n).cast("string")
+    return F.concat_ws("/", "source", "lang", level(1000), level(100), F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
+
+
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = table(spark, sf_dir, "documents").select("doc_id", "text", document_path().alias("path"))
+    return license_scan.scan(files, license_scan.templates(spark), "doc_id")
+
+
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+OP6_SQL = """
+WITH l AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos FROM documents),
+k AS (SELECT doc_id, pos, line, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+o AS (SELECT key, min(doc_id) AS owner FROM k WHERE length(key) >= 10 GROUP BY key),
+m AS (SELECT k.*, coalesce(o.owner < k.doc_id, false) AS gone FROM k LEFT JOIN o ON k.key = o.key AND length(k.key) >= 10)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM m GROUP BY doc_id
+"""
+
+
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_wrapper.extract(table(spark, sf_dir, "pages"))
+
+
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(table(spark, sf_dir, "documents"))
+    counts = [secret_scan.number("base", k).alias(f"n_{k}") for k in ("assign", "access", "hex")]
+    return found.select("doc_id", *counts, F.sha2(secret_scan.written("base"), 256).alias("base_sha256"), secret_scan.written("spans").alias("spans"))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
@@ -72,7 +109,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bpe": op2_bpe,
     "op3_toxicity": op3_toxicity,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_license_scan": op5_license_scan,
+    "op6_line_dedup": op6_line_dedup,
+    "op7_html_text": op7_html_text,
+    "op8_secret_scan": op8_secret_scan,
     "op9_decontamination": op9_decontamination,
     "op10_simhash": op10_simhash,
 }
-ORACLE_SQL: dict[str, str] = {"op4_exact_dedup": OP4_SQL}
+ORACLE_SQL: dict[str, str] = {"op4_exact_dedup": OP4_SQL, "op6_line_dedup": OP6_SQL}
