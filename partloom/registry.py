@@ -2,20 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 
-Query = Callable[[SparkSession, str], DataFrame]
+from partloom.queries import base, voting
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    return base.QUERIES["a05_categorical_consensus"](spark, sf_dir)
 
 
-def queries() -> dict[str, Query]:
-    return {}
+def queries() -> dict[str, base.Query]:
+    return dict(base.QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(base.ORACLE)
