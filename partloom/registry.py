@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from partloom.queries import base, ranking, voting
+from partloom.queries import base, joining, planning, ranking, voting
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

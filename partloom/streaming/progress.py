@@ -55,7 +55,7 @@ def stage_attempts(events: DataFrame, job: str, order: Sequence[str], start: Col
     """Numbers the attempts (an attempt begins with a start event) and gives each one's length and failures."""
     w = Window.partitionBy(job).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     numbered = events.withColumn("attempt", F.count_if(start).over(w)).where("attempt > 0")
-    return numbered.groupBy(job, "attempt").agg(F.count(F.lit(1)).alias("events"), F.count_if(failure).alias("failures"), (F.unix_micros(F.max("ts")) - F.unix_micros(F.min("ts"))).alias("micros"))
+    return numbered.groupBy(job, "attempt").agg(F.count(F.lit(1)).alias("events"), F.count_if(failure).alias("failures"), (F.unix_micros(F.max(F.col("ts").cast("timestamp"))) - F.unix_micros(F.min(F.col("ts").cast("timestamp")))).alias("micros"))
 
 
 def retry_plan(outcomes: DataFrame, attempt: str, code: str, retryable: Sequence[str], most: int, base_seconds: float, backoff: float) -> DataFrame:
