@@ -10,7 +10,8 @@ smallest hash of their id):
 2. The field: two labels, features of the word (itself, its beginnings and end, hashed into
    ``2 ** BITS`` weights), and transitions; fitted by gradient steps on the exact likelihood (forward and
    backward sums) over at most ``MAX_WINDOWS`` windows of labelled tokens.
-3. Document scores: a logistic curve over the highest marginal and the expected number of toxic tokens.
+3. Document scores: a logistic curve over the expected number of toxic tokens and their share of all
+   words (in a long clean text a word may look toxic by chance).
 
 Scoring covers every word of every text, in chains of at most ``CHAIN`` words: forward-backward marginals of each word,
 then the document's score and the offsets of the words of which the marginal is 0.5 or more. It
@@ -74,16 +75,20 @@ class Field:
 
     weights: np.ndarray
     move: np.ndarray = field(default_factory=lambda: np.zeros((2, 2)))
-    curve: tuple[float, float, float] = (0.0, 0.0, 0.0)
+    curve: tuple[float, ...] = (0.0, 0.0, 0.0)
     constant: float | None = None
 
     def marginals(self, scores: np.ndarray) -> np.ndarray:
         """P(toxic) of each token; scores: (chains, tokens), one chain a row. Padding has a very low score."""
         return _sums(scores, self.move)[0]
 
-    def document(self, highest: np.ndarray, expected: np.ndarray) -> np.ndarray:
-        a, b, c = self.curve
-        return 1 / (1 + np.exp(-(a + b * highest + c * np.log1p(expected))))
+    def document(self, expected: np.ndarray, words: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(evidence(expected, words) @ np.array(self.curve), -30, 30)))
+
+
+def evidence(expected: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """What the document's curve is over, one row a document."""
+    return np.stack([np.ones_like(expected), np.log1p(expected), np.log((expected + 0.1) / (words + 30))], 1)
 
 
 def _sums(scores: np.ndarray, move: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -150,13 +155,13 @@ def fit_field(windows: list[list[str]], labels: np.ndarray, mask: np.ndarray, ro
     return Field(weights.astype(np.float32), move)
 
 
-def fit_curve(highest: np.ndarray, expected: np.ndarray, y: np.ndarray, penalty: float = 1.0) -> tuple[float, float, float]:
-    """Logistic regression by Newton steps."""
-    x = np.stack([np.ones_like(highest), highest, np.log1p(expected)], 1)
-    w, keep = np.zeros(3), np.diag([1e-3, penalty * 0.1, penalty * 0.1])
-    for _ in range(40):
+def fit_curve(x: np.ndarray, y: np.ndarray, penalty: float = 0.05) -> tuple[float, ...]:
+    """Logistic regression by Newton steps, with a small penalty on all but the constant."""
+    w, keep = np.zeros(x.shape[1]), np.diag([1e-3, *[penalty] * (x.shape[1] - 1)])
+    for _ in range(60):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        w = w - np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + keep, x.T @ (p - y) + keep @ w)
+        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + keep, x.T @ (p - y) + keep @ w)
+        w = w - step * min(1.0, 4.0 / max(1e-9, float(np.abs(step).max())))
     return tuple(map(float, w))
 
 
@@ -254,17 +259,17 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         y[i, : len(r["hit"])] = r["hit"]
         mask[i, : len(r["hit"])] = True
     model = fit_field([r["words"] for r in got], y, mask)
-    rows = score(sample.withColumnRenamed("__id", "id"), model, "id", "__text", carry=["__y"]).select("highest", "expected", "__y").toPandas()  # at most max_labelled rows of three numbers
-    model.curve = fit_curve(rows["highest"].to_numpy(), rows["expected"].to_numpy(), rows["__y"].to_numpy(float))
+    rows = score(sample.withColumnRenamed("__id", "id"), model, "id", "__text", carry=["__y"]).select("expected", "n_words", "__y").toPandas()  # at most max_labelled rows of three numbers
+    model.curve = fit_curve(evidence(rows["expected"].to_numpy(), rows["n_words"].to_numpy(float)), rows["__y"].to_numpy(float))
     dropped(docs.sparkSession, folder)
     return model
 
 
 def score(df: DataFrame, model: Field, id_col: str = "doc_id", text_col: str = "text", carry: Sequence[str] = (), keep_text: bool = False) -> DataFrame:
-    """Adds ``score``, ``predicted`` (score >= THRESHOLD), ``highest`` and ``expected`` marginals and ``spans`` (start, end in code points of the lower-cased text, marginal), without the text (``keep_text``: with it, as ``__text``, null as empty)."""
+    """Adds ``score``, ``predicted`` (score >= THRESHOLD), ``highest`` and ``expected`` marginals, ``n_words`` and ``spans`` (start, end in code points of the lower-cased text, marginal), without the text (``keep_text``: with it, as ``__text``, null as empty)."""
     rows = texts(df, id_col, text_col, carry)
     span = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType()), T.StructField("marginal", T.DoubleType())]))
-    schema = with_fields(rows, [] if keep_text else ["__text"], [("score", T.DoubleType()), ("highest", T.DoubleType()), ("expected", T.DoubleType()), ("spans", span)])
+    schema = with_fields(rows, [] if keep_text else ["__text"], [("score", T.DoubleType()), ("highest", T.DoubleType()), ("expected", T.DoubleType()), ("n_words", T.LongType()), ("spans", span)])
     kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("marginal", pa.float64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -272,7 +277,7 @@ def score(df: DataFrame, model: Field, id_col: str = "doc_id", text_col: str = "
         for batch in slices(batches):
             many = batch.column("__text").to_pylist()
             n, spans = len(many), [[] for _ in many]
-            highest, expected = np.zeros(n), np.zeros(n)
+            highest, expected, sizes = np.zeros(n), np.zeros(n), [0] * n
             if model.constant is None:
                 sizes, p = scorer(many)
                 end = 0
@@ -284,9 +289,9 @@ def score(df: DataFrame, model: Field, id_col: str = "doc_id", text_col: str = "
                         if highest[i] >= 0.5:
                             toxic = set(np.flatnonzero(own >= 0.5).tolist())
                             spans[i] = [{"start": m.start(), "end": m.end(), "marginal": float(own[k])} for k, m in enumerate(_WORD.finditer(many[i].lower())) if k in toxic]
-                scores = model.document(highest, expected)
+                scores = model.document(expected, np.array(sizes, float))
             else:
                 scores = np.full(n, model.constant)
-            yield replaced(batch, schema, {"score": pa.array(scores), "highest": pa.array(highest), "expected": pa.array(expected), "spans": pa.array(spans, kind)})
+            yield replaced(batch, schema, {"score": pa.array(scores), "highest": pa.array(highest), "expected": pa.array(expected), "n_words": pa.array(sizes, pa.int64()), "spans": pa.array(spans, kind)})
 
     return rows.mapInArrow(run, schema).withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
