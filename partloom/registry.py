@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from partloom.queries import base, joining, planning, ranking, voting
+from partloom.queries import base, images, joining, planning, ranking, second, voting
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return base.QUERIES["a05_categorical_consensus"](spark, sf_dir)
+    return base.QUERIES["x12_part_plan"](spark, sf_dir)
 
 
 def queries() -> dict[str, base.Query]:
