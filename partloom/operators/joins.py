@@ -81,10 +81,10 @@ def sign_bits(vector: str, size: int = 64) -> Column:
     return F.expr(f"aggregate(sequence(0, {size - 1}), 0L, (s, i) -> s | if({vector}[i] > 0, shiftleft(1L, i), 0L))")
 
 
-def hamming_pairs(df: DataFrame, id_col: str, bits: str, max_distance: int, bands: int | None = None) -> DataFrame:
-    """Pairs of ids within ``max_distance`` bits: rows meet where one of ``max_distance + 1`` bands is equal, then the distance is verified."""
+def hamming_pairs(df: DataFrame, id_col: str, bits: str, max_distance: int, bands: int | None = None, size: int = 64) -> DataFrame:
+    """Pairs of ids within ``max_distance`` of ``size`` bits: rows meet where one of ``max_distance + 1`` bands is equal, then the distance is verified."""
     n = bands or max_distance + 1
-    cuts = [round(64 * i / n) for i in range(n + 1)]
+    cuts = [round(size * i / n) for i in range(n + 1)]
     masks = [((1 << b) - 1) ^ ((1 << a) - 1) for a, b in zip(cuts, cuts[1:], strict=False)]
     keys = F.array(*[F.struct(F.lit(i).alias("band"), F.col(bits).bitwiseAND(F.lit(m - (1 << 64) if m >> 63 else m)).alias("part")) for i, m in enumerate(masks)])
     side = lambda x: df.select(F.col(id_col).alias(f"id_{x}"), F.col(bits).alias(f"__{x}"), F.explode(keys).alias("k")).select("*", "k.*").drop("k")

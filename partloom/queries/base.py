@@ -48,9 +48,9 @@ PARTS = """parts AS (SELECT p_partkey AS part_id, p_name AS name, p_brand AS bra
   p_partkey * 37 % 256 AS r, p_partkey * 91 % 256 AS g, p_partkey * 151 % 256 AS b FROM part)"""
 
 
-def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    """All doubles rounded, for comparison with another engine."""
-    return df.select(*[F.round(c, digits).alias(c) if t in ("double", "float") else F.col(c) for c, t in df.dtypes])
+def rounded(df: DataFrame, digits: int = 6, nudge: float = 0.0) -> DataFrame:
+    """All doubles rounded, for comparison with another engine; nudge: added before, where exact halves occur."""
+    return df.select(*[F.round(F.col(c) + nudge, digits).alias(c) if t in ("double", "float") else F.col(c) for c, t in df.dtypes])
 
 
 def linear(c: str) -> str:

@@ -70,16 +70,16 @@ def j05(spark, d):
     return rounded(joins.box_overlap(b, b, ["brand"], 25.0, 0.2).where("id_l < id_r"))
 
 
-_BITS = "bits AS (SELECT vec_id, list_transform(embedding[1:64], lambda x: CASE WHEN x > 0 THEN 1 ELSE 0 END) AS s FROM embeddings)"
+_BITS = "bits AS (SELECT vec_id, list_transform(embedding[1:32], lambda x: CASE WHEN x > 0 THEN 1 ELSE 0 END) AS s FROM embeddings)"
 _PAIRS = "pairs AS (SELECT x.vec_id AS id_a, y.vec_id AS id_b, CAST(list_sum(list_transform(list_zip(x.s, y.s), lambda z: abs(z[1] - z[2]))) AS BIGINT) AS distance FROM bits x JOIN bits y ON x.vec_id < y.vec_id)"
 
 
 def pairs(spark, d):
-    e = table(spark, d, "embeddings").select("vec_id", joins.sign_bits("embedding").alias("bits"))
-    return joins.hamming_pairs(e, "vec_id", "bits", 14, bands=15)
+    e = table(spark, d, "embeddings").select("vec_id", joins.sign_bits("embedding", 32).alias("bits"))
+    return joins.hamming_pairs(e, "vec_id", "bits", 5, size=32)
 
 
-@query("j06_hamming_pairs", f"WITH {_BITS}, {_PAIRS} SELECT * FROM pairs WHERE distance <= 14")
+@query("j06_hamming_pairs", f"WITH {_BITS}, {_PAIRS} SELECT * FROM pairs WHERE distance <= 5")
 def j06(spark, d):
     return pairs(spark, d)
 
@@ -203,7 +203,7 @@ def j17(spark, d):
 
 @query(
     "g01_connected_components",
-    f"""WITH RECURSIVE {_BITS}, {_PAIRS}, e AS (SELECT id_a AS a, id_b AS b FROM pairs WHERE distance <= 14 UNION ALL SELECT id_b, id_a FROM pairs WHERE distance <= 14),
+    f"""WITH RECURSIVE {_BITS}, {_PAIRS}, e AS (SELECT id_a AS a, id_b AS b FROM pairs WHERE distance <= 5 UNION ALL SELECT id_b, id_a FROM pairs WHERE distance <= 5),
 r AS (SELECT vec_id AS node, vec_id AS reach FROM embeddings UNION SELECT r.node, e.b FROM r JOIN e ON e.a = r.reach)
 SELECT node, min(reach) AS component FROM r GROUP BY node""",
 )

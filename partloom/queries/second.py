@@ -28,11 +28,11 @@ def a07(spark, d):
     "a12_mass_audit",
     f"""WITH {OBS}, a AS (SELECT part_id, category, sum(weight) AS n FROM obs WHERE line <= 3 GROUP BY ALL), sa AS (SELECT part_id, category, n / sum(n) OVER (PARTITION BY part_id) AS a FROM a), b AS (SELECT part_id, category, sum(weight) AS n FROM obs WHERE line > 3 GROUP BY ALL), sb AS (SELECT part_id, category, n / sum(n) OVER (PARTITION BY part_id) AS b FROM b),
 t AS (SELECT *, row_number() OVER w AS r, a - coalesce(lead(a) OVER w, 0) AS m FROM sa WINDOW w AS (PARTITION BY part_id ORDER BY round(a, 8) DESC, category)), j AS (SELECT t.*, coalesce(sb.b, 0) AS b FROM t LEFT JOIN sb USING (part_id, category) WHERE r = 1)
-SELECT part_id, category AS dominant, round(a, 5) AS share, round(m, 5) AS margin, round(b / a, 5) AS recall, round(a - b, 5) AS deficit, round(a, 8) >= 0.4 AND round(m, 8) >= 0.05 AND round(b / a, 8) < 0.8 AND round(a - b, 8) >= 0.08 AS hard_failure FROM j""",
+SELECT part_id, category AS dominant, round(a + 1e-9, 5) AS share, round(m + 1e-9, 5) AS margin, round(round(b / a, 8) + 1e-9, 5) AS recall, round(round(a - b, 8) + 1e-9, 5) AS deficit, round(a, 8) >= 0.4 AND round(m, 8) >= 0.05 AND round(b / a, 8) < 0.8 AND round(a - b, 8) >= 0.08 AS hard_failure FROM j""",
 )
 def a12(spark, d):
     o = observations(spark, d)
-    return rounded(fusion.mass_audit(o.where("line <= 3"), o.where("line > 3"), ["part_id"], "category", "weight"), 5)
+    return rounded(fusion.mass_audit(o.where("line <= 3"), o.where("line > 3"), ["part_id"], "category", "weight"), 5, 1e-9)
 
 
 _ROLE = "CASE WHEN category = 'A' AND line <= 4 THEN 'target_ref' WHEN category = 'R' AND line <= 4 THEN 'anchor_ref' WHEN category = 'A' THEN 'target_ren' WHEN category = 'R' THEN 'anchor_ren' ELSE 'other' END"
@@ -42,11 +42,11 @@ _ROLE = "CASE WHEN category = 'A' AND line <= 4 THEN 'target_ref' WHEN category
     "a30_lighting_stats",
     f"""WITH {OBS}, m AS (SELECT part_id, view_id % 3 AS view_id, {_ROLE} AS role, weight FROM obs), g AS (SELECT part_id, view_id, median(weight) FILTER (role = 'target_ref') AS a, median(weight) FILTER (role = 'anchor_ref') AS b, median(weight) FILTER (role = 'target_ren') AS c, median(weight) FILTER (role = 'anchor_ren') AS e FROM m GROUP BY ALL),
 r AS (SELECT *, concat_ws(',', CASE WHEN a IS NULL THEN 'no_target_ref' END, CASE WHEN b IS NULL THEN 'no_anchor_ref' END, CASE WHEN c IS NULL THEN 'no_target_ren' END, CASE WHEN e IS NULL THEN 'no_anchor_ren' END) AS reasons FROM g)
-SELECT part_id, view_id, CASE WHEN reasons = '' THEN round((c / e) / (a / b), 5) END AS normalised, reasons FROM r""",
+SELECT part_id, view_id, CASE WHEN reasons = '' THEN round((c / e) / (a / b) + 1e-9, 5) END AS normalised, reasons FROM r""",
 )
 def a30(spark, d):
     o = observations(spark, d).withColumn("view_id", F.col("view_id") % 3).withColumn("role", F.expr(_ROLE))
-    return rounded(fusion.lighting_stats(o, ["part_id"], "view_id", "role", "weight"), 5)
+    return rounded(fusion.lighting_stats(o, ["part_id"], "view_id", "role", "weight"), 5, 1e-9)
 
 
 @query("j11_similarity_terms")
