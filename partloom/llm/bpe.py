@@ -36,8 +36,8 @@ from pyspark.sql import types as T
 from partloom.llm.common import replaced, slices, texts, with_fields
 from partloom.llm.vocabulary import vocabulary
 
-#: Words kept with their ids in each Python worker; then the store starts anew.
-CACHED_WORDS = 600_000
+#: Words kept with their ids in a running task; then the store starts anew.
+CACHED_WORDS = 300_000
 #: Words of more bytes share nothing and are not kept.
 LONG = 64
 
@@ -146,6 +146,11 @@ class Automaton:
                 self.packed[word] = known
         return known
 
+    def forget(self) -> None:
+        """Drops the words of a task: a Python worker lives on after it, and serves other operators."""
+        self.packed.clear()
+        self.known.clear()
+
     def encode(self, text: str) -> bytes:
         """The ids of a whole text, packed as little-endian unsigned 32-bit numbers."""
         parts, get, make = [], self.packed.get, self.word
@@ -168,9 +173,12 @@ def encode(df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
     schema = with_fields(rows, ["__text"], [("ids", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of = automaton(tokenizer).encode
-        for batch in slices(batches):
-            yield replaced(batch, schema, {"ids": pa.array([of(t) for t in batch.column("__text").to_pylist()], pa.binary())})
+        machine = automaton(tokenizer)
+        try:
+            for batch in slices(batches):
+                yield replaced(batch, schema, {"ids": pa.array([machine.encode(t) for t in batch.column("__text").to_pylist()], pa.binary())})
+        finally:
+            machine.forget()
 
     return rows.mapInArrow(run, schema).withColumn("n_tokens", (F.octet_length("ids") / 4).cast("long"))
 

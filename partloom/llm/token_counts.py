@@ -30,8 +30,8 @@ from pyspark.sql import types as T
 from partloom.llm.common import replaced, slices, texts, with_fields
 from partloom.llm.vocabulary import vocabulary
 
-#: Words kept with their counts in each Python worker; then the store starts anew.
-CACHED_WORDS = 600_000
+#: Words kept with their counts in a running task; then the store starts anew.
+CACHED_WORDS = 300_000
 #: Words of more bytes share nothing and are not kept.
 LONG = 64
 #: White space of which the split depends on what follows.
@@ -121,6 +121,11 @@ class PrefixCounts:
             self.steps[unit] = out
         return out
 
+    def forget(self) -> None:
+        """Drops the words of a task: a Python worker lives on after it, and serves other operators."""
+        self.steps.clear()
+        self.known.clear()
+
     def _plain(self, text: str) -> bytes:
         words = self.vocab.words(text)
         get, step = self.steps.get, self.step
@@ -166,11 +171,14 @@ def prefix_table(df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col
     schema = with_fields(rows, ["__text"], [("prefix_counts", T.ArrayType(T.IntegerType(), False))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of = prefix_counts(tokenizer).counts
-        for batch in slices(batches):
-            each = [of(t) for t in batch.column("__text").to_pylist()]
-            offsets = np.concatenate([[0], np.cumsum([len(x) for x in each])]).astype(np.int32)
-            yield replaced(batch, schema, {"prefix_counts": pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(each)))})
+        counter = prefix_counts(tokenizer)
+        try:
+            for batch in slices(batches):
+                each = [counter.counts(t) for t in batch.column("__text").to_pylist()]
+                offsets = np.concatenate([[0], np.cumsum([len(x) for x in each])]).astype(np.int32)
+                yield replaced(batch, schema, {"prefix_counts": pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(each)))})
+        finally:
+            counter.forget()
 
     return rows.mapInArrow(run, schema).withColumn("n_tokens", F.coalesce(F.try_element_at("prefix_counts", F.lit(-1)), F.lit(0)).cast("long"))
 

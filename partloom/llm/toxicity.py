@@ -40,15 +40,15 @@ from pyspark.sql import types as T
 from partloom.llm.common import dropped, replaced, shared_folder, slices, stored, texts, with_fields
 
 #: Labelled rows that learning reads at most; the bound of the sample.
-MAX_LABELLED = 8000
+MAX_LABELLED = 5000
 #: Windows of labelled tokens, and tokens in a window.
 MAX_WINDOWS, WINDOW = 6000, 16
 #: Hashed weights: 2 ** BITS.
 BITS = 18
 #: Words in one chain.
 CHAIN = 128
-#: Words kept with their scores in each Python worker.
-CACHED_WORDS = 600_000
+#: Words kept with their scores in a running task.
+CACHED_WORDS = 400_000
 #: Documents with at least this score are toxic.
 THRESHOLD = 0.3
 _WORD = re.compile(r"[^\W_]+")
