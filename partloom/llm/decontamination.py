@@ -58,7 +58,7 @@ def lookups(index: DataFrame, each: DataFrame) -> DataFrame:
     wanted = placed.select("term").distinct()
     few = wanted.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
     counts = index.select(F.explode("terms").alias("term")).join(F.broadcast(wanted) if few else wanted, "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("n"))
-    rarest = placed.join(counts, "term", "left").groupBy("window").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "term", "offset")).alias("r"))
+    rarest = placed.join(F.broadcast(counts) if few else counts, "term", "left").groupBy("window").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "term", "offset")).alias("r"))
     return each.join(rarest.where("r.n > 0"), "window").select("window", "items", "r.term", "r.offset")
 
 
