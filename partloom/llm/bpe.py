@@ -37,7 +37,7 @@ from partloom.llm.common import replaced, slices, texts, with_fields
 from partloom.llm.vocabulary import vocabulary
 
 #: Words kept with their ids in a running task; then the store starts anew.
-CACHED_WORDS = 300_000
+CACHED_WORDS = 150_000
 #: Words of more bytes share nothing and are not kept.
 LONG = 64
 
