@@ -1,35 +1,38 @@
 """Main text of web pages by wrappers, union-free regular expressions over the token streams of a host.
 
 1. Every page becomes a stream of structure tokens (block tags with their classes, text slots). Repeats inside a
-   stream fold into repeated groups, so that pages of one template have few different streams, which are counted for each host.
-2. For each host the ``streams`` most frequent ones are aligned one after another with the wrapper so far: what
-   both have stays, what just one has becomes an optional group, a group next to its equal becomes a repeated one, and texts are slots.
-   The bound concerns only what the wrapper is inferred from; extraction covers all pages.
-3. The wrapper's slots are told apart by where they stand and how much text all pages of the host have there: slots
-   in menus, headers, footers, sidebars, notices, adverts, forms and reader comments are not content; of the others, those inside an article
-   or main element are, or, if the host has none, those inside the element with the most text.
-4. Each page is read with the wrapper of its host. A slot that the wrapper lacks is judged by the same rules.
-
-Streams are counted before anything is grouped by host, so a host with a third of all pages is a few rows. Wrappers are
-broadcast while there are at most ``BROADCAST_HOSTS``; beyond, pages are joined by host, and large hosts are split by adaptive execution.
-
-Defined results: a null or empty page has the empty text; pages without a host share one wrapper; repeated rows are read each; extra columns are left
+   stream fold into repeated groups, so that pages of one template have few different streams.
+2. The pages of a host are told apart by template: the sectioning elements that are no boilerplate, and whether there is an article or main element.
+   The distinct streams of a template are merged into one wrapper, ``FAN`` at a time and then the results again: what
+   both sides have stays, what just one has becomes optional, equal neighbours become a repeated group. The wrapper accepts all streams.
+3. Each page is matched against the wrapper of its template, which says in which slot each of its texts stands. A slot that holds
+   the same text on all pages of the template, ``LITERAL_PAGES`` different ones at least, is a literal and no content. Nor are slots
+   in menus, headers, footers, sidebars, notices, adverts, forms and reader comments. Of the others, those inside an article
+   or main element are, or, if the template has none, those inside the element with the most text.
+4. A page's text is that of its content slots; a page that has none of them falls back to its own element with the most text.
+
+Pages are parsed once, into the shared folder. Streams and slots are counted before anything is grouped by template, so a host with a third of all pages
+is a few rows. Wrappers are broadcast while there are at most ``BROADCAST_HOSTS``; beyond, pages are joined by template, and large ones are split by adaptive execution.
+
+Defined results: a null or empty page has the empty text; pages without a host are taken as one host; repeated rows are read each; extra columns are left
 out; an empty table gives an empty table. Markup that is cut off or left open is closed where its parent ends.
 """
 
 from __future__ import annotations
 
 import functools
+import hashlib
 import html
 import json
 import re
+import zlib
 from collections import defaultdict
 from collections.abc import Iterator, Sequence
 from difflib import SequenceMatcher
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,8 +40,10 @@ from partloom.llm.common import replaced, shared_folder, slices, stored, with_fi
 
 #: Wrappers that are broadcast at most.
 BROADCAST_HOSTS = 20_000
-#: Streams of a host that its wrapper is inferred from at most, the most frequent ones.
-STREAMS = 48
+#: Wrappers that one task merges at a time.
+FAN = 32
+#: Different pages of a template that a text must be the same on to count as the template's own.
+LITERAL_PAGES = 5
 #: Element names.
 RAW = frozenset("script style noscript template svg iframe object canvas".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -53,6 +58,8 @@ NO_CONTENT_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising banner banners breadcrumb breadcrumbs comment comments consent cookie cookies disqus footer header login masthead menu menus modal nav navbar navigation newsletter notice notices pagination popup promo promoted related replies reply share sharing sidebar signup social sponsor sponsored subscribe toolbar widget".split()
 )
 CONTENT = frozenset("article main".split())
+#: Elements that tell templates apart.
+SECTIONING = frozenset("article aside div footer header main nav section table".split())
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)(?:>|\Z)|<[!?][^>]*>?", re.S)
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 
@@ -140,36 +147,70 @@ def fold(stream: Sequence) -> tuple:
     return tuple(out)
 
 
-def align(wrapper: tuple, stream: tuple) -> tuple:
-    """The wrapper that also accepts the stream: mismatches become optional groups, or join a repeated group next to them."""
-    bare = [w[1] if isinstance(w, tuple) and w[0] == "?" else (w,) for w in wrapper]
-    flat = [(t, isinstance(w, tuple) and w[0] == "?") for w, b in zip(wrapper, bare, strict=True) for t in b]
+def _parts(item) -> tuple:
+    """(group, optional, repeated) of a wrapper's item."""
+    optional = repeated = False
+    while isinstance(item, tuple):
+        if item[0] == "?":
+            optional = True
+        else:
+            repeated = True
+        if len(item[1]) > 1:
+            return item[1], optional, repeated
+        item = item[1][0]
+    return (item,), optional, repeated
+
+
+def _item(group: tuple, optional: bool, repeated: bool):
+    item = ("+", group) if repeated else group[0]
+    return ("?", (item,)) if optional else item
+
+
+def _key(item):
+    """What an item holds, whether it is optional or repeated or not."""
+    group = _parts(item)[0]
+    return group[0] if len(group) == 1 else tuple(_key(g) for g in group)
+
+
+def align(wrapper: tuple, other: tuple) -> tuple:
+    """A wrapper that accepts all that one of the two accepts: mismatches become optional, equal neighbours a repeated group."""
     out: list = []
 
-    def optional(part: Sequence) -> None:
-        part = tuple(part)
-        if not part:
-            return
-        last = out[-1] if out else None
-        if isinstance(last, tuple) and last[0] == "+" and last[1] == part:
-            return  # one more of the group before
-        if last == part[0] and len(part) == 1:
-            out[-1] = ("+", part)
-            return
-        out.append(("?", part))
-
-    matcher = SequenceMatcher(None, [t for t, _ in flat], list(stream), autojunk=False)
-    for op, a, b, c, d in matcher.get_opcodes():
+    def add(group: tuple, optional: bool, repeated: bool) -> None:
+        item = _item(group, optional, repeated)
+        if out and _key(out[-1]) == _key(item):
+            before, may, _ = _parts(out[-1])
+            out[-1] = _item(both(before, group), may and optional, True)
+        else:
+            out.append(item)
+
+    def both(a: tuple, b: tuple) -> tuple:
+        met = []
+        for x, y in zip(a, b, strict=True):
+            if isinstance(x, str) and isinstance(y, str):
+                met.append(x)
+            else:
+                (g, o, r), (h, p, q) = _parts(x), _parts(y)
+                met.append(_item(both(g, h), o or p, r or q))
+        return tuple(met)
+
+    def loose(items: Sequence) -> None:
+        for item in items:
+            group, _, repeated = _parts(item)
+            if len(group) > 1 and not repeated:
+                loose(group)
+            else:
+                add(group, True, repeated)
+
+    for op, a, b, c, d in SequenceMatcher(None, [_key(w) for w in wrapper], [_key(w) for w in other], autojunk=False).get_opcodes():
         if op == "equal":
-            for token, may in flat[a:b]:
-                if may:
-                    optional((token,))
-                else:
-                    out.append(token)
+            for x, y in zip(wrapper[a:b], other[c:d], strict=True):
+                (g, o, r), (h, p, q) = _parts(x), _parts(y)
+                add(both(g, h), o or p, r or q)
         else:
-            optional([t for t, _ in flat[a:b]])
-            optional(stream[c:d])
-    return fold(out)
+            loose(wrapper[a:b])
+            loose(other[c:d])
+    return tuple(out)
 
 
 def slots(wrapper: Sequence) -> set[str]:
@@ -183,91 +224,215 @@ def slots(wrapper: Sequence) -> set[str]:
     return found
 
 
-def content(wrapper: Sequence, mass: dict[str, int]) -> dict:
-    """The content slots of a wrapper, and the element that holds them."""
-    free = sorted(p for p in slots(wrapper) if not boilerplate(p))
-    inside = [p for p in free if CONTENT & {x.split(".")[0] for x in p.split("/")}]
-    if inside:
-        return {"slots": inside, "root": ""}
-    by: dict[str, int] = defaultdict(int)
-    for p in free:
-        by[p.rpartition("/")[0] or p] += mass.get(p, 0)
-    root = max(sorted(by), key=lambda k: by[k], default="")
-    return {"slots": [p for p in free if p == root or p.startswith(root + "/")], "root": root}
+def _tuples(x):
+    return tuple(_tuples(y) for y in x) if isinstance(x, list) else x
+
+
+class Matcher:
+    """A wrapper as an automaton of positions, which are its text slots in order."""
+
+    def __init__(self, wrapper: tuple):
+        self.paths: list[str] = []
+        self.follow: list[set[int]] = []
+        self.first, self.last, self.empty = self._chain(wrapper)
+        self.places: dict[str, list[int]] = defaultdict(list)
+        for k, path in enumerate(self.paths):
+            self.places[path].append(k)
+
+    def _chain(self, items: Sequence) -> tuple[set[int], set[int], bool]:
+        first, last, empty = set(), set(), True
+        for item in items:
+            if isinstance(item, str):
+                self.paths.append(item)
+                self.follow.append(set())
+                f, e, may = {len(self.paths) - 1}, {len(self.paths) - 1}, False
+            else:
+                f, e, may = self._chain(item[1])
+                if item[0] == "+":
+                    for k in e:
+                        self.follow[k] |= f
+                else:
+                    may = True
+            for k in last:
+                self.follow[k] |= f
+            first = first | f if empty else first
+            last = last | e if may else e
+            empty = empty and may
+        return first, last, empty
+
+    def match(self, stream: Sequence[str]) -> list[int] | None:
+        """The slot of each token; None if the wrapper does not accept the stream."""
+        layers: list[dict[int, int]] = []
+        for i, path in enumerate(stream):
+            places = self.places.get(path, ())
+            layer = {k: -1 for k in places if k in self.first} if i == 0 else {k: q for k in places for q in [next((q for q in layers[-1] if k in self.follow[q]), None)] if q is not None}
+            if not layer:
+                return None
+            layers.append(layer)
+        at = next((k for k in layers[-1] if k in self.last), None) if layers else None
+        if at is None:
+            return None
+        out = []
+        for layer in reversed(layers):
+            out.append(at)
+            at = layer[at]
+        return out[::-1]
 
 
 @functools.lru_cache(maxsize=256)
-def _loaded(text: str) -> tuple[frozenset, str]:
-    got = json.loads(text)
-    return frozenset(got["slots"]), got["root"]
+def _matcher(wrapper: str) -> Matcher:
+    return Matcher(_tuples(json.loads(wrapper)))
 
 
-def main_text(page: str, wrapper: str | None) -> str:
-    known, root = _loaded(wrapper) if wrapper else (frozenset(), "")
+@functools.lru_cache(maxsize=4096)
+def _matched(wrapper: str, stream: tuple[str, ...]) -> list[int] | None:
+    return _matcher(wrapper).match(stream)
 
-    def wanted(path: str) -> bool:
-        if path in known:
-            return True
-        if boilerplate(path):
-            return False
-        return bool(CONTENT & {x.split(".")[0] for x in path.split("/")}) or (bool(root) and (path == root or path.startswith(root + "/"))) or not wrapper
 
-    return " ".join(text for path, text in blocks(page) if wanted(path))
+def in_content(path: str) -> bool:
+    return bool(CONTENT & {x.split(".")[0] for x in path.split("/")})
+
+
+def heaviest(mass: dict[str, int]) -> str:
+    """The element that holds most of the text at these paths."""
+    by: dict[str, int] = defaultdict(int)
+    for p, n in mass.items():
+        by[p.rpartition("/")[0] or p] += n
+    return max(sorted(by), key=lambda k: by[k], default="")
+
+
+def under(path: str, root: str) -> bool:
+    return path == root or path.startswith(root + "/")
+
+
+def template(paths: Sequence[str]) -> str:
+    """What tells the templates of a host apart: outer sectioning elements that are no boilerplate, and whether an article or main element holds text."""
+    free = [p for p in set(paths) if not boilerplate(p)]
+    found = set()
+    for p in free:
+        labels = p.split("/")
+        cuts = [k + 1 for k, x in enumerate(labels) if x.split(".")[0] in SECTIONING][:2]
+        found |= {"/".join(labels[:k]) for k in cuts}
+    return json.dumps([any(map(in_content, free)), *sorted(found)])
+
+
+def content(paths: Sequence[str], mass: Sequence[int], literal: Sequence[bool]) -> list[int]:
+    """The numbers of a wrapper's content slots."""
+    free = [k for k, p in enumerate(paths) if not literal[k] and not boilerplate(p)]
+    inside = [k for k in free if in_content(paths[k])]
+    if inside:
+        return inside
+    by: dict[str, int] = defaultdict(int)
+    for k in free:
+        by[paths[k]] += mass[k]
+    root = heaviest(by)
+    return [k for k in free if under(paths[k], root)]
+
+
+def main_text(paths: Sequence[str], texts: Sequence[str], wrapper: str, wanted: frozenset[int], literal: frozenset[int]) -> str:
+    at = _matched(wrapper, tuple(paths)) or [-1] * len(paths)
+    out = [t for k, t in zip(at, texts, strict=True) if k in wanted]
+    if out:
+        return " ".join(out)
+    free = [(p, t) for k, p, t in zip(at, paths, texts, strict=True) if k not in literal and not boilerplate(p)]
+    mass: dict[str, int] = defaultdict(int)
+    for p, t in free:
+        mass[p] += len(t)
+    root = heaviest({p: n for p, n in mass.items() if in_content(p)} or mass)
+    return " ".join(t for p, t in free if under(p, root))
 
 
 def host(url: Column) -> Column:
     return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
 
 
-def infer(pages: DataFrame, streams: int = STREAMS) -> DataFrame:
-    """(host, wrapper): the wrapper's content slots, as JSON. pages: (host, __html)."""
-    folder = shared_folder(pages.sparkSession)
+def parse(rows: DataFrame, folder: str) -> DataFrame:
+    """``rows`` without __html and with template, stream (JSON of the folded paths), and the paths and texts of the blocks."""
+    strings = T.ArrayType(T.StringType())
+    schema = with_fields(rows, ["__html"], [("template", T.StringType()), ("stream", T.StringType()), ("paths", strings), ("texts", strings)])
 
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            out_s, out_p, out_m = [], [], []
-            for page in batch.column("__html").to_pylist():
-                mass: dict[str, int] = defaultdict(int)
-                order = []
-                for path, text in blocks(page):
-                    mass[path] += len(text)
-                    order.append(path)
-                out_s.append(json.dumps(fold(order)))
-                out_p.append(list(mass))
-                out_m.append(list(mass.values()))
-            yield pa.RecordBatch.from_arrays([batch.column("host"), pa.array(out_s, pa.string()), pa.array(out_p, pa.list_(pa.string())), pa.array(out_m, pa.list_(pa.int64()))], names=["host", "stream", "paths", "mass"])
-
-    seen = stored(pages.select("host", "__html").mapInArrow(read, "host string, stream string, paths array<string>, mass array<bigint>"), folder, "streams")
-    counts = seen.groupBy("host", "stream").agg(F.count(F.lit(1)).alias("n"))
-    ranked = counts.withColumn("rank", F.row_number().over(Window.partitionBy("host").orderBy(F.desc("n"), "stream"))).where(F.col("rank") <= streams)
-    masses = seen.select("host", F.explode(F.arrays_zip("paths", "mass")).alias("m")).groupBy("host", F.col("m.paths").alias("stream")).agg(F.sum("m.mass").alias("n"))
-    heavy = masses.withColumn("rank", F.row_number().over(Window.partitionBy("host").orderBy(F.desc("n"), "stream"))).where(F.col("rank") <= 20 * streams)
-    both = ranked.withColumn("kind", F.lit("stream")).unionByName(heavy.withColumn("kind", F.lit("mass")))
+            pages = [list(blocks(page)) for page in batch.column("__html").to_pylist()]
+            paths = [[p for p, _ in page] for page in pages]
+            columns = {"template": [template(p) for p in paths], "stream": [json.dumps(fold(p)) for p in paths]}
+            lists = {"paths": paths, "texts": [[t for _, t in page] for page in pages]}
+            arrays = {k: pa.array(v, pa.string()) for k, v in columns.items()} | {k: pa.array(v, pa.list_(pa.string())) for k, v in lists.items()}
+            yield replaced(batch, schema, arrays)
+
+    return stored(rows.mapInArrow(run, schema), folder, "pages")
+
+
+def infer(parsed: DataFrame, folder: str, fan: int = FAN) -> DataFrame:
+    """(host, template, wrapper): one wrapper from all distinct streams of a template, as JSON."""
+    keys = ["host", "template"]
 
     def wrap(pdf: pd.DataFrame) -> pd.DataFrame:
-        wrapper: tuple | None = None
-        tuples = lambda x: tuple(tuples(y) for y in x) if isinstance(x, list) else x
-        for s in pdf[pdf["kind"] == "stream"].sort_values("rank")["stream"]:
-            stream = tuples(json.loads(s))
-            wrapper = stream if wrapper is None else align(wrapper, stream)
-        mass = pdf[pdf["kind"] == "mass"]
-        found = content(wrapper or (), dict(zip(mass["stream"], mass["n"], strict=True)))
-        return pd.DataFrame({"host": [pdf["host"].iloc[0]], "wrapper": [json.dumps(found)]})
+        merged = functools.reduce(align, (_tuples(json.loads(w)) for w in sorted(pdf["wrapper"])))
+        return pd.DataFrame({"host": [pdf["host"].iloc[0]], "template": [pdf["template"].iloc[0]], "wrapper": [json.dumps(merged)]})
+
+    level, k = stored(parsed.select(*keys, F.col("stream").alias("wrapper")).distinct(), folder, "wrappers-0"), 0
+    while True:
+        counts = level.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+        if not counts.where("n > 1").limit(1).count():
+            return level
+        k += 1
+        dealt = level.join(counts, keys).withColumn("bucket", F.pmod(F.xxhash64("wrapper", F.lit(k)), F.ceil(F.col("n") / fan)))
+        level = stored(dealt.groupBy(*keys, "bucket").applyInPandas(wrap, "host string, template string, wrapper string").distinct(), folder, f"wrappers-{k}")
+
 
-    return stored(both.groupBy("host").applyInPandas(wrap, "host string, wrapper string"), folder, "wrappers")
+def choose(met: DataFrame, folder: str) -> DataFrame:
+    """(host, template, wrapper, wanted, literal): numbers of the content slots and of the literals. met: parsed pages with their wrappers."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            out: dict[str, list] = {c: [] for c in ("host", "template", "wrapper", "slot", "mass", "lo", "hi", "page")}
+            columns = [batch.column(c).to_pylist() for c in ("host", "template", "wrapper", "paths", "texts")]
+            for name, kind, wrapper, paths, texts in zip(*columns, strict=True):
+                found: dict[int, list[str]] = defaultdict(list)
+                for k, t in zip(_matched(wrapper, tuple(paths)) or (), texts, strict=False):
+                    found[k].append(t)
+                page = zlib.crc32("\n".join(texts).encode())
+                for k, held in found.items():
+                    # a digest of each text: equal texts have equal ones
+                    marks = [hashlib.blake2b(t.encode(), digest_size=8).hexdigest() for t in held]
+                    for c, v in zip(out, (name, kind, wrapper, k, sum(map(len, held)), min(marks), max(marks), page), strict=True):
+                        out[c].append(v)
+            yield pa.RecordBatch.from_pydict(out, schema=pa.schema([(c, pa.int64() if c in ("slot", "mass", "page") else pa.string()) for c in out]))
+
+    seen = met.select("host", "template", "wrapper", "paths", "texts").mapInArrow(read, "host string, template string, wrapper string, slot bigint, mass bigint, lo string, hi string, page bigint")
+    stats = seen.groupBy("host", "template", "wrapper", "slot").agg(F.sum("mass").alias("mass"), (F.min("lo") == F.max("hi")).alias("same"), F.approx_count_distinct("page", 0.02).alias("pages"))
+
+    def decide(pdf: pd.DataFrame) -> pd.DataFrame:
+        wrapper = pdf["wrapper"].iloc[0]
+        paths = _matcher(wrapper).paths
+        mass, literal = [0] * len(paths), [False] * len(paths)
+        for k, m, same, pages in zip(pdf["slot"], pdf["mass"], pdf["same"], pdf["pages"], strict=True):
+            mass[k], literal[k] = int(m), bool(same) and pages >= LITERAL_PAGES
+        out = {"host": pdf["host"].iloc[0], "template": pdf["template"].iloc[0], "wrapper": wrapper, "wanted": content(paths, mass, literal), "literal": [k for k, x in enumerate(literal) if x]}
+        return pd.DataFrame({c: [v] for c, v in out.items()})
+
+    schema = "host string, template string, wrapper string, wanted array<bigint>, literal array<bigint>"
+    return stored(stats.groupBy("host", "template").applyInPandas(decide, schema), folder, "chosen")
+
+
+def _small(df: DataFrame) -> DataFrame:
+    return F.broadcast(df) if df.limit(BROADCAST_HOSTS + 1).count() <= BROADCAST_HOSTS else df
 
 
 def extract(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """One row for each page: id, url, ``text``, ``n_chars`` long."""
+    folder, keys = shared_folder(df.sparkSession), ["host", "template"]
     pages = df.select(F.col(id_col).alias(id_col), F.col(url_col).alias(url_col), host(F.col(url_col)).alias("host"), F.coalesce(F.col(html_col).cast("string"), F.lit("")).alias("__html"))
-    wrappers = infer(pages)
-    few = wrappers.limit(BROADCAST_HOSTS + 1).count() <= BROADCAST_HOSTS
-    rows = pages.join(F.broadcast(wrappers) if few else wrappers, "host", "left").select(id_col, url_col, "wrapper", "__html")
-    schema = with_fields(rows, ["__html", "wrapper"], [("text", T.StringType())])
+    parsed = parse(pages, folder)
+    chosen = choose(parsed.join(_small(infer(parsed, folder)), keys), folder)
+    rows = parsed.join(_small(chosen), keys, "left").select(id_col, url_col, "paths", "texts", "wrapper", "wanted", "literal")
+    schema = with_fields(rows, ["paths", "texts", "wrapper", "wanted", "literal"], [("text", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            out = [main_text(p, w) for p, w in zip(batch.column("__html").to_pylist(), batch.column("wrapper").to_pylist(), strict=True)]
+            columns = [batch.column(c).to_pylist() for c in ("paths", "texts", "wrapper", "wanted", "literal")]
+            out = [main_text(p, t, w or "[]", frozenset(k or ()), frozenset(x or ())) for p, t, w, k, x in zip(*columns, strict=True)]
             yield replaced(batch, schema, {"text": pa.array(out, pa.string())})
 
     return rows.mapInArrow(run, schema).withColumn("n_chars", F.char_length("text").cast("long"))

@@ -1,5 +1,6 @@
 """The corpus operators against brute force, on nulls, empty and long texts, ties, repeated rows, empty tables and clashing columns."""
 
+import functools
 import hashlib
 import random
 import re
@@ -177,6 +178,27 @@ def test_wrappers_fold_repeats_and_keep_options():
     assert html_wrapper.slots(html_wrapper.align(folded, html_wrapper.fold(b))) == {"h", "p", "x", "f"}
 
 
+def test_wrappers_accept_all_streams_they_are_merged_from():
+    r = random.Random(3)
+    streams = [tuple(r.choice("hpxf") for _ in range(r.randint(1, 9))) for _ in range(60)]
+    wrapper = functools.reduce(html_wrapper.align, map(html_wrapper.fold, streams))
+    matcher = html_wrapper.Matcher(wrapper)
+    for s in streams:
+        assert [matcher.paths[k] for k in matcher.match(s)] == list(s)
+    assert matcher.match(("h", "other")) is None
+
+
+def test_templates_of_a_host_are_read_apart(spark):
+    words = ["one", "two", "three", "four", "five", "six", "seven"]
+    story = "<html><body><article><h1>Head {0}</h1><div class=x>Same on all pages</div><p>Text {0}</p><p>More {0}</p></article></body></html>"
+    plain = "<html><body><div id=top>Short</div><div id=story><p>A long paragraph with the word {0} in it.</p><p>And {0} again.</p></div></body></html>"
+    pages = [(i, f"http://a.org/{i}", (story if i < 7 else plain).format(words[i % 7])) for i in range(14)]
+    got = {r.page_id: r.text for r in html_wrapper.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    for i in range(7):
+        assert got[i] == f"Head {words[i]} Text {words[i]} More {words[i]}"
+        assert got[7 + i] == f"A long paragraph with the word {words[i]} in it. And {words[i]} again."
+
+
 SECRETS = [
     None,
     "",
