@@ -1,10 +1,11 @@
 """Licence scans with DataFrame functions only.
 
-1. Texts are cut into notices: lines, and sentences within them, that hold a licence word.
+1. Texts are cut into notices: lines, and sentences within them, that hold a licence word; sentences that are wrapped over several
+   lines, joined again; blocks of adjoining notices, joined; and the single names of an SPDX expression.
 2. Each notice and each template is a sparse vector of words weighted by term frequency and inverse document
    frequency over the templates (a word that no template has weighs as the rarest); their cosines come from a join on words. The best template of
    a notice counts if its cosine is at least ``least``.
-3. A file has the licence of its best notice. A file that is mostly notices, or is named as a licence file, speaks for its directory.
+3. A file has the licence of its best notice; that all rights are reserved counts if it has no other. A file that is mostly notices, or is named as a licence file, speaks for its directory.
 4. Files without a notice inherit from the nearest ancestor directory that has a licence: their ancestors are joined to
    the directories by path, and the deepest match wins.
 
@@ -18,7 +19,7 @@ columns are left out; empty tables give empty tables.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from partloom.llm.common import shared_folder, stored
@@ -44,8 +45,30 @@ TEMPLATES = (
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("proprietary", "Copyright. All rights reserved. No part may be reproduced without written permission."),
 )
+#: Names of SPDX identifiers, and of licences written out, with the licence they stand for.
+TEMPLATES += tuple(
+    (licence, f"SPDX-License-Identifier: {name}")
+    for licence, names in {
+        "Apache-2.0": "Apache-2.0", "MIT": "MIT", "GPL-2.0": "GPL-2.0 GPL-2.0-only GPL-2.0-or-later", "GPL-3.0": "GPL-3.0 GPL-3.0-only GPL-3.0-or-later", "LGPL-2.1": "LGPL-2.1 LGPL-2.1-only LGPL-2.1-or-later",
+        "LGPL-3.0": "LGPL-3.0 LGPL-3.0-only LGPL-3.0-or-later", "AGPL-3.0": "AGPL-3.0 AGPL-3.0-only AGPL-3.0-or-later", "BSD-2-Clause": "BSD-2-Clause", "BSD-3-Clause": "BSD-3-Clause", "MPL-2.0": "MPL-2.0",
+        "ISC": "ISC", "CC0-1.0": "CC0-1.0", "CC-BY-4.0": "CC-BY-4.0", "CC-BY-SA-4.0": "CC-BY-SA-4.0", "CC-BY-NC-4.0": "CC-BY-NC-4.0", "proprietary": "LicenseRef-Proprietary",
+    }.items()
+    for name in names.split()
+) + (
+    ("MIT", "MIT License."),
+    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions."),
+    ("Apache-2.0", "Apache License, Version 2.0."),
+    ("GPL-3.0", "GNU General Public License, version 3."),
+    ("GPL-2.0", "GNU General Public License, version 2."),
+    ("BSD-3-Clause", "BSD 3-Clause License."),
+    ("proprietary", "All rights reserved."),
+)
+#: Fixed value: the licence that gives way to any other of the same file.
+RESERVED = "proprietary"
 #: Words that make a line a notice, and names of licence files.
 NOTICE = r"(?i)licen[cs]|copyright|spdx|redistribut|public domain|rights reserved|permission is hereby"
+CUT = r"\n|(?<=[.!?;])\s+(?=[\p{Lu}])|(?=(?i:\ball rights reserved))"
+SPDX = r"(?i)spdx-license-identifier:\s*([^\n]*)"
 FILE_NAME = r"(?i)^(licen[cs]e|copying|notice|copyright)([._-].*)?$"
 
 
@@ -61,10 +84,30 @@ def _small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
 
 
-def notices(files: DataFrame, forms: DataFrame, least: float) -> DataFrame:
-    """(row, at, licence, cosine, n_terms) of the notices that a template explains. files: (row, text)."""
-    lines = files.where(F.col("text").rlike(NOTICE)).select("row", F.posexplode(F.split("text", r"\n|(?<=[.!?;])\s+(?=[\p{Lu}])")).alias("at", "line"))
-    held = lines.where(F.col("line").rlike(NOTICE)).select("row", "at", terms(F.col("line")).alias("terms"))
+def units(files: DataFrame) -> DataFrame:
+    """(row, from, to, line): lines and sentences, unwrapped sentences, blocks and SPDX names, with the first and last line or sentence that they hold. files: (row, text)."""
+    pieces = files.where(F.col("text").rlike(NOTICE)).select("row", F.split("text", CUT).alias("p"))
+    # a line goes on with the sentence before it if that is not ended
+    each = F.transform("p", lambda x, i: F.struct(x.alias("line"), ((i > 0) & x.rlike(r"\S") & F.get("p", i - 1).rlike(r"[^.!?;:\s]\s*$")).alias("goes_on")))
+    lines = pieces.select("row", F.posexplode(each).alias("at", "x")).select("row", "at", F.col("x.line").alias("line"), F.col("x.goes_on").alias("goes_on")).distinct()
+    w = Window.partitionBy("row")
+    placed = lines.withColumn("sentence", F.sum(F.when(F.col("goes_on"), 0).otherwise(1)).over(w.orderBy("at")))
+    joined = lambda df, by: df.groupBy("row", by).agg(F.min("from").alias("from"), F.max("to").alias("to"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("from", "line"))), lambda s: s["line"]), " ").alias("line"))
+    alone = placed.where(F.col("line").rlike(NOTICE)).select("row", F.col("at").alias("from"), F.col("at").alias("to"), "line")
+    whole = joined(placed.select("row", "sentence", F.col("at").alias("from"), F.col("at").alias("to"), "line"), "sentence").where(F.col("line").rlike(NOTICE))
+    # blank lines do not part the notices of a block
+    filled = placed.where(F.col("line").rlike(r"[\p{L}\p{N}]")).groupBy("row", "sentence").agg(F.max(F.col("line").rlike(NOTICE)).alias("notice")).withColumn("n", F.row_number().over(w.orderBy("sentence")))
+    runs = filled.where("notice").withColumn("block", F.col("n") - F.row_number().over(w.orderBy("sentence"))).select("row", "sentence", "block")
+    blocks = joined(whole.join(runs, ["row", "sentence"]), "block")
+    named = alone.select("row", "from", "to", F.explode(F.split(F.regexp_extract("line", SPDX, 1), r"[\s()]+")).alias("name")).where("name not in ('', 'OR', 'AND', 'WITH')")
+    wide = whole.drop("sentence").unionByName(blocks.drop("block")).where(F.col("from") < F.col("to"))
+    return alone.unionByName(wide).unionByName(named.select("row", "from", "to", F.concat(F.lit("SPDX-License-Identifier: "), "name").alias("line"))).distinct()
+
+
+def notices(files: DataFrame, forms: DataFrame, least: float, folder: str) -> DataFrame:
+    """(row, licence, cosine, from, to, n_terms) of the notices that a template explains. files: (row, text)."""
+    every = stored(units(files).select("row", F.xxhash64("from", "to", "line").alias("at"), "from", "to", terms(F.col("line")).alias("terms")), folder, "units")
+    held = every.select("row", "at", "terms")
     form = forms.select(F.xxhash64("licence", "text").alias("form"), "licence", F.explode(terms(F.col("text"))).alias("term"))
     n = forms.count()
     idf = form.groupBy("term").agg(F.log((1.0 + n) / (1.0 + F.count_distinct("form"))).alias("idf0")).select("term", (F.col("idf0") + 1).alias("idf"))
@@ -79,16 +122,22 @@ def notices(files: DataFrame, forms: DataFrame, least: float) -> DataFrame:
     dots = by_form.where("f is not null").groupBy("row", "at", "n_terms", "f.form", "f.licence", "f.form_norm").agg(F.sum(F.col("v") * F.col("f.w")).alias("dot"))
     cosine = dots.join(lengths, ["row", "at"]).select("row", "at", "n_terms", "licence", F.round(F.col("dot") / (F.col("norm") * F.col("form_norm")), 6).alias("cosine"))
     best = cosine.groupBy("row", "at", "n_terms").agg(F.min(F.struct((-F.col("cosine")).alias("minus"), "licence")).alias("b"))
-    return best.select("row", "at", F.col("b.licence").alias("licence"), (-F.col("b.minus")).alias("cosine"), "n_terms").where(F.col("cosine") >= least)
+    explained = best.select("row", "at", F.col("b.licence").alias("licence"), (-F.col("b.minus")).alias("cosine")).where(F.col("cosine") >= least)
+    return explained.join(every.select("row", "at", "from", "to", F.size("terms").alias("n_terms")), ["row", "at"]).drop("at")
 
 
 def scan(files: DataFrame, forms: DataFrame, id_col: str, path_col: str = "path", text_col: str = "text", least: float = 0.6, mostly: float = 0.5) -> DataFrame:
-    """One row for each file: id, path, ``licence`` (null: none found), ``origin`` (header, file or directory), ``cosine``, ``from_directory``, ``n_notices``."""
+    """One row for each file: id, path, ``licence`` (null: none found), ``origin`` (header, file or directory), ``cosine``, ``from_directory``, ``n_notices`` (lines and sentences that a template explains)."""
     folder = shared_folder(files.sparkSession)
     numbered = files.select(F.col(id_col).alias("id"), F.col(path_col).alias("path"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     numbered = numbered.withColumn("row", F.xxhash64("id", "path", "text"))
-    found = stored(notices(numbered.select("row", "text").where("text <> ''"), forms, least).distinct(), folder, "notices")
-    own = found.groupBy("row").agg(F.min(F.struct((-F.col("cosine")).alias("minus"), "licence")).alias("b"), F.count(F.lit(1)).alias("n_notices"), F.sum("n_terms").alias("said"))
+    found = stored(notices(numbered.select("row", "text").where("text <> ''"), forms, least, folder).distinct(), folder, "notices")
+    weak = F.col("licence") == RESERVED
+    best = found.groupBy("row").agg(F.min(F.struct(weak.alias("weak"), (-F.col("cosine")).alias("minus"), "licence")).alias("b"))
+    # each line or sentence counts once, in however many units it stands
+    share = F.col("n_terms") / (F.col("to") - F.col("from") + 1)
+    told = found.select("row", F.explode(F.sequence("from", "to")).alias("at"), share.alias("n")).groupBy("row", "at").agg(F.max("n").alias("n")).groupBy("row").agg(F.count(F.lit(1)).alias("n_notices"), F.sum("n").alias("said"))
+    own = best.join(told, "row")
     held = numbered.select("row", "id", "path", F.size(F.split(F.trim("text"), r"\s+")).alias("n_words")).join(own, "row", "left")
     name = F.element_at(F.split("path", "/"), -1)
     parent = F.when(F.instr("path", "/") > 0, F.regexp_replace("path", "/[^/]*$", "")).otherwise("")
@@ -97,7 +146,7 @@ def scan(files: DataFrame, forms: DataFrame, id_col: str, path_col: str = "path"
         (F.col("b").isNotNull() & (name.rlike(FILE_NAME) | (F.col("said") >= mostly * F.col("n_words")))).alias("speaks"),
     )
     marked = stored(marked, folder, "files")
-    directories = marked.where("speaks and path is not null").groupBy(F.col("parent").alias("directory")).agg(F.min(F.struct((-F.col("own_cosine")).alias("minus"), F.col("own").alias("licence"))).alias("b"))
+    directories = marked.where("speaks and path is not null").groupBy(F.col("parent").alias("directory")).agg(F.min(F.struct((F.col("own") == RESERVED).alias("weak"), (-F.col("own_cosine")).alias("minus"), F.col("own").alias("licence"))).alias("b"))
     directories = _small(stored(directories.select("directory", F.col("b.licence").alias("licence"), (-F.col("b.minus")).alias("cosine")), folder, "directories"))
     pieces = F.split("parent", "/")
     ancestors = F.explode(F.transform(F.sequence(F.lit(0), F.size(pieces)), lambda k: F.when(k == 0, F.lit("")).otherwise(F.array_join(F.slice(pieces, 1, k), "/"))))

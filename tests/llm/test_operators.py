@@ -299,6 +299,30 @@ def test_licenses_and_inheritance(spark):
     assert got == {1: ("MIT", "file", None), 2: ("Apache-2.0", "directory", "a/b"), 3: ("Apache-2.0", "file", None), 4: ("GPL-3.0", "header", None), 5: (None, None, None), 6: (None, None, None), 7: ("MIT", "directory", "a")}
 
 
+FORMS = [
+    ("All rights reserved.", "proprietary"),
+    ("Copyright 2020 Foo, all rights reserved", "proprietary"),
+    ("# SPDX-License-Identifier: MIT", "MIT"),
+    ("SPDX-License-Identifier: Apache-2.0", "Apache-2.0"),
+    ("/* SPDX-License-Identifier: GPL-2.0-only */", "GPL-2.0"),
+    ("SPDX-License-Identifier: (EPL-9.9 OR MPL-2.0)", "MPL-2.0"),
+    ("Copyright (c) 2020 Foo. MIT License", "MIT"),
+    ("Copyright (c) 2020 Foo.\nAll rights reserved.\nLicensed under CC BY 4.0.", "CC-BY-4.0"),
+    ("# This Source Code Form is subject to the terms\n# of the Mozilla Public\n# License, v. 2.0.", "MPL-2.0"),
+    ("This work is licensed under the GNU General Public License, version 3.", "GPL-3.0"),
+    ("Licensed under CC BY-NC 4.0.", "CC-BY-NC-4.0"),
+    ("Released under the MIT License.", "MIT"),
+    ("Licensed under the Apache License, Version 2.0.", "Apache-2.0"),
+    ("The driver has a licence to drive lorries on the road.", None),
+]
+
+
+def test_forms_of_licence_notices(spark):
+    files = [(i, f"{i}/x.py", f"Words before that say nothing.\n\n{text}\n\nWords after it.") for i, (text, _) in enumerate(FORMS)]
+    got = {r.id: r.licence for r in license_scan.scan(spark.createDataFrame(files, "id long, path string, text string"), license_scan.templates(spark), "id").collect()}
+    assert got == {i: licence for i, (_, licence) in enumerate(FORMS)}
+
+
 def labelled(n=400, seed=2):
     r = random.Random(seed)
     plain = ["".join(r.choice(["an", "er", "th", "in", "os"]) for _ in range(r.randint(1, 3))) for _ in range(200)]
