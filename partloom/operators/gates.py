@@ -112,21 +112,30 @@ def component_consensus(members: DataFrame, rankings: DataFrame, component: Sequ
     return out.select(*c, "members", route.alias("route"), F.when(route == "locked", F.col("__lock")).when(route == "majority", F.col("__top")).when(route == "ranking", F.col("__fall")).alias("choice"))
 
 
-def coating_components(parts: DataFrame, keys: Sequence[str], id_col: str, weight: str, max_distance: float, most: int = 2000) -> DataFrame:
+def coating_components(parts: DataFrame, keys: Sequence[str], id_col: str, weight: str, max_distance: float, most: int | None = None) -> DataFrame:
     """Greedy complete-link clusters inside a key: in order of weight, a part joins the first cluster whose members are all within ``max_distance`` in Lab.
 
-    The order matters, so a key is folded as one array. Keys with more than ``most`` parts are not folded: their parts come out with cluster null and a reason.
+    Parts of one colour always share a cluster: the later ones meet the same distances as the first. So just the first part of each colour is folded, as one array
+    for each key because the order matters, and the others follow it by a join. If the caller sets ``most``, parts of keys with more parts come out with cluster null and a reason.
     """
-    sized = parts.select(*keys, F.col(id_col).alias("id"), F.col(weight).alias("w"), "lab").withColumn("__n", F.count(F.lit(1)).over(Window.partitionBy(*keys)))
-    large = sized.where(F.col("__n") > most).select(*keys, "id", F.lit(None).cast("long").alias("cluster"), F.lit("key_too_large").alias("reason"))
-    rows = F.array_sort(F.collect_list(F.struct((-F.col("w")).alias("o"), "id", *[F.col(f"lab.{c}").alias(c) for c in "lab"])))
+    sized = parts.select(*keys, F.col(id_col).alias("id"), F.col(weight).alias("w"), "lab").withColumn("__n", F.lit(0) if most is None else F.count(F.lit(1)).over(Window.partitionBy(*keys)))
+    large = sized.where(F.col("__n") > (most or 0)).select(*keys, "id", F.lit(None).cast("long").alias("cluster"), F.lit("key_too_large").alias("reason"))
+    rows = F.array_sort(F.collect_list(F.struct("first.o", "first.id", *[F.col(f"__{c}").alias(c) for c in "lab"])))
     far = "sqrt(pow(m.l - x.l, 2) + pow(m.a - x.a, 2) + pow(m.b - x.b, 2))"
     fold = f"""aggregate(rows, cast(array() as array<array<struct<o:double,id:bigint,l:double,a:double,b:double>>>), (s, x) ->
         aggregate(array(coalesce(array_position(transform(s, c -> forall(c, m -> {far} <= {max_distance})), true), 0)), s, (t, k) ->
             if(k = 0, array_append(t, array(x)), transform(t, (c, i) -> if(i = k - 1, array_append(c, x), c)))))"""
-    typed = sized.where(F.col("__n") <= most).withColumn("w", F.col("w").cast("double")).withColumn("id", F.col("id").cast("long"))
-    clusters = typed.groupBy(*keys).agg(rows.alias("rows")).select(*keys, F.posexplode(F.expr(fold)).alias("cluster", "members"))
-    return clusters.select(*keys, F.explode("members").alias("m"), F.col("cluster").cast("long").alias("cluster")).select(*keys, F.col("m.id").alias("id"), "cluster", F.lit(None).cast("string").alias("reason")).unionByName(large)
+    typed = sized.where(F.col("__n") <= (most or 0)).select(*keys, F.col("w").cast("double").alias("w"), F.col("id").cast("long").alias("id"), *[F.col(f"lab.{c}").cast("double").alias(f"__{c}") for c in "lab"])
+    # a part without a colour is near to none
+    own = lambda p, i: F.when(F.col(f"{p}l").isNull() | F.col(f"{p}a").isNull() | F.col(f"{p}b").isNull(), F.col(i))
+    colour = [*[f"__{c}" for c in "lab"], "__own"]
+    typed = typed.withColumn("__own", own("__", "id"))
+    firsts = typed.groupBy(*keys, *colour).agg(F.min(F.struct((-F.col("w")).alias("o"), "id")).alias("first"))
+    clusters = firsts.groupBy(*keys).agg(rows.alias("rows")).select(*keys, F.posexplode(F.expr(fold)).alias("cluster", "members"))
+    led = clusters.select(*[F.col(k).alias(f"__k_{k}") for k in keys], F.explode("members").alias("m"), F.col("cluster").cast("long").alias("cluster"))
+    led = led.select(*[f"__k_{k}" for k in keys], *[F.col(f"m.{c}").alias(f"__{c}_") for c in "lab"], own("m.", "m.id").alias("__own_"), "cluster")
+    same = [F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in keys] + [F.col(c).eqNullSafe(F.col(f"{c}_")) for c in colour]
+    return typed.join(led, same).select(*keys, "id", "cluster", F.lit(None).cast("string").alias("reason")).unionByName(large)
 
 
 def next_gain(history: DataFrame, keys: Sequence[str], step: str, gain: str, error: str, match: float = 0.02, damping: float = 0.5, low: float = 0.25, high: float = 4.0) -> DataFrame:

@@ -73,6 +73,21 @@ def test_coating_components_against_a_loop(spark):
     assert {x.reason for x in gates.coating_components(df, ["k"], "id", "w", 20.0, most=10).collect()} == {"key_too_large"}
 
 
+def test_coating_components_of_a_large_key(spark):
+    r = random.Random(6)
+    colours = [tuple(r.uniform(0, 60) for _ in range(3)) for _ in range(25)]
+    rows = [("a", i, r.random(), r.choice(colours)) for i in range(2500)]
+    got = {x.id: x.cluster for x in gates.coating_components(spark.createDataFrame(rows, f"k string, id long, w double, lab {LAB}"), ["k"], "id", "w", 30.0).collect()}
+    clusters, want = [], {}
+    for _, i, _, lab in sorted(rows, key=lambda x: (-x[2], x[1])):
+        n = next((n for n, c in enumerate(clusters) if all(math.dist(lab, m) <= 30 for m in c)), len(clusters))
+        if n == len(clusters):
+            clusters.append(set())
+        clusters[n].add(lab)
+        want[i] = n
+    assert got == want and len(clusters) > 1
+
+
 def test_set_similarity_against_numpy(spark):
     rng = np.random.default_rng(0)
     sets = {n: rng.normal(size=(m, 5)) for n, m in ((1, 3), (2, 4))}
