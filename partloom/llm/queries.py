@@ -13,6 +13,8 @@ from partloom.llm import bpe, decontamination, exact_dedup, html_wrapper, licens
 VOCABULARY = "byte_bpe_50k.json"
 #: Tokens above which a document is over the limit.
 TOKEN_LIMIT = 1024
+#: Words around a window's rarest term that all its terms stand within in a proximity match: ten words and some put between them.
+NEAR = 12
 
 
 def vocabulary_path() -> str:
@@ -95,8 +97,8 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = decontamination.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
-    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+    found = decontamination.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), near=NEAR)
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated", "near_items")
 
 
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

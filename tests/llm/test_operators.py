@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from partloom.llm import bpe, decontamination, exact_dedup, html_wrapper, license_scan, line_dedup, secret_scan, simhash, token_counts, toxicity
+from partloom.llm import bpe, decontamination, exact_dedup, html_wrapper, license_scan, line_dedup, queries, secret_scan, simhash, token_counts, toxicity
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 LONG = "the quick brown fox " * 9000
@@ -299,6 +299,14 @@ def test_licenses_and_inheritance(spark):
     assert got == {1: ("MIT", "file", None), 2: ("Apache-2.0", "directory", "a/b"), 3: ("Apache-2.0", "file", None), 4: ("GPL-3.0", "header", None), 5: (None, None, None), 6: (None, None, None), 7: ("MIT", "directory", "a")}
 
 
+def test_the_decontamination_query_returns_proximity_matches(spark, tmp_path):
+    passage = "alpha beta gamma delta epsilon zeta eta theta iota kappa"
+    spark.createDataFrame([(7, passage)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    table(spark, [passage, passage.replace("zeta", "so zeta"), passage.replace("beta gamma", "gamma beta"), "alpha beta"]).write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries.op9_decontamination(spark, str(tmp_path)).orderBy("doc_id").collect()
+    assert [(x.n_items, x.contaminated, x.near_items) for x in got] == [(1, True, []), (0, False, ["7"]), (0, False, ["7"]), (0, False, [])]
+
+
 FORMS = [
     ("All rights reserved.", "proprietary"),
     ("Copyright 2020 Foo, all rights reserved", "proprietary"),
