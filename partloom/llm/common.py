@@ -6,28 +6,38 @@ import os
 import tempfile
 import uuid
 from collections.abc import Iterator, Sequence
+from itertools import pairwise
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Rows that a Python task turns into lists at one time, whatever Arrow's batch size is.
-SLICE_ROWS = 256
+#: Rows, and bytes of text where a task asks for it, that a Python task turns into lists at one time, whatever Arrow's batch size is.
+SLICE_ROWS, SLICE_BYTES = 256, 1_500_000
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder below ``spark.checkpoint.dir``, the one that all executors see.
+    """A new folder below ``spark.checkpoint.dir``, or else the context's checkpoint directory: one that all executors see.
 
-    Where the setting is missing (a local session, as in the tests) a temporary
-    folder of this machine becomes the checkpoint folder of the session.
+    Where neither is set, a local session (as in the tests) gets a temporary folder of this machine; on a
+    cluster that is an error. Results are read from the folder when they are used, so it is deleted when the application ends.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if not root:
+        if not context.master.startswith("local[") and context.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = os.path.join(tempfile.gettempdir(), "partloom-checkpoints")
-        if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-            spark.sparkContext.setCheckpointDir(root)
-    return f"{root.rstrip('/')}/partloom-{uuid.uuid4().hex}"
+        context.setCheckpointDir(root)
+    folder = f"{root.rstrip('/')}/partloom-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(context._jsc.hadoopConfiguration())
+    files.mkdirs(path)
+    files.deleteOnExit(path)
+    return folder
 
 
 def stored(df: DataFrame, folder: str, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
@@ -54,10 +64,18 @@ def texts(df: DataFrame, id_col: str, text_col: str, carry: Sequence[str] = ())
     return df.select(F.col(f"`{id_col}`").alias(id_col), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("__text"), *[F.col(f"`{c}`") for c in keep])
 
 
-def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS, by: str = "", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Smaller batches, of at most ``rows`` rows; with the name of a text column, of some ``most`` bytes of it or of one longer text."""
     for batch in batches:
-        for at in range(0, batch.num_rows, rows):
-            yield batch.slice(at, rows)
+        if not batch.num_rows:
+            continue
+        group = np.arange(batch.num_rows) // rows
+        if by:
+            size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(by)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+            group = group * (size[-1] // most + 1) + size // most
+        cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), batch.num_rows]
+        for a, b in pairwise(cuts):
+            yield batch.slice(a, b - a)
 
 
 def with_fields(df: DataFrame, dropping: Sequence[str], fields: Sequence[tuple[str, T.DataType]]) -> T.StructType:
