@@ -17,134 +17,158 @@ from __future__ import annotations
 
 import functools
 import re
-from array import array
 from collections.abc import Iterator, Sequence
-from itertools import accumulate, pairwise
+from itertools import accumulate
+from operator import sub
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from partloom.llm.common import replaced, slices, texts, with_fields
+from partloom.llm.spelling import LONG, Endings, Table, prefixes, ragged
 from partloom.llm.vocabulary import vocabulary
 
-#: Words kept with their counts in a running task; then the store starts anew.
-CACHED_WORDS = 300_000
-#: Words of more bytes share nothing and are not kept.
-LONG = 64
 #: White space of which the split depends on what follows.
 PAIR = re.compile(r"\s\s")
 
 
+#: A rank after all merges.
+NEVER = 1 << 60
+
+
+def special_unit(unit: str) -> bool:
+    """Whether prefixes of the unit are split otherwise than the unit: white space with what follows it, contractions."""
+    return (unit[:2].isspace() and len(unit) > 1) or (unit[0] == "'" and unit[1:].isalpha())
+
+
 class PrefixCounts:
     """Counts for each prefix of a word or a text, in code points."""
 
     def __init__(self, path: str):
         self.vocab = vocabulary(path)
-        self.ids = self.vocab.bytes_to_id
-        self.ranks = {(a, b): (k, c) for k, (a, b, c) in enumerate(self.vocab.merges)}
-        self.ends = {t[i:] for t in self.ids for i in range(len(t))}
-        self.fit: dict[tuple[int, int], bool] = {}
-        self.known: dict = {}  # prefix of a word: its last token, its count
-        self.steps: dict[str, bytes] = {}
-
-    def merged(self, data: bytes) -> list[int]:
-        """The tokens of a few bytes, by applying merges in order of rank."""
-        ids = [self.ids[data[i : i + 1]] for i in range(len(data))]
-        while len(ids) > 1:
-            found = [(self.ranks[p][0], i) for i, p in enumerate(zip(ids, ids[1:], strict=False)) if p in self.ranks]
-            if not found:
-                break
-            at = min(found)[1]
-            ids[at : at + 2] = [self.ranks[ids[at], ids[at + 1]][1]]
-        return ids
+        self.ids = ids = self.vocab.bytes_to_id
+        n = max(ids.values()) + 1
+        self.ranks = {a * n + b: k for k, (a, b, _) in enumerate(self.vocab.merges)}
+        self.n, self.born, self.left, self.right = n, [-1] * n, [0] * n, [0] * n
+        for k, (a, b, c) in enumerate(self.vocab.merges):
+            self.born[c], self.left[c], self.right[c] = k, a, b
+        self.size, self.shorter, self.reach = self.vocab.endings()
+        self.endings = Endings(self.vocab)
+        self.table = Table(list(self.ranks), list(self.ranks.values()))
+        self.arrays = tuple(np.array(x, np.int64) for x in (self.born, self.left, self.right))
 
     def fits(self, last: int, token: int) -> bool:
-        """Whether ``token`` may follow ``last`` (-1: the start)."""
-        key = (last, token)
-        if (known := self.fit.get(key)) is None:
-            before = [] if last < 0 else [last]
-            data = b"".join(self.vocab.labels[i] for i in [*before, token])
-            known = self.fit[key] = self.merged(data) == [*before, token]
-        return known
+        """Whether no merge crosses from ``last`` into ``token``. Merges are undone from the latest on; what then meets at the border must not have a merge of an earlier rank."""
+        ranks, born, n = self.ranks, self.born, self.n
+        a, b, before = last, token, NEVER
+        while True:
+            if ranks.get(a * n + b, NEVER) < before:
+                return False
+            if born[a] > born[b]:
+                before, a = born[a], self.right[a]
+            elif born[b] >= 0:
+                before, b = born[b] + 1, self.left[b]  # of equal merges, the one at the border comes first
+            else:
+                return True
+
+    def all_fit(self, last: np.ndarray, token: np.ndarray) -> np.ndarray:
+        """:meth:`fits` for arrays."""
+        born, left, right = self.arrays
+        pairs, where = np.unique(last * self.n + token, return_inverse=True)
+        a, b = pairs // self.n, pairs % self.n
+        before, ok, todo = np.full(len(pairs), NEVER), np.ones(len(pairs), bool), np.arange(len(pairs))
+        while len(todo):
+            crossed = self.table.get(a * self.n + b, NEVER) < before
+            ok[todo[crossed]] = False
+            stay = ~crossed & ((born[a] >= 0) | (born[b] >= 0))
+            todo, a, b = todo[stay], a[stay], b[stay]
+            first = born[a] > born[b]
+            before = np.where(first, born[a], born[b] + 1)
+            a, b = np.where(first, right[a], a), np.where(first, b, left[b])
+        return ok[where]
 
     def by_byte(self, word: bytes) -> list[int]:
-        """Tokens in each prefix of one word, for 0 bytes and up. Words share the entries of the prefixes they share."""
-        long = len(word) > LONG
-        if long:  # by length, and for this word alone
-            known, key = {0: (-1, 0)}, lambda i: i
-        else:
-            known, key = self.known, lambda i: word[:i]
-            if not known or len(known) >= CACHED_WORDS:
-                known.clear()
-                known[b""] = -1, 0
-        get, ends, fit, n = self.ids.get, self.ends, self.fit, len(word)
-        done = 0 if long else n
-        while done and word[:done] not in known:
-            done -= 1
-        for end in range(done + 1, n + 1):
-            found = []
-            for start in range(end - 1, -1, -1):
-                if (piece := word[start:end]) not in ends:
-                    break
-                if (token := get(piece)) is not None:
-                    found.append((token, start))
-            while found:  # just one fits, mostly the longest
-                token, start = found.pop()
-                last, count = known[key(start)]
-                if (ok := fit.get((last, token))) is None:
-                    ok = self.fits(last, token)
-                if ok:
-                    known[key(end)] = token, count + 1
-                    break
-        return [known[key(i)][1] for i in range(n + 1)]
+        """Tokens in each prefix of one word, for 0 bytes and up."""
+        last, count = [-1], [0]
+        for end in range(1, len(word) + 1):
+            start = max(0, end - self.reach.get(word[end - 3 : end], 2)) if end > 2 else 0
+            while (token := self.ids.get(word[start:end])) is None:
+                start += 1
+            while start and not self.fits(last[start], token):  # just one fits, mostly the longest; any may follow the start
+                token = self.shorter[token]
+                start = end - self.size[token]
+            last.append(token)
+            count.append(count[start] + 1)
+        return count
 
     def total(self, text: str) -> int:
         return sum(self.by_byte(w.encode())[-1] for w in self.vocab.words(text))
 
-    def step(self, unit: str) -> bytes:
-        """How the count changes with each code point of ``unit`` (32-bit numbers). A unit is one word, or white space of two characters or more and the word after it."""
-        if (known := self.steps.get(unit)) is not None:
-            return known
-        if (len(unit) < 2 or not unit[:2].isspace()) and not (unit[0] == "'" and unit[1:].isalpha()):
-            at = self.by_byte(unit.encode())
-            if not unit.isascii():
-                at = [at[e] for e in accumulate((len(c.encode()) for c in unit), initial=0)]
-        else:
+    def steps(self, unit: str) -> list[int]:
+        """How the count changes with each code point of a unit: one word, or white space of two characters or more and the word after it."""
+        if special_unit(unit):
             at = [self.total(unit[:i]) for i in range(len(unit) + 1)]
-        out = array("i", [b - a for a, b in pairwise(at)]).tobytes()
-        if len(unit) <= LONG:
-            if len(self.steps) >= CACHED_WORDS:
-                self.steps.clear()
-            self.steps[unit] = out
-        return out
-
-    def forget(self) -> None:
-        """Drops the words of a task: a Python worker lives on after it, and serves other operators."""
-        self.steps.clear()
-        self.known.clear()
-
-    def _plain(self, text: str) -> bytes:
+        else:
+            at = self.by_byte(unit.encode())
+            at = [at[e] for e in accumulate((len(c.encode()) for c in unit), initial=0)]
+        return list(map(sub, at[1:], at))
+
+    def units(self, text: str) -> list[str]:
         words = self.vocab.words(text)
-        get, step = self.steps.get, self.step
-        if PAIR.search(text):
-            units: list[str] = []
-            for w in words:
-                if units and units[-1].isspace() and (w[0].isspace() or len(units[-1]) > 1):
-                    units[-1] += w
-                else:
-                    units.append(w)
-            words = units
-        return b"".join([s if (s := get(w)) is not None else step(w) for w in words])
+        if not PAIR.search(text):
+            return words
+        units: list[str] = []
+        for w in words:
+            if units and units[-1].isspace() and (w[0].isspace() or len(units[-1]) > 1):
+                units[-1] += w
+            else:
+                units.append(w)
+        return units
+
+    def plain(self, texts: Sequence[str]) -> list[np.ndarray]:
+        """The count's changes along each of some texts without special tokens."""
+        each = [self.units(t) for t in texts]
+        met = pa.array([u for units in each for u in units], pa.string()).dictionary_encode()
+        words, at = met.dictionary, met.indices.to_numpy()
+        alone = {k: self.steps(u) for k, u in enumerate(words.to_pylist()) if special_unit(u) or len(u) * 4 > LONG and len(u.encode()) > LONG}
+        plain = pc.if_else(np.isin(np.arange(len(words)), list(alone)), pa.scalar("", pa.string()), words)
+        size, start, parts, n = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64), [], 0
+        for p in prefixes(plain, self.endings, self.all_fit):
+            width = p.letters.shape[1]
+            counts = p.count[p.cell[:, 1:]]
+            after = np.concatenate([p.letters[:, 1:], np.zeros((len(p.rows), 1), np.int64)], 1)
+            ends = (np.arange(1, width + 1) <= p.length[:, None]) & ((after & 0xC0 != 0x80) | (np.arange(1, width + 1) == p.length[:, None]))
+            own = ends.sum(1)
+            flat = np.diff(counts[ends], prepend=0)
+            first = np.cumsum(own) - own
+            flat[first] = counts[ends][first]
+            size[p.rows], start[p.rows] = own, n + first
+            parts.append(flat)
+            n += len(flat)
+        for k, steps in alone.items():
+            size[k], start[k] = len(steps), n
+            parts.append(np.array(steps, np.int64))
+            n += len(steps)
+        changes = np.concatenate(parts) if parts else np.zeros(0, np.int64)
+        flat = changes[ragged(start[at], size[at])].astype(np.int32)
+        return np.split(flat, np.cumsum([len(t) for t in texts])[:-1])
+
+    def many(self, texts: Sequence[str]) -> list[np.ndarray]:
+        """:meth:`counts` of some texts, the words of all of them together."""
+        special = [self.vocab.has_special(t) for t in texts]
+        plain = iter(self.plain([t for t, s in zip(texts, special, strict=True) if not s]))
+        return [self.counts(t) if s else np.cumsum(next(plain), dtype=np.int32) for t, s in zip(texts, special, strict=True)]
 
     def counts(self, text: str) -> np.ndarray:
         """Tokens in text[:1], text[:2] and so on to the whole text."""
         parts, before = [], ""
         for piece, special in self.vocab.segments(text):
             if not special:
-                parts.append(np.frombuffer(self._plain(piece), np.int32))
+                parts.append(np.array([d for u in self.units(piece) for d in self.steps(u)], np.int32))
                 before = piece
                 continue
             # A prefix that ends inside a special token is ordinary text, joined to the word before it.
@@ -172,13 +196,10 @@ def prefix_table(df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = prefix_counts(tokenizer)
-        try:
-            for batch in slices(batches):
-                each = [counter.counts(t) for t in batch.column("__text").to_pylist()]
-                offsets = np.concatenate([[0], np.cumsum([len(x) for x in each])]).astype(np.int32)
-                yield replaced(batch, schema, {"prefix_counts": pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(each)))})
-        finally:
-            counter.forget()
+        for batch in slices(batches, 1024, "__text"):
+            each = counter.many(batch.column("__text").to_pylist())
+            offsets = np.concatenate([[0], np.cumsum([len(x) for x in each])]).astype(np.int32)
+            yield replaced(batch, schema, {"prefix_counts": pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(each)))})
 
     return rows.mapInArrow(run, schema).withColumn("n_tokens", F.coalesce(F.try_element_at("prefix_counts", F.lit(-1)), F.lit(0)).cast("long"))
 

@@ -44,9 +44,23 @@ class Vocabulary:
         self._special = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) or r"(?!)")
         self._path, self._library = path, None
 
+    def endings(self) -> tuple[list[int], list[int], dict[bytes, int]]:
+        """Of each token: its bytes, and the longest token that is a proper end of it (-1: none). Of three bytes: the longest token that ends with them."""
+        ids = self.bytes_to_id
+        n = max(ids.values()) + 1
+        size, shorter, reach = [1] * n, [-1] * n, {}
+        for t, i in ids.items():
+            size[i] = len(t)
+            reach[t[-3:]] = max(len(t), reach.get(t[-3:], 0))
+            shorter[i] = next((ids[t[k:]] for k in range(1, len(t)) if t[k:] in ids), -1)
+        return size, shorter, reach
+
+    def has_special(self, text: str) -> bool:
+        return any(s in text for s in self.special)
+
     def segments(self, text: str) -> list[tuple[str, bool]]:
         """The text cut at special tokens: (piece, whether it is one)."""
-        if not any(s in text for s in self.special):
+        if not self.has_special(text):
             return [(text, False)]
         out, at = [], 0
         for m in self._special.finditer(text):
