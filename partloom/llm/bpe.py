@@ -24,22 +24,21 @@ ids that are not in the vocabulary decode to nothing; an empty table gives an em
 from __future__ import annotations
 
 import functools
-from array import array
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from partloom.llm.common import replaced, slices, texts, with_fields
+from partloom.llm.spelling import LONG, Endings, Table, prefixes, ragged
 from partloom.llm.vocabulary import vocabulary
 
-#: Words kept with their ids in a running task; then the store starts anew.
-CACHED_WORDS = 150_000
-#: Words of more bytes share nothing and are not kept.
-LONG = 64
+#: Arcs kept in the transition table once looked up.
+ARCS = 250_000
 
 
 class Automaton:
@@ -47,15 +46,11 @@ class Automaton:
 
     def __init__(self, path: str):
         vocab = self.vocab = vocabulary(path)
-        self.target: dict[int, int] = {}
-        self.pair: dict[int, tuple[int, int]] = {}
-        self.born: dict[int, int] = {}  # the rule that made a token
-        self.origin, self.split, labels = [0], [-2], [256]  # of each state; labels: so many lead there
-        self.lost: dict[tuple[int, int], int] = {}
-        self.doubled: set[tuple[int, int]] = set()
-        single = [vocab.bytes_to_id[bytes([b])] for b in range(256)]
-        for t in single:
-            self.target[t], self.born[t] = 0, -1
+        n = max(vocab.bytes_to_id.values()) + 1
+        self.target, self.born, self.left = [0] * n, [-1] * n, [0] * n  # of each token: where its arcs lead, the rule that made it, its left part
+        self.origin, self.split, labels = [0], [-2], [257]  # of each state; labels: so many lead there, the start included
+        self.lost: dict[int, int] = {}
+        self.doubled: set[int] = set()
 
         def copy(state: int, rule: int) -> int:
             self.origin.append(state)
@@ -68,97 +63,131 @@ class Automaton:
             if labels[behind] > 1:
                 labels[behind] -= 1
                 behind = self.target[u] = copy(behind, rule)
-            self.born[w], self.pair[w] = rule, (u, v)
+            self.born[w], self.left[w] = rule, u
             if u == v:
                 self.target[w] = copy(behind, rule)
-                self.doubled.add((behind, w))
+                self.doubled.add(behind << 20 | w)
             else:
                 self.target[w] = self.target[v]
                 labels[self.target[v]] += 1
-            self.lost[behind, v] = rule
-        self.arcs: dict[int, bool] = {}
-        self.ends = {t[i:] for t in vocab.bytes_to_id for i in range(len(t))}
-        self.known: dict = {}
-        self.packed: dict[str, bytes] = {}
-
-    def has(self, state: int, token: int, rule: int) -> bool:
-        """Whether the arc stood before gadget number ``rule`` was added."""
+            self.lost[behind << 20 | v] = rule
+        self.size, self.shorter, self.reach = vocab.endings()
+        self.endings = Endings(vocab)
+        self.tables = Table(list(self.lost), list(self.lost.values())), Table(list(self.doubled), [1] * len(self.doubled))
+        self.known, self.fresh = Table([], []), []
+        self.arrays = tuple(np.array(x, np.int64) for x in (self.target, self.born, self.left, self.origin, self.split))
+
+    def has(self, state: int, token: int) -> bool:
+        """Whether the arc is there: gadgets are undone from the last one on, until the arc is one that stood at the start or was lost."""
+        born, lost, split, left = self.born, self.lost, self.split, self.left
+        rule = 1 << 60
         while True:
-            born = self.born[token]
-            if born >= rule or self.lost.get((state, token), rule) < rule:
+            made, key = born[token], state << 20 | token
+            if made >= rule or lost.get(key, rule) < rule:
                 return False
-            if born < self.split[state]:
-                state, rule = self.origin[state], self.split[state]
-            elif born < 0:
+            if made < split[state]:
+                rule, state = split[state], self.origin[state]
+            elif made < 0:
                 return True
-            elif (state, token) in self.doubled:
+            elif key in self.doubled:
                 return False
             else:
-                token, rule = self.pair[token][0], born
-
-    def arc(self, state: int, token: int) -> bool:
-        key = state << 20 | token
-        if (known := self.arcs.get(key)) is None:
-            known = self.arcs[key] = self.has(state, token, 1 << 60)
-        return known
+                token, rule = left[token], made
+
+    def all_have(self, last: np.ndarray, token: np.ndarray) -> np.ndarray:
+        """:meth:`has` for arrays, of the states behind ``last``, through the transition table."""
+        keys = self.arrays[0][last] << 20 | token
+        ok = self.known.get(keys, -1)
+        new = np.flatnonzero(ok < 0)
+        if len(new):
+            arcs, where = np.unique(keys[new], return_inverse=True)
+            found = self.look_up(arcs >> 20, arcs & 0xFFFFF)
+            ok[new] = found[where]
+            self.fresh.append((arcs, found))
+        return ok.astype(bool)
+
+    def keep(self) -> None:
+        """Adds the arcs looked up since to the transition table; a full one starts anew."""
+        if self.fresh:
+            arcs, first = np.unique(np.concatenate([a for a, _ in self.fresh]), return_index=True)
+            found = np.concatenate([f for _, f in self.fresh])[first]
+            self.fresh.clear()
+            self.known = self.known.with_more(arcs, found) if len(self.known) + len(arcs) <= ARCS else Table(arcs, found)
+
+    def look_up(self, state: np.ndarray, token: np.ndarray) -> np.ndarray:
+        _, born, left, origin, split = self.arrays
+        lost, doubled = self.tables
+        ok, rule, todo = np.zeros(len(state), np.int64), np.full(len(state), 1 << 60), np.arange(len(state))
+        while len(todo):
+            made, key = born[token], state << 20 | token
+            gone = (made >= rule) | (lost.get(key, 1 << 60) < rule)
+            copied = ~gone & (made < split[state])
+            ok[todo[~gone & ~copied & (made < 0)]] = 1
+            stay = copied | ~gone & (made >= 0) & (doubled.get(key, 0) == 0)
+            todo, state, token, made, copied = todo[stay], state[stay], token[stay], made[stay], copied[stay]
+            rule = np.where(copied, split[state], made)
+            state, token = np.where(copied, origin[state], state), np.where(copied, token, left[token])
+        return ok
 
     def encode_word(self, word: bytes) -> list[int]:
-        """The path that spells the word. Of each prefix: the state it ends in, its last arc, where that arc began. Words share the prefixes they share."""
-        long = len(word) > LONG
-        if long:  # by length, and for this word alone
-            known, key = {0: (0, 0, 0)}, lambda i: i
-        else:
-            known, key = self.known, lambda i: word[:i]
-            if not known or len(known) >= CACHED_WORDS:
-                known.clear()
-                known[b""] = 0, 0, 0
-        get, ends, arcs, target, n = self.vocab.bytes_to_id.get, self.ends, self.arcs, self.target, len(word)
-        done = 0 if long else n
-        while done and word[:done] not in known:
-            done -= 1
-        for end in range(done + 1, n + 1):
-            found = []
-            for start in range(end - 1, -1, -1):
-                if (piece := word[start:end]) not in ends:
-                    break
-                if (token := get(piece)) is not None:
-                    found.append((token, start))
-            while found:  # just one fits, mostly the longest
-                token, start = found.pop()
-                state = known[key(start)][0]
-                if (ok := arcs.get(state << 20 | token)) is None:
-                    ok = self.arc(state, token)
-                if ok:
-                    known[key(end)] = target[token], token, start
-                    break
-        out = []
-        while n:
-            _, token, n = known[key(n)]
-            out.append(token)
-        return out[::-1]
-
-    def word(self, word: str) -> bytes:
-        if (known := self.packed.get(word)) is None:
-            known = array("I", self.encode_word(word.encode())).tobytes()
-            if len(word) <= LONG:
-                if len(self.packed) >= CACHED_WORDS:
-                    self.packed.clear()
-                self.packed[word] = known
-        return known
-
-    def forget(self) -> None:
-        """Drops the words of a task: a Python worker lives on after it, and serves other operators."""
-        self.packed.clear()
-        self.known.clear()
+        """The path that spells one word. Of each prefix: its last arc."""
+        last = [-1]
+        for end in range(1, len(word) + 1):
+            start = max(0, end - self.reach.get(word[end - 3 : end], 2)) if end > 2 else 0
+            while (token := self.vocab.bytes_to_id.get(word[start:end])) is None:
+                start += 1
+            while start and not self.has(self.target[last[start]], token):  # just one arc is there, mostly the longest; all are at the start
+                token = self.shorter[token]
+                start = end - self.size[token]
+            last.append(token)
+        path, end = [], len(word)
+        while end:
+            path.append(last[end])
+            end -= self.size[path[-1]]
+        return path[::-1]
+
+    def plain(self, texts: Sequence[str]) -> list[np.ndarray]:
+        """The ids of each of some texts without special tokens."""
+        each = [self.vocab.words(t) for t in texts]
+        met = pa.array([w for words in each for w in words], pa.string()).dictionary_encode()
+        words, at = met.dictionary, met.indices.to_numpy()
+        size, start, parts, n = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64), [], 0
+        for p in prefixes(words, self.endings, self.all_have):
+            own = p.count[p.cell[np.arange(len(p.rows)), p.length]]
+            first = np.cumsum(own) - own
+            flat, left, end, to = np.zeros(int(own.sum()), np.uint32), np.arange(len(own)), p.length.copy(), first + own - 1
+            while len(left):
+                token = p.token[p.cell[left, end[left]]]
+                flat[to[left]] = token
+                end[left] -= self.endings.size[token]
+                to[left] -= 1
+                left = left[end[left] > 0]
+            size[p.rows], start[p.rows] = own, n + first
+            parts.append(flat)
+            n += len(flat)
+        self.keep()
+        for k in np.flatnonzero(pc.binary_length(words).to_numpy() > LONG):
+            path = self.encode_word(words[int(k)].as_py().encode())
+            size[k], start[k] = len(path), n
+            parts.append(np.array(path, np.uint32))
+            n += len(path)
+        ids = np.concatenate(parts) if parts else np.zeros(0, np.uint32)
+        flat = ids[ragged(start[at], size[at])]
+        ends = np.concatenate([[0], np.cumsum(size[at])])[np.cumsum([len(w) for w in each])]
+        return np.split(flat, ends[:-1])
+
+    def many(self, texts: Sequence[str]) -> list[bytes]:
+        """:meth:`encode` of some texts, the words of all of them together."""
+        special = [self.vocab.has_special(t) for t in texts]
+        plain = iter(self.plain([t for t, s in zip(texts, special, strict=True) if not s]))
+        return [self.encode(t) if s else next(plain).astype("<u4").tobytes() for t, s in zip(texts, special, strict=True)]
 
     def encode(self, text: str) -> bytes:
         """The ids of a whole text, packed as little-endian unsigned 32-bit numbers."""
-        parts, get, make = [], self.packed.get, self.word
+        parts = []
         for piece, special in self.vocab.segments(text):
-            if special:
-                parts.append(np.array([self.vocab.special[piece]], "<u4").tobytes())
-            else:
-                parts += [s if (s := get(w)) is not None else make(w) for w in self.vocab.words(piece)]
+            ids = [self.vocab.special[piece]] if special else [i for w in self.vocab.words(piece) for i in self.encode_word(w.encode())]
+            parts.append(np.array(ids, "<u4").tobytes())
         return b"".join(parts)
 
 
@@ -174,11 +203,8 @@ def encode(df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = automaton(tokenizer)
-        try:
-            for batch in slices(batches):
-                yield replaced(batch, schema, {"ids": pa.array([machine.encode(t) for t in batch.column("__text").to_pylist()], pa.binary())})
-        finally:
-            machine.forget()
+        for batch in slices(batches, 1024, "__text"):
+            yield replaced(batch, schema, {"ids": pa.array(machine.many(batch.column("__text").to_pylist()), pa.binary())})
 
     return rows.mapInArrow(run, schema).withColumn("n_tokens", (F.octet_length("ids") / 4).cast("long"))
 
@@ -190,12 +216,14 @@ def decode(df: DataFrame, tokenizer: str, ids_col: str = "ids", out_col: str = "
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         labels = vocabulary(tokenizer).labels
         table = [labels.get(i, b"") for i in range(max(labels) + 1)]
-        for batch in slices(batches):
+        size = np.array([len(x) for x in table], np.int64)
+        start, letters = np.cumsum(size) - size, np.frombuffer(b"".join(table), np.uint8)
+        for batch in slices(batches, 1024, ids_col):
             out = []
             for ids in batch.column(ids_col).to_pylist():
                 numbers = np.frombuffer(ids or b"", "<u4")
-                numbers = numbers[numbers < len(table)].tolist()
-                out.append(b"".join([table[i] for i in numbers]).decode("utf-8", "replace"))
+                numbers = numbers[numbers < len(table)]
+                out.append(letters[ragged(start[numbers], size[numbers])].tobytes().decode("utf-8", "replace"))
             yield replaced(batch, schema, {out_col: pa.array(out, pa.string())})
 
     return df.mapInArrow(run, schema)
