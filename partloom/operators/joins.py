@@ -7,19 +7,37 @@ Sides are broadcast only behind a count (:func:`small`).
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import combinations, pairwise
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from partloom.functions.color import delta_e2000
+from partloom.operators.graph import scratch
 
-#: Rows of a side that is broadcast at most.
-BROADCAST_ROWS = 100_000
+#: Rows, and bytes as they are measured on the rows, of a side that is broadcast at most.
+BROADCAST_ROWS, BROADCAST_BYTES = 100_000, 32_000_000
 
 
-def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """The table with a broadcast hint if a count shows that it is small; else unchanged, for a shuffle join."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+def small(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> DataFrame:
+    """The table with a broadcast hint if its rows and their bytes (as text) show that it is small; else unchanged, for a shuffle join."""
+    found = df.limit(rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))).alias("b")).first()
+    return F.broadcast(df) if found["n"] <= rows and (found["b"] or 0) <= size else df
+
+
+def against(queries: DataFrame, bank: DataFrame, key: str) -> DataFrame:
+    """Every query with every row of a bank (a library), joined by ``block``: a small bank is one block that is broadcast, a larger one is dealt into blocks by a hash of its key."""
+    n = bank.count()
+    blocks = max(1, -(-n // BROADCAST_ROWS))
+    dealt = bank.withColumn("block", F.pmod(F.xxhash64(key), F.lit(blocks)))
+    return queries.withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint")))).join(small(dealt) if blocks == 1 else dealt, "block")
+
+
+def top_rows(scored: DataFrame, keys: Sequence[str], order: Sequence, k: int) -> DataFrame:
+    """The first ``k`` rows of each key with their rank: first in each ``block``, then of what the blocks have left."""
+    place = lambda *by: F.row_number().over(Window.partitionBy(*by).orderBy(*order))
+    best = scored.withColumn("rank", place(*keys, "block")).where(F.col("rank") <= k)
+    return best.withColumn("rank", place(*keys)).where(F.col("rank") <= k).drop("block")
 
 
 def reconcile(registry: DataFrame, plan: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -44,22 +62,31 @@ def exclude_members(df: DataFrame, barred: DataFrame, on: Sequence[str]) -> Data
     return df.join(barred, list(on), "left_anti")
 
 
-def appearance_links(obs: DataFrame, keys: Sequence[str], part: str, view: str, family: str, weight: str, radius: float = 32, conflict: float = 48, support: float = 0.60, veto: float = 0.80) -> DataFrame:
-    """Part pairs that look alike: in one view, of one family, within ``radius`` of each other in Lab.
+def appearance_links(obs: DataFrame, keys: Sequence[str], part: str, view: str, family: str, weight: str, radius: float = 32, conflict: float = 48, support: float = 0.60, veto: float = 0.80, box: str = "", gap: float = 0.0) -> DataFrame:
+    """Part pairs that look alike: in one view, of one family, within ``radius`` of each other in Lab, and, if ``box`` names a struct (x0, y0, x1, y1), with at most ``gap`` between their boxes.
 
     A pair's support is the sum over views of the smaller weight. One view with enough weight that shows the pair far apart or of
     different families vetoes it. Pairs are made inside one view of one asset only; ``obs`` has a struct ``lab``.
     """
-    side = lambda n: obs.select(*keys, view, F.col(part).alias(f"part_{n}"), F.col(family).alias(f"__f{n}"), F.col(weight).alias(f"__w{n}"), F.col("lab").alias(f"__l{n}"))
+    more = lambda n: [F.col(box).alias(f"__b{n}")] if box else []
+    side = lambda n: obs.select(*keys, view, F.col(part).alias(f"part_{n}"), F.col(family).alias(f"__f{n}"), F.col(weight).alias(f"__w{n}"), F.col("lab").alias(f"__l{n}"), *more(n))
     pairs = side("a").join(side("b"), [*keys, view]).where("part_a < part_b")
     d = F.sqrt(sum((F.pow(F.col(f"__la.{c}") - F.col(f"__lb.{c}"), F.lit(2)) for c in "ab"), F.pow(F.col("__la.l") - F.col("__lb.l"), F.lit(2))))
     w = F.least("__wa", "__wb")
     like = (F.col("__fa") == F.col("__fb")) & (d <= radius)
+    if box:
+        like = like & (box_gap("__ba", "__bb") <= gap)
     unlike = ((F.col("__fa") != F.col("__fb")) | (d > conflict)) & (w >= veto)
     out = pairs.groupBy(*keys, "part_a", "part_b").agg(F.sum(F.when(like, w).otherwise(0.0)).alias("support"), F.max(unlike.cast("int")).alias("__v"))
     return out.where((F.col("__v") == 0) & (F.round("support", 8) >= support)).drop("__v")
 
 
+def box_gap(a: str, b: str) -> Column:
+    """The distance between two boxes (structs x0, y0, x1, y1); 0 if they touch or overlap."""
+    apart = lambda lo, hi: F.greatest(F.lit(0.0), F.col(f"{a}.{lo}") - F.col(f"{b}.{hi}"), F.col(f"{b}.{lo}") - F.col(f"{a}.{hi}"))
+    return F.hypot(apart("x0", "x1"), apart("y0", "y1"))
+
+
 def box_overlap(left: DataFrame, right: DataFrame, keys: Sequence[str], cell: float, min_share: float = 0.0) -> DataFrame:
     """Pairs of boxes (x0, y0, x1, y1) of one key with their intersection over the smaller area.
 
@@ -81,15 +108,28 @@ def sign_bits(vector: str, size: int = 64) -> Column:
     return F.expr(f"aggregate(sequence(0, {size - 1}), 0L, (s, i) -> s | if({vector}[i] > 0, shiftleft(1L, i), 0L))")
 
 
-def hamming_pairs(df: DataFrame, id_col: str, bits: str, max_distance: int, bands: int | None = None, size: int = 64) -> DataFrame:
-    """Pairs of ids within ``max_distance`` of ``size`` bits: rows meet where one of ``max_distance + 1`` bands is equal, then the distance is verified."""
-    n = bands or max_distance + 1
-    cuts = [round(size * i / n) for i in range(n + 1)]
-    masks = [((1 << b) - 1) ^ ((1 << a) - 1) for a, b in zip(cuts, cuts[1:], strict=False)]
-    keys = F.array(*[F.struct(F.lit(i).alias("band"), F.col(bits).bitwiseAND(F.lit(m - (1 << 64) if m >> 63 else m)).alias("part")) for i, m in enumerate(masks)])
-    side = lambda x: df.select(F.col(id_col).alias(f"id_{x}"), F.col(bits).alias(f"__{x}"), F.explode(keys).alias("k")).select("*", "k.*").drop("k")
-    pairs = side("a").join(side("b"), ["band", "part"]).where("id_a < id_b").withColumn("distance", F.bit_count(F.col("__a").bitwiseXOR(F.col("__b"))).cast("long"))
-    return pairs.where(F.col("distance") <= max_distance).select("id_a", "id_b", "distance").distinct()
+def hamming_pairs(df: DataFrame, id_col: str, bits: str, max_distance: int, bands: int = 4, size: int = 64) -> DataFrame:
+    """Pairs of ids within ``max_distance`` of ``size`` bits.
+
+    Two codes that differ in so few bits differ in at most ``max_distance // bands`` of one of the bands. So each code meets, band by band, the
+    codes of which the band is near its own: the near values of one side are written out, the other side has its own value alone. Equal codes are
+    one node; the distance is verified. Few bits for a distance make bands that many codes share: of 64 bits at distance 14, near bands hold some 4 % of all codes.
+    """
+    cuts = [round(size * i / bands) for i in range(bands + 1)]
+    radius = max_distance // bands
+    signed = lambda m: m - (1 << 64) if m >> 63 else m
+    masks = [signed(((1 << b) - 1) ^ ((1 << a) - 1)) for a, b in pairwise(cuts)]
+    flips = [[signed(sum(1 << i for i in c)) for k in range(radius + 1) for c in combinations(range(a, b), k)] for a, b in pairwise(cuts)]
+    codes = df.groupBy(F.col(bits).alias("code")).agg(F.count(F.lit(1)).alias("__n")).select("code")
+    own = F.array(*[F.struct(F.lit(i).alias("band"), F.col("code").bitwiseAND(F.lit(m)).alias("part")) for i, m in enumerate(masks)])
+    near = F.concat(*[F.expr(f"transform(array({', '.join(f'{x}L' if x > -(1 << 63) else 'cast(-9223372036854775808 as bigint)' for x in f)}), x -> struct({i} as band, (code ^ x) & {m}L as part))") for i, (m, f) in enumerate(zip(masks, flips, strict=True))])
+    a = codes.select(F.col("code").alias("__a"), F.explode(own).alias("k")).select("__a", "k.*")
+    b = codes.select(F.col("code").alias("__b"), F.explode(near).alias("k")).select("__b", "k.*")
+    far = F.bit_count(F.col("__a").bitwiseXOR(F.col("__b"))).cast("long")
+    linked = a.join(b, ["band", "part"]).where(F.col("__a") <= F.col("__b")).withColumn("distance", far).where(F.col("distance") <= max_distance).select("__a", "__b", "distance").distinct()
+    side = lambda x: df.select(F.col(id_col).alias(f"id_{x}"), F.col(bits).alias(f"__{x}"))
+    met = linked.join(side("a"), "__a").join(side("b"), "__b")
+    return met.where((F.col("__a") != F.col("__b")) | (F.col("id_a") < F.col("id_b"))).select(F.least("id_a", "id_b").alias("id_a"), F.greatest("id_a", "id_b").alias("id_b"), "distance")
 
 
 def dot(a: str, b: str) -> Column:
@@ -102,24 +142,11 @@ def cosine(a: str, b: str) -> Column:
 
 
 def knn(query: DataFrame, bank: DataFrame, query_id: str, bank_id: str, vector: str, k: int) -> DataFrame:
-    """The ``k`` nearest vectors of a bank (a library of bounded size) by cosine, for each query.
-
-    The bank is broadcast behind its count; a larger one is dealt into blocks by hash, each query meets one block in
-    each task and keeps the block's best ``k``, and the blocks' winners are ranked again.
-    """
+    """The ``k`` nearest vectors of a bank by cosine, for each query; each block of the bank keeps its best ``k``, and the blocks' winners are ranked again."""
     q = query.select(F.col(query_id).alias("query"), F.col(vector).alias("__q"))
     b = bank.select(F.col(bank_id).alias("candidate"), F.col(vector).alias("__b"))
-    size = b.limit(BROADCAST_ROWS + 1).count()
-    if size <= BROADCAST_ROWS:
-        pairs = q.crossJoin(F.broadcast(b)).withColumn("block", F.lit(0))
-    else:
-        blocks = max(2, b.count() // BROADCAST_ROWS)
-        b = b.withColumn("block", F.pmod(F.xxhash64("candidate"), F.lit(blocks)))
-        pairs = q.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).join(b, "block")
-    scored = pairs.select("query", "block", "candidate", F.round(cosine("__q", "__b"), 6).alias("score"))
-    order = lambda *p: Window.partitionBy(*p).orderBy(F.desc("score"), "candidate")
-    best = scored.withColumn("rank", F.row_number().over(order("query", "block"))).where(F.col("rank") <= k)
-    return best.withColumn("rank", F.row_number().over(order("query"))).where(F.col("rank") <= k).drop("block")
+    scored = against(q, b, "candidate").select("query", "block", "candidate", F.round(cosine("__q", "__b"), 6).alias("score"))
+    return top_rows(scored, ["query"], [F.desc("score"), "candidate"], k)
 
 
 def set_similarity(pairs: DataFrame, tokens: DataFrame, keys: Sequence[str] = ("left", "right")) -> DataFrame:
@@ -137,21 +164,37 @@ def set_similarity(pairs: DataFrame, tokens: DataFrame, keys: Sequence[str] = ("
 
 
 def nearest_colour(obs: DataFrame, catalog: DataFrame, keys: Sequence[str], id_col: str, k: int) -> DataFrame:
-    """The ``k`` catalogue colours nearest by CIEDE2000, with similarity exp(-d / 12). The catalogue is a library of bounded size, broadcast behind a count."""
+    """The ``k`` catalogue colours nearest by CIEDE2000, with similarity exp(-d / 12)."""
     side = catalog.select(F.col(id_col).alias("candidate"), F.col("lab").alias("__c"))
-    met = obs.select(*keys, F.col("lab").alias("__o")).join(small(side))
-    scored = met.select(*keys, "candidate", F.round(delta_e2000(F.col("__o"), F.col("__c")), 6).alias("distance"))
-    top = scored.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy("distance", "candidate"))).where(F.col("rank") <= k)
-    return top.withColumn("similarity", F.exp(-F.col("distance") / 12))
+    met = against(obs.select(*keys, F.col("lab").alias("__o")), side, "candidate")
+    scored = met.select(*keys, "block", "candidate", F.round(delta_e2000(F.col("__o"), F.col("__c")), 6).alias("distance"))
+    return top_rows(scored, keys, ["distance", "candidate"], k).withColumn("similarity", F.exp(-F.col("distance") / 12))
 
 
-def channel_prior(groups: DataFrame, profiles: DataFrame, group_id: str, profile_id: str, channels: Sequence[str]) -> DataFrame:
-    """Mean of 1 - |difference| over the channels that both sides have; null if they share none. profiles: a library, broadcast behind a count."""
+def channel_prior(groups: DataFrame, profiles: DataFrame, group_id: str, profile_id: str, channels: Sequence[str], k: int) -> DataFrame:
+    """The ``k`` best profiles of each group by the mean of 1 - |difference| over the channels that both sides have; profiles that share none come last, with null."""
     g = groups.select(F.col(group_id).alias("group"), *[F.col(c).alias(f"__g_{c}") for c in channels])
     p = profiles.select(F.col(profile_id).alias("profile"), *[F.col(c).alias(f"__p_{c}") for c in channels])
     terms = F.array_compact(F.array(*[1 - F.abs(F.col(f"__g_{c}") - F.col(f"__p_{c}")) for c in channels]))
     prior = F.when(F.size(terms) > 0, F.aggregate(terms, F.lit(0.0), lambda s, x: s + x) / F.size(terms))
-    return g.join(small(p)).select("group", "profile", prior.alias("prior"), F.size(terms).cast("long").alias("channels"))
+    scored = against(g, p, "profile").select("block", "group", "profile", prior.alias("prior"), F.size(terms).cast("long").alias("channels"))
+    return top_rows(scored, ["group"], [F.round("prior", 8).desc_nulls_last(), "profile"], k)
+
+
+def point_distances(src: DataFrame, dst: DataFrame, keys: Sequence[str], coords: Sequence[str], radius: float) -> DataFrame:
+    """Of each key: how many points of ``src`` have a point of ``dst`` within ``radius``, how many have none, and the mean, root mean square and largest distance of those that have."""
+    met = nearest_points(src, dst, keys, coords, radius)
+    d = F.col("distance")
+    by = met.groupBy(*keys).agg(F.count(F.lit(1)).alias("matched"), F.avg(d).alias("mean"), F.sqrt(F.avg(d * d)).alias("rms"), F.max(d).alias("largest"))
+    return src.groupBy(*keys).agg(F.count(F.lit(1)).alias("points")).join(by, list(keys), "left").select(*keys, F.coalesce("matched", F.lit(0)).alias("matched"), (F.col("points") - F.coalesce("matched", F.lit(0))).alias("unmatched"), "mean", "rms", "largest")
+
+
+def weld_points(points: DataFrame, keys: Sequence[str], coords: Sequence[str], radius: float) -> DataFrame:
+    """(keys, id, welded): the smallest id among the points of the same place, as coordinates rounded to ``radius`` say."""
+    cell = [F.round(F.col(c) / radius).cast("long").alias(f"__c_{c}") for c in coords]
+    placed = points.select(*keys, "id", *cell)
+    names = [f"__c_{c}" for c in coords]
+    return placed.join(placed.groupBy(*keys, *names).agg(F.min("id").alias("welded")), [*keys, *names]).select(*keys, "id", "welded")
 
 
 def nearest_points(src: DataFrame, dst: DataFrame, keys: Sequence[str], coords: Sequence[str], radius: float) -> DataFrame:
@@ -183,20 +226,26 @@ def layered_precedence(layers: Sequence[tuple[str, DataFrame]], registry: DataFr
     return registry.select(*keys).distinct().join(first, list(keys), "left").select(*keys, F.col("f.value").alias(value), F.coalesce("f.layer", F.lit("unassigned")).alias("layer"))
 
 
-def assign_one_to_one(scores: DataFrame, keys: Sequence[str], left: str, right: str, score: str, slots: int) -> DataFrame:
-    """Each left item to at most one right item: highest total, then most matches, then the least path. For a handful of left items (``slots``).
+def assign_one_to_one(scores: DataFrame, keys: Sequence[str], left: str, right: str, score: str, most: int = 12) -> DataFrame:
+    """Each left item to at most one right item: highest total, then most matches, then the least path. For a handful of left items: more than ``most`` are an error.
 
-    One join for each left item in turn; of the states with equal used sets only the best is kept.
+    One join for each left item in turn; of the states with equal used sets only the best is kept. Each round is written to the shared folder.
     """
     w = Window.partitionBy(*keys)
+    slots = scores.groupBy(*keys).agg(F.count_distinct(left).alias("n")).agg(F.max("n")).first()[0] or 0
+    if slots > most:
+        raise ValueError(f"a key has {slots} items, more than {most}")
     items = scores.select(*keys, left).distinct().withColumn("__n", F.row_number().over(w.orderBy(left)))
     choices = scores.join(items, [*keys, left]).select(*keys, "__n", F.col(right).alias("__r"), F.col(score).alias("__s"))
+    folder, spark = scratch(scores), scores.sparkSession
     state = scores.select(*keys).distinct().select(*keys, F.array().cast("array<string>").alias("path"), F.array().cast("array<string>").alias("used"), F.lit(0.0).alias("total"), F.lit(0).alias("matched"))
     best = Window.partitionBy(*keys, "used").orderBy(F.desc("total"), F.desc("matched"), F.asc(F.array_join("path", ",", "~")))
     for n in range(1, slots + 1):
         step = state.join(choices.where(F.col("__n") == n), list(keys)).where(~F.array_contains("used", F.col("__r").cast("string")))
         step = step.select(*keys, F.array_append("path", F.col("__r").cast("string")).alias("path"), F.array_sort(F.array_append("used", F.col("__r").cast("string"))).alias("used"), F.round(F.col("total") + F.col("__s"), 12).alias("total"), (F.col("matched") + 1).alias("matched"))
         skip = state.withColumn("path", F.array_append("path", F.lit(None).cast("string")))
-        state = step.unionByName(skip).withColumn("__r", F.row_number().over(best)).where("__r = 1").drop("__r")
+        after = step.unionByName(skip).withColumn("__r", F.row_number().over(best)).where("__r = 1").drop("__r")
+        after.write.parquet(f"{folder}/round-{n}")
+        state = spark.read.schema(after.schema).parquet(f"{folder}/round-{n}")
     last = Window.partitionBy(*keys).orderBy(F.desc("total"), F.desc("matched"), F.asc(F.array_join("path", ",", "~")))
     return state.withColumn("__r", F.row_number().over(last)).where("__r = 1").select(*keys, "path", "total", "matched")

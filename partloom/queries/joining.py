@@ -70,16 +70,16 @@ def j05(spark, d):
     return rounded(joins.box_overlap(b, b, ["brand"], 25.0, 0.2).where("id_l < id_r"))
 
 
-_BITS = "bits AS (SELECT vec_id, list_transform(embedding[1:32], lambda x: CASE WHEN x > 0 THEN 1 ELSE 0 END) AS s FROM embeddings)"
+_BITS = "bits AS (SELECT vec_id, list_transform(embedding[1:64], lambda x: CASE WHEN x > 0 THEN 1 ELSE 0 END) AS s FROM embeddings)"
 _PAIRS = "pairs AS (SELECT x.vec_id AS id_a, y.vec_id AS id_b, CAST(list_sum(list_transform(list_zip(x.s, y.s), lambda z: abs(z[1] - z[2]))) AS BIGINT) AS distance FROM bits x JOIN bits y ON x.vec_id < y.vec_id)"
 
 
 def pairs(spark, d):
-    e = table(spark, d, "embeddings").select("vec_id", joins.sign_bits("embedding", 32).alias("bits"))
-    return joins.hamming_pairs(e, "vec_id", "bits", 5, size=32)
+    e = table(spark, d, "embeddings").select("vec_id", joins.sign_bits("embedding").alias("bits"))
+    return joins.hamming_pairs(e, "vec_id", "bits", 14)
 
 
-@query("j06_hamming_pairs", f"WITH {_BITS}, {_PAIRS} SELECT * FROM pairs WHERE distance <= 5")
+@query("j06_hamming_pairs", f"WITH {_BITS}, {_PAIRS} SELECT * FROM pairs WHERE distance <= 14")
 def j06(spark, d):
     return pairs(spark, d)
 
@@ -98,11 +98,8 @@ def j07(spark, d):
 
 @query("j08_set_similarity")
 def j08(spark, d):
-    """Sets are the vectors of a label, at most six of each by id; tested against brute force."""
-    from pyspark.sql import Window
-
-    e = table(spark, d, "embeddings").withColumn("token", F.row_number().over(Window.partitionBy("label").orderBy("vec_id"))).where("token <= 6")
-    tokens = e.select(F.col("label").alias("entity"), "token", F.col("embedding").alias("vec"))
+    """Sets are the vectors of a label; tested against brute force."""
+    tokens = table(spark, d, "embeddings").select(F.col("label").alias("entity"), F.col("vec_id").alias("token"), F.col("embedding").alias("vec"))
     labels = tokens.select("entity").distinct()
     p = labels.select(F.col("entity").alias("left")).join(labels.select(F.col("entity").alias("right")), F.col("left") < F.col("right"))
     return rounded(joins.set_similarity(p, tokens))
@@ -120,14 +117,14 @@ def j09(spark, d):
 @query(
     "j10_channel_prior",
     f"""WITH {PARTS}, p AS (SELECT part_id AS "group", CASE WHEN r > 64 THEN r / 255.0::DOUBLE END AS rough, CASE WHEN g > 64 THEN g / 255.0::DOUBLE END AS metal FROM parts), s AS (SELECT s_suppkey AS profile, CASE WHEN s_suppkey % 3 > 0 THEN s_suppkey % 10 / 10.0::DOUBLE END AS rough, CASE WHEN s_suppkey % 4 > 0 THEN s_suppkey % 7 / 7.0::DOUBLE END AS metal FROM supplier)
-SELECT "group", profile, round(CASE WHEN p.rough IS NULL OR s.rough IS NULL THEN CASE WHEN p.metal IS NULL OR s.metal IS NULL THEN NULL ELSE 1 - abs(p.metal - s.metal) END WHEN p.metal IS NULL OR s.metal IS NULL THEN 1 - abs(p.rough - s.rough) ELSE (2 - abs(p.rough - s.rough) - abs(p.metal - s.metal)) / 2 END, 6) AS prior,
-  CAST((p.rough IS NOT NULL AND s.rough IS NOT NULL)::INT + (p.metal IS NOT NULL AND s.metal IS NOT NULL)::INT AS BIGINT) AS channels FROM p, s""",
+SELECT "group", profile, round(prior, 6) AS prior, channels, row_number() OVER (PARTITION BY "group" ORDER BY round(prior, 8) DESC NULLS LAST, profile) AS rank FROM (SELECT "group", profile, CASE WHEN p.rough IS NULL OR s.rough IS NULL THEN CASE WHEN p.metal IS NULL OR s.metal IS NULL THEN NULL ELSE 1 - abs(p.metal - s.metal) END WHEN p.metal IS NULL OR s.metal IS NULL THEN 1 - abs(p.rough - s.rough) ELSE (2 - abs(p.rough - s.rough) - abs(p.metal - s.metal)) / 2 END AS prior,
+  CAST((p.rough IS NOT NULL AND s.rough IS NOT NULL)::INT + (p.metal IS NOT NULL AND s.metal IS NOT NULL)::INT AS BIGINT) AS channels FROM p, s) QUALIFY rank <= 5""",
 )
 def j10(spark, d):
     p = parts(spark, d).select("part_id", F.when(F.col("r") > 64, F.col("r") / 255.0).alias("rough"), F.when(F.col("g") > 64, F.col("g") / 255.0).alias("metal"))
     k = F.col("s_suppkey")
     s = table(spark, d, "supplier").select(k.alias("profile"), F.when(k % 3 > 0, (k % 10) / 10.0).alias("rough"), F.when(k % 4 > 0, (k % 7) / 7.0).alias("metal"))
-    return rounded(joins.channel_prior(p, s, "part_id", "profile", ["rough", "metal"]))
+    return rounded(joins.channel_prior(p, s, "part_id", "profile", ["rough", "metal"], 5))
 
 
 _POINTS = "pt AS (SELECT vec_id AS id, label, CAST(embedding[1] AS DOUBLE) AS x, CAST(embedding[2] AS DOUBLE) AS y, CAST(embedding[3] AS DOUBLE) AS z FROM embeddings)"
@@ -196,14 +193,14 @@ def j16(spark, d):
 
 @query("j17_assign_one_to_one")
 def j17(spark, d):
-    """Up to four views of an order to poses; tested against all assignments."""
-    o = observations(spark, d).where("line <= 4").groupBy("asset_id", F.col("line").alias("view"), (F.col("view_id") % 5).alias("pose")).agg(F.round(F.max("score"), 6).alias("score"))
-    return joins.assign_one_to_one(o, ["asset_id"], "view", "pose", "score", 4).select("asset_id", F.array_join("path", ",", "-").alias("path"), F.round("total", 6).alias("total"), "matched")
+    """The views of an order to poses; tested against all assignments."""
+    o = observations(spark, d).groupBy("asset_id", F.col("line").alias("view"), (F.col("view_id") % 5).alias("pose")).agg(F.round(F.max("score"), 6).alias("score"))
+    return joins.assign_one_to_one(o, ["asset_id"], "view", "pose", "score").select("asset_id", F.array_join("path", ",", "-").alias("path"), F.round("total", 6).alias("total"), "matched")
 
 
 @query(
     "g01_connected_components",
-    f"""WITH RECURSIVE {_BITS}, {_PAIRS}, e AS (SELECT id_a AS a, id_b AS b FROM pairs WHERE distance <= 5 UNION ALL SELECT id_b, id_a FROM pairs WHERE distance <= 5),
+    f"""WITH RECURSIVE {_BITS}, {_PAIRS}, e AS (SELECT id_a AS a, id_b AS b FROM pairs WHERE distance <= 14 UNION ALL SELECT id_b, id_a FROM pairs WHERE distance <= 14),
 r AS (SELECT vec_id AS node, vec_id AS reach FROM embeddings UNION SELECT r.node, e.b FROM r JOIN e ON e.a = r.reach)
 SELECT node, min(reach) AS component FROM r GROUP BY node""",
 )
@@ -312,17 +309,14 @@ def u03(spark, d):
 
 @query(
     "u04_candidate_plans",
-    """WITH q AS (SELECT p_brand AS brand, s_suppkey AS candidate FROM (SELECT DISTINCT p_brand FROM part WHERE p_size > 40), supplier WHERE s_suppkey < 4)
-SELECT part.p_partkey AS part_id, q.brand AS step_brand, q.candidate, CASE WHEN part.p_brand = q.brand THEN 'S' || candidate ELSE p_type END AS material, 'C_' || substr(sha256(q.brand || '|' || q.candidate), 1, 12) AS candidate_id FROM part, q WHERE part.p_brand = q.brand OR part.p_size = 50""",
+    """WITH c AS (SELECT s_suppkey AS candidate FROM supplier ORDER BY s_acctbal DESC, s_suppkey LIMIT 3)
+SELECT p_partkey AS part_id, p_brand AS step_brand, candidate, 'S' || candidate AS material, 'C_' || substr(sha256(p_brand || '|' || candidate), 1, 12) AS candidate_id FROM part, c""",
 )
 def u04(spark, d):
-    """One change for each candidate plan: the group's parts get the new material, other (here: the largest) parts keep theirs."""
-    p = table(spark, d, "part")
-    s = table(spark, d, "supplier").where("s_suppkey < 4").select(F.col("s_suppkey").alias("candidate"))
-    q = p.where("p_size > 40").select(F.col("p_brand").alias("step_brand")).distinct().join(joins.small(s))
-    met = p.join(joins.small(q), (F.col("p_brand") == F.col("step_brand")) | (F.col("p_size") == 50))
-    new = F.when(F.col("p_brand") == F.col("step_brand"), F.concat(F.lit("S"), F.col("candidate").cast("string"))).otherwise(F.col("p_type"))
-    return met.select(F.col("p_partkey").alias("part_id"), "step_brand", "candidate", new.alias("material"), rules.content_id("C_", F.col("step_brand"), F.col("candidate")).alias("candidate_id"))
+    """The changes of each candidate plan: one group's parts (here: a brand's) get the candidate's material, all other parts keep theirs. The three best candidates make plans."""
+    p = table(spark, d, "part").select(F.col("p_partkey").alias("part_id"), F.col("p_brand").alias("step_brand"))
+    best = table(spark, d, "supplier").orderBy(F.desc("s_acctbal"), "s_suppkey").limit(3).agg(F.sort_array(F.collect_list("s_suppkey")).alias("c")).first()["c"]
+    return rules.candidate_plans(p, "step_brand", best).withColumn("material", F.concat(F.lit("S"), F.col("candidate").cast("string")))
 
 
 @query(

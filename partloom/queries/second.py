@@ -51,11 +51,11 @@ def a30(spark, d):
 
 @query("j11_similarity_terms")
 def j11(spark, d):
-    """Every part against the suppliers' profiles; the colour maths is tested with known values."""
+    """The five best of the suppliers' profiles for every part; tested against a plain version."""
     p = color.add_colour_features(parts(spark, d), "r", "g", "b").withColumn("rough", F.col("size") / 50.0).withColumn("metal", F.when(F.col("size") % 2 == 0, 1.0).otherwise(0.0))
     k = F.col("s_suppkey")
     s = color.add_colour_features(table(spark, d, "supplier").select(k.alias("colour_id"), (k * 53 % 256).alias("r"), (k * 71 % 256).alias("g"), (k * 113 % 256).alias("b")), "r", "g", "b").withColumn("rough", (F.col("colour_id") % 10) / 10.0).withColumn("metal", F.col("colour_id") % 2 * 1.0)
-    return rounded(fusion.similarity_terms(p, s, "part_id", "colour_id", True), 3)
+    return rounded(fusion.similarity_terms(p, s, "part_id", "colour_id", True, 5), 3)
 
 
 @query(
@@ -110,11 +110,11 @@ def x05(spark, d):
 
 @query(
     "x06_promote_gap",
-    f"""{_ONE}, w AS (SELECT *, (CASE WHEN NOT (colour >= 0.9) THEN 1 ELSE 0 END + CASE WHEN NOT (texture >= 0.06) THEN 1 ELSE 0 END) AS n, concat_ws(',', CASE WHEN NOT (colour >= 0.9) THEN 'colour' END, CASE WHEN NOT (texture >= 0.06) THEN 'texture' END) AS why FROM cand WHERE view_id % 5 = 1),
+    f"""{_ONE}, w AS (SELECT *, (CASE WHEN NOT (colour >= 0.9) THEN 1 ELSE 0 END + CASE WHEN NOT (texture >= 0.06) THEN 1 ELSE 0 END) AS n, concat_ws(',', CASE WHEN NOT (colour >= 0.9) THEN 'colour' END, CASE WHEN NOT (texture >= 0.06) THEN 'texture' END) AS why FROM cand),
 o AS (SELECT *, min(n) OVER (PARTITION BY part_id) AS best, row_number() OVER (PARTITION BY part_id ORDER BY n, pixels DESC, view_id) AS r FROM w) SELECT part_id, view_id AS promoted, why AS relaxed FROM o WHERE r = 1 AND best > 0""",
 )
 def x06(spark, d):
-    c = candidates(spark, d).where("view_id % 5 = 1")
+    c = candidates(spark, d)
     return fusion.promote_gap(c, ["part_id"], "view_id", [("colour", F.col("colour") >= 0.9), ("texture", F.col("texture") >= 0.06)], "pixels")
 
 
@@ -143,10 +143,10 @@ def x09(spark, d):
     from partloom.operators import joins
 
     n = table(spark, d, "supplier").groupBy((F.col("s_nationkey") % 3).alias("asset_id"), (F.col("s_nationkey") % 4).alias("view"), (F.col("s_suppkey") % 5).alias("pose")).agg(F.round(F.max("s_acctbal") / 10000, 6).alias("score"))
-    best = joins.assign_one_to_one(n, ["asset_id"], "view", "pose", "score", 4)
+    best = joins.assign_one_to_one(n, ["asset_id"], "view", "pose", "score")
     pairs = n.select("asset_id", F.concat_ws(">", "view", "pose").alias("forbidden")).distinct()
     less = n.join(pairs, "asset_id").where(F.concat_ws(">", "view", "pose") != F.col("forbidden"))
-    other = joins.assign_one_to_one(less, ["asset_id", "forbidden"], "view", "pose", "score", 4).select("asset_id", "forbidden", F.col("total").alias("without"))
+    other = joins.assign_one_to_one(less, ["asset_id", "forbidden"], "view", "pose", "score").select("asset_id", "forbidden", F.col("total").alias("without"))
     out = pairs.join(best.select("asset_id", "total"), "asset_id").join(other, ["asset_id", "forbidden"], "left")
     return out.select("asset_id", "forbidden", F.round(F.col("total") - F.coalesce("without", F.lit(0.0)), 6).alias("margin"))
 
@@ -257,11 +257,17 @@ def g05(spark, d):
     return rounded(mesh.mesh_metrics(*boxes(spark, d), ["part_id"]), 4)
 
 
-@query("g06_region_metrics", f"{_DIM} SELECT part_id, 0 AS region, 1 AS faces, round(w * h, 4) AS area, round(part_id + w / 2, 4) AS cx, round(h / 2, 4) AS cy, 0.0::DOUBLE AS cz, 0.0::DOUBLE AS nx, 0.0::DOUBLE AS ny, -1.0::DOUBLE AS nz FROM b")
+@query(
+    "g06_region_metrics",
+    f"""{_DIM}, f(region, d, e, f, x, y, z, nx, ny, nz) AS (VALUES (0, 'w', 'h', 0, 0.5, 0.5, 0, 0, 0, -1), (1, 'w', 'h', 0, 0.5, 0.5, 1, 0, 0, 1), (2, 'w', 'l', 0, 0.5, 0, 0.5, 0, -1, 0), (3, 'h', 'l', 0, 1, 0.5, 0.5, 1, 0, 0), (4, 'w', 'l', 0, 0.5, 1, 0.5, 0, 1, 0), (5, 'h', 'l', 0, 0, 0.5, 0.5, -1, 0, 0))
+SELECT part_id, region, 1 AS faces, round(CASE d WHEN 'w' THEN w ELSE h END * CASE e WHEN 'h' THEN h ELSE l END, 4) AS area, round(part_id + w * CAST(x AS DOUBLE), 4) AS cx, round(h * CAST(y AS DOUBLE), 4) AS cy, round(l * CAST(z AS DOUBLE), 4) AS cz, CAST(nx AS DOUBLE) AS nx, CAST(ny AS DOUBLE) AS ny, CAST(nz AS DOUBLE) AS nz,
+  0.0::DOUBLE AS deviation, CASE WHEN NOT open THEN 0 WHEN region = 3 THEN 0 ELSE 1 END AS boundary FROM b, f WHERE NOT open OR region < 5""",
+)
 def g06(spark, d):
+    """Every face of the boxes is a region of its own."""
     c, p = boxes(spark, d)
     t = mesh.triangles(c, p, ["part_id"])
-    return rounded(mesh.region_metrics(t, c.select("part_id", "face", F.col("face").alias("region")).distinct().where("face = 0"), ["part_id"]), 4)
+    return rounded(mesh.region_metrics(t, c.select("part_id", "face", F.col("face").alias("region")).distinct(), ["part_id"], c), 4)
 
 
 @query("g07_signed_volume", f"{_DIM} SELECT part_id, round(w * h * l, 3) AS volume, true AS outward FROM b WHERE NOT open")
@@ -280,12 +286,11 @@ def g09(spark, d):
 
 @query("g03_coherent_regions")
 def g03(spark, d):
-    """Faces of the boxes of large parts by normals: six regions a box; tested in the unit tests."""
+    """Faces of the boxes by normals: six regions a box; tested in the unit tests."""
     c, p = boxes(spark, d)
-    big = parts(spark, d).where("size > 48").select("part_id")
-    t = mesh.with_area(mesh.triangles(c.join(big, "part_id"), p, ["part_id"])).where("area > 0")
+    t = mesh.with_area(mesh.triangles(c, p, ["part_id"])).where("area > 0")
     faces = t.groupBy("part_id", F.col("face").cast("long").alias("face")).agg(*[(F.sum(f"n{x}") / F.sum(F.col("area") * 2)).alias(f"n{x}") for x in "xyz"])
-    e = mesh.directed_edges(c.join(big, "part_id"), ["part_id"]).select("part_id", F.col("face").cast("long").alias("face"), F.least("u", "v").alias("lo"), F.greatest("u", "v").alias("hi"))
+    e = mesh.directed_edges(c, ["part_id"]).select("part_id", F.col("face").cast("long").alias("face"), F.least("u", "v").alias("lo"), F.greatest("u", "v").alias("hi"))
     adjacency = e.withColumnRenamed("face", "a").join(e.withColumnRenamed("face", "b"), ["part_id", "lo", "hi"]).where("a < b").select("part_id", "a", "b")
     return graph.coherent_regions(faces, adjacency, ["part_id"], 0.5)
 
