@@ -8,25 +8,34 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from partloom.operators.gates import reasons
-from partloom.operators.joins import small
+from partloom.operators.joins import against, small, top_rows
 
 
-def fuse_palettes(groups: DataFrame, keys: Sequence[str], view: str, colour: str, family: str, finish: str, image: str) -> DataFrame:
+def fuse_palettes(groups: DataFrame, keys: Sequence[str], view: str, colour: str, family: str, finish: str, image: str, painted: Sequence[str] = (), pixel_only: str = "") -> DataFrame:
     """Colour groups of views merged to canonical groups.
 
     A colour merges over views only if every view has at most one group of it and its resolved (family, finish) signatures agree; groups that
-    do not merge keep a key of their view. Merged groups have the number of views and of distinct images that support them.
+    do not merge keep a key of their view. Of two signatures, both of families ``painted``, one may stand in a single group: that outlier stays apart and the others merge.
+    Merged groups have the number of views and of distinct images that support them. Supported are groups of two views and more with distinct images; for groups
+    seen by pixels alone (the boolean ``pixel_only`` holds for all their rows) the images have to differ in every pair of views.
     """
     k = list(keys)
     sig = F.concat_ws("|", family, finish)
-    per_view = groups.groupBy(*k, colour, view).agg(F.count(F.lit(1)).alias("__n"))
+    signed = groups.withColumn("__sig", sig).withColumn("__painted", F.col(family).isin(*painted) if painted else F.lit(False))
+    per_view = signed.groupBy(*k, colour, view).agg(F.count(F.lit(1)).alias("__n"))
     by = per_view.groupBy(*k, colour).agg(F.max("__n").alias("__max"))
-    signatures = groups.groupBy(*k, colour).agg(F.count_distinct(sig).alias("__sig"))
-    merged = groups.join(by, [*k, colour]).join(signatures, [*k, colour])
-    unique = (F.col("__max") == 1) & (F.col("__sig") == 1)
-    key = F.when(unique, F.col(colour)).otherwise(F.concat_ws(":", F.col(colour), F.col(view).cast("string"), sig))
-    out = merged.withColumn("canonical", key).groupBy(*k, "canonical").agg(F.count_distinct(view).alias("views"), F.count_distinct(image).alias("images"), F.count(F.lit(1)).alias("groups"), F.min(family).alias("family"))
-    return out.withColumn("supported", (F.col("views") >= 2) & (F.col("images") >= 2))
+    counts = signed.groupBy(*k, colour, "__sig").agg(F.count(F.lit(1)).alias("__g"), F.min(F.col("__painted").cast("int")).alias("__p"))
+    w = Window.partitionBy(*k, colour)
+    marked = counts.withColumn("__sigs", F.count(F.lit(1)).over(w)).withColumn("__singles", F.sum((F.col("__g") == 1).cast("int")).over(w)).withColumn("__allp", F.min("__p").over(w))
+    split = (F.col("__sigs") == 2) & (F.col("__singles") == 1) & (F.col("__allp") == 1)
+    fits = marked.select(*k, colour, "__sig", ((F.col("__sigs") == 1) | (split & (F.col("__g") > 1))).alias("__fits"))
+    merged = signed.join(by, [*k, colour]).join(fits, [*k, colour, "__sig"])
+    unique = (F.col("__max") == 1) & F.col("__fits")
+    key = F.when(unique, F.col(colour)).otherwise(F.concat_ws(":", F.col(colour), F.col(view).cast("string"), "__sig"))
+    only = F.min(F.col(pixel_only).cast("int")) if pixel_only else F.lit(0)
+    out = merged.withColumn("canonical", key).groupBy(*k, "canonical").agg(F.count_distinct(view).alias("views"), F.count_distinct(image).alias("images"), F.count(F.lit(1)).alias("groups"), F.min(family).alias("family"), only.alias("__only"))
+    apart = F.when(F.col("__only") == 1, F.col("images") >= F.col("views")).otherwise(F.col("images") >= 2)
+    return out.withColumn("supported", (F.col("views") >= 2) & apart).drop("__only")
 
 
 def mass_audit(reference: DataFrame, rendered: DataFrame, keys: Sequence[str], bin_col: str, amount: str, dominant: float = 0.4, lead: float = 0.05, recall: float = 0.8, deficit: float = 0.08) -> DataFrame:
@@ -52,8 +61,8 @@ def lighting_stats(samples: DataFrame, keys: Sequence[str], view: str, role: str
     return by.select(*k, ratio.alias("normalised"), F.array_join(why, ",").alias("reasons"))
 
 
-def similarity_terms(evidence: DataFrame, profiles: DataFrame, evidence_id: str, profile_id: str, fixed: bool) -> DataFrame:
-    """Appearance bonus of each profile: closeness of OKLab colour, roughness and metallic, weighted 700, 75, 100 (fixed) or 60, 30, 30. Profiles are a library."""
+def similarity_terms(evidence: DataFrame, profiles: DataFrame, evidence_id: str, profile_id: str, fixed: bool, k: int) -> DataFrame:
+    """The ``k`` profiles of each piece of evidence with the largest appearance bonus: closeness of OKLab colour, roughness and metallic, weighted 700, 75, 100 (fixed) or 60, 30, 30."""
     weights = (700, 75, 100) if fixed else (60, 30, 30)
     e = evidence.select(F.col(evidence_id).alias("evidence"), F.col("oklab").alias("__eo"), F.col("rough").alias("__er"), F.col("metal").alias("__em"))
     p = profiles.select(F.col(profile_id).alias("profile"), F.col("oklab").alias("__po"), F.col("rough").alias("__pr"), F.col("metal").alias("__pm"))
@@ -62,7 +71,8 @@ def similarity_terms(evidence: DataFrame, profiles: DataFrame, evidence_id: str,
     near = lambda a, b: F.coalesce(F.greatest(F.lit(0.0), 1 - F.abs(F.col(a) - F.col(b))), F.lit(0.0))
     bonus = weights[0] * close + weights[1] * near("__er", "__pr") + weights[2] * near("__em", "__pm")
     terms = F.array_compact(F.array(F.when(close > 0.5, F.lit("colour")), F.when(near("__er", "__pr") > 0.8, F.lit("roughness")), F.when(near("__em", "__pm") > 0.8, F.lit("metallic"))))
-    return e.join(small(p)).select("evidence", "profile", F.round(bonus, 6).alias("bonus"), F.array_join(terms, ",").alias("terms"))
+    scored = against(e, p, "profile").select("block", "evidence", "profile", F.round(bonus, 6).alias("bonus"), F.array_join(terms, ",").alias("terms"))
+    return top_rows(scored, ["evidence"], [F.desc("bonus"), "profile"], k)
 
 
 def annotate_groups(entities: DataFrame, groups: DataFrame, neighbours: DataFrame, colour: str, family: str, wildcard: str = "any") -> DataFrame:

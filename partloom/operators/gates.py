@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from partloom.operators.stats import quantiles, weighted_median
+
 
 def reasons(rules: Sequence[tuple[str, Column]]) -> Column:
     """The codes whose condition holds, in order; a null condition does not hold."""
@@ -41,14 +43,21 @@ def consensus_gate(main: DataFrame, votes: DataFrame, keys: Sequence[str], group
     )
 
 
-def fuse_evidence(samples: DataFrame, keys: Sequence[str], channels: Sequence[str], kind: str, view: str, max_iqr: float, min_views: int = 2) -> DataFrame:
-    """Per-view medians fused over views: median and quartile distance of each channel, class agreement, and auto or preserve with reasons."""
-    per = samples.groupBy(*keys, view).agg(*[F.median(c).alias(c) for c in channels], F.min(kind).alias("__lo"), F.max(kind).alias("__hi"))
-    q = [F.percentile(c, [0.25, 0.5, 0.75]).alias(f"__q_{c}") for c in channels]
-    by = per.groupBy(*keys).agg(F.count(F.lit(1)).alias("views"), F.min("__lo").alias("__lo"), F.max("__hi").alias("__hi"), *q)
-    spread = [(f"{c}_dispersion", F.col(f"__q_{c}")[2] - F.col(f"__q_{c}")[0] > max_iqr) for c in channels]
+def fuse_evidence(samples: DataFrame, keys: Sequence[str], channels: Sequence[str], kind: str, view: str, max_iqr: float, min_views: int = 2, conductive: Column | None = None) -> DataFrame:
+    """Per-view medians fused over views: median and quartile distance of each channel, class agreement, and auto or preserve with reasons.
+
+    conductive: condition on the class ``kind``; with it a column ``metallic`` suggests 1 for conductive classes and 0 for others, never what was measured, and null where classes conflict.
+    """
+    k = list(keys)
+    by = samples.groupBy(*k).agg(F.count_distinct(view).alias("views"), F.min(kind).alias("__lo"), F.max(kind).alias("__hi"))
+    for c in channels:
+        per = quantiles(samples, [*k, view], c, {c: 0.5}).drop("n")
+        by = by.join(quantiles(per, k, c, {c: 0.5, f"__lo_{c}": 0.25, f"__hi_{c}": 0.75}).drop("n"), k, "left")
+    spread = [(f"{c}_dispersion", F.col(f"__hi_{c}") - F.col(f"__lo_{c}") > max_iqr) for c in channels]
     why = reasons([("too_few_views", F.col("views") < min_views), ("class_conflict", F.col("__lo") != F.col("__hi")), *spread])
-    return by.select(*keys, "views", *[F.round(F.col(f"__q_{c}")[1], 6).alias(c) for c in channels], F.when(F.size(why) == 0, "auto").otherwise("preserve").alias("mode"), F.array_join(why, ",").alias("reasons"))
+    more = [] if conductive is None else [F.when(F.col("__lo") == F.col("__hi"), F.when(conductive, 1.0).otherwise(0.0)).alias("metallic")]
+    named = by.withColumn(kind, F.col("__lo")) if conductive is not None else by
+    return named.select(*k, "views", *[F.round(F.col(c), 6).alias(c) for c in channels], *more, F.when(F.size(why) == 0, "auto").otherwise("preserve").alias("mode"), F.array_join(why, ",").alias("reasons"))
 
 
 def confidence_gate(df: DataFrame, confidences: Sequence[str], margin: str, visible: str, risk: str, auto: float = 0.8, review: float = 0.5, min_margin: float = 0.05, min_visible: float = 0.1) -> DataFrame:
@@ -138,20 +147,61 @@ def coating_components(parts: DataFrame, keys: Sequence[str], id_col: str, weigh
     return typed.join(led, same).select(*keys, "id", "cluster", F.lit(None).cast("string").alias("reason")).unionByName(large)
 
 
-def next_gain(history: DataFrame, keys: Sequence[str], step: str, gain: str, error: str, match: float = 0.02, damping: float = 0.5, low: float = 0.25, high: float = 4.0) -> DataFrame:
-    """The next gain from the measured history: matched, or a log-secant step from the last two, or a damped ratio step; bounded to [low, high] times the last gain."""
-    w = Window.partitionBy(*keys).orderBy(F.desc(step))
-    last = history.withColumn("__r", F.row_number().over(w)).withColumn("__g0", F.lead(gain).over(w)).withColumn("__e0", F.lead(error).over(w)).where("__r = 1")
+def next_gain(history: DataFrame, keys: Sequence[str], step: str, gain: str, error: str, match: float = 0.02, damping: float = 0.5, low: float = 0.25, high: float = 4.0, least_gain: float = 0.0, patience: int = 0, least_step: float = 0.0, known: float = 0.0) -> DataFrame:
+    """The next gain from the measured history: matched, or a log-secant step from the last two, or a damped ratio step; bounded to [low, high] times the last gain.
+
+    Stops, of which the first that fits holds: ``matched``; ``stalled`` if the best error of the last ``patience`` measures is not better by ``least_gain`` than the best before them;
+    ``converged`` if the step is at most ``least_step`` of the last gain; ``measured`` if a gain within ``known`` of the proposal has been measured. A stopped key gets the gain with the
+    least error of its history (the earliest of equal ones). Stops with a limit of 0 do not hold.
+    """
+    k = list(keys)
+    w = Window.partitionBy(*k).orderBy(F.desc(step))
     g, e = F.col(gain), F.col(error)
+    placed = history.withColumn("__r", F.row_number().over(w)).withColumn("__g0", F.lead(gain).over(w)).withColumn("__e0", F.lead(error).over(w))
+    ranked = F.struct(F.abs(e).alias("e"), F.col(step).alias("s"), g.alias("g"))
+    old = F.col("__r") > patience
+    best = placed.groupBy(*k).agg(F.min(ranked).alias("__best"), F.min(F.when(old, F.abs(e))).alias("__before"), F.min(F.when(~old, F.abs(e))).alias("__lately"))
+    last = placed.where("__r = 1").join(best, k)
     slope = (F.log(g) - F.log("__g0")) / (e - F.col("__e0"))
     secant = F.exp(F.log(g) - e * slope)
     damped = g * (1 - damping * e)
     ok = F.col("__g0").isNotNull() & (F.abs(e - F.col("__e0")) > 1e-9) & (F.abs(F.log(g) - F.log("__g0")) > 1e-9)
-    proposal = F.greatest(g * low, F.least(g * high, F.when(ok, secant).otherwise(damped)))
-    return last.select(*keys, F.when(F.abs(e) <= match, "matched").when(ok, "secant").otherwise("damped").alias("action"), F.when(F.abs(e) <= match, g).otherwise(proposal).alias("next_gain"))
+    proposed = last.withColumn("__next", F.greatest(g * low, F.least(g * high, F.when(ok, secant).otherwise(damped)))).withColumn("__way", F.when(ok, "secant").otherwise("damped")).withColumn("__last", g)
+    met = proposed.select(*k, "__next").join(history.select(*k, F.col(gain).alias("__old")), k).groupBy(*k).agg(F.max((F.abs(F.col("__old") - F.col("__next")) <= known).cast("int")).alias("__met"))
+    stop = F.when(F.abs(e) <= match, "matched")
+    if patience:
+        stop = stop.when(F.col("__before").isNotNull() & (F.round(F.col("__before") - F.col("__lately"), 12) < least_gain), "stalled")
+    if least_step:
+        stop = stop.when(F.abs(F.col("__next") - F.col("__last")) <= least_step * F.col("__last"), "converged")
+    if known:
+        stop = stop.when(F.col("__met") == 1, "measured")
+    out = proposed.join(met, k).withColumn("__stop", stop)
+    kept = F.when(F.col("__stop") == "matched", g).when(F.col("__stop").isNotNull(), F.col("__best.g")).otherwise(F.col("__next"))
+    return out.select(*k, F.coalesce("__stop", "__way").alias("action"), kept.alias("next_gain"))
 
 
 def repair_plan(missing: DataFrame, support: DataFrame, vetoes: DataFrame, keys: Sequence[str], part: str, group: str, views: str, min_views: int, most: int) -> DataFrame:
     """Changes for missing groups: supporting parts seen in enough views and not vetoed, best supported first, at most ``most`` for each key."""
     found = missing.join(support, [*keys, group]).where(F.col(views) >= min_views).join(vetoes, [*keys, part], "left_anti")
     return found.withColumn("order", F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc(views), group, part))).where(F.col("order") <= most)
+
+
+#: Parts and pixels that an appearance component has.
+COMPONENT_PARTS, COMPONENT_PIXELS = (2, 96), 512
+
+
+def appearance_components(components: DataFrame, parts: DataFrame, keys: Sequence[str], part: str, family: str, weight: str, pixels: str) -> DataFrame:
+    """Components of linked parts that are of use: 2 to 96 parts and 512 pixels at least. Each has its anchor (the part with the most weight, then the smallest), the family with
+    the most weight (of equal ones the greatest name), and the median by weight of each channel of Lab. components: (keys, part, component); parts: rows of parts with a struct ``lab``."""
+    k = [*keys, "component"]
+    met = parts.join(components, [*keys, part])
+    size = met.groupBy(*k).agg(F.count_distinct(part).alias("parts"), F.sum(pixels).alias("pixels"))
+    size = size.where(F.col("parts").between(*COMPONENT_PARTS) & (F.col("pixels") >= COMPONENT_PIXELS))
+    kept = met.join(size.select(*k), k, "left_semi")
+    anchor = kept.groupBy(*k, part).agg(F.sum(weight).alias("__w")).groupBy(*k).agg(F.min(F.struct((-F.round("__w", 8)).alias("w"), F.col(part).alias("p"))).alias("a"))
+    main = kept.groupBy(*k, family).agg(F.sum(weight).alias("__w")).groupBy(*k).agg(F.max(F.struct(F.round("__w", 8).alias("w"), F.col(family).alias("f"))).alias("f"))
+    out = size.join(anchor, k).join(main, k).select(*k, "parts", "pixels", F.col("a.p").alias("anchor"), F.col("f.f").alias(family))
+    for c in "lab":
+        colour = kept.withColumn("__c", F.col(f"lab.{c}"))
+        out = out.join(weighted_median(colour, k, "__c", weight).withColumnRenamed("weighted_median", f"lab_{c}"), k, "left")
+    return out

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from partloom.operators.graph import connected_components
+
 
 def directed_edges(corners: DataFrame, keys: Sequence[str]) -> DataFrame:
     """(keys, face, u, v): each corner to the next, the last to the first."""
@@ -62,13 +64,22 @@ def mesh_metrics(corners: DataFrame, points: DataFrame, keys: Sequence[str]) ->
     return arity.join(area, list(keys)).join(box, list(keys))
 
 
-def region_metrics(tris: DataFrame, regions: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Area, area-weighted centroid and normal of each region of faces. regions: (keys, face, region)."""
-    t = with_area(tris).join(regions, [*keys, "face"])
+def region_metrics(tris: DataFrame, regions: DataFrame, keys: Sequence[str], corners: DataFrame) -> DataFrame:
+    """Of each region of faces: area, area-weighted centroid and normal, the largest angle in degrees between a face's normal and the region's, and the edges at the mesh's boundary (of one face only). regions: (keys, face, region)."""
+    k = list(keys)
+    t = with_area(tris).join(regions, [*k, "face"])
     middle = [(F.sum(F.col("area") * (F.col(f"p.{c}") + F.col(f"q.{c}") + F.col(f"r.{c}")) / 3) / F.sum("area")).alias(f"c{c}") for c in "xyz"]
-    by = t.groupBy(*keys, "region").agg(F.count_distinct("face").alias("faces"), F.sum("area").alias("area"), *middle, *[F.sum(f"n{c}").alias(f"__n{c}") for c in "xyz"])
-    length = F.sqrt(sum((F.pow(f"__n{c}", F.lit(2)) for c in "yz"), F.pow("__nx", F.lit(2))))
-    return by.select(*keys, "region", "faces", "area", "cx", "cy", "cz", *[F.when(length > 0, F.col(f"__n{c}") / length).alias(f"n{c}") for c in "xyz"])
+    by = t.groupBy(*k, "region").agg(F.count_distinct("face").alias("faces"), F.sum("area").alias("area"), *middle, *[F.sum(f"n{c}").alias(f"__n{c}") for c in "xyz"])
+    size = lambda n: F.sqrt(sum((F.col(f"{n}{c}") * F.col(f"{n}{c}") for c in "yz"), F.col(f"{n}x") * F.col(f"{n}x")))
+    normals = t.groupBy(*k, "region", "face").agg(*[F.sum(f"n{c}").alias(f"__f{c}") for c in "xyz"]).join(by, [*k, "region"])
+    dot = sum((F.col(f"__f{c}") * F.col(f"__n{c}") for c in "yz"), F.col("__fx") * F.col("__nx")) / (size("__f") * size("__n"))
+    angle = F.when(size("__f") * size("__n") > 0, F.degrees(F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.round(dot, 12))))))
+    turned = normals.groupBy(*k, "region").agg(F.max(angle).alias("deviation"))
+    e = directed_edges(corners, k).select(*k, "face", F.least("u", "v").alias("lo"), F.greatest("u", "v").alias("hi"))
+    single = e.groupBy(*k, "lo", "hi").agg(F.count(F.lit(1)).alias("__e"), F.min("face").alias("face")).where("__e = 1")
+    open_edges = single.join(regions, [*k, "face"]).groupBy(*k, "region").agg(F.count(F.lit(1)).alias("boundary"))
+    out = by.join(turned, [*k, "region"]).join(open_edges, [*k, "region"], "left")
+    return out.select(*k, "region", "faces", "area", "cx", "cy", "cz", *[F.when(size("__n") > 0, F.col(f"__n{c}") / size("__n")).alias(f"n{c}") for c in "xyz"], "deviation", F.coalesce("boundary", F.lit(0)).alias("boundary"))
 
 
 def geometry_digest(points: DataFrame, corners: DataFrame, keys: Sequence[str], digits: int = 9) -> DataFrame:
@@ -111,9 +122,40 @@ def uv_overlap(tris: DataFrame, keys: Sequence[str], grid: int) -> DataFrame:
     return outs.join(used, list(keys), "left").select(*keys, F.coalesce("used", F.lit(0.0)).alias("used"), F.coalesce("overlapping", F.lit(0.0)).alias("overlapping"), "out_of_bounds")
 
 
-def ground_contact(parts: DataFrame, keys: Sequence[str], low: str, high: str, width: str, near: float = 0.02, thin: float = 0.2, wide: float = 0.3) -> DataFrame:
-    """Parts that stand on the ground: near the asset's lowest face, thin and wide relative to the asset."""
+def loose_vertices(corners: DataFrame, points: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """How many points of each mesh no face uses."""
+    used = corners.select(*keys, "vertex").distinct()
+    by = points.join(used.withColumn("__u", F.lit(1)), [*keys, "vertex"], "left").groupBy(*keys).agg(F.count_if(F.col("__u").isNull()).alias("loose"))
+    return by
+
+
+def face_components(corners: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """How many pieces each mesh has, of faces that share an edge."""
+    k = list(keys)
+    e = directed_edges(corners, k).select(*k, "face", F.least("u", "v").alias("lo"), F.greatest("u", "v").alias("hi"))
+    name = F.concat_ws("\x1f", *[F.col(c).cast("string") for c in k], F.col("face").cast("string"))
+    named = e.withColumn("node", name)
+    first = named.groupBy(*k, "lo", "hi").agg(F.min("node").alias("a"))
+    labels = connected_components(named.join(first, [*k, "lo", "hi"]).select("a", F.col("node").alias("b")), named.select("node"))
+    return named.select(*k, "node").distinct().join(labels, "node").groupBy(*k).agg(F.count_distinct("component").alias("components"))
+
+
+#: An axis is up if it holds at least so much of the unit vector, and each other at most so much.
+UP, OFF_UP = 0.9, 0.1
+
+
+def up_axis(x: str, y: str, z: str) -> Column:
+    """The axis that an up vector stands along (x, y or z); null if it leans."""
+    size = {c: F.abs(F.col(n)) for c, n in zip("xyz", (x, y, z), strict=True)}
+    others = lambda c: F.greatest(*[v for n, v in size.items() if n != c])
+    return F.coalesce(*[F.when((v >= UP) & (others(c) <= OFF_UP), F.lit(c)) for c, v in size.items()])
+
+
+def ground_contact(parts: DataFrame, keys: Sequence[str], low: str, high: str, width: str, near: float = 0.02, thin: float = 0.2, wide: float = 0.3, up: str = "") -> DataFrame:
+    """Parts that stand on the ground: near the asset's lowest face, thin and wide relative to the asset. With a column ``up`` (of :func:`up_axis`) assets that lean are skipped: ``ground`` is null, and ``state`` says so."""
     w = Window.partitionBy(*keys)
     height = F.max(high).over(w) - F.min(low).over(w)
     at = (F.col(low) - F.min(low).over(w) <= near * height) & (F.col(high) - F.col(low) <= thin * height) & (F.col(width) >= wide * F.max(width).over(w))
-    return parts.withColumn("ground", at)
+    if not up:
+        return parts.withColumn("ground", at)
+    return parts.withColumn("ground", F.when(F.col(up).isNotNull(), at)).withColumn("state", F.when(F.col(up).isNull(), "up_axis_not_aligned").otherwise("checked"))

@@ -68,6 +68,17 @@ def lane_quota(df: DataFrame, keys: Sequence[str], id_col: str, lane: str, lanes
     return turn.withColumn("slot", F.row_number().over(Window.partitionBy(*keys).orderBy("round", "__n", id_col))).where(F.col("slot") <= budget).drop("__n")
 
 
+#: The orders in which lanes get their first slot, and in which they get further ones.
+FIRST_SLOTS, FURTHER_SLOTS = ("selection", "tournament", "visual"), ("tournament", "selection", "visual")
+
+
+def lane_slots(df: DataFrame, keys: Sequence[str], id_col: str, lane: str, budget: int, first: Sequence[str] = FIRST_SLOTS, further: Sequence[str] = FURTHER_SLOTS) -> DataFrame:
+    """Slots of a budget: one for each lane in the order ``first``, then further ones in turn in the order ``further``. A lane without more rows passes its turn; each lane's rows come by rank."""
+    at = lambda names: F.array_position(F.array(*map(F.lit, names)), F.col(lane))
+    turn = df.withColumn("round", F.row_number().over(Window.partitionBy(*keys, lane).orderBy("rank", id_col))).withColumn("__n", F.when(F.col("round") == 1, at(first)).otherwise(at(further)))
+    return turn.withColumn("slot", F.row_number().over(Window.partitionBy(*keys).orderBy("round", "__n", id_col))).where(F.col("slot") <= budget).drop("__n")
+
+
 def _even(i: Column, n: int, count: Column) -> Column:
     """Whether a 0-based place is one of ``n`` evenly spaced places of ``count``."""
     picks = [F.floor(F.lit(k) * (count - 1) / (n - 1)) if n > 1 else F.lit(0) for k in range(n)]
@@ -98,6 +109,28 @@ def group_step(df: DataFrame, keys: Sequence[str], id_col: str, score: str, base
     return top.select(*keys, reason.alias("reason"), F.when(reason == "changed", F.col("winner")).otherwise(F.col("base")).alias("selected"))
 
 
+def group_round(df: DataFrame, keys: Sequence[str], id_col: str, score: str, baseline: str, comparable: str, all_pass: str, min_gain: float, min_margin: float, tolerance: float = 1e-12) -> DataFrame:
+    """One round of a group: the candidate that is promoted or the baseline, with the reason, by the first check that decides.
+
+    A baseline that is missing or not ``comparable`` stays, and so does one that is the best itself. The best candidate that passes in all views (``all_pass``), while the baseline
+    does not, is promoted at once; else it needs ``min_gain`` over the baseline and ``min_margin`` over the next candidate, both up to ``tolerance``.
+    """
+    k = list(keys)
+    base = df.where(F.col(baseline)).groupBy(*k).agg(F.min(F.struct(F.col(id_col).alias("id"), F.col(score).alias("score"), F.col(comparable).alias("comparable"), F.col(all_pass).alias("whole"))).alias("b"))
+    w = Window.partitionBy(*k).orderBy(F.desc(score), id_col)
+    top = df.withColumn("__next", F.lead(score).over(w)).withColumn("__r", F.row_number().over(w)).where("__r = 1")
+    met = top.join(base, k, "left")
+    reason = (
+        F.when(F.col("b").isNull() | ~F.coalesce(F.col("b.comparable"), F.lit(False)), "baseline_not_comparable")
+        .when(F.col(id_col) == F.col("b.id"), "baseline_best")
+        .when(F.col(all_pass) & ~F.col("b.whole"), "all_views_pass")
+        .when(F.col(score) - F.col("b.score") < min_gain - tolerance, "gain_too_small")
+        .when(F.col("__next").isNotNull() & (F.col(score) - F.col("__next") < min_margin - tolerance), "margin_too_small")
+        .otherwise("improved")
+    )
+    return met.select(*k, reason.alias("reason"), F.when(reason.isin("all_views_pass", "improved"), F.col(id_col)).otherwise(F.col("b.id")).alias("selected"))
+
+
 def best_observation(df: DataFrame, keys: Sequence[str], view: str, pixels: str, purity: str, colourful: str, enough: float = 512, share: float = 0.75) -> DataFrame:
     """The view to show: most pixels; if even that has few, purity first; else the most colourful of those with nearly as many."""
     most = df.withColumn("__max", F.max(pixels).over(Window.partitionBy(*keys)))
@@ -121,3 +154,32 @@ def nonregression(base: DataFrame, final: DataFrame, keys: Sequence[str], metric
     delta = F.round(F.col("__f") - F.col("__b"), 6)
     status = F.when(delta.isNull(), "missing").when(delta < -tolerance, "regressed").when(delta > tolerance, "improved").otherwise("same")
     return both.select(*keys, "metric", delta.alias("delta"), status.alias("status"))
+
+
+#: Parts of the compatibility score, what each mismatch costs, and what a missing signal counts.
+COMPATIBILITY, MISSING = {"retrieval": 0.25, "colour": 0.5, "texture": 0.25}, 0.5
+PENALTIES = {"transmission": 0.40, "texture_mismatch": 0.20, "colour_gate": 0.50}
+
+
+def compatibility(signals: dict[str, Column], faults: dict[str, Column]) -> Column:
+    """A quarter retrieval, half colour, a quarter texture, less the penalties of the faults that hold (transmission on an opaque part, texture mismatch, colour gate)."""
+    score = sum((w * F.coalesce(signals[n], F.lit(MISSING)) for n, w in list(COMPATIBILITY.items())[1:]), COMPATIBILITY["retrieval"] * F.coalesce(signals["retrieval"], F.lit(MISSING)))
+    for n, c in faults.items():
+        score = score - F.when(c, PENALTIES[n]).otherwise(0.0)
+    return score
+
+
+def guard_choice(choices: DataFrame, scores: DataFrame, keys: Sequence[str], id_col: str, score: str, limit: Column) -> DataFrame:
+    """A choice stays unless its score is below the best candidate's by more than ``limit``; then the best takes its place. choices: (keys, choice)."""
+    k = list(keys)
+    best = rank_scores(scores, k, score, id_col, 1).select(*k, F.col(id_col).alias("__best"), F.col(score).alias("__top"))
+    own = choices.join(scores.select(*k, F.col(id_col).alias("choice"), F.col(score).alias("__own")), [*k, "choice"])
+    return own.join(best, k).select(*k, F.when(F.round(F.col("__top") - F.col("__own"), 8) > limit, F.col("__best")).otherwise(F.col("choice")).alias("choice"))
+
+
+def select_membership(views: DataFrame, keys: Sequence[str], expanded: str, base: str, better: float = 0.05, worse: float = 0.3, min_gain: float = 0.015, min_views: int = 2) -> DataFrame:
+    """Expanded (M1) or base (M0) membership: enough mean gain, ``min_views`` views better and none much worse; missing evidence keeps M0. views: one row for each view."""
+    delta = F.round(F.col(expanded) - F.col(base), 8)
+    g = views.groupBy(*keys).agg(F.count_if(delta > better).alias("improved"), F.count_if(delta < -worse).alias("regressed"), F.round(F.avg(expanded) - F.avg(base), 8).alias("gain"))
+    won = (F.coalesce("gain", F.lit(-1.0)) >= min_gain) & (F.col("improved") >= min_views) & (F.col("regressed") == 0)
+    return g.select(*keys, "improved", "regressed", F.when(won, "M1").otherwise("M0").alias("mode"))

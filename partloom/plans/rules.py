@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -30,10 +31,32 @@ def first_rule(df: DataFrame, rules: Sequence[tuple[str, str]], text_col: str, d
     return out.otherwise(default)
 
 
-def compatible(df: DataFrame, substrates: str, substrate: str, treatment_a: str, treatment_b: str, optical_a: str, optical_b: str, wildcard: str = "any") -> Column:
-    """Substrate in the list, treatments equal (null equals null), optics equal or a wildcard."""
-    optics = F.col(optical_a).eqNullSafe(F.col(optical_b)) | (F.col(optical_a) == wildcard) | (F.col(optical_b) == wildcard)
-    return F.array_contains(substrates, F.col(substrate)) & F.col(treatment_a).eqNullSafe(F.col(treatment_b)) & optics
+def rule_parameters(df: DataFrame, path_col: str, name_col: str, material_col: str, tag_col: str, rules: Sequence[dict], presets: dict[str, dict[str, float]], names: Sequence[str]) -> DataFrame:
+    """Parameters of the first rule that matches, one column for each of ``names``, and the rule's number (null: none).
+
+    A rule has a ``glob`` for the path (* and ?, the whole path), or else a regular expression ``regex`` for the name in any case, and values, and maybe a ``material``. A glob decides before a
+    regular expression of the same rule. A row's own material, if it has a preset, overrides the rule's values; the rule's material, or the row's tag if it has none, only fills what is missing.
+    """
+    like = lambda g: F.col(path_col).rlike("^" + re.escape(g).replace(r"\*", ".*").replace(r"\?", ".") + "$")
+    number = None
+    for i, r in enumerate(rules):
+        hit = (like(r["glob"]) if r.get("glob") else F.lit(False)) | (F.col(name_col).rlike(f"(?i){r['regex']}") if r.get("regex") else F.lit(False))
+        number = F.when(hit, i) if number is None else number.when(hit, i)
+    found = df.withColumn("rule", number)
+    preset = lambda c, n: F.coalesce(*[F.when(c == m, F.lit(v.get(n)).cast("double")) for m, v in presets.items()])
+    rule = lambda f: F.coalesce(*[F.when(F.col("rule") == i, F.lit(f(r))) for i, r in enumerate(rules)])
+    tag = F.coalesce(rule(lambda r: r.get("material")).cast("string"), F.col(tag_col))
+    return found.withColumns({n: F.coalesce(preset(F.col(material_col), n), rule(lambda r, n=n: r.get(n)).cast("double"), preset(tag, n)) for n in names})
+
+
+def compatible_pairs(left: DataFrame, right: DataFrame, wildcard: str = "any") -> DataFrame:
+    """Rows of ``left`` (array substrates, treatment, optical) with the rows of ``right`` (substrate, treatment, optical) that go with them: substrate in the list, treatments equal
+    (null equals null), optics equal or a wildcard. Both meet by substrate and treatment."""
+    own = {c: f"__{c}" for c in ("treatment", "optical")}
+    l = left.withColumn("__substrate", F.explode(F.array_distinct("substrates"))).withColumnsRenamed(own)  # noqa: E741
+    on = [F.col("__substrate") == F.col("substrate"), F.col("__treatment").eqNullSafe(F.col("treatment"))]
+    optics = F.col("__optical").eqNullSafe(F.col("optical")) | (F.col("__optical") == wildcard) | (F.col("optical") == wildcard)
+    return l.join(right, on).where(optics).drop("__substrate", "__treatment", "__optical")
 
 
 def compact_ranges(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
@@ -110,14 +133,27 @@ def apply_review(suggestions: DataFrame, decisions: DataFrame, keys: Sequence[st
     return out.select(*keys, new.alias(value), F.coalesce("decision", F.lit("pending")).alias("state"))
 
 
+def framed(columns: Sequence[str]) -> Column:
+    """The columns' texts one after another, each after its length, so that no two rows of different values give one text; null is no empty text."""
+    text = lambda c: F.col(c).cast("string")
+    return F.concat(*[F.coalesce(F.concat(F.char_length(text(c)).cast("string"), F.lit(":"), text(c)), F.lit("-")) for c in columns])
+
+
 def sealed_digest(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """One digest for each key over its rows, whatever their order: the sum and the number of row hashes, hashed. No group is collected."""
-    row = F.conv(F.substring(F.sha2(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]), 256), 1, 15), 16, 10).cast("decimal(20,0)")
-    by = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"), F.sum(row).cast("decimal(38,0)").alias("__s"))
-    return by.select(*keys, "rows", F.sha2(F.concat_ws("|", F.col("rows").cast("string"), F.col("__s").cast("string")), 256).alias("digest"))
+    """One digest for each key over its rows, whatever their order: their number and two sums of 60 bits of their hashes, hashed. No group is collected."""
+    hashed = df.select(*keys, F.sha2(framed(columns), 256).alias("__h"))
+    part = lambda at: F.sum(F.conv(F.substring("__h", at, 15), 16, 10).cast("decimal(20,0)")).cast("decimal(38,0)").cast("string")
+    by = hashed.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"), part(1).alias("__s"), part(16).alias("__t"))
+    return by.select(*keys, "rows", F.sha2(F.concat_ws("|", F.col("rows").cast("string"), "__s", "__t"), 256).alias("digest"))
 
 
 def assembly_domain(path: Column, depth: int) -> Column:
     """The path segment at ``depth`` (from 1) of a path without its last part; shallower paths are the root's."""
     parts = F.filter(F.split(path, "/"), lambda x: x != "")
     return F.when(F.size(parts) > depth, F.get(parts, F.lit(depth - 1))).otherwise("root")
+
+
+def candidate_plans(parts: DataFrame, group: str, candidates: Sequence) -> DataFrame:
+    """The changes of one plan for each group and candidate, with the plan's id: the parts of the group; all others stay as they are. candidates: a short list."""
+    chosen = F.explode(F.array(*[F.lit(c) for c in candidates]))
+    return parts.withColumn("candidate", chosen).withColumn("candidate_id", content_id("C_", F.col(group), F.col("candidate")))

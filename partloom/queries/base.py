@@ -48,9 +48,11 @@ PARTS = """parts AS (SELECT p_partkey AS part_id, p_name AS name, p_brand AS bra
   p_partkey * 37 % 256 AS r, p_partkey * 91 % 256 AS g, p_partkey * 151 % 256 AS b FROM part)"""
 
 
-def rounded(df: DataFrame, digits: int = 6, nudge: float = 0.0) -> DataFrame:
-    """All doubles rounded, for comparison with another engine; nudge: added before, where exact halves occur."""
-    return df.select(*[F.round(F.col(c) + nudge, digits).alias(c) if t in ("double", "float") else F.col(c) for c, t in df.dtypes])
+def rounded(df: DataFrame, digits: int = 6, shift: float = 0.0) -> DataFrame:
+    """All doubles, moved by ``shift``, rounded to so many digits for comparison with another engine: the scaled binary number to the nearest whole one, halves away from zero."""
+    scale = float(10**digits)
+    near = lambda c: F.signum(c) * F.floor(F.abs(c) * scale + 0.5) / scale + 0.0
+    return df.select(*[F.when(F.abs(c) < 1e9, near(F.col(c) + shift)).otherwise(F.col(c)).alias(c) if t in ("double", "float") else F.col(c) for c, t in df.dtypes])
 
 
 def linear(c: str) -> str:

@@ -51,12 +51,10 @@ def p04(spark, d):
 
 @query("p05_compatible", f"""WITH {PARTS} SELECT part_id, s_suppkey AS supplier FROM parts JOIN supplier ON list_contains([size % 3, size % 5], s_suppkey % 4) AND nullif(size % 2, 1) IS NOT DISTINCT FROM nullif(s_suppkey % 2, 1) AND (type = 'PROMO' OR s_suppkey % 3 = 0)""")
 def p05(spark, d):
-    from partloom.operators.joins import small
-
-    p = parts(spark, d).select("part_id", F.array(F.col("size") % 3, F.col("size") % 5).alias("substrates"), F.nullif(F.col("size") % 2, F.lit(1)).alias("ta"), F.when(F.col("type") == "PROMO", "any").otherwise("x").alias("oa"))
+    p = parts(spark, d).select("part_id", F.array(F.col("size") % 3, F.col("size") % 5).alias("substrates"), F.nullif(F.col("size") % 2, F.lit(1)).alias("treatment"), F.when(F.col("type") == "PROMO", "any").otherwise("x").alias("optical"))
     k = F.col("s_suppkey")
-    s = table(spark, d, "supplier").select(k.alias("supplier"), (k % 4).alias("substrate"), F.nullif(k % 2, F.lit(1)).alias("tb"), F.when(k % 3 == 0, "any").otherwise("y").alias("ob"))
-    return p.join(small(s), rules.compatible(p, "substrates", "substrate", "ta", "tb", "oa", "ob")).select("part_id", "supplier")
+    s = table(spark, d, "supplier").select(k.alias("supplier"), (k % 4).alias("substrate"), F.nullif(k % 2, F.lit(1)).alias("treatment"), F.when(k % 3 == 0, "any").otherwise("y").alias("optical"))
+    return rules.compatible_pairs(p, s).select("part_id", "supplier")
 
 
 @query("p06_first_rule", f"WITH {PARTS} SELECT part_id, CASE WHEN regexp_matches(name, 'BOLT|rod$', 'i') THEN 'steel' WHEN regexp_matches(name, '^cold', 'i') THEN 'ice' WHEN regexp_matches(name, 'widget', 'i') THEN 'plastic' ELSE 'default' END AS material FROM parts")
@@ -127,7 +125,7 @@ def p16(spark, d):
     return parts(spark, d).select("part_id", F.when(F.col("size") >= 10, F.round(F.greatest(F.lit(0.02), F.least(F.lit(0.8), c)), 6)).alias("base"))
 
 
-@query("s02_fingerprint", "SELECT doc_id, sha256('v' || lang || '|v' || source || '|v' || text) AS fingerprint FROM documents")
+@query("s02_fingerprint", "SELECT doc_id, sha256(length(lang) || ':' || lang || length(source) || ':' || source || coalesce(length(text) || ':' || text, '-')) AS fingerprint FROM documents")
 def s02(spark, d):
     return table(spark, d, "documents").select("doc_id", files.fingerprint(["text", "lang", "source"]).alias("fingerprint"))
 
@@ -168,7 +166,8 @@ def s10(spark, d):
     return files.build_manifest(table(spark, d, "orders").select(F.col("o_orderkey").alias("k")), li, ["k"])
 
 
-@query("s11_sealed_digest", """WITH h AS (SELECT p_brand AS brand, CAST(('0x' || substr(sha256(p_partkey || '|' || p_type), 1, 15)) AS BIGINT) AS v FROM part) SELECT brand, count(*) AS rows, sha256(count(*) || '|' || CAST(sum(v) AS VARCHAR)) AS digest FROM h GROUP BY brand""")
+@query("s11_sealed_digest", """WITH s AS (SELECT p_brand AS brand, sha256(length(CAST(p_partkey AS VARCHAR)) || ':' || p_partkey || length(p_type) || ':' || p_type) AS s FROM part), h AS (SELECT brand, CAST(('0x' || substr(s, 1, 15)) AS BIGINT) AS v, CAST(('0x' || substr(s, 16, 15)) AS BIGINT) AS w FROM s)
+SELECT brand, count(*) AS rows, sha256(count(*) || '|' || CAST(sum(v) AS VARCHAR) || '|' || CAST(sum(w) AS VARCHAR)) AS digest FROM h GROUP BY brand""")
 def s11(spark, d):
     return rules.sealed_digest(table(spark, d, "part").withColumnRenamed("p_brand", "brand"), ["brand"], ["p_partkey", "p_type"])
 

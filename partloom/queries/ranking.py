@@ -61,13 +61,13 @@ def w03(spark, d):
 
 @query(
     "w05_compatibility",
-    f"""WITH {OBS}, {CAND}, s AS (SELECT part_id, view_id, round(0.25 * coalesce(pixels / 200, 0.5) + 0.5 * colour + 0.25 * texture * 12 - CASE WHEN gate THEN 0.5 ELSE 0 END, 6) AS score FROM cand)
+    f"""WITH {OBS}, {CAND}, s AS (SELECT part_id, view_id, round(0.25 * coalesce(pixels / 200, 0.5) + 0.5 * coalesce(nullif(colour, 0), 0.5) + 0.25 * texture * 12 - CASE WHEN gate THEN 0.5 ELSE 0 END - CASE WHEN view_id % 7 = 0 THEN 0.4 ELSE 0 END - CASE WHEN texture < 0.02 THEN 0.2 ELSE 0 END, 6) AS score FROM cand)
 SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY part_id ORDER BY score DESC, view_id) AS rank FROM s) WHERE rank <= 4""",
 )
 def w05(spark, d):
     """Composite compatibility with penalties; a missing signal counts one half."""
     c = candidates(spark, d)
-    score = 0.25 * F.coalesce(F.col("pixels") / 200, F.lit(0.5)) + 0.5 * F.col("colour") + 0.25 * F.col("texture") * 12 - F.when(F.col("gate"), 0.5).otherwise(0.0)
+    score = rank.compatibility({"retrieval": F.col("pixels") / 200, "colour": F.nullif("colour", F.lit(0.0)), "texture": F.col("texture") * 12}, {"colour_gate": F.col("gate"), "transmission": F.col("view_id") % 7 == 0, "texture_mismatch": F.col("texture") < 0.02})
     return rank.rank_scores(c.select("part_id", "view_id", F.round(score, 6).alias("score")), ["part_id"], "score", "view_id", 4)
 
 
@@ -140,12 +140,9 @@ g AS (SELECT part_id, count(*) FILTER (WHERE round(m1 - m0, 8) > 0.05) AS improv
 SELECT part_id, improved, regressed, CASE WHEN coalesce(gain, -1) >= 0.015 AND improved >= 2 AND regressed = 0 THEN 'M1' ELSE 'M0' END AS mode FROM g""",
 )
 def w11(spark, d):
-    """Expanded against baseline: enough gain, two views better, none much worse; missing evidence keeps the baseline."""
     o = observations(spark, d)
     v = o.groupBy("part_id", "view_id").agg(F.max(F.when(F.col("line") > 3, F.col("score"))).alias("m1"), F.max(F.when(F.col("line") <= 3, F.col("score"))).alias("m0"))
-    delta = F.round(F.col("m1") - F.col("m0"), 8)
-    g = v.groupBy("part_id").agg(F.count_if(delta > 0.05).alias("improved"), F.count_if(delta < -0.3).alias("regressed"), F.round(F.avg("m1") - F.avg("m0"), 8).alias("gain"))
-    return g.select("part_id", "improved", "regressed", F.when((F.coalesce("gain", F.lit(-1.0)) >= 0.015) & (F.col("improved") >= 2) & (F.col("regressed") == 0), "M1").otherwise("M0").alias("mode"))
+    return rank.select_membership(v, ["part_id"], "m1", "m0")
 
 
 @query(
@@ -154,12 +151,10 @@ def w11(spark, d):
 SELECT c.part_id, CASE WHEN round(b.colour - x.colour, 8) > CASE WHEN c.part_id % 5 = 0 THEN 0 ELSE 0.2 END THEN b.view_id ELSE c.choice END AS choice FROM c JOIN cand x ON x.part_id = c.part_id AND x.view_id = c.choice JOIN b ON b.part_id = c.part_id AND b.r = 1""",
 )
 def w12(spark, d):
-    """A choice stays unless it is worse than the local best by more than a limit, which is zero for colour-critical parts."""
+    """The limit is zero for colour-critical parts."""
     c = candidates(spark, d)
-    best = rank.rank_scores(c, ["part_id"], "colour", "view_id", 1).select("part_id", F.col("view_id").alias("best"), F.col("colour").alias("best_score"))
-    chosen = c.groupBy("part_id").agg(F.max("view_id").alias("choice")).join(c.select("part_id", F.col("view_id").alias("choice"), "colour"), ["part_id", "choice"])
-    limit = F.when(F.col("part_id") % 5 == 0, 0.0).otherwise(0.2)
-    return chosen.join(best, "part_id").select("part_id", F.when(F.round(F.col("best_score") - F.col("colour"), 8) > limit, F.col("best")).otherwise(F.col("choice")).alias("choice"))
+    chosen = c.groupBy("part_id").agg(F.max("view_id").alias("choice"))
+    return rank.guard_choice(chosen, c, ["part_id"], "view_id", "colour", F.when(F.col("part_id") % 5 == 0, 0.0).otherwise(0.2))
 
 
 @query(

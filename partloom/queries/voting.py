@@ -78,13 +78,13 @@ def a08(spark, d):
     return gates.fuse_evidence(observations(spark, d), ["part_id"], ["score", "tax"], "status", "view_id", 0.3333)
 
 
-_HSV = """hsv AS (SELECT part_id, brand, mx AS v, CASE WHEN mx = 0 THEN 0 ELSE (mx - mn) / mx END AS s,
+HSV = """hsv AS (SELECT part_id, brand, mx AS v, CASE WHEN mx = 0 THEN 0 ELSE (mx - mn) / mx END AS s,
   CASE WHEN mx = mn THEN 0 WHEN mx = fr THEN (((fg - fb) / (mx - mn)) % 6 + 6) % 6 WHEN mx = fg THEN (fb - fr) / (mx - mn) + 2 ELSE (fr - fg) / (mx - mn) + 4 END / 6 AS h
   FROM (SELECT part_id, brand, r / 255.0::DOUBLE AS fr, g / 255.0::DOUBLE AS fg, b / 255.0::DOUBLE AS fb, greatest(r, g, b) / 255.0::DOUBLE AS mx, least(r, g, b) / 255.0::DOUBLE AS mn FROM parts)),
 col AS (SELECT *, CASE WHEN v < 0.12 THEN 'black' WHEN s < 0.18 AND v > 0.85 THEN 'white' WHEN s < 0.18 THEN 'grey' ELSE list_extract(['red', 'yellow', 'green', 'cyan', 'blue', 'magenta'], CAST(floor(h * 6 + 0.5) AS BIGINT) % 6 + 1) END AS colour FROM hsv)"""
 
 
-@query("a09_colour_distribution", f"WITH {PARTS}, {_HSV}, n AS (SELECT brand, colour, count(*) AS n FROM col GROUP BY ALL) SELECT brand, colour, n, round(n / sum(n) OVER (PARTITION BY brand), 6) AS share FROM n")
+@query("a09_colour_distribution", f"WITH {PARTS}, {HSV}, n AS (SELECT brand, colour, count(*) AS n FROM col GROUP BY ALL) SELECT brand, colour, n, round(n / sum(n) OVER (PARTITION BY brand), 6) AS share FROM n")
 def a09(spark, d):
     from pyspark.sql import Window
 
@@ -269,7 +269,7 @@ def a33(spark, d):
 
 @query(
     "f_colour_features",
-    f"""WITH {PARTS}, {_HSV}, {lab_sql("parts", "part_id, brand")} SELECT part_id, round(lab_l, 4) AS l, round(lab_a, 4) AS a, round(lab_b, 4) AS b, round(h, 5) AS h, round(s, 5) AS s, round(v, 5) AS v, colour FROM lab JOIN col USING (part_id)""",
+    f"""WITH {PARTS}, {HSV}, {lab_sql("parts", "part_id, brand")} SELECT part_id, round(lab_l, 4) AS l, round(lab_a, 4) AS a, round(lab_b, 4) AS b, round(h, 5) AS h, round(s, 5) AS s, round(v, 5) AS v, colour FROM lab JOIN col USING (part_id)""",
 )
 def f_features(spark, d):
     p = color.add_colour_features(parts(spark, d), "r", "g", "b")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from partloom.plans.rules import sealed_digest
+from partloom.plans.rules import framed, sealed_digest
 
 
 def file_inventory(spark: SparkSession, root: str, suffixes: Sequence[str], name_contains: str = "", exclude: str = "mask") -> DataFrame:
@@ -23,8 +23,8 @@ def file_inventory(spark: SparkSession, root: str, suffixes: Sequence[str], name
 
 
 def fingerprint(columns: Sequence[str]) -> Column:
-    """SHA-256 of the columns' texts, in order of name; null and empty differ."""
-    return F.sha2(F.concat_ws("|", *[F.coalesce(F.concat(F.lit("v"), F.col(c).cast("string")), F.lit("n")) for c in sorted(columns)]), 256)
+    """SHA-256 of the columns' texts, in order of name, each after its length."""
+    return F.sha2(framed(sorted(columns)), 256)
 
 
 def read_contract(df: DataFrame, text_col: str, schema: T.StructType, required: Sequence[str]) -> DataFrame:
@@ -71,10 +71,13 @@ def load_bank(bank: DataFrame, catalog: DataFrame, key: str, vector: str, size:
 
 
 def pixel_table(images: DataFrame, step: int = 1) -> DataFrame:
-    """(image, x, y, r, g, b) of decoded images (image, width, height, channels in BGR order, data), each ``step``-th pixel of each ``step``-th row."""
-    at = F.explode(F.expr(f"flatten(transform(sequence(0, height - 1, {step}), y -> transform(sequence(0, width - 1, {step}), x -> struct(x, y))))"))
-    byte = lambda i: F.conv(F.hex(F.substring("data", (F.col("p.y") * F.col("width") + F.col("p.x")) * F.col("channels") + i, F.lit(1))), 16, 10).cast("int")
-    return images.select("image", "width", "channels", "data", at.alias("p")).select("image", "p.x", "p.y", byte(3).alias("r"), byte(2).alias("g"), byte(1).alias("b"))
+    """(image, x, y, r, g, b) of decoded images (image, width, height, channels in BGR order, data), each ``step``-th pixel of each ``step``-th row. Images are cut into rows first, and rows into pixels."""
+    wide = F.col("width") * F.col("channels")
+    rows = images.select("image", "width", "channels", "data", F.explode(F.expr(f"sequence(0, height - 1, {step})")).alias("y"))
+    rows = rows.select("image", "width", "channels", "y", F.substring("data", F.col("y") * wide + 1, wide).alias("line"))
+    cells = rows.select("image", "y", "channels", "line", F.explode(F.expr(f"sequence(0, width - 1, {step})")).alias("x"))
+    byte = lambda i: F.conv(F.hex(F.substring("line", F.col("x") * F.col("channels") + i, F.lit(1))), 16, 10).cast("int")
+    return cells.select("image", "x", "y", byte(3).alias("r"), byte(2).alias("g"), byte(1).alias("b"))
 
 
 def decode_part_ids(pixels: DataFrame, parts: DataFrame) -> DataFrame:
