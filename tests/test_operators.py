@@ -110,7 +110,7 @@ def test_knn_in_blocks_equals_broadcast(spark, monkeypatch):
 def test_assignment_against_all_permutations(spark):
     r = random.Random(7)
     rows = [(a, v, p, round(r.random(), 3)) for a in range(6) for v in range(3) for p in range(4) if r.random() < 0.7]
-    got = {x.k: x.total for x in joins.assign_one_to_one(spark.createDataFrame(rows, "k long, v long, p long, s double"), ["k"], "v", "p", "s", 3).collect()}
+    got = {x.k: x.total for x in joins.assign_one_to_one(spark.createDataFrame(rows, "k long, v long, p long, s double"), ["k"], "v", "p", "s").collect()}
     for a in got:
         s = {(v, p): x for k, v, p, x in rows if k == a}
         views = sorted({v for v, _ in s})
