@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from itertools import pairwise
 
 import numpy as np
@@ -16,7 +16,34 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Rows, and bytes of text where a task asks for it, that a Python task turns into lists at one time, whatever Arrow's batch size is.
-SLICE_ROWS, SLICE_BYTES = 256, 1_500_000
+SLICE_ROWS, SLICE_BYTES = 256, 600_000
+
+
+#: Rows in a batch between Spark and its Python workers, where the session has Spark's default. Whole texts make the default some ten times as large as the workers need, on both sides.
+BATCH_ROWS = 1000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Sets the rows of a batch for jobs over whole texts, unless the session has a setting of its own."""
+    if spark.conf.get(_BATCH, "10000") == "10000":
+        spark.conf.set(_BATCH, str(BATCH_ROWS))
+
+
+_held: dict = {}
+
+
+def held(key: tuple, make: Callable):
+    """What a Python worker keeps from one task to the next: the tables of one operator, and nothing of others that ran in it before."""
+    if key not in _held:
+        _held.clear()
+        _held[key] = make()
+    return _held[key]
+
+
+def released() -> None:
+    """For tasks that keep nothing: drops what other operators have left in the worker."""
+    _held.clear()
 
 
 def shared_folder(spark: SparkSession) -> str:

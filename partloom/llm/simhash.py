@@ -12,6 +12,11 @@ not joined with itself. Its nodes take an exact way without pairs: two
 fingerprints differ in at most 2 bits just when some number is at most 1 bit from both, so each
 node names the 65 numbers within 1 bit and all that name the same one are linked to the smallest.
 
+Texts alike (:func:`similar_texts`, for the pipeline): 64 bits cannot tell pairs of similarity 0.8 from others and share
+blocks too. There a fingerprint is so long that it is cut into ``blocks_for(...)`` blocks of as many bits as the number of documents has:
+two texts with the shingle similarity share a block with the wanted probability, and few others do. Pairs of small buckets are verified by Hamming distance
+over all bits; a bucket with more than ``bucket`` nodes is linked to its smallest node and cut again by the next two blocks.
+
 Groups: connected components by alternating large-star and small-star steps, each
 step written to the shared folder. Nothing is collected but a count of changes.
 
@@ -22,6 +27,7 @@ name unless all are null; repeated rows are rows of one group; an empty table gi
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
 from itertools import combinations
 
@@ -32,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from partloom.llm.common import replaced, shared_folder, slices, stored, texts, with_fields
+from partloom.llm.common import bounded_batches, released, replaced, shared_folder, slices, stored, texts, with_fields
 
 #: The letters that are lower-cased.
 _LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
@@ -57,10 +63,12 @@ def fingerprint_of(text: str, shingle: int = 3) -> int:
 
 def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, carry: Sequence[str] = ()) -> DataFrame:
     """Adds ``fingerprint`` (long, the 64 bits as a signed number), without the text. No shuffle."""
+    bounded_batches(df.sparkSession)
     rows = texts(df, id_col, text_col, carry)
     schema = with_fields(rows, ["__text"], [("fingerprint", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        released()
         for batch in slices(batches):
             bits = np.array([fingerprint_of(t, shingle) for t in batch.column("__text").to_pylist()], np.uint64)
             yield replaced(batch, schema, {"fingerprint": pa.array(bits.view(np.int64))})
@@ -80,14 +88,14 @@ def links(nodes: DataFrame, max_bits: int = 2, blocks: int = 4, bucket: int = 64
     """Edges (a, b), a < b, over distinct fingerprints ``fp``.
 
     Pairs come from buckets of at most ``bucket`` nodes; a larger bucket gives a star of links for every number near
-    its nodes, which connects just the same fingerprints. That way is for ``max_bits`` = 2, so others take all buckets as pairs.
+    its nodes, which connects just the same fingerprints. That way is for ``max_bits`` = 2, and other values are an error.
     """
     choices = F.array(*[F.struct(F.lit(i).alias("table"), F.lit(m).cast("long").alias("mask")) for i, m in _blocks(blocks, blocks - max_bits)])
     keyed = nodes.select("fp", F.explode(choices).alias("c")).select("fp", "c.table", F.expr("fp & c.mask").alias("key"))
     sizes = keyed.groupBy("table", "key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     shared = keyed.join(sizes, ["table", "key"])
     if max_bits != 2:
-        bucket = 1 << 62
+        raise ValueError("crowded buckets are linked for 2 bits only; see similar_texts for greater distances")
     small = shared.where(F.col("size") <= bucket)
     pairs = small.alias("x").join(small.alias("y"), ["table", "key"]).where("x.fp < y.fp and bit_count(x.fp ^ y.fp) <= " + str(int(max_bits))).select(F.col("x.fp").alias("a"), F.col("y.fp").alias("b"))
     near = F.expr("explode(transform(sequence(0, 64), i -> if(i = 64, fp, fp ^ shiftleft(1L, i))))")
@@ -122,15 +130,129 @@ def components(edges: DataFrame, folder: str, max_rounds: int = 64) -> DataFrame
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_bits: int = 2, blocks: int = 4, bucket: int = 64) -> DataFrame:
     """One row for each row of ``df``: the id, ``fingerprint`` (long) and ``component_id``, the smallest id that can be reached over links."""
-    spark = df.sparkSession
-    folder = shared_folder(spark)
+    folder = shared_folder(df.sparkSession)
     marked = stored(fingerprints(df, id_col, text_col, shingle), folder, "fingerprints")
     nodes = stored(marked.groupBy(F.col("fingerprint").alias("fp")).agg(F.min(id_col).alias("first")), folder, "nodes")
-    roots = components(links(nodes.select("fp"), max_bits, blocks, bucket), folder)
-    placed = nodes.join(roots, nodes.fp == roots.node, "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    named = _named(nodes, "fp", links(nodes.select("fp"), max_bits, blocks, bucket), folder)
+    return marked.join(named.withColumnRenamed("fp", "fingerprint"), "fingerprint").select(id_col, "fingerprint", "component_id")
+
+
+def _named(nodes: DataFrame, node: str, edges: DataFrame, folder: str) -> DataFrame:
+    """(node, component_id): the smallest ``first`` of each node's component."""
+    roots = components(edges, folder).withColumnRenamed("node", node)
+    placed = nodes.join(roots, node, "left").select(node, "first", F.coalesce("root", node).alias("root"))
     names = placed.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = placed.join(names, "root").select(F.col("fp").alias("fingerprint"), "component_id")
-    return marked.join(named, "fingerprint").select(id_col, "fingerprint", "component_id")
+    return placed.join(names, "root").select(node, "component_id")
+
+
+#: Bits by which pairs of buckets are sifted before all bits are compared.
+PROBE = 64
+_MIX = tuple(map(np.uint64, (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)))
+
+
+def differing(similarity: float) -> float:
+    """The share of bits in which two sets of one size with this Jaccard similarity differ, by expectation: their angle over a half turn."""
+    return math.acos(2 * similarity / (1 + similarity)) / math.pi
+
+
+def blocks_for(documents: int, similarity: float, recall: float) -> tuple[int, int]:
+    """(blocks, bits in each): bits enough to give every document a bucket, blocks enough for pairs of the similarity to share one."""
+    width = min(48, max(12, math.ceil(math.log2(max(2, documents)))))
+    shared = (1 - differing(similarity)) ** width
+    return math.ceil(math.log(1 - recall) / math.log(1 - shared)), width
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * _MIX[1]
+    x = (x ^ (x >> np.uint64(27))) * _MIX[2]
+    return x ^ (x >> np.uint64(31))
+
+
+def shingles_of(texts: Sequence[str], shingle: int) -> list[np.ndarray]:
+    """The different shingles of each text, as hashes; none for a text without words."""
+    each = [[w for w in t.translate(_LOWER | _OTHER_SPACE).split(" ") if w] for t in texts]
+    met = pa.array([w for words in each for w in words], pa.string()).dictionary_encode()
+    known = np.array([xxhash.xxh64_intdigest(w, 42) for w in met.dictionary.to_pylist()] or [0], np.uint64)
+    flat = known[met.indices.to_numpy()] if len(met) else known[:0]
+    out, end = [], 0
+    for words in each:
+        own, end = flat[end : end + len(words)], end + len(words)
+        k = min(shingle, len(own))
+        hashed = np.zeros(max(0, len(own) - k + 1) if k else 0, np.uint64)
+        for i in range(k):
+            hashed = hashed * _MIX[0] + own[i : i + len(hashed)]
+        out.append(np.unique(_mixed(hashed)))
+    return out
+
+
+def long_fingerprint(hashes: np.ndarray, bits: int) -> np.ndarray:
+    """So many bits, each set if it is set in more than half of the hashes of its lane."""
+    lanes = np.arange(1, -(-bits // 64) + 1, dtype=np.uint64) * _MIX[0]
+    ones = np.zeros(len(lanes) * 64, np.int64)
+    for at in range(0, len(hashes), 255):  # sums of 255 bits fit one byte
+        lane = _mixed(hashes[at : at + 255, None] + lanes)
+        ones += np.unpackbits(lane.view(np.uint8), axis=1, bitorder="little").sum(0, dtype=np.uint8)
+    return ones[:bits] * 2 > len(hashes)
+
+
+def long_fingerprints(df: DataFrame, id_col: str, text_col: str, shingle: int, blocks: int, width: int) -> DataFrame:
+    """(id, ``blocks`` array<long>, ``probe`` long): the bits of a long fingerprint by block, and ``PROBE`` further ones. No shuffle."""
+    bounded_batches(df.sparkSession)
+    rows = texts(df, id_col, text_col)
+    schema = with_fields(rows, ["__text"], [("blocks", T.ArrayType(T.LongType(), False)), ("probe", T.LongType())])
+    place = 1 << np.arange(width, dtype=np.int64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        released()
+        for batch in slices(batches, by="__text"):
+            bits = np.stack([long_fingerprint(h, blocks * width + PROBE) for h in shingles_of(batch.column("__text").to_pylist(), shingle)])
+            keys = (bits[:, : blocks * width].reshape(len(bits), blocks, width) * place).sum(2)
+            probe = np.packbits(bits[:, blocks * width :], axis=1, bitorder="little").view("<i8")[:, 0]
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(bits) + 1, dtype=np.int32) * blocks), pa.array(keys.reshape(-1)))
+            yield replaced(batch, schema, {"blocks": lists, "probe": pa.array(probe)})
+
+    return rows.mapInArrow(run, schema)
+
+
+def _meet(rows: DataFrame, by: Sequence[str], bucket: int, most: int, folder: str, name: str) -> tuple[DataFrame, DataFrame]:
+    """Pairs (a, b) of nodes in one bucket of which the probes differ in at most ``most`` bits: all of small buckets, those with the smallest node of crowded ones. And the rows of crowded buckets."""
+    sizes = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("size"), F.min(F.struct("node", "probe")).alias("hub")).where("size > 1")
+    shared = stored(rows.join(sizes, list(by)), folder, name)
+    side = lambda n: shared.where(F.col("size") <= bucket).select(*by, F.col("node").alias(n), F.col("probe").alias(f"__{n}"))
+    near = lambda x, y: F.bit_count(F.col(x).bitwiseXOR(F.col(y))) <= most
+    pairs = side("a").join(side("b"), list(by)).where((F.col("a") < F.col("b")) & near("__a", "__b")).select("a", "b")
+    crowded = shared.where(F.col("size") > bucket)
+    stars = crowded.where((F.col("node") > F.col("hub.node")) & near("probe", "hub.probe")).select(F.col("hub.node").alias("a"), F.col("node").alias("b"))
+    return pairs.unionByName(stars), crowded.drop("size", "hub")
+
+
+def similar_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8, recall: float = 0.95, slack: float = 1.5, bucket: int = 64) -> DataFrame:
+    """One row for each row of ``df``: the id and ``component_id``, the smallest id that can be reached over links of texts with this Jaccard similarity of their different shingles, or more.
+
+    recall: how many pairs of just this similarity share a block; of more similar ones more do. Similarity is measured by Hamming distance over all bits, which for a pair of
+    one similarity varies; ``slack`` standard deviations are allowed over the expected distance, so that few pairs of the similarity are lost and some that are a little less alike are linked.
+    """
+    folder = shared_folder(df.sparkSession)
+    blocks, width = blocks_for(df.count(), similarity, recall)
+    bits, share = blocks * width, differing(similarity)
+    bound = lambda n, over: math.floor(n * share + over * math.sqrt(n * share * (1 - share)))
+    marked = stored(long_fingerprints(df, id_col, text_col, shingle, blocks, width), folder, "fingerprints")
+    nodes = stored(marked.groupBy("blocks", "probe").agg(F.min(id_col).alias("first")).withColumn("node", F.monotonically_increasing_id()), folder, "nodes")
+    rows = nodes.select("node", "probe", F.posexplode("blocks").alias("block", "key"))
+    most = bound(PROBE, 3)
+    found, crowded = _meet(rows, ["block", "key"], bucket, most, folder, "shared-1")
+    for level in (2, 3):
+        cut = crowded.join(nodes.select("node", "blocks"), "node").withColumn(f"key{level}", F.get("blocks", (F.col("block") + level - 1) % blocks)).drop("blocks")
+        by = ["block", "key", *[f"key{k}" for k in range(2, level + 1)]]
+        more, crowded = _meet(cut, by, bucket, most, folder, f"shared-{level}")
+        found = found.unionByName(more)
+    pairs = stored(found.distinct(), folder, "pairs")
+    side = lambda n: nodes.select(F.col("node").alias(n), F.col("blocks").alias(f"__{n}"), F.col("probe").alias(f"__p{n}"))
+    apart = F.aggregate(F.zip_with("__a", "__b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.bit_count(F.col("__pa").bitwiseXOR(F.col("__pb"))), lambda s, n: s + n)
+    edges = pairs.join(side("a"), "a").join(side("b"), "b").where(apart <= bound(bits + PROBE, slack)).select("a", "b")
+    named = _named(nodes.select("node", "first"), "node", edges, folder)
+    whole = nodes.select("node", "blocks", "probe").join(named, "node").drop("node")
+    return marked.join(whole, ["blocks", "probe"]).select(id_col, "component_id")
 
 
 def as_hex(fingerprint: Column) -> Column:
