@@ -63,10 +63,31 @@ TEMPLATES += tuple(
     ("BSD-3-Clause", "BSD 3-Clause License."),
     ("proprietary", "All rights reserved."),
 )
+#: Whole texts of short public licences, paragraph by paragraph, and the headers that longer ones ask for.
+TEMPLATES += (
+    ("MIT", "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."),
+    ("MIT", "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."),
+    ("BSD-2-Clause", "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."),
+    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."),
+    ("BSD-3-Clause", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    ("0BSD", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted."),
+    ("Zlib", "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions: The origin of this software must not be misrepresented; you must not claim that you wrote the original software. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software. This notice may not be removed or altered from any source distribution."),
+    ("Unlicense", "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means."),
+    ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    ("BSL-1.0", "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the \"Software\") to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software is furnished to do so."),
+    ("BSL-1.0", "Distributed under the Boost Software License, Version 1.0."),
+    ("LGPL-2.1", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version."),
+    ("AGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."),
+    ("EPL-2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at http://www.eclipse.org/legal/epl-2.0/"),
+    ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work. CC0 1.0 Universal, public domain dedication."),
+    ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License."),
+)
 #: Fixed value: the licence that gives way to any other of the same file.
 RESERVED = "proprietary"
 #: Words that make a line a notice, and names of licence files.
-NOTICE = r"(?i)licen[cs]|copyright|spdx|redistribut|public domain|rights reserved|permission is hereby"
+NOTICE = r"(?i)licen[cs]|copyright|spdx|redistribut|public domain|rights reserved|permission (?:is|to use)|without warrant"
 CUT = r"\n|(?<=[.!?;])\s+(?=[\p{Lu}])|(?=(?i:\ball rights reserved))"
 SPDX = r"(?i)spdx-license-identifier:\s*([^\n]*)"
 FILE_NAME = r"(?i)^(licen[cs]e|copying|notice|copyright)([._-].*)?$"
@@ -127,10 +148,12 @@ def notices(files: DataFrame, forms: DataFrame, least: float, folder: str) -> Da
 
 
 def scan(files: DataFrame, forms: DataFrame, id_col: str, path_col: str = "path", text_col: str = "text", least: float = 0.6, mostly: float = 0.5) -> DataFrame:
-    """One row for each file: id, path, ``licence`` (null: none found), ``origin`` (header, file or directory), ``cosine``, ``from_directory``, ``n_notices`` (lines and sentences that a template explains)."""
+    """``least``: the cosine from which a template explains a notice; ``mostly``: the share of a file's words in explained notices from which the file speaks for its directory.
+
+    One row for each file: id, path, ``licence`` (null: none found), ``origin`` (header, file or directory), ``cosine``, ``from_directory``, ``n_notices`` (lines and sentences that a template explains)."""
     folder = shared_folder(files.sparkSession)
     numbered = files.select(F.col(id_col).alias("id"), F.col(path_col).alias("path"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    numbered = numbered.withColumn("row", F.xxhash64("id", "path", "text"))
+    numbered = numbered.withColumn("row", F.struct(F.xxhash64("id", "path", "text").alias("a"), F.xxhash64(F.lit(7), "text", "path", "id").alias("b")))  # the same for the same row in every pass
     found = stored(notices(numbered.select("row", "text").where("text <> ''"), forms, least, folder).distinct(), folder, "notices")
     weak = F.col("licence") == RESERVED
     best = found.groupBy("row").agg(F.min(F.struct(weak.alias("weak"), (-F.col("cosine")).alias("minus"), "licence")).alias("b"))
