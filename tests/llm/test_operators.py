@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from partloom.llm import bpe, decontamination, exact_dedup, html_wrapper, license_scan, line_dedup, queries, secret_scan, simhash, token_counts, toxicity
+from partloom.llm import bpe, decontamination, exact_dedup, html_wrapper, license_scan, line_dedup, queries, secret_scan, simhash, spelling, token_counts, toxicity
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 LONG = "the quick brown fox " * 9000
@@ -50,11 +50,36 @@ def test_token_counts_of_random_texts():
     library, counter, automaton = Tokenizer.from_file(PATH), token_counts.PrefixCounts(PATH), bpe.Automaton(PATH)
     r = random.Random(5)
     parts = ["a", "aa", " ", "  ", "\n", "\t", "'", "'re", "1", "½", "é", "<|endoftext|>", "<|", "\xa0", "中", "\U0001f600", "ing", "==", "\x1c", "the", " "]
-    for _ in range(400):
-        text = "".join(r.choice(parts) for _ in range(r.randint(0, 12)))
+    texts = ["".join(r.choice(parts) for _ in range(r.randint(0, 12))) for _ in range(400)] + ["x" * 150 + " ", "é" * 80]
+    for text, together, counts in zip(texts, automaton.many(texts), counter.many(texts), strict=True):
         ids = library.encode(text, add_special_tokens=False).ids
-        assert np.frombuffer(automaton.encode(text), "<u4").tolist() == ids
-        assert counter.counts(text).tolist() == [len(library.encode(text[:i], add_special_tokens=False).ids) for i in range(1, len(text) + 1)]
+        assert np.frombuffer(automaton.encode(text), "<u4").tolist() == np.frombuffer(together, "<u4").tolist() == ids
+        assert counter.counts(text).tolist() == counts.tolist() == [len(library.encode(text[:i], add_special_tokens=False).ids) for i in range(1, len(text) + 1)]
+
+
+def test_array_tables():
+    r = random.Random(0)
+    keys = list({r.getrandbits(40) for _ in range(5000)})
+    held = spelling.Table(keys, range(len(keys)))
+    assert held.get(np.array(keys), -7).tolist() == list(range(len(keys))) and len(held) == len(keys)
+    assert held.get(np.array([1 << 50, *keys[:3]]), -7).tolist() == [-7, 0, 1, 2]
+    assert spelling.Table([], []).get(np.array(keys), -7).tolist() == [-7] * len(keys)
+
+
+def test_pairs_of_tokens_that_may_stand_together():
+    """Both predicates, for numbers and for arrays, against merging the bytes in order of rank."""
+    counter, automaton, r = token_counts.PrefixCounts(PATH), bpe.Automaton(PATH), random.Random(8)
+    library = Tokenizer.from_file(PATH)
+    words = [t for t in (v.decode("ascii", "ignore") for v in counter.vocab.labels.values()) if t.isalpha()]
+    pairs = [(r.choice(words), r.choice(words)) for _ in range(3000)]
+    pairs += [(w[:k], w[k:]) for w in r.sample(words, 1500) for k in range(1, len(w))]
+    ids = [tuple(counter.ids.get(x.encode(), -1) for x in p) for p in pairs]
+    pairs, ids = zip(*[(p, i) for p, i in zip(pairs, ids, strict=True) if min(i) >= 0], strict=True)
+    want = [library.encode(a + b, add_special_tokens=False).ids == list(i) for (a, b), i in zip(pairs, ids, strict=True)]
+    a, b = (np.array(x) for x in zip(*ids, strict=True))
+    assert 100 < sum(want) < len(want) - 100
+    assert [counter.fits(x, y) for x, y in ids] == want == counter.all_fit(a, b).tolist()
+    assert [automaton.has(automaton.target[x], y) for x, y in ids] == want == automaton.all_have(a, b).tolist()
 
 
 def test_truncation_and_budgets_are_look_ups(spark):
@@ -65,8 +90,9 @@ def test_truncation_and_budgets_are_look_ups(spark):
 
 def test_bpe_round_trip_and_ids(docs):
     library = Tokenizer.from_file(PATH)
-    for r in bpe.decode(bpe.encode(docs, PATH), PATH).collect():
+    for r in bpe.decode(bpe.encode(docs, PATH, decoded="again"), PATH).collect():
         text = TEXTS[r.doc_id] or ""
+        assert r.again == r.decoded
         ids = library.encode(text, add_special_tokens=False).ids
         assert np.frombuffer(r.ids, "<u4").tolist() == ids
         assert r.n_tokens == len(ids)
@@ -133,6 +159,62 @@ def test_near_duplicates_join_equal_and_empty_texts(spark, docs):
     assert len(got) == len(TEXTS)
 
 
+def shingle_sets(texts, n=5):
+    out = []
+    for t in texts:
+        w = re.findall(r"[^ \t-\r]+", re.sub("[A-Z]", lambda m: m.group().lower(), t or ""))
+        out.append({" ".join(w[k : k + n]) for k in range(max(1, len(w) - n + 1))} if w else set())
+    return out
+
+
+def jaccard(a, b):
+    return len(a & b) / len(a | b) if a or b else 1.0
+
+
+@pytest.mark.parametrize("bucket", [1, 64])
+def test_similar_texts_against_all_pairs(spark, bucket):
+    """Pairs well above the similarity are linked and pairs well below are not, also where buckets are crowded."""
+    r = random.Random(7)
+    vocab = [f"v{i}" for i in range(3000)]
+    texts = []
+    for _ in range(40):
+        base = [r.choice(vocab) for _ in range(r.randint(150, 400))]
+        texts.append(" ".join(base))
+        for _ in range(r.randint(0, 5)):
+            w = list(base)
+            for _ in range(r.choice([1, 2, 3, 40])):
+                w[r.randrange(len(w))] = r.choice(vocab)
+            texts.append(" ".join(w))
+    texts += [None, "", " \n", "one two three", "ONE two  three", "one two four"]
+    sets = shingle_sets(texts)
+    got = {x.doc_id: x.component_id for x in simhash.similar_texts(table(spark, texts), bucket=bucket).collect()}
+    assert len(got) == len(texts) and all(i >= c for i, c in got.items())
+    pairs = [(a, b, jaccard(sets[a], sets[b])) for a in range(len(texts)) for b in range(a)]
+    close = [got[a] == got[b] for a, b, j in pairs if j >= 0.87]
+    assert len(close) > 40 and sum(close) >= 0.97 * len(close)
+    assert not any(got[a] == got[b] for a, b, j in pairs if j < 0.3)
+    n = len(texts)
+    assert got[n - 6] == got[n - 5] == got[n - 4] and got[n - 3] == got[n - 2] != got[n - 1]
+
+
+def test_crowded_buckets_of_near_copies(spark):
+    r = random.Random(2)
+    base = [f"v{r.randrange(5000)}" for _ in range(300)]
+    texts = []
+    for i in range(400):
+        w = list(base)
+        w[r.randrange(300)] = f"x{i}"
+        texts.append(" ".join(w))
+    texts += [" ".join(f"v{r.randrange(5000)}" for _ in range(200)) for _ in range(50)]
+    got = {x.doc_id: x.component_id for x in simhash.similar_texts(table(spark, texts), bucket=8).collect()}
+    assert {got[i] for i in range(400)} == {0} and all(got[i] == i for i in range(400, 450))
+
+
+def test_distances_without_a_way_for_crowded_buckets_are_refused(spark):
+    with pytest.raises(ValueError):
+        simhash.links(spark.range(3).select(F.col("id").alias("fp")), max_bits=3)
+
+
 def brute_lines(texts, least=10):
     key = lambda x: re.sub("[A-Z]", lambda m: m.group().lower(), x.strip(" \t\n\x0b\x0c\r"))
     owner = {}
@@ -156,6 +238,28 @@ def test_line_dedup(spark, batches, fan):
     assert [tuple(x) for x in got] == brute_lines(texts)
 
 
+def test_line_dedup_of_repeated_ids(spark):
+    """Rows of one id own lines together; each keeps or loses lines of its own text."""
+    rows = [(1, "a shared first line\nonly in one"), (2, "a shared first line\nsecond line of two"), (2, "unique line of another row\nsecond line of two"), (2, "unique line of another row\nsecond line of two"), (None, "a shared first line"), (3, "second line of two\nx")]
+    got = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), batches=2).collect()
+    want = [(1, 2, 0, rows[0][1]), (2, 2, 1, "second line of two"), (2, 2, 0, rows[2][1]), (2, 2, 0, rows[2][1]), (None, 1, 0, rows[4][1]), (3, 2, 1, "x")]
+    assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
+
+
+def test_new_batches_meet_sorted_runs_without_shuffling_them(spark, tmp_path):
+    runs = line_dedup.Runs(str(tmp_path / "runs-a"), spark, 4, fan=3)
+    for k in range(4):
+        runs.add(spark.range(k * 50, k * 50 + 100).select(F.xxhash64("id").alias("h1"), F.col("id").alias("h2"), F.lit(k).alias("id")))
+    assert len(runs.all()) == 2
+    batch = spark.range(100, 400).select(F.xxhash64("id").alias("h1"), F.col("id").alias("h2"), F.lit(9).alias("id"))
+    new, owners = runs.new_keys(batch), runs.owners()
+    assert {r.h2 for r in new.collect()} == set(range(250, 400))
+    assert {r.h2: r.owner for r in owners.collect()} == {i: max(0, -(-(i - 99) // 50)) for i in range(250)}
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    assert plan(new).count("Exchange") == 1 and plan(new).count("SortMergeJoin") == 2
+    assert plan(owners).count("Exchange") == 0
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{a:b}</style><script>var t="</p>";</script></head><body>
 <nav><ul><li><a href="/a">Menu</a></li></ul></nav><div class="ad">Buy</div><article><h1>Head &amp; more</h1><p><b>One<br>two</b> in<i>line</i></p><!-- no --><p>Three
    four<p>five</article><aside>Side</aside><section class="comments"><p>Reader</p></section><form>Mail <input></form><footer>&copy; x</footer>"""
@@ -199,6 +303,21 @@ def test_templates_of_a_host_are_read_apart(spark):
         assert got[7 + i] == f"A long paragraph with the word {words[i]} in it. And {words[i]} again."
 
 
+def test_wrappers_tell_content_where_class_names_say_nothing(spark):
+    """Menus, notices and footers with random class names: what is the same on all pages of a template is its own."""
+    r = random.Random(6)
+    word = lambda: "".join(r.choice("bcdfghklmn") + r.choice("aeiou") for _ in range(3))
+    names = [word() for _ in range(5)]
+    pages, want = [], {}
+    for i in range(9):
+        head, text = " ".join(word() for _ in range(4)), [" ".join(word() for _ in range(r.randint(12, 30))) for _ in range(r.randint(1, 4))]
+        body = "".join(f"<p>{t}</p>" for t in text)
+        pages.append((i, f"http://a.org/{i}", f"<html><body><div class={names[0]}><ul><li>Home</li><li>About us</li></ul></div><div class={names[1]}><h1>{head}</h1><div class={names[2]}>Send this on to a friend</div>{body}</div><div class={names[3]}>Made by us, all of it, and kept here for you to read</div></body></html>"))
+        want[i] = " ".join([head, *text])
+    got = {x.page_id: x.text for x in html_wrapper.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert got == want
+
+
 SECRETS = [
     None,
     "",
@@ -261,13 +380,38 @@ def brute_contamination(texts, items, length=10):
     return out
 
 
+def brute_near(texts, items, near, length=10):
+    words = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m.group().lower(), t or ""))
+    windows = {}
+    for i, t in items:
+        w = words(t)
+        for k in range(max(1, len(w) - length + 1) if w else 0):
+            windows.setdefault(tuple(w[k : k + length]), set()).add(str(i))
+    count = {}
+    for t in texts:
+        for x in words(t):
+            count[x] = count.get(x, 0) + 1
+    out = []
+    for t in texts:
+        w, exact, close = words(t), set(), set()
+        for x, own in windows.items():
+            fewest = min(count.get(y, 0) for y in x)
+            if any(tuple(w[k : k + len(x)]) == x for k in range(len(w) - len(x) + 1)):
+                exact |= own
+            for rarest in [y for y in x if count.get(y, 0) == fewest]:
+                if any(w[k] == rarest and set(x) <= set(w[max(0, k - near) : k + near + 1]) for k in range(len(w))):
+                    close |= own
+        out.append((sorted(exact), sorted(close - exact)))
+    return out
+
+
 @pytest.mark.parametrize("bound", [0, 100_000])
 def test_decontamination(spark, monkeypatch, bound):
     """Both by broadcast and by shuffle."""
     monkeypatch.setattr(decontamination, "BROADCAST_ROWS", bound)
     r = random.Random(1)
     vocab = ["the", "of", "Ünder", "x1", "cat", "dog", "ran", "far"]
-    items = [(0, " ".join(r.choice(vocab) for _ in range(14))), (1, "the the the the the the the the the the the"), (2, "short item"), (3, None), (4, "..."), (5, " ".join(r.choice(vocab) for _ in range(10))), (10, "short item")]
+    items = [(0, " ".join(r.choice(vocab) for _ in range(14))), (1, "the the the the the the the the the the the"), (2, "short item"), (3, None), (4, "..."), (5, " ".join(r.choice(vocab) for _ in range(10))), (10, "short item"), (11, "far")]
     texts = [None, "", "a SHORT, item. short item", "the " * 30, items[0][1], "pre " + items[0][1][5:] + " " + items[5][1] + " post", " ".join(r.choice(vocab) for _ in range(3000)), "the cat", items[5][1].upper().replace("Ü", "ü")]
     got = decontamination.decontaminate(table(spark, texts), spark.createDataFrame(items, "item_id long, text string")).orderBy("doc_id").collect()
     assert [(x.n_words, x.n_hit, x.items, x.contaminated) for x in got] == brute_contamination(texts, items)
@@ -275,6 +419,28 @@ def test_decontamination(spark, monkeypatch, bound):
     assert {x.contaminated for x in decontamination.decontaminate(table(spark, texts), none).collect()} == {False}
 
 
+@pytest.mark.parametrize("bound", [0, 100_000])
+def test_proximity_against_brute_force(spark, monkeypatch, bound):
+    monkeypatch.setattr(decontamination, "BROADCAST_ROWS", bound)
+    r = random.Random(4)
+    vocab = [f"w{i}" for i in range(40)]
+    items = [(i, " ".join(r.choice(vocab) for _ in range(r.randint(2, 7)))) for i in range(12)]
+    texts = []
+    for _ in range(60):
+        w = items[r.randrange(12)][1].split()
+        if r.random() < 0.7:
+            r.shuffle(w)
+        for _ in range(r.randint(0, 4)):
+            w.insert(r.randrange(len(w) + 1), r.choice(vocab))
+        texts.append(" ".join([r.choice(vocab) for _ in range(r.randint(0, 30))] + w))
+    got = decontamination.decontaminate(table(spark, texts), spark.createDataFrame(items, "item_id long, text string"), length=6, near=6).orderBy("doc_id").collect()
+    want = brute_near(texts, items, 6, 6)
+    for x, (exact, close) in zip(got, want, strict=True):
+        assert x.items == exact and set(x.near_items) <= set(close)
+    # of terms that are equally rare the brute version tries all
+    assert sum(len(x.near_items) for x in got) >= 0.9 * sum(len(c) for _, c in want)
+
+
 def test_proximity_matches(spark):
     items = spark.createDataFrame([(7, "alpha beta gamma delta")], "item_id long, text string")
     docs = table(spark, ["alpha beta gamma delta", "delta so gamma alpha then beta", "alpha beta " + "z " * 50 + "gamma delta"])
@@ -282,6 +448,13 @@ def test_proximity_matches(spark):
     assert [(x.items, x.near_items) for x in got] == [(["7"], []), ([], ["7"]), ([], [])]
 
 
+def test_look_ups_read_the_row_groups_of_their_terms(spark, tmp_path):
+    docs, terms = table(spark, ["a b c d", "d e f a a"]), spark.createDataFrame([("a", 0), ("d", 1), ("", -1)], "term string, t long")
+    index = decontamination.build_index(docs, terms, str(tmp_path))
+    assert rows(index.select("t", "pos")) == sorted([(0, 0), (0, 3), (0, 4), (1, 3), (1, 0), (-1, 4), (-1, 5)], key=repr)
+    assert "PushedFilters: [IsNotNull(t), EqualTo(t,1)]" in index.where("t = 1")._jdf.queryExecution().executedPlan().toString()
+
+
 def test_licenses_and_inheritance(spark):
     files = spark.createDataFrame(
         [
@@ -331,6 +504,44 @@ def test_forms_of_licence_notices(spark):
     assert got == {i: licence for i, (_, licence) in enumerate(FORMS)}
 
 
+def test_cosines_against_a_plain_version(spark, tmp_path):
+    """Every unit of the files against every template, by dense vectors."""
+    files = spark.createDataFrame([(i, text) for i, (text, _) in enumerate(FORMS)] + [(99, "MIT License\nMIT License\n\nwords of GPL version and licence")], "row long, text string")
+    forms = license_scan.templates(spark)
+    rows = [(r.licence, r.text) for r in forms.collect()]
+    words = lambda t: re.findall(r"[^\W_]+(?:[.-][^\W_]+)*", t.lower())
+    n = len(rows)
+    seen = {}
+    for _, t in rows:
+        for w in set(words(t)):
+            seen[w] = seen.get(w, 0) + 1
+    idf = lambda w: np.log((1 + n) / (1 + seen[w])) + 1 if w in seen else 1 + np.log((1 + n) / 2)
+
+    def vector(t):
+        out = {}
+        for w in words(t):
+            out[w] = out.get(w, 0.0) + idf(w)
+        return out
+
+    norm = lambda v: np.sqrt(sum(x * x for x in v.values()))
+    vectors = [(licence, vector(t)) for licence, t in rows]
+    want = set()
+    for u in license_scan.units(files).collect():
+        v = vector(u.line)
+        best = min((-round(sum(x * t.get(w, 0.0) for w, x in v.items()) / (norm(v) * norm(t)), 6), licence) for licence, t in vectors) if v else (0, "")
+        if -best[0] >= 0.6:
+            want.add((u.row, u["from"], u.to, best[1], round(-best[0], 4)))
+    got = {(x.row, x["from"], x.to, x.licence, round(x.cosine, 4)) for x in license_scan.notices(files, forms, 0.6, str(tmp_path / "n")).collect()}
+    assert len(want) > 15 and got == want
+
+
+def test_a_deep_tree_inherits_from_the_nearest_directory(spark):
+    files = [(0, "LICENSE", "Released under the MIT License."), (1, "a/b/c/LICENSE", "Licensed under the Apache License, Version 2.0.")]
+    files += [(10 + i, "/".join(["a", "b", "c", "d", "e", "f"][:i]) + "/x.txt", "nothing") for i in range(1, 7)] + [(20, "abc/x.txt", "nothing"), (1, "a/b/c/LICENSE", "Licensed under the Apache License, Version 2.0.")]
+    got = {r.path: (r.licence, r.from_directory) for r in license_scan.scan(spark.createDataFrame(files, "id long, path string, text string"), license_scan.templates(spark), "id").collect()}
+    assert got["a/b/x.txt"] == ("MIT", "") and got["abc/x.txt"] == ("MIT", "") and got["a/b/c/d/e/f/x.txt"] == ("Apache-2.0", "a/b/c") and got["a/b/c/x.txt"] == ("Apache-2.0", "a/b/c")
+
+
 def labelled(n=400, seed=2):
     r = random.Random(seed)
     plain = ["".join(r.choice(["an", "er", "th", "in", "os"]) for _ in range(r.randint(1, 3))) for _ in range(200)]
@@ -368,7 +579,7 @@ def test_toxicity_without_labels_of_one_kind(spark, docs):
 def test_forward_backward_against_all_labellings():
     rng = np.random.default_rng(0)
     scores, move = rng.normal(size=(3, 5)), rng.normal(size=(2, 2))
-    p, log_z, _, _ = toxicity._sums(scores, move)
+    p, log_z, _, _ = toxicity._sums(scores, move, np.ones((3, 5), bool), np.ones((3, 2)), np.ones((3, 2)))
     for n in range(3):
         total, ones = 0.0, np.zeros(5)
         for k in range(32):
@@ -380,6 +591,38 @@ def test_forward_backward_against_all_labellings():
         assert np.isclose(log_z[n], np.log(total))
 
 
+@pytest.mark.parametrize("sizes", [[1, 127, 128, 129, 1000, 0, 256], [5000], [300, 2, 300]])
+def test_chains_in_blocks_equal_whole_chains(sizes):
+    rng = np.random.default_rng(len(sizes))
+    model = toxicity.Field(np.zeros(1), rng.normal(size=(2, 2)) * 2)
+    scores = rng.normal(size=sum(sizes)) * 3
+    got, end = model.marginals(scores, sizes), 0
+    for n in filter(None, sizes):
+        own = scores[end : end + n][None]
+        want = toxicity._sums(own, model.move, np.ones((1, n), bool), np.ones((1, 2)), np.ones((1, 2)))[0][0]
+        assert np.allclose(got[end : end + n], want)
+        end += n
+
+
+def test_toxic_spans_are_offsets_of_the_text(spark):
+    texts, labels = labelled()
+    texts += ["\u0130\u0130 \u0130x scumbag moronX vequer \u0130 scumbag"]
+    docs = table(spark, texts).unionByName(table(spark, ["again scumbag"]))
+    model = toxicity.learn(docs, spark.createDataFrame([*labels, (0, 1), (None, 1), (2, None)], "doc_id long, toxic int"))
+    for r in toxicity.score(docs, model, carry=["text"]).where(f"doc_id = {len(texts) - 1}").collect():
+        assert [texts[-1][s.start : s.end] for s in r.spans] == ["scumbag", "moronX", "vequer", "scumbag"]
+
+
+def test_features_of_words():
+    words = ["a", "ab", "abc", "abcdefgh", "xbcdefgh", "\u0130\U0001f600" * 40, "abcdefgz"]
+    got = toxicity.features(words)
+    none = 1 << toxicity.BITS
+    assert got.shape == (7, 7) and (got[:, :2] < none).all()
+    assert (got[2:, 2] < none).all() and (got[:2, 2:] == none).all() and (got[2, 3:] == none).all()
+    assert got[3, 1] == got[4, 1] and got[3, 0] != got[4, 0] and (got[3, 2:] == got[6, 2:]).all()
+    assert (toxicity.features(["abc"]) == got[2]).all()
+
+
 def test_empty_tables(spark, empty):
     none = spark.createDataFrame([], "item_id long, text string")
     labels = spark.createDataFrame([], "doc_id long, toxic int")

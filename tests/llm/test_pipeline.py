@@ -9,7 +9,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from partloom.llm import decontamination, exact_dedup, license_scan, line_dedup, queries, secret_scan, simhash, toxicity
-from tests.llm.test_operators import brute_contamination, brute_fingerprint, labelled
+from tests.llm.test_operators import brute_contamination, labelled
 
 
 @pytest.fixture(scope="module")
@@ -39,7 +39,12 @@ def test_run_equals_the_plain_stages(spark, folder):
     for i in sorted(left):
         last[texts[i] or ""] = i
     left = set(last.values())
-    prints = {i: brute_fingerprint(texts[i] or "") for i in left}
+    order = sorted(left)
+    blocks, width = simhash.blocks_for(len(order), 0.8, 0.95)
+    bits = blocks * width + simhash.PROBE
+    prints = dict(zip(order, (simhash.long_fingerprint(h, bits) for h in simhash.shingles_of([texts[i] or "" for i in order], 5)), strict=True))
+    share = simhash.differing(0.8)
+    bound = bits * share + 1.5 * (bits * share * (1 - share)) ** 0.5
     parent = {i: i for i in left}
 
     def top(i):
@@ -47,12 +52,13 @@ def test_run_equals_the_plain_stages(spark, folder):
             i = parent[i]
         return i
 
-    for a in sorted(left):
-        for b in sorted(left):
-            if a < b and bin(prints[a] ^ prints[b]).count("1") <= 2:
+    for n, a in enumerate(order):
+        for b in order[n + 1 :]:
+            if (prints[a] != prints[b]).sum() <= bound:
                 x, y = top(a), top(b)
                 parent[max(x, y)] = min(x, y)
     left = {top(i) for i in left}
+    assert len(left) < len(order)
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{root}/benchmark.parquet").collect()]
     order = sorted(left)
     left = {i for i, (_, _, _, hit) in zip(order, brute_contamination([texts[i] for i in order], items), strict=True) if not hit}
@@ -70,6 +76,14 @@ def test_stages_keep_the_columns_of_documents(spark, folder):
     for _, stage in corpus_pipeline.STAGES[:-1]:
         out = stage(spark, docs, root)
         assert out.columns == docs.columns
+    clash = "score highest expected n_words n_tokens spans predicted __null __text __id keep_id group_size kept component_id fingerprint blocks probe items id row terms".split()
+    more = docs.withColumns({c: F.concat(F.lit(c), F.col("doc_id").cast("string")) for c in clash}).withColumn("a.b", F.lit(1))
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, more, root)
+        assert out.columns == more.columns
+        kept = {r.doc_id: r for r in out.collect()}
+        assert kept and all(r[c] == f"{c}{i}" for i, r in kept.items() for c in clash)
+        assert set(kept) == {r.doc_id for r in stage(spark, docs, root).collect()}
     toxic_free = corpus_pipeline.drop_toxic(spark, docs, root).collect()
     assert all(r.text == texts[r.doc_id] for r in toxic_free)
 
