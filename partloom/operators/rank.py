@@ -14,6 +14,13 @@ def rank_scores(df: DataFrame, keys: Sequence[str], score: str, id_col: str, k:
     return ranked.where(F.col("rank") <= k) if k else ranked
 
 
+def rank_lanes(df: DataFrame, keys: Sequence[str], id_col: str, lanes: Sequence[str]) -> DataFrame:
+    """(keys, id, lane, rank): the rows ranked by each of several scores, in one pass over the keys; nulls are left out."""
+    place = lambda c: F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc_nulls_last(c), id_col))
+    ranked = df.select(*keys, id_col, *[F.when(F.col(c).isNotNull(), place(c)).alias(c) for c in lanes])
+    return ranked.unpivot([*keys, id_col], list(lanes), "lane", "rank").where(F.col("rank").isNotNull())
+
+
 def rrf(rankings: DataFrame, keys: Sequence[str], id_col: str, lane: str, weights: dict[str, float], k: int = 60) -> DataFrame:
     """Weighted reciprocal rank fusion of long rankings (keys, lane, id, rank); lanes that lack an id add nothing."""
     w = F.create_map(*[F.lit(x) for kv in weights.items() for x in kv])

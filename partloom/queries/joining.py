@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from partloom.functions import color
-from partloom.operators import gates, graph, joins, mesh
+from partloom.operators import assembly, gates, graph, joins, mesh
 from partloom.plans import rules
 from partloom.queries.base import OBS, PARTS, lab_sql, observations, parts, query, rounded, table
 
@@ -146,15 +146,8 @@ def j12(spark, d):
 SELECT part_id, candidate, CAST(score AS BIGINT) AS score FROM (SELECT *, row_number() OVER (PARTITION BY part_id ORDER BY score DESC, candidate) AS r FROM c) WHERE r = 1 AND score > 0""",
 )
 def j13(spark, d):
-    """Best alternative of the same module: colour match, word overlap, and a bonus for the primary; none if its colour does not match."""
-    from pyspark.sql import Window
-
     p = parts(spark, d).withColumn("tone", F.floor(F.col("r") / 64)).withColumn("words", F.split("name", " "))
-    x, y = p.alias("x"), p.where("size % 3 = 0").alias("y")
-    same = lambda i: F.when(F.get("x.words", F.lit(i)) == F.get("y.words", F.lit(i)), 4).otherwise(0)
-    score = F.when(F.col("x.tone") == F.col("y.tone"), 80).otherwise(-35) + same(0) + same(1) + F.when(F.col("x.part_id") == F.col("y.part_id"), 45).otherwise(0)
-    met = x.join(y, F.col("x.brand") == F.col("y.brand")).select(F.col("x.part_id").alias("part_id"), F.col("y.part_id").alias("candidate"), score.cast("long").alias("score"))
-    return met.withColumn("r", F.row_number().over(Window.partitionBy("part_id").orderBy(F.desc("score"), "candidate"))).where("r = 1 and score > 0").drop("r")
+    return assembly.default_choice(p, p.where("size % 3 = 0"), "brand", "part_id", "tone", "words")
 
 
 @query(
@@ -167,8 +160,7 @@ def j14(spark, d):
     li = table(spark, d, "lineitem")
     topo = F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_returnflag"))), lambda s: F.concat(s["l_linenumber"].cast("string"), s["l_returnflag"])), ","), 256)
     g = li.groupBy(F.col("l_orderkey").alias("k")).agg(topo.alias("topo"))
-    first = g.where("k % 10 = 0").groupBy("topo").agg(F.min("k").alias("project"))
-    return g.where("k % 10 <> 0").join(first, "topo", "left").select(F.col("k").alias("asset"), "project")
+    return assembly.match_by_digest(g.where("k % 10 <> 0"), g.where("k % 10 = 0"), "k", "topo")
 
 
 @query("j15_verify_dependencies", "SELECT doc_id, CASE WHEN doc_id % 7 = 0 THEN 'missing' WHEN doc_id % 5 = 0 THEN 'stale' ELSE 'fresh' END AS status FROM documents")
@@ -243,10 +235,9 @@ r AS (SELECT asset_id, concat_ws(',', CASE WHEN boundary > 3 THEN 'open_boundary
 SELECT *, contains(reasons, 'open_boundary') OR contains(reasons, 'few_faces') AS hard FROM r""",
 )
 def g11(spark, d):
-    """Hard and advisory reasons from counts."""
     c = observations(spark, d).groupBy("asset_id").agg(F.count(F.lit(1)).alias("faces"), F.count_if(F.col("category") == "A").alias("boundary"), F.count_distinct("part_id").alias("shells"))
-    why = gates.reasons([("open_boundary", F.col("boundary") > 3), ("many_shells", F.col("shells") > 6), ("few_faces", F.col("faces") < 2)])
-    return c.select("asset_id", F.array_join(why, ",").alias("reasons"), F.arrays_overlap(why, F.array(F.lit("open_boundary"), F.lit("few_faces"))).alias("hard"))
+    rules = [("open_boundary", F.col("boundary") > 3), ("many_shells", F.col("shells") > 6), ("few_faces", F.col("faces") < 2)]
+    return assembly.geometry_risk(c, ["asset_id"], rules, ["open_boundary", "few_faces"])
 
 
 @query(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from partloom.operators import gates
+from partloom.operators import assembly, gates
 from partloom.plans import rules
 from partloom.queries.base import OBS, PARTS, observations, parts, query, rounded, table
 from partloom.sources import files
@@ -25,8 +25,8 @@ def p01(spark, d):
 @query("p02_normalize_batch", "SELECT conv_id, turn, lower(trim(role)) AS role, TRY_CAST(regexp_extract(text, '([0-9]+)', 1) AS BIGINT) AS number, coalesce(nullif(trim(split_part(text, chr(10), 1)), ''), 'none') AS head FROM conversations")
 def p02(spark, d):
     """Loosely typed replies: trimmed roles, the first number if there is one, the first line or a default."""
-    c = table(spark, d, "conversations")
-    return c.select("conv_id", "turn", F.lower(F.trim("role")).alias("role"), F.regexp_extract("text", "([0-9]+)", 1).try_cast("long").alias("number"), F.coalesce(F.nullif(F.trim(F.split_part("text", F.lit("\n"), F.lit(1))), F.lit("")), F.lit("none")).alias("head"))
+    got = assembly.normalize_reply(F.col("role"), F.col("text"))
+    return table(spark, d, "conversations").select("conv_id", "turn", *[got[c].alias(c) for c in ("role", "number", "head")])
 
 
 _ALIASES = [("small", "size:s"), ("large", "size:l"), ("cold", "temp:low"), ("hot", "temp:high"), ("widget", "shape:any"), ("bolt", "shape:rod"), ("rod", "shape:rod"), ("blue", "colour:blue"), ("red", "colour:red")]
@@ -67,7 +67,7 @@ def p06(spark, d):
 def p08(spark, d):
     """Observations with enough pixels and overlap, in views of an accepted tier."""
     o = observations(spark, d)
-    return o.where((F.col("weight") >= 10) & (F.col("score") >= 0.2) & (F.col("view_id") % 4 != 3)).select("asset_id", "part_id", "view_id", "line", "price")
+    return o.where(assembly.admitted(F.col("weight"), F.col("score"), F.col("view_id") % 4, [3])).select("asset_id", "part_id", "view_id", "line", "price")
 
 
 @query("p09_compact_ranges", "WITH v AS (SELECT DISTINCT l_suppkey AS view_id, l_orderkey AS k FROM lineitem), g AS (SELECT *, k - row_number() OVER (PARTITION BY view_id ORDER BY k) AS g FROM v) SELECT view_id, min(k) AS lo, max(k) AS hi FROM g GROUP BY view_id, g")
@@ -90,9 +90,8 @@ SELECT * FROM h UNION ALL SELECT view_id, pose FROM v, p WHERE view_id NOT IN (S
 def p11(spark, d):
     """Poses that share a word with the view's name; views without any take all poses (a fixed, small list)."""
     v = table(spark, d, "nation").select(F.col("n_nationkey").alias("view_id"), F.split(F.concat(F.lit("view_"), (F.col("n_nationkey") % 7).cast("string")), "[^a-z0-9]+").alias("words"))
-    p = F.broadcast(table(spark, d, "region").select(F.col("r_regionkey").alias("pose"), F.array(F.col("r_regionkey").cast("string")).alias("names")))
-    hit = v.join(p, F.arrays_overlap("words", "names"))
-    return hit.select("view_id", "pose").unionByName(v.join(hit.select("view_id").distinct(), "view_id", "left_anti").join(p).select("view_id", "pose"))
+    p = table(spark, d, "region").select(F.col("r_regionkey").alias("pose"), F.array(F.col("r_regionkey").cast("string")).alias("names"))
+    return assembly.pose_candidates(v, "view_id", "words", p, "pose", "names")
 
 
 @query("p12_assembly_domain", "WITH u AS (SELECT page_id, list_filter(string_split(regexp_replace(url, '^[a-z]+://', ''), '/'), lambda x: x <> '') AS s FROM pages) SELECT page_id, CASE WHEN len(s) > 2 THEN s[2] ELSE 'root' END AS domain FROM u")
@@ -119,10 +118,7 @@ def p15(spark, d):
 @query("p16_paint_parameters", f"""WITH {PARTS}, q AS (SELECT part_id, size >= 10 AS ok, r / 255.0::DOUBLE AS c FROM parts) SELECT part_id, CASE WHEN ok THEN round(greatest(0.02, least(0.8, CASE WHEN c <= 0.04045 THEN c / 12.92 ELSE power((c + 0.055) / 1.055, 2.4) END)), 6) END AS base FROM q""")
 def p16(spark, d):
     """Verified evidence to a clamped linear colour; parts without it get none."""
-    from partloom.functions.color import srgb_to_linear
-
-    c = srgb_to_linear(F.col("r") / 255.0)
-    return parts(spark, d).select("part_id", F.when(F.col("size") >= 10, F.round(F.greatest(F.lit(0.02), F.least(F.lit(0.8), c)), 6)).alias("base"))
+    return parts(spark, d).select("part_id", assembly.paint_parameters(F.col("r") / 255.0, F.col("size") >= 10).alias("base"))
 
 
 @query("s02_fingerprint", "SELECT doc_id, sha256(length(lang) || ':' || lang || length(source) || ':' || source || coalesce(length(text) || ':' || text, '-')) AS fingerprint FROM documents")

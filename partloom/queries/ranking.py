@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from partloom.operators import rank
+from partloom.operators import assembly, rank
 from partloom.queries.base import OBS, PARTS, observations, parts, query, rounded
 
 #: Candidates of a part: its views with one score for each lane.
@@ -17,12 +17,7 @@ def candidates(spark, d):
 
 
 def lanes(spark, d):
-    c = candidates(spark, d)
-    out = None
-    for lane in ("colour", "texture", "pixels"):
-        r = rank.rank_scores(c, ["part_id"], lane, "view_id").select("part_id", "view_id", F.lit(lane).alias("lane"), "rank")
-        out = r if out is None else out.unionByName(r)
-    return out
+    return rank.rank_lanes(candidates(spark, d), ["part_id"], "view_id", ["colour", "texture", "pixels"])
 
 
 LANES = "lanes AS (" + " UNION ALL ".join(f"SELECT part_id, view_id, '{x}' AS lane, row_number() OVER (PARTITION BY part_id ORDER BY {x} DESC, view_id) AS rank FROM cand" for x in ("colour", "texture", "pixels")) + ")"
@@ -53,10 +48,8 @@ SELECT part_id, CAST(score AS BIGINT) AS score FROM s JOIN parts USING (part_id)
 )
 def w03(spark, d):
     """Faceted search: hard facets, then weighted words of the fields, then the best twenty."""
-    p = parts(spark, d).where("size <= 30")
-    fields = F.concat(F.transform(F.split("name", " "), lambda w: F.struct(w.alias("w"), F.lit(3).alias("k"))), F.array(F.struct(F.lower("type").alias("w"), F.lit(2).alias("k")), F.struct(F.lower("brand").alias("w"), F.lit(1).alias("k"))))
-    hits = p.select("part_id", F.explode(fields).alias("f")).where(F.col("f.w").isin("small", "widget", "economy", "brand#13"))
-    return hits.groupBy("part_id").agg(F.sum("f.k").alias("score")).orderBy(F.desc("score"), "part_id").limit(20)
+    fields = [(F.split("name", " "), 3), (F.array(F.lower("type")), 2), (F.array(F.lower("brand")), 1)]
+    return assembly.faceted_search(parts(spark, d), "part_id", F.col("size") <= 30, fields, ["small", "widget", "economy", "brand#13"], 20)
 
 
 @query(
@@ -222,10 +215,8 @@ def w18(spark, d):
     """Each failure by the first explanation that holds: another owner in the view, delivered in another view, or none."""
     o = observations(spark, d)
     failures = o.where("score < 0.1").select("asset_id", "part_id", "view_id").distinct()
-    ok = o.where("score >= 0.9").groupBy("part_id").agg(F.count_distinct("view_id").alias("n"))
-    own = o.where("category = 'A'").select("asset_id", "view_id").distinct().withColumn("own", F.lit(True))
-    out = failures.join(ok, "part_id", "left").join(own, ["asset_id", "view_id"], "left")
-    return out.select("asset_id", "part_id", "view_id", F.when(F.col("own"), "owner_elsewhere").when(F.col("n") > 0, "delivered_in_other_view").otherwise("unresolved").alias("resolution"))
+    why = [("owner_elsewhere", o.where("category = 'A'"), ["asset_id", "view_id"]), ("delivered_in_other_view", o.where("score >= 0.9"), ["part_id"])]
+    return assembly.resolve_limitations(failures, ["asset_id", "part_id", "view_id"], why)
 
 
 @query(
@@ -237,9 +228,8 @@ SELECT wa.asset_id, wa.w AS category, views FROM wa JOIN wb ON wa.asset_id = wb.
 def w19(spark, d):
     """A decision needs two views, and the winners of both sources must agree."""
     o = observations(spark, d)
-    win = lambda c, n: rank.rank_scores(o.where(c).groupBy("asset_id", "category").agg(F.count(F.lit(1)).alias("n")), ["asset_id"], "n", "category", 1).select("asset_id", F.col("category"))
-    views = o.groupBy("asset_id").agg(F.count_distinct("view_id").alias("views"))
-    return win("line <= 4", "a").join(win("line > 2", "b"), ["asset_id", "category"]).join(views, "asset_id").where("views >= 2")
+    counts = lambda c: o.where(c).groupBy("asset_id", "category").agg(F.count(F.lit(1)).alias("n"))
+    return assembly.agreed_winner(counts("line <= 4"), counts("line > 2"), o, ["asset_id"], "category", "n", "view_id")
 
 
 @query(

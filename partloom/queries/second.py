@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from partloom.functions import color
-from partloom.operators import fusion, graph, mesh, rank
+from partloom.operators import assembly, fusion, graph, mesh, rank
 from partloom.queries.base import OBS, PARTS, lab_sql, observations, parts, query, rounded, table
 from partloom.queries.ranking import CAND, candidates
 from partloom.sources import files
@@ -139,16 +139,9 @@ def x08(spark, d):
 
 @query("x09_assignment_margin")
 def x09(spark, d):
-    """How much the best total falls when a pair of the best assignment is forbidden, over nations' four regions; tested against brute force."""
-    from partloom.operators import joins
-
+    """How much the best total falls when a pair is forbidden, over nations' four regions; tested against brute force."""
     n = table(spark, d, "supplier").groupBy((F.col("s_nationkey") % 3).alias("asset_id"), (F.col("s_nationkey") % 4).alias("view"), (F.col("s_suppkey") % 5).alias("pose")).agg(F.round(F.max("s_acctbal") / 10000, 6).alias("score"))
-    best = joins.assign_one_to_one(n, ["asset_id"], "view", "pose", "score")
-    pairs = n.select("asset_id", F.concat_ws(">", "view", "pose").alias("forbidden")).distinct()
-    less = n.join(pairs, "asset_id").where(F.concat_ws(">", "view", "pose") != F.col("forbidden"))
-    other = joins.assign_one_to_one(less, ["asset_id", "forbidden"], "view", "pose", "score").select("asset_id", "forbidden", F.col("total").alias("without"))
-    out = pairs.join(best.select("asset_id", "total"), "asset_id").join(other, ["asset_id", "forbidden"], "left")
-    return out.select("asset_id", "forbidden", F.round(F.col("total") - F.coalesce("without", F.lit(0.0)), 6).alias("margin"))
+    return assembly.assignment_margin(n, "asset_id", "view", "pose", "score")
 
 
 @query(
@@ -157,12 +150,9 @@ def x09(spark, d):
 )
 def x10(spark, d):
     """Bindings of a delivered copy against the plan: every part bound, and to the planned material."""
-    from partloom.operators.joins import verify_dependencies
-
     p = table(spark, d, "part").select(F.col("p_partkey").alias("part_id"), F.col("p_type").alias("material"))
     delivered = p.where("part_id % 13 <> 0").withColumn("material", F.when(F.col("part_id") % 10 == 0, F.lit("other")).otherwise(F.col("material")))
-    out = verify_dependencies(p, delivered, "part_id", "material")
-    return out.select("part_id", F.when(F.col("status") == "missing", "missing").when(F.col("status") == "stale", "changed").otherwise("ok").alias("status"))
+    return assembly.delivery_check(p, delivered, "part_id", "material")
 
 
 @query(
@@ -173,14 +163,8 @@ SELECT p_partkey AS part_id, view_id AS material, CASE WHEN view_id IS NULL THEN
 )
 def x12(spark, d):
     """Retrieval lanes, fusion, winner and exact cover of the registry: the flagship."""
-    from partloom.operators import joins
-
-    c = candidates(spark, d)
-    lanes = [rank.rank_scores(c, ["part_id"], lane, "view_id").select("part_id", "view_id", F.lit(lane).alias("lane"), "rank") for lane in ("colour", "texture")]
-    fused = rank.rrf(lanes[0].unionByName(lanes[1]), ["part_id"], "view_id", "lane", {"colour": 0.8, "texture": 1.2}).where("rank = 1")
     registry = table(spark, d, "part").select(F.col("p_partkey").alias("part_id"))
-    cover = joins.reconcile(registry, fused.select("part_id"), ["part_id"])
-    return cover.join(fused.select("part_id", F.col("view_id").alias("material")), "part_id", "left").select("part_id", "material", "status")
+    return assembly.part_plan(candidates(spark, d), registry, "part_id", "view_id", {"colour": 0.8, "texture": 1.2})
 
 
 @query(
@@ -191,8 +175,7 @@ SELECT part_id, CASE WHEN part_id % 4 = 0 THEN 'not_allowed' WHEN round(best - b
 def x13(spark, d):
     """Parts that may be recoloured: allowed, and better than their baseline by a gain."""
     c = candidates(spark, d)
-    win = rank.select_winner(c, c.groupBy("part_id").agg(F.min("view_id").alias("view_id")), ["part_id"], "view_id", "texture", 0.02)
-    return win.select("part_id", F.when(F.col("part_id") % 4 == 0, "not_allowed").when(F.col("changed"), "recolour").otherwise("keep").alias("action"))
+    return assembly.colour_plan(c, c.groupBy("part_id").agg(F.min("view_id").alias("view_id")), "part_id", "view_id", "texture", F.col("part_id") % 4 == 0, 0.02)
 
 
 @query("x14_cohort_optimize", f"WITH {PARTS}, m AS (SELECT brand, median(size) AS shared, count(*) AS members, max(size) AS hi, min(size) AS lo FROM parts GROUP BY brand) SELECT brand, members, shared, greatest(hi - shared, shared - lo) <= 24 AS exact FROM m")
