@@ -23,7 +23,6 @@ ids that are not in the vocabulary decode to nothing; an empty table gives an em
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -33,69 +32,73 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from partloom.llm.common import replaced, slices, texts, with_fields
+from partloom.llm.common import bounded_batches, held, replaced, slices, texts, with_fields
 from partloom.llm.spelling import LONG, Endings, Table, prefixes, ragged
-from partloom.llm.vocabulary import vocabulary
+from partloom.llm.vocabulary import Vocabulary
 
 #: Arcs kept in the transition table once looked up.
-ARCS = 250_000
+ARCS = 700_000
+#: Arcs that are looked up one by one rather than as arrays.
+FEW = 300
 
 
 class Automaton:
     """States are numbers; all arcs with one label lead to one state."""
 
     def __init__(self, path: str):
-        vocab = self.vocab = vocabulary(path)
+        vocab = self.vocab = Vocabulary(path)
         n = max(vocab.bytes_to_id.values()) + 1
-        self.target, self.born, self.left = [0] * n, [-1] * n, [0] * n  # of each token: where its arcs lead, the rule that made it, its left part
-        self.origin, self.split, labels = [0], [-2], [257]  # of each state; labels: so many lead there, the start included
-        self.lost: dict[int, int] = {}
-        self.doubled: set[int] = set()
+        target, born, left = [0] * n, [-1] * n, [0] * n  # of each token: where its arcs lead, the rule that made it, its left part
+        origin, split, labels = [0], [-2], [257]  # of each state; labels: so many lead there, the start included
+        lost: dict[int, int] = {}
+        doubled: list[int] = []
 
         def copy(state: int, rule: int) -> int:
-            self.origin.append(state)
-            self.split.append(rule)
+            origin.append(state)
+            split.append(rule)
             labels.append(1)
-            return len(self.origin) - 1
+            return len(origin) - 1
 
         for rule, (u, v, w) in enumerate(vocab.merges):
-            behind = self.target[u]
+            behind = target[u]
             if labels[behind] > 1:
                 labels[behind] -= 1
-                behind = self.target[u] = copy(behind, rule)
-            self.born[w], self.left[w] = rule, u
+                behind = target[u] = copy(behind, rule)
+            born[w], left[w] = rule, u
             if u == v:
-                self.target[w] = copy(behind, rule)
-                self.doubled.add(behind << 20 | w)
+                target[w] = copy(behind, rule)
+                doubled.append(behind << 20 | w)
             else:
-                self.target[w] = self.target[v]
-                labels[self.target[v]] += 1
-            self.lost[behind << 20 | v] = rule
-        self.size, self.shorter, self.reach = vocab.endings()
+                target[w] = target[v]
+                labels[target[v]] += 1
+            lost[behind << 20 | v] = rule
+        vocab.merges.clear()  # all that is needed of them is in the tables
         self.endings = Endings(vocab)
-        self.tables = Table(list(self.lost), list(self.lost.values())), Table(list(self.doubled), [1] * len(self.doubled))
-        self.known, self.fresh = Table([], []), []
-        self.arrays = tuple(np.array(x, np.int64) for x in (self.target, self.born, self.left, self.origin, self.split))
-
-    def has(self, state: int, token: int) -> bool:
-        """Whether the arc is there: gadgets are undone from the last one on, until the arc is one that stood at the start or was lost."""
-        born, lost, split, left = self.born, self.lost, self.split, self.left
-        rule = 1 << 60
+        self.size, self.shorter, self.reach = self.endings.size, self.endings.shorter, self.endings.reach
+        self.tables = Table(list(lost), list(lost.values())), Table(doubled, [1] * len(doubled))
+        self.lost, self.doubled, self.lists = lost, set(doubled), (born, left, origin, split)
+        self.known, self.fresh = Table([], [], ARCS), []
+        self.arrays = tuple(np.array(x, np.int64) for x in (target, born, left, origin, split))
+        self.target = self.arrays[0]
+
+    def has(self, state: int, token: int, rule: int = 1 << 60) -> bool:
+        """Whether the arc is there, or was before a rule: gadgets are undone from the last one on, until the arc is one that stood at the start or was lost."""
+        lost, doubled, (born, left, origin, split) = self.lost, self.doubled, self.lists
         while True:
             made, key = born[token], state << 20 | token
             if made >= rule or lost.get(key, rule) < rule:
                 return False
             if made < split[state]:
-                rule, state = split[state], self.origin[state]
+                rule, state = split[state], origin[state]
             elif made < 0:
                 return True
-            elif key in self.doubled:
+            elif key in doubled:
                 return False
             else:
                 token, rule = left[token], made
 
     def all_have(self, last: np.ndarray, token: np.ndarray) -> np.ndarray:
-        """:meth:`has` for arrays, of the states behind ``last``, through the transition table."""
+        """Whether the arcs are there, from the states behind ``last``, through the transition table."""
         keys = self.arrays[0][last] << 20 | token
         ok = self.known.get(keys, -1)
         new = np.flatnonzero(ok < 0)
@@ -112,13 +115,16 @@ class Automaton:
             arcs, first = np.unique(np.concatenate([a for a, _ in self.fresh]), return_index=True)
             found = np.concatenate([f for _, f in self.fresh])[first]
             self.fresh.clear()
-            self.known = self.known.with_more(arcs, found) if len(self.known) + len(arcs) <= ARCS else Table(arcs, found)
+            if len(self.known) + len(arcs) > ARCS:
+                self.known = Table([], [], max(ARCS, len(arcs)))
+            self.known.add(arcs, found)
 
     def look_up(self, state: np.ndarray, token: np.ndarray) -> np.ndarray:
+        """:meth:`has` for arrays (1 or 0). The few arcs that take the most steps are ended one by one."""
         _, born, left, origin, split = self.arrays
         lost, doubled = self.tables
         ok, rule, todo = np.zeros(len(state), np.int64), np.full(len(state), 1 << 60), np.arange(len(state))
-        while len(todo):
+        while len(todo) > FEW:
             made, key = born[token], state << 20 | token
             gone = (made >= rule) | (lost.get(key, 1 << 60) < rule)
             copied = ~gone & (made < split[state])
@@ -127,6 +133,8 @@ class Automaton:
             todo, state, token, made, copied = todo[stay], state[stay], token[stay], made[stay], copied[stay]
             rule = np.where(copied, split[state], made)
             state, token = np.where(copied, origin[state], state), np.where(copied, token, left[token])
+        for i, s, t, r in zip(todo.tolist(), state.tolist(), token.tolist(), rule.tolist(), strict=True):
+            ok[i] = self.has(s, t, r)
         return ok
 
     def encode_word(self, word: bytes) -> list[int]:
@@ -137,13 +145,13 @@ class Automaton:
             while (token := self.vocab.bytes_to_id.get(word[start:end])) is None:
                 start += 1
             while start and not self.has(self.target[last[start]], token):  # just one arc is there, mostly the longest; all are at the start
-                token = self.shorter[token]
-                start = end - self.size[token]
+                token = int(self.shorter[token])
+                start = end - int(self.size[token])
             last.append(token)
         path, end = [], len(word)
         while end:
             path.append(last[end])
-            end -= self.size[path[-1]]
+            end -= int(self.size[path[-1]])
         return path[::-1]
 
     def plain(self, texts: Sequence[str]) -> list[np.ndarray]:
@@ -191,39 +199,50 @@ class Automaton:
         return b"".join(parts)
 
 
-@functools.lru_cache(maxsize=2)
-def automaton(path: str) -> Automaton:
-    return Automaton(path)
+class Labels:
+    """The bytes of every token, one after another."""
 
+    def __init__(self, vocab: Vocabulary):
+        table = [vocab.labels.get(i, b"") for i in range(max(vocab.labels) + 1)]
+        self.size = np.array([len(x) for x in table], np.int64)
+        self.start, self.letters = np.cumsum(self.size) - self.size, np.frombuffer(b"".join(table), np.uint8)
 
-def encode(df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", carry: Sequence[str] = ()) -> DataFrame:
-    """``ids`` binary (little-endian unsigned 32-bit numbers, the form that training shards store) and ``n_tokens`` long, without the text. No shuffle."""
+    def text(self, ids: bytes | None) -> str:
+        numbers = np.frombuffer(ids or b"", "<u4")
+        numbers = numbers[numbers < len(self.size)]
+        return self.letters[ragged(self.start[numbers], self.size[numbers])].tobytes().decode("utf-8", "replace")
+
+
+def encode(df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", carry: Sequence[str] = (), decoded: str = "") -> DataFrame:
+    """``ids`` binary (little-endian unsigned 32-bit numbers, the form that training shards store) and ``n_tokens`` long, without the text. No shuffle.
+
+    decoded: the name of a column for the text that the ids decode to, made by the same tasks.
+    """
+    bounded_batches(df.sparkSession)
     rows = texts(df, id_col, text_col, carry)
-    schema = with_fields(rows, ["__text"], [("ids", T.BinaryType())])
+    schema = with_fields(rows, ["__text"], [("ids", T.BinaryType()), *([(decoded, T.StringType())] if decoded else [])])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        machine = automaton(tokenizer)
-        for batch in slices(batches, 1024, "__text"):
-            yield replaced(batch, schema, {"ids": pa.array(machine.many(batch.column("__text").to_pylist()), pa.binary())})
+        machine = held(("bpe", tokenizer), lambda: Automaton(tokenizer))
+        labels = Labels(machine.vocab) if decoded else None
+        for batch in slices(batches, 1024, "__text", 1_500_000):
+            ids = machine.many(batch.column("__text").to_pylist())
+            columns = {"ids": pa.array(ids, pa.binary())}
+            if labels:
+                columns[decoded] = pa.array(map(labels.text, ids), pa.string())
+            yield replaced(batch, schema, columns)
 
     return rows.mapInArrow(run, schema).withColumn("n_tokens", (F.octet_length("ids") / 4).cast("long"))
 
 
 def decode(df: DataFrame, tokenizer: str, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
     """The text of packed ids, special tokens included; bytes that are not UTF-8 become U+FFFD. All columns stay. No shuffle."""
+    bounded_batches(df.sparkSession)
     schema = with_fields(df, [], [(out_col, T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        labels = vocabulary(tokenizer).labels
-        table = [labels.get(i, b"") for i in range(max(labels) + 1)]
-        size = np.array([len(x) for x in table], np.int64)
-        start, letters = np.cumsum(size) - size, np.frombuffer(b"".join(table), np.uint8)
+        labels = held(("labels", tokenizer), lambda: Labels(Vocabulary(tokenizer)))
         for batch in slices(batches, 1024, ids_col):
-            out = []
-            for ids in batch.column(ids_col).to_pylist():
-                numbers = np.frombuffer(ids or b"", "<u4")
-                numbers = numbers[numbers < len(table)]
-                out.append(letters[ragged(start[numbers], size[numbers])].tobytes().decode("utf-8", "replace"))
-            yield replaced(batch, schema, {out_col: pa.array(out, pa.string())})
+            yield replaced(batch, schema, {out_col: pa.array(map(labels.text, batch.column(ids_col).to_pylist()), pa.string())})
 
     return df.mapInArrow(run, schema)

@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from partloom.llm.common import replaced, shared_folder, slices, stored, with_fields
+from partloom.llm.common import bounded_batches, replaced, shared_folder, slices, stored, with_fields
 
 #: Wrappers that are broadcast at most.
 BROADCAST_HOSTS = 20_000
@@ -422,6 +422,7 @@ def _small(df: DataFrame) -> DataFrame:
 
 def extract(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """One row for each page: id, url, ``text``, ``n_chars`` long."""
+    bounded_batches(df.sparkSession)
     folder, keys = shared_folder(df.sparkSession), ["host", "template"]
     pages = df.select(F.col(id_col).alias(id_col), F.col(url_col).alias(url_col), host(F.col(url_col)).alias("host"), F.coalesce(F.col(html_col).cast("string"), F.lit("")).alias("__html"))
     parsed = parse(pages, folder)

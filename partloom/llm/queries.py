@@ -35,8 +35,7 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    path = vocabulary_path()
-    coded = bpe.decode(bpe.encode(docs, path), path)
+    coded = bpe.encode(docs, vocabulary_path(), decoded="decoded")
     return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

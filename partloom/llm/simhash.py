@@ -226,7 +226,7 @@ def _meet(rows: DataFrame, by: Sequence[str], bucket: int, most: int, folder: st
     return pairs.unionByName(stars), crowded.drop("size", "hub")
 
 
-def similar_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8, recall: float = 0.95, slack: float = 1.5, bucket: int = 64) -> DataFrame:
+def similar_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8, recall: float = 0.95, slack: float = 1.5, bucket: int = 4) -> DataFrame:
     """One row for each row of ``df``: the id and ``component_id``, the smallest id that can be reached over links of texts with this Jaccard similarity of their different shingles, or more.
 
     recall: how many pairs of just this similarity share a block; of more similar ones more do. Similarity is measured by Hamming distance over all bits, which for a pair of

@@ -25,15 +25,22 @@ WIDTHS = (12, 24, LONG)
 
 
 class Table:
-    """Whole numbers for whole-number keys, looked up by arrays: open addressing, at most a quarter full."""
+    """Whole numbers for whole-number keys, looked up by arrays: open addressing, at most half full."""
 
-    def __init__(self, keys: Sequence[int], values: Sequence[int]):
-        keys, values = np.asarray(keys, np.int64), np.asarray(values, np.int64)
-        bits = max(4, int(len(keys) * 4).bit_length())
-        self._shift, self._mask = np.uint64(64 - bits), (1 << bits) - 1
+    def __init__(self, keys: Sequence[int], values: Sequence[int], room: int = 0):
+        """room: how many keys it will hold in the end."""
+        bits = max(4, int(max(len(keys), room) * 2).bit_length())
+        self._shift, self._mask, self._size = np.uint64(64 - bits), (1 << bits) - 1, 0
         self._keys, self._values = np.full(1 << bits, -1, np.int64), np.zeros(1 << bits, np.int64)
-        at = self._slot(keys)
-        left = np.arange(len(keys))
+        self.add(keys, values)
+
+    def __len__(self) -> int:
+        return self._size
+
+    def add(self, keys: Sequence[int], values: Sequence[int]) -> None:
+        """Adds keys that it does not hold, each once."""
+        keys, values = np.asarray(keys, np.int64), np.asarray(values, np.int64)
+        at, left = self._slot(keys), np.arange(len(keys))
         while len(left):
             free = left[self._keys[at[left]] < 0]
             self._keys[at[free]] = keys[free]
@@ -41,13 +48,7 @@ class Table:
             self._values[at[left[placed]]] = values[left[placed]]
             left = left[~placed]
             at[left] = (at[left] + 1) & self._mask
-
-    def __len__(self) -> int:
-        return int((self._keys >= 0).sum())
-
-    def with_more(self, keys: np.ndarray, values: np.ndarray) -> Table:
-        own = self._keys >= 0
-        return Table(np.concatenate([self._keys[own], keys]), np.concatenate([self._values[own], values]))
+        self._size += len(keys)
 
     def _slot(self, keys: np.ndarray) -> np.ndarray:
         return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self._shift).astype(np.int64)
@@ -70,7 +71,8 @@ class Endings:
     """An automaton over bytes; each state knows the longest token that ends what was read."""
 
     def __init__(self, vocab: Vocabulary):
-        self.size, self.shorter = (np.array(x, np.int64) for x in vocab.endings()[:2])
+        size, shorter, self.reach = vocab.endings()
+        self.size, self.shorter = np.array(size, np.int64), np.array(shorter, np.int64)
         children: list[dict[int, int]] = [{}]
         own: list[int] = [-1]
         for token, i in vocab.bytes_to_id.items():

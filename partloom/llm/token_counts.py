@@ -15,7 +15,6 @@ proportion to one text.
 
 from __future__ import annotations
 
-import functools
 import re
 from collections.abc import Iterator, Sequence
 from itertools import accumulate
@@ -28,9 +27,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from partloom.llm.common import replaced, slices, texts, with_fields
+from partloom.llm.common import bounded_batches, held, replaced, slices, texts, with_fields
 from partloom.llm.spelling import LONG, Endings, Table, prefixes, ragged
-from partloom.llm.vocabulary import vocabulary
+from partloom.llm.vocabulary import Vocabulary
 
 #: White space of which the split depends on what follows.
 PAIR = re.compile(r"\s\s")
@@ -49,15 +48,15 @@ class PrefixCounts:
     """Counts for each prefix of a word or a text, in code points."""
 
     def __init__(self, path: str):
-        self.vocab = vocabulary(path)
+        self.vocab = Vocabulary(path)
         self.ids = ids = self.vocab.bytes_to_id
         n = max(ids.values()) + 1
         self.ranks = {a * n + b: k for k, (a, b, _) in enumerate(self.vocab.merges)}
         self.n, self.born, self.left, self.right = n, [-1] * n, [0] * n, [0] * n
         for k, (a, b, c) in enumerate(self.vocab.merges):
             self.born[c], self.left[c], self.right[c] = k, a, b
-        self.size, self.shorter, self.reach = self.vocab.endings()
         self.endings = Endings(self.vocab)
+        self.size, self.shorter, self.reach = self.endings.size.tolist(), self.endings.shorter.tolist(), self.endings.reach
         self.table = Table(list(self.ranks), list(self.ranks.values()))
         self.arrays = tuple(np.array(x, np.int64) for x in (self.born, self.left, self.right))
 
@@ -180,23 +179,19 @@ class PrefixCounts:
         return np.cumsum(np.concatenate(parts), dtype=np.int32) if parts else np.zeros(0, np.int32)
 
 
-@functools.lru_cache(maxsize=2)
-def prefix_counts(path: str) -> PrefixCounts:
-    return PrefixCounts(path)
-
-
 def prefix_table(df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", carry: Sequence[str] = ()) -> DataFrame:
     """``prefix_counts`` array<int>: tokens in each prefix of the text by code points; ``n_bytes`` long, ``n_tokens`` long.
 
     tokenizer: path of a byte-level BPE file, as the executors see it. A narrow
     job: no shuffle; each task keeps a bounded store of the words it has met.
     """
+    bounded_batches(df.sparkSession)
     rows = texts(df, id_col, text_col, carry).withColumn("n_bytes", F.octet_length("__text").cast("long"))
     schema = with_fields(rows, ["__text"], [("prefix_counts", T.ArrayType(T.IntegerType(), False))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = prefix_counts(tokenizer)
-        for batch in slices(batches, 1024, "__text"):
+        counter = held(("counts", tokenizer), lambda: PrefixCounts(tokenizer))
+        for batch in slices(batches, 1024, "__text", 1_500_000):
             each = counter.many(batch.column("__text").to_pylist())
             offsets = np.concatenate([[0], np.cumsum([len(x) for x in each])]).astype(np.int32)
             yield replaced(batch, schema, {"prefix_counts": pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(each)))})

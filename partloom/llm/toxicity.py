@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from partloom.llm.common import dropped, replaced, shared_folder, slices, stored, texts, with_fields
+from partloom.llm.common import bounded_batches, dropped, released, replaced, shared_folder, slices, stored, texts, with_fields
 
 #: Labelled rows that learning reads at most; the bound of the sample.
 MAX_LABELLED = 5000
@@ -310,12 +310,14 @@ def _learn(labelled: DataFrame, folder: str) -> Field:
 
 def score(df: DataFrame, model: Field, id_col: str = "doc_id", text_col: str = "text", carry: Sequence[str] = (), keep_text: bool = False) -> DataFrame:
     """Adds ``score``, ``predicted`` (score >= THRESHOLD), ``highest`` and ``expected`` marginals, ``n_words`` and ``spans`` (start, end in code points of the text, marginal), without the text (``keep_text``: with it, as ``__text``, null as empty)."""
+    bounded_batches(df.sparkSession)
     rows = texts(df, id_col, text_col, carry)
     span = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType()), T.StructField("marginal", T.DoubleType())]))
     schema = with_fields(rows, [] if keep_text else ["__text"], [("score", T.DoubleType()), ("highest", T.DoubleType()), ("expected", T.DoubleType()), ("n_words", T.LongType()), ("spans", span)])
     kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("marginal", pa.float64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        released()
         for batch in slices(batches, by="__text"):
             many = batch.column("__text").to_pylist()
             n, spans = len(many), [[] for _ in many]

@@ -6,7 +6,6 @@ public package that holds them, and never copied.
 
 from __future__ import annotations
 
-import functools
 import json
 
 import regex
@@ -77,9 +76,3 @@ class Vocabulary:
 
             self._library = Tokenizer.from_file(self._path).pre_tokenizer
         return [text[a:b] for _, (a, b) in self._library.pre_tokenize_str(text)]
-
-
-@functools.lru_cache(maxsize=4)
-def vocabulary(path: str) -> Vocabulary:
-    """One copy for each Python worker."""
-    return Vocabulary(path)
