@@ -238,13 +238,12 @@ def similar_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     bound = lambda n, over: math.floor(n * share + over * math.sqrt(n * share * (1 - share)))
     marked = stored(long_fingerprints(df, id_col, text_col, shingle, blocks, width), folder, "fingerprints")
     nodes = stored(marked.groupBy("blocks", "probe").agg(F.min(id_col).alias("first")).withColumn("node", F.monotonically_increasing_id()), folder, "nodes")
-    rows = nodes.select("node", "probe", F.posexplode("blocks").alias("block", "key"))
+    own = F.transform(F.sequence(F.lit(0), F.lit(blocks - 1)), lambda i: F.struct(*[F.get("blocks", (i + n) % blocks).alias(c) for n, c in enumerate(("key", "key2", "key3"))]))
+    rows = nodes.select("node", "probe", F.posexplode(own).alias("block", "k")).select("node", "probe", "block", "k.*")
     most = bound(PROBE, 3)
     found, crowded = _meet(rows, ["block", "key"], bucket, most, folder, "shared-1")
-    for level in (2, 3):
-        cut = crowded.join(nodes.select("node", "blocks"), "node").withColumn(f"key{level}", F.get("blocks", (F.col("block") + level - 1) % blocks)).drop("blocks")
-        by = ["block", "key", *[f"key{k}" for k in range(2, level + 1)]]
-        more, crowded = _meet(cut, by, bucket, most, folder, f"shared-{level}")
+    for by in (["block", "key", "key2"], ["block", "key", "key2", "key3"]):
+        more, crowded = _meet(crowded, by, bucket, most, folder, f"shared-{len(by) - 1}")
         found = found.unionByName(more)
     pairs = stored(found.distinct(), folder, "pairs")
     side = lambda n: nodes.select(F.col("node").alias(n), F.col("blocks").alias(f"__{n}"), F.col("probe").alias(f"__p{n}"))
