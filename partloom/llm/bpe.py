@@ -181,7 +181,7 @@ class Automaton:
             n += len(path)
         ids = np.concatenate(parts) if parts else np.zeros(0, np.uint32)
         flat = ids[ragged(start[at], size[at])]
-        ends = np.concatenate([[0], np.cumsum(size[at])])[np.cumsum([len(w) for w in each])]
+        ends = np.concatenate([[0], np.cumsum(size[at])])[np.cumsum([len(w) for w in each], dtype=np.int64)]
         return np.split(flat, ends[:-1])
 
     def many(self, texts: Sequence[str]) -> list[bytes]:

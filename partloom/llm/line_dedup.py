@@ -5,7 +5,8 @@ has it. Runs are tables in ``buckets`` buckets of the hash, sorted inside each b
 into the same buckets, meets them without shuffling them again: its lines are anti-joined with all runs by sort-merge joins, and those that are new
 become a run of level 0. When a level has ``fan`` runs they are merged bucket by bucket into one of the next level, so that a batch
 meets few runs. As batches come in order of id, the first run that has a key has its smallest id. Then a line is dropped if
-the owner of its key is another, smaller id. Runs lie below the shared folder: nothing is kept in one task, and a lost executor costs the tasks it ran.
+the owner of its key is another, smaller id. Runs lie below the shared folder: nothing is kept in one task, and a lost executor costs the tasks it ran. Lines are counted down to a row
+for each key in each task before they are dealt, and the last join, by line, can be split; at the end no table is left in the catalogue.
 
 Keys are compared by 128 bits of two differently seeded hashes. A row is told from others of its id by a hash of its text.
 
@@ -53,8 +54,8 @@ class Runs:
         self.levels.setdefault(level, []).append(name)
 
     def new_keys(self, lines: DataFrame) -> DataFrame:
-        """The keys of a batch (h1, h2, id) that no run has. Only the batch is shuffled."""
-        own = lines.repartition(self.buckets, "h1", "h2").groupBy("h1", "h2").agg(F.min("id").alias("owner"))
+        """The keys of a batch (h1, h2, id) that no run has. Only the batch is shuffled, a row for each key and task: as many parts as a run has buckets, so runs stay where they are."""
+        own = lines.groupBy("h1", "h2").agg(F.min("id").alias("owner"))
         for run in self.all():
             own = own.join(run.select("h1", "h2").hint("merge"), ["h1", "h2"], "left_anti")
         return own
@@ -78,7 +79,13 @@ class Runs:
         return out
 
     def owners(self) -> DataFrame:
-        return self.merged(self.all())
+        """All keys with their owners, as a plain table: a join with it shuffles both sides, so that adaptive execution can split a line that very many documents hold. The runs are dropped."""
+        out = stored(self.merged(self.all()), self.folder, "owners")
+        for level in self.levels.values():
+            for r in level:
+                self.spark.sql(f"DROP TABLE {r}")
+        self.levels.clear()
+        return out
 
 
 #: Rows of one batch, and the fewest batches. A batch should be a small part of a large corpus, and few enough rows for its lines to be sorted in one go.
