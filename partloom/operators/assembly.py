@@ -88,15 +88,23 @@ def agreed_winner(first: DataFrame, second: DataFrame, views: DataFrame, keys: S
     return win(first).join(win(second), [*keys, value]).join(seen, list(keys)).where(F.col("views") >= min_views)
 
 
-def assignment_margin(scores: DataFrame, key: str, left: str, right: str, score: str) -> DataFrame:
-    """(key, forbidden, margin): how much a key's best one-to-one total falls when a pair ("left>right") is forbidden. Pairs that the best assignment does not use cost nothing."""
+def assignment_margin(scores: DataFrame, key: str, left: str, right: str, score: str, locked: DataFrame | None = None) -> DataFrame:
+    """(key, forbidden, margin): how much a key's best one-to-one total falls when a pair ("left>right") is forbidden. Pairs that the best assignment does not use cost nothing.
+
+    locked: pairs (key, left, right) that stand in every assignment. They are not forbidden, and scores that share an item with one are left out.
+    """
+    if locked is not None:
+        scores = scores.join(locked.select(key, left), [key, left], "left_anti").join(locked.select(key, right), [key, right], "left_anti")
     pair = F.concat_ws(">", F.col(left).cast("string"), F.col(right).cast("string"))
-    best = joins.assign_one_to_one(scores, [key], left, right, score).select(key, "total")
+    total = lambda df, keys: joins.assign_optimal(df, keys, left, right, score).groupBy(*keys).agg(F.sum(score).alias("total"))
+    best = joins.assign_optimal(scores, [key], left, right, score).select(key, pair.alias("forbidden"), score)
+    whole = best.groupBy(key).agg(F.sum(score).alias("__best"))
+    less = scores.join(best.select(key, "forbidden"), key).where(pair != F.col("forbidden"))
+    other = total(less, [key, "forbidden"]).withColumnRenamed("total", "__without")
     pairs = scores.select(key, pair.alias("forbidden")).distinct()
-    less = scores.join(pairs, key).where(pair != F.col("forbidden"))
-    other = joins.assign_one_to_one(less, [key, "forbidden"], left, right, score).select(key, "forbidden", F.col("total").alias("__without"))
-    out = pairs.join(best, key).join(other, [key, "forbidden"], "left")
-    return out.select(key, "forbidden", F.round(F.col("total") - F.coalesce("__without", F.lit(0.0)), 6).alias("margin"))
+    used = best.select(key, "forbidden", F.lit(True).alias("__used"))
+    out = pairs.join(whole, key).join(used, [key, "forbidden"], "left").join(other, [key, "forbidden"], "left")
+    return out.select(key, "forbidden", F.round(F.when(F.col("__used"), F.col("__best") - F.coalesce("__without", F.lit(0.0))).otherwise(0.0), 6).alias("margin"))
 
 
 def delivery_check(planned: DataFrame, delivered: DataFrame, key: str, value: str) -> DataFrame:

@@ -8,7 +8,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from partloom.operators.gates import reasons
-from partloom.operators.joins import against, small, top_rows
+from partloom.operators.graph import Rounds
+from partloom.operators.joins import against, box_gap, small, top_rows
+from partloom.operators.stats import quantiles
 
 
 def fuse_palettes(groups: DataFrame, keys: Sequence[str], view: str, colour: str, family: str, finish: str, image: str, painted: Sequence[str] = (), pixel_only: str = "") -> DataFrame:
@@ -134,6 +136,50 @@ def extend_components(components: DataFrame, parts: DataFrame, keys: Sequence[st
     return met.groupBy(*k, "part_id").agg(F.count_distinct("component").alias("__n"), F.min("component").alias("component")).where("__n = 1").drop("__n")
 
 
+#: The gap of boxes that count as touching is this share of their longest side, between a least and a largest one, in pixels; and the least summed support.
+GAP_SHARE, LEAST_GAP, MOST_GAP, LEAST_SUPPORT = 0.06, 10.0, 36.0, 0.60
+
+
+def observation_weight(alignment: Column, pixels: Column) -> Column:
+    """How much an observation counts: its alignment within 0 and 1, less where it has few pixels (whole from 4,096 on); 0 if either is missing."""
+    return F.coalesce(F.when(pixels >= 1, F.greatest(F.lit(0.0), F.least(F.lit(1.0), alignment)) * F.least(F.lit(1.0), F.log2(F.greatest(F.lit(2.0), pixels.cast("double"))) / 12)), F.lit(0.0))
+
+
+def proximity_support(boxes: DataFrame, members: DataFrame, keys: Sequence[str], view: str) -> DataFrame:
+    """(keys, part_id, component, support, views): how well a part stands beside a component's members. boxes: (keys, view, part_id, x0, y0, x1, y1, weight); members: (keys, component, part_id).
+
+    In each view the member with the best smaller weight counts, of those whose gap to the part is within the limit for both boxes' sizes; the views' best are summed. Boxes meet in
+    cells as wide as the largest gap: a part's box is written to all cells it can reach, a member's to those it lies in.
+    """
+    k, sides = [*keys, view], ("x0", "y0", "x1", "y1")
+    cell = lambda c, more: F.floor((F.col(c) + more) / MOST_GAP)
+
+    def dealt(df: DataFrame, reach: float) -> DataFrame:
+        across = df.withColumn("cx", F.explode(F.sequence(cell("x0", -reach), cell("x1", reach))))
+        return across.withColumn("cy", F.explode(F.sequence(cell("y0", -reach), cell("y1", reach))))
+
+    box = F.struct(*sides)
+    part = dealt(boxes, MOST_GAP).select(*k, "part_id", "weight", box.alias("__a"), "cx", "cy")
+    held = boxes.join(members, [*keys, "part_id"]).select(*k, F.col("part_id").alias("member"), "component", F.col("weight").alias("__w"), box.alias("__b"), *sides)
+    met = part.join(dealt(held, 0.0).drop(*sides), [*k, "cx", "cy"]).where("part_id <> member")
+    widest = F.greatest(*[F.col(f"{b}.{c}1") - F.col(f"{b}.{c}0") for b in ("__a", "__b") for c in "xy"])
+    limit = F.greatest(F.lit(LEAST_GAP), F.least(F.lit(MOST_GAP), GAP_SHARE * widest))
+    near = met.where(box_gap("__a", "__b") <= limit).select(*k, "part_id", "component", F.least("weight", "__w").alias("__s"))
+    best = near.groupBy(*k, "part_id", "component").agg(F.max("__s").alias("__s"))
+    return best.groupBy(*keys, "part_id", "component").agg(F.sum("__s").alias("support"), F.count(F.lit(1)).alias("views"))
+
+
+def extend_beside(components: DataFrame, parts: DataFrame, boxes: DataFrame, members: DataFrame, keys: Sequence[str], view: str, branch: str, surface: str, max_distance: float, least_support: float = LEAST_SUPPORT) -> DataFrame:
+    """(keys, part_id, component, support): as :func:`extend_components`, of the components that the part also stands beside with enough support. Parts that two components could have stay out."""
+    k = list(keys)
+    c = components.select(*k, branch, surface, "component", F.col("lab").alias("__c"))
+    d = F.sqrt(sum((F.pow(F.col(f"lab.{x}") - F.col(f"__c.{x}"), F.lit(2)) for x in "ab"), F.pow(F.col("lab.l") - F.col("__c.l"), F.lit(2))))
+    alike = parts.join(c, [*k, branch, surface]).where(d <= max_distance).select(*k, "part_id", "component").distinct()
+    beside = proximity_support(boxes, members, keys, view).where(F.round("support", 9) >= least_support)
+    met = alike.join(beside, [*k, "part_id", "component"]).join(members.select(*k, "part_id"), [*k, "part_id"], "left_anti")
+    return met.groupBy(*k, "part_id").agg(F.count(F.lit(1)).alias("__n"), F.min("component").alias("component"), F.min("support").alias("support")).where("__n = 1").drop("__n")
+
+
 def part_view_evidence(choices: DataFrame, votes: DataFrame, keys: Sequence[str]) -> DataFrame:
     """A group's choice counts for a part only in views that mapped the part to the group. keys: part, group and view."""
     return votes.join(choices, [k for k in keys if k in choices.columns])
@@ -190,3 +236,75 @@ def fit_similarity(anchors: DataFrame, keys: Sequence[str], tolerance: float) ->
     votes = met.groupBy(*k, "a_id", "b_id", "c", "s", "tx", "ty").agg(F.sum(F.when(fit, F.col("w")).otherwise(0.0)).alias("weight"), F.count_if(fit).alias("inliers"))
     w = Window.partitionBy(*k).orderBy(F.round("weight", 8).desc(), "a_id", "b_id")
     return votes.withColumn("__r", F.row_number().over(w)).where("__r = 1").select(*k, "a_id", "b_id", F.sqrt(F.col("c") * F.col("c") + F.col("s") * F.col("s")).alias("scale"), F.degrees(F.atan2("s", "c")).alias("angle"), "inliers", "weight")
+
+
+#: Fewest anchors of a fit, the least residual that is an inlier, and its share of the anchors' median diagonal.
+LEAST_ANCHORS, LEAST_RESIDUAL, RESIDUAL_SHARE = 3, 2.0, 0.15
+
+
+def anchor_floors(anchors: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The anchors (keys, id, ..., area, quality) at or above their key's floors: the lower quartile of areas (the least of fewer than four), and the median quality less its deviation.
+
+    A key of which fewer than three pass keeps its best by quality, then area, then id: three, or the root of their number if that is more.
+    """
+    k = list(keys)
+    areas = quantiles(anchors, k, "area", {"__q1": 0.25, "__least": 0.0})
+    middle = quantiles(anchors, k, "quality", {"__median": 0.5}).drop("n")
+    off = anchors.join(middle, k).withColumn("__off", F.abs(F.col("quality") - F.col("__median")))
+    spread = quantiles(off, k, "__off", {"__mad": 0.5}).drop("n")
+    floors = areas.join(middle, k).join(spread, k).select(*k, F.col("n").alias("__n"), F.when(F.col("n") >= 4, F.col("__q1")).otherwise(F.col("__least")).alias("__area"), F.greatest(F.lit(0.0), F.col("__median") - 1.4826 * F.col("__mad")).alias("__quality"))
+    whole = Window.partitionBy(*k)
+    met = anchors.join(floors, k).withColumn("__pass", (F.col("area") >= F.col("__area")) & (F.col("quality") >= F.col("__quality") - 1e-12))
+    ranked = met.withColumn("__passed", F.count_if(F.col("__pass")).over(whole)).withColumn("__rank", F.row_number().over(whole.orderBy(F.desc("quality"), F.desc("area"), F.desc("id"))))
+    few = F.col("__rank") <= F.greatest(F.lit(LEAST_ANCHORS), F.ceil(F.sqrt("__n")))
+    return ranked.where(F.when(F.col("__passed") < LEAST_ANCHORS, few).otherwise(F.col("__pass"))).select(*anchors.columns)
+
+
+def refined_similarity(anchors: DataFrame, keys: Sequence[str], chosen: Column) -> DataFrame:
+    """(keys, c, s, tx, ty): the similarity u = c x - s y + tx, v = s x + c y + ty of least weighted squares over the anchors ``chosen``, in closed form from sums."""
+    k, w = list(keys), F.greatest(F.col("quality"), F.lit(1e-3))
+    total = lambda e: F.sum(F.when(chosen, e * w))
+    x, y, u, v = (F.col(c) for c in "xyuv")
+    sums = {"n": F.lit(1.0), "x": x, "y": y, "u": u, "v": v, "xx": x * x + y * y, "xu": x * u + y * v, "xv": x * v - y * u}
+    t = anchors.groupBy(*k).agg(*[total(e).alias(f"__{n}") for n, e in sums.items()])
+    s = {n: F.col(f"__{n}") for n in sums}
+    size = s["xx"] - (s["x"] * s["x"] + s["y"] * s["y"]) / s["n"]
+    c = (s["xu"] - (s["x"] * s["u"] + s["y"] * s["v"]) / s["n"]) / size
+    r = (s["xv"] - (s["x"] * s["v"] - s["y"] * s["u"]) / s["n"]) / size
+    out = t.where(size > 1e-12).select(*k, c.alias("c"), r.alias("s"), *[(s[n] / s["n"]).alias(f"__m{n}") for n in "xyuv"])
+    return out.select(*k, "c", "s", (F.col("__mu") - F.col("c") * F.col("__mx") + F.col("s") * F.col("__my")).alias("tx"), (F.col("__mv") - F.col("s") * F.col("__mx") - F.col("c") * F.col("__my")).alias("ty"))
+
+
+def robust_similarity(anchors: DataFrame, keys: Sequence[str], refinements: int = 3) -> DataFrame:
+    """(keys, status, c, s, tx, ty, inliers, anchors, threshold): a 2-D similarity from anchors (keys, id, x, y, u, v, area, quality, diagonal) that withstands wrong ones.
+
+    Anchors under the floors go first (:func:`anchor_floors`). Every pair far enough apart is a hypothesis; the one with most inlier weight wins, then most inliers, then the
+    least median residual of the inliers and of all. It is refined by weighted least squares over its inliers, which are chosen anew each time. status: ok, too_few_anchors, no_consensus or no_majority.
+    """
+    k = list(keys)
+    rounds = Rounds(anchors, "similarity")
+    kept = rounds.stored(anchor_floors(anchors, k))
+    shape = quantiles(kept, k, "diagonal", {"__diagonal": 0.5}).select(*k, "__diagonal")
+    span = kept.groupBy(*k).agg(F.count(F.lit(1)).alias("anchors"), F.hypot(F.max("x") - F.min("x"), F.max("y") - F.min("y")).alias("__span"))
+    limits = rounds.stored(span.join(shape, k).select(*k, "anchors", F.greatest(F.lit(LEAST_RESIDUAL), RESIDUAL_SHARE * F.col("__diagonal")).alias("threshold"), F.greatest(F.lit(1.0), 0.05 * F.col("__span")).alias("__apart")))
+    side = lambda n: kept.select(*k, *[F.col(c).alias(f"{n}_{c}") for c in ("id", "x", "y", "u", "v")])
+    dx, dy, du, dv = (F.col(f"b_{c}") - F.col(f"a_{c}") for c in "xyuv")
+    size = dx * dx + dy * dy
+    pairs = side("a").join(side("b"), k).where("a_id < b_id").join(limits, k).where((F.sqrt(size) >= F.col("__apart")) & (du * du + dv * dv > 0))
+    h = pairs.withColumn("c", (dx * du + dy * dv) / size).withColumn("s", (dx * dv - dy * du) / size)
+    half = lambda n, a, b, sign: (F.col(f"a_{n}") + F.col(f"b_{n}") - F.col("c") * (F.col(f"a_{a}") + F.col(f"b_{a}")) + sign * F.col("s") * (F.col(f"a_{b}") + F.col(f"b_{b}"))) / 2
+    h = h.select(*k, "a_id", "b_id", "c", "s", half("u", "x", "y", 1).alias("tx"), half("v", "y", "x", -1).alias("ty"), "threshold")
+    residual = F.hypot(F.col("c") * F.col("x") - F.col("s") * F.col("y") + F.col("tx") - F.col("u"), F.col("s") * F.col("x") + F.col("c") * F.col("y") + F.col("ty") - F.col("v"))
+    w = F.greatest(F.col("quality"), F.lit(1e-3))
+    met = h.join(kept, k).withColumn("__r", residual).withColumn("__in", F.col("__r") <= F.col("threshold"))
+    votes = met.groupBy(*k, "a_id", "b_id", "c", "s", "tx", "ty").agg(F.sum(F.when(F.col("__in"), w).otherwise(0.0)).alias("__w"), F.count_if("__in").alias("__n"), F.median(F.when(F.col("__in"), F.col("__r"))).alias("__mi"), F.median("__r").alias("__ma")).where(F.col("__n") >= LEAST_ANCHORS)
+    order = [F.round("__w", 9).desc(), F.desc("__n"), F.round("__mi", 9), F.round("__ma", 9), "a_id", "b_id"]
+    model = rounds.stored(votes.withColumn("__o", F.row_number().over(Window.partitionBy(*k).orderBy(*order))).where("__o = 1").select(*k, "c", "s", "tx", "ty"))
+    for _ in range(refinements):
+        inside = kept.join(model, k).join(limits, k).withColumn("__in", residual <= F.col("threshold")).drop("c", "s", "tx", "ty")
+        model = rounds.stored(refined_similarity(inside, k, F.col("__in")))
+    last = kept.join(model, k).join(limits.drop("anchors"), k).groupBy(*k).agg(F.count_if(residual <= F.col("threshold")).alias("inliers"))
+    out = anchors.select(*k).distinct().join(limits.drop("__apart"), k, "left").join(model, k, "left").join(last, k, "left")
+    majority = F.greatest(F.lit(LEAST_ANCHORS), F.ceil(0.5 * F.col("anchors")))
+    status = F.when(F.col("anchors") < LEAST_ANCHORS, "too_few_anchors").when(F.col("c").isNull() | (F.col("inliers") < LEAST_ANCHORS), "no_consensus").when(F.col("inliers") < majority, "no_majority").otherwise("ok")
+    return out.select(*k, status.alias("status"), "c", "s", "tx", "ty", "inliers", "anchors", "threshold")

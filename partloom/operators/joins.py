@@ -9,8 +9,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import combinations, pairwise
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from partloom.functions.color import delta_e2000
 from partloom.operators.graph import scratch
@@ -189,14 +192,6 @@ def point_distances(src: DataFrame, dst: DataFrame, keys: Sequence[str], coords:
     return src.groupBy(*keys).agg(F.count(F.lit(1)).alias("points")).join(by, list(keys), "left").select(*keys, F.coalesce("matched", F.lit(0)).alias("matched"), (F.col("points") - F.coalesce("matched", F.lit(0))).alias("unmatched"), "mean", "rms", "largest")
 
 
-def weld_points(points: DataFrame, keys: Sequence[str], coords: Sequence[str], radius: float) -> DataFrame:
-    """(keys, id, welded): the smallest id among the points of the same place, as coordinates rounded to ``radius`` say."""
-    cell = [F.round(F.col(c) / radius).cast("long").alias(f"__c_{c}") for c in coords]
-    placed = points.select(*keys, "id", *cell)
-    names = [f"__c_{c}" for c in coords]
-    return placed.join(placed.groupBy(*keys, *names).agg(F.min("id").alias("welded")), [*keys, *names]).select(*keys, "id", "welded")
-
-
 def nearest_points(src: DataFrame, dst: DataFrame, keys: Sequence[str], coords: Sequence[str], radius: float) -> DataFrame:
     """Nearest point of ``dst`` within ``radius`` for each point of ``src``, by an equi-join on grid cells: each source meets its cell and the neighbours."""
     cell = lambda c: F.floor(F.col(c) / radius).cast("long")
@@ -249,3 +244,75 @@ def assign_one_to_one(scores: DataFrame, keys: Sequence[str], left: str, right:
         state = spark.read.schema(after.schema).parquet(f"{folder}/round-{n}")
     last = Window.partitionBy(*keys).orderBy(F.desc("total"), F.desc("matched"), F.asc(F.array_join("path", ",", "~")))
     return state.withColumn("__r", F.row_number().over(last)).where("__r = 1").select(*keys, "path", "total", "matched")
+
+
+def least_cost(cost: np.ndarray) -> np.ndarray:
+    """The column of each row of least total cost, by shortest augmenting paths over whole numbers. There are at least as many columns as rows."""
+    n, m = cost.shape
+    u, v, owner = np.zeros(n, np.int64), np.zeros(m, np.int64), np.full(m, -1)
+    for start in range(n):
+        dist, before, done = np.full(m, np.iinfo(np.int64).max // 4), np.full(m, -1), np.zeros(m, bool)
+        row, last, far = start, -1, 0
+        while True:
+            reach = far + cost[row] - u[row] - v
+            better = ~done & (reach < dist)
+            dist[better], before[better] = reach[better], last
+            last = int(np.where(done, np.iinfo(np.int64).max // 2, dist).argmin())
+            far = dist[last]
+            if owner[last] < 0:
+                break
+            done[last] = True
+            row = owner[last]
+        u[start] += far
+        u[owner[done]] += far - dist[done]
+        v[done] -= far - dist[done]
+        while last >= 0:  # the path turns round
+            prior = before[last]
+            owner[last] = owner[prior] if prior >= 0 else start
+            last = prior
+    out = np.empty(n, np.int64)
+    held = owner >= 0
+    out[owner[held]] = np.flatnonzero(held)
+    return out
+
+
+#: The largest side of one key's table of scores in :func:`assign_optimal`: a key is solved in one task, in memory that is its square and time that is its cube.
+MOST_ITEMS = 2000
+
+
+def assign_optimal(scores: DataFrame, keys: Sequence[str], left: str, right: str, score: str, locked: DataFrame | None = None, digits: int = 9) -> DataFrame:
+    """(keys, left, right, score, locked) of the pairs of a best one-to-one assignment of each key: highest total of scores (to ``digits``), then most pairs. Keys are solved apart, on as many tasks.
+
+    locked: pairs (keys, left, right) that stand before anything is chosen; they need no score. A pair locked to two partners is an error, as is a key with more than ``MOST_ITEMS`` items on a side.
+    Beyond these two rules ties go to pairs that come first by left and right; see :func:`assign_one_to_one` for the least path.
+    """
+    k = list(keys)
+    kind = {f.name: f.dataType for f in scores.schema.fields}
+    rows = scores.groupBy(*k, left, right).agg(F.max(score).cast("double").alias("__s")).withColumn("__locked", F.lit(False))
+    if locked is not None:
+        fixed = locked.select(*k, left, right).distinct()
+        rows = rows.join(fixed.withColumn("__fixed", F.lit(True)), [*k, left, right], "full").select(*k, left, right, "__s", F.coalesce("__fixed", F.lit(False)).alias("__locked"))
+    schema = T.StructType([*[T.StructField(c, kind[c]) for c in (*k, left, right)], T.StructField(score, T.DoubleType()), T.StructField("locked", T.BooleanType())])
+
+    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
+        fixed = pdf[pdf["__locked"]]
+        if fixed[left].duplicated().any() or fixed[right].duplicated().any():
+            raise ValueError("an item is locked twice")
+        free = pdf[~pdf[left].isin(fixed[left]) & ~pdf[right].isin(fixed[right])]
+        lefts, rights = sorted(free[left].unique()), sorted(free[right].unique())
+        n, m = len(lefts), len(rights)
+        if max(n, m) > MOST_ITEMS:
+            raise ValueError(f"a key has {max(n, m)} items, more than {MOST_ITEMS}")
+        picked = fixed
+        if n and m:
+            worth = np.full((n, m), np.nan)
+            worth[free[left].map({x: i for i, x in enumerate(lefts)}), free[right].map({x: i for i, x in enumerate(rights)})] = free["__s"]
+            known = np.isfinite(worth)
+            value = np.where(known, np.round(np.nan_to_num(worth) * 10**digits), 0).astype(np.int64) * (min(n, m) + 1) + 1  # a pair more decides between equal totals
+            cost = np.concatenate([np.where(known & (value > 0), -value, 1), np.zeros((n, n), np.int64)], axis=1)  # no pair costs nothing
+            column = least_cost(cost)
+            chosen = {(lefts[i], rights[c]) for i, c in enumerate(column) if c < m}
+            picked = pd.concat([fixed, free[[pair in chosen for pair in zip(free[left], free[right], strict=True)]]])
+        return picked.rename(columns={"__s": score, "__locked": "locked"})[[*k, left, right, score, "locked"]]
+
+    return rows.groupBy(*k).applyInPandas(solve, schema)

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from partloom.operators.graph import Rounds
+
 
 def rank_scores(df: DataFrame, keys: Sequence[str], score: str, id_col: str, k: int | None = None) -> DataFrame:
     """Adds ``rank`` from 1: higher scores first, then the id; nulls are left out."""
@@ -190,3 +192,42 @@ def select_membership(views: DataFrame, keys: Sequence[str], expanded: str, base
     g = views.groupBy(*keys).agg(F.count_if(delta > better).alias("improved"), F.count_if(delta < -worse).alias("regressed"), F.round(F.avg(expanded) - F.avg(base), 8).alias("gain"))
     won = (F.coalesce("gain", F.lit(-1.0)) >= min_gain) & (F.col("improved") >= min_views) & (F.col("regressed") == 0)
     return g.select(*keys, "improved", "regressed", F.when(won, "M1").otherwise("M0").alias("mode"))
+
+
+Scorer = Callable[[DataFrame, DataFrame], DataFrame]
+
+
+def coupled_scorer(own: DataFrame, keys: Sequence[str], group: str, id_col: str, like: str, bonus: float) -> Scorer:
+    """A candidate's own score, and ``bonus`` for each other group of the asset whose choice in the plan has the same value of ``like``. own: (keys, group, id, like, score)."""
+    k = list(keys)
+
+    def score(plan: DataFrame, trial: DataFrame) -> DataFrame:
+        rated = trial.join(own.select(*k, group, id_col, like, F.col("score").alias("__own")), [*k, group, id_col])  # keeps the trial's columns
+        chosen = plan.join(own.select(*k, group, id_col, like), [*k, group, id_col]).select(*k, F.col(group).alias("__g"), like)
+        near = rated.join(chosen, [*k, like], "left").groupBy(*k, group, id_col, "baseline", "__own").agg(F.count_if(F.col("__g") != F.col(group)).alias("__same"))
+        return near.select(*k, group, id_col, "baseline", (F.col("__own") + F.lit(bonus) * F.col("__same")).alias("score"))
+
+    return score
+
+
+def group_tournament(plan: DataFrame, candidates: DataFrame, footprints: DataFrame, keys: Sequence[str], group: str, id_col: str, scorer: Scorer, min_gain: float, min_margin: float) -> tuple[DataFrame, DataFrame]:
+    """The plan after every group has had its round, and the log of rounds (keys, group, id: what was there, selected, reason, turn).
+
+    plan: (keys, group, id), one choice a group; candidates: the same columns; footprints: (keys, group, footprint). The groups of an asset take turns by falling footprint, then name; all assets are in
+    step. In a turn the plan's choice and the group's candidates are scored with the plan as it is by then, so what a turn selects is the baseline of those that follow. Every
+    turn's plan is written to the shared folder. scorer: adds ``score`` to a trial (keys, group, id, baseline), given the plan. Groups without a choice in the plan stay without one.
+    """
+    k, rounds = list(keys), Rounds(plan, "tournament")
+    turn = F.row_number().over(Window.partitionBy(*k).orderBy(F.desc("footprint"), group))
+    queue = footprints.select(*k, group, turn.alias("turn"))
+    plan, log = rounds.stored(plan.select(*k, group, id_col).join(queue, [*k, group], "left")), None
+    for n in range(1, (plan.agg(F.max("turn")).first()[0] or 0) + 1):
+        held = plan.where(F.col("turn") == n).select(*k, group, F.col(id_col).alias("__held"))
+        offered = candidates.select(*k, group, id_col).join(held, [*k, group]).withColumn("baseline", F.col(id_col) == F.col("__held")).drop("__held")
+        trial = offered.unionByName(held.select(*k, group, F.col("__held").alias(id_col), F.lit(True).alias("baseline"))).groupBy(*k, group, id_col).agg(F.max("baseline").alias("baseline"))
+        scored = scorer(plan.drop("turn"), trial)
+        decided = rounds.stored(group_step(scored, [*k, group], id_col, "score", "baseline", min_gain, min_margin).join(held, [*k, group]).select(*k, group, F.col("__held").alias(id_col), "selected", "reason", F.lit(n).cast("long").alias("turn")))
+        log = decided if log is None else log.unionByName(decided)
+        plan = rounds.stored(plan.join(decided.select(*k, group, F.col("selected").alias("__new")), [*k, group], "left").select(*k, group, F.coalesce("__new", id_col).alias(id_col), "turn"))
+    plan = plan.drop("turn")
+    return plan, log

@@ -22,6 +22,33 @@ def canonicalize(df: DataFrame, id_col: str, text_col: str, aliases: DataFrame)
     return df.select(id_col).distinct().join(found, id_col, "left").select(id_col, F.coalesce("canonical", F.lit("")).alias("canonical"))
 
 
+def canonicalize_any(df: DataFrame, id_col: str, text_col: str, aliases: DataFrame) -> DataFrame:
+    """(id, canonical) as :func:`canonicalize` has it, where aliases that are not ASCII are found anywhere in the lower-cased text: scripts without spaces have no words to compare.
+
+    Such an alias is kept under its rarest pair of neighbouring letters that is not ASCII (a single letter under itself); each pair of a text meets the aliases kept under it, and
+    the alias is verified where it would stand. Thousands of aliases cost a text no more than the few it shares a pair with. Empty aliases are never found.
+    """
+    plain = F.col("alias").rlike(r"^[\x00-\x7F]*$")
+    low = aliases.select(F.lower("alias").alias("alias"), "canonical").where("alias <> ''").distinct()
+    worded = df.select(id_col, F.explode(F.array_distinct(tokens(F.col(text_col)))).alias("alias")).join(low.where(plain), "alias").select(id_col, "canonical")
+    pair = lambda text, at: F.substring(text, at, F.lit(2))
+    starts = lambda text: F.sequence(F.lit(1), F.greatest(F.lit(1), F.char_length(text) - 1))
+    odd = lambda c: ~F.col(c).rlike(r"^[\x00-\x7F]*$")
+    other = low.where(~plain)
+    grams = other.select("alias", F.explode(starts(F.col("alias"))).alias("at")).distinct().select("alias", "at", pair(F.col("alias"), F.col("at")).alias("gram")).where(odd("gram"))
+    usual = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
+    best = grams.join(usual, "gram").groupBy("alias").agg(F.min(F.struct("n", "gram", "at")).alias("m")).select("alias", "m.gram", "m.at")
+    kept = best.join(other, "alias")
+    text = df.select(id_col, F.lower(text_col).alias("__t")).where(odd("__t"))
+    places = F.explode(F.sequence(F.lit(1), F.char_length("__t")))
+    ones = text.select(id_col, "__t", places.alias("p"))
+    met = ones.select(id_col, "__t", "p", pair(F.col("__t"), F.col("p")).alias("gram")).unionByName(ones.select(id_col, "__t", "p", F.substring(F.col("__t"), F.col("p"), F.lit(1)).alias("gram"))).where(odd("gram"))
+    begin = F.col("p") - F.col("at") + 1
+    found = met.join(kept, "gram").where((begin >= 1) & (F.substring(F.col("__t"), begin, F.char_length("alias")) == F.col("alias"))).select(id_col, "canonical")
+    by = worded.unionByName(found).groupBy(id_col).agg(F.array_join(F.array_sort(F.collect_set("canonical")), ",").alias("canonical"))
+    return df.select(id_col).distinct().join(by, id_col, "left").select(id_col, F.coalesce("canonical", F.lit("")).alias("canonical"))
+
+
 def first_rule(df: DataFrame, rules: Sequence[tuple[str, str]], text_col: str, default: str) -> Column:
     """The value of the first regular expression (any case) that the text holds; else the default."""
     out = None

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from partloom.functions import color
-from partloom.operators import fusion, gates, graph, joins, mesh, rank, stats
+from partloom.operators import fusion, gates, graph, joins, mesh, rank, spatial, stats
 from partloom.operators import pixels as px
 from partloom.plans import rules
 from partloom.queries.base import OBS, PARTS, observations, parts, query, rounded, table
@@ -198,10 +198,42 @@ def j12b(spark, d):
     return rounded(joins.point_distances(*places(spark, d), ["brand"], ["x", "y"], 20.0), 5)
 
 
-@query("j12_weld_points", f"{_PLACES}, u AS (SELECT * FROM a UNION ALL SELECT * FROM b) SELECT brand, id, min(id) OVER (PARTITION BY brand, CAST(round(x / 8) AS BIGINT), CAST(round(y / 8) AS BIGINT)) AS welded FROM u")
+@query(
+    "j12_weld_points",
+    f"""{_PLACES.replace("WITH", "WITH RECURSIVE", 1)}, u AS (SELECT *, row_number() OVER (PARTITION BY brand ORDER BY id) AS n FROM (SELECT * FROM a UNION ALL SELECT * FROM b)),
+w AS (SELECT DISTINCT brand, 0::BIGINT AS n, []::STRUCT(id BIGINT, x DOUBLE, y DOUBLE)[] AS reps FROM u UNION ALL SELECT w.brand, u.n,
+  CASE WHEN len(list_filter(reps, lambda q: sqrt(power(q.x - u.x, 2) + power(q.y - u.y, 2)) <= 8)) > 0 THEN reps ELSE list_append(reps, {{'id': u.id, 'x': u.x, 'y': u.y}}) END FROM w JOIN u ON u.brand = w.brand AND u.n = w.n + 1),
+r AS (SELECT brand, unnest(arg_max(reps, n)) AS q FROM w GROUP BY brand)
+SELECT u.brand, u.id, min(r.q.id) AS welded FROM u JOIN r ON r.brand = u.brand AND r.q.id <= u.id AND sqrt(power(r.q.x - u.x, 2) + power(r.q.y - u.y, 2)) <= 8 GROUP BY u.brand, u.id""",
+)
 def j12c(spark, d):
+    """Parts of a brand within 8 of an earlier representative are one; the SQL takes them one after another."""
     a, b = places(spark, d)
-    return joins.weld_points(a.unionByName(b), ["brand"], ["x", "y"], 8.0)
+    return spatial.weld_points(a.unionByName(b), ["brand"], ["x", "y"], 8.0)
+
+
+_SEGMENT = lambda a, b: f"(SELECT power(p1 - {a}1 - t * ({b}1 - {a}1), 2) + power(p2 - {a}2 - t * ({b}2 - {a}2), 2) + power(p3 - {a}3 - t * ({b}3 - {a}3), 2) FROM (SELECT greatest(0, least(1, ((p1 - {a}1) * ({b}1 - {a}1) + (p2 - {a}2) * ({b}2 - {a}2) + (p3 - {a}3) * ({b}3 - {a}3)) / (power({b}1 - {a}1, 2) + power({b}2 - {a}2, 2) + power({b}3 - {a}3, 2)))) AS t))"
+_PRODUCT = lambda a, b, c, d: " + ".join(f"({a}{i} - {b}{i}) * ({c}{i} - {d}{i})" for i in (1, 2, 3))
+
+
+@query(
+    "j12_nearest_surface",
+    f"""WITH {PARTS}, tri AS (SELECT brand, part_id AS triangle, r::DOUBLE AS a1, g::DOUBLE AS a2, b::DOUBLE AS a3, r + size::DOUBLE AS b1, g + 1.0::DOUBLE AS b2, b::DOUBLE AS b3, r::DOUBLE AS c1, g + size::DOUBLE AS c2, b + 2.0::DOUBLE AS c3 FROM parts),
+pt AS (SELECT brand, l_orderkey * 10 + l_linenumber AS id, (l_orderkey * 17 % 300)::DOUBLE AS p1, (l_suppkey * 29 % 300)::DOUBLE AS p2, (l_partkey * 7 % 300)::DOUBLE AS p3 FROM lineitem JOIN parts ON part_id = l_partkey),
+pairs AS (SELECT pt.*, tri.* EXCLUDE (brand), {_PRODUCT("b", "a", "b", "a")} AS d00, {_PRODUCT("b", "a", "c", "a")} AS d01, {_PRODUCT("c", "a", "c", "a")} AS d11, {_PRODUCT("p", "a", "b", "a")} AS d20, {_PRODUCT("p", "a", "c", "a")} AS d21 FROM pt JOIN tri ON tri.brand = pt.brand),
+s AS (SELECT *, (d11 * d20 - d01 * d21) / (d00 * d11 - d01 * d01) AS v, (d00 * d21 - d01 * d20) / (d00 * d11 - d01 * d01) AS w FROM pairs),
+near AS (SELECT brand, id, sqrt(min(least({_SEGMENT("a", "b")}, {_SEGMENT("b", "c")}, {_SEGMENT("a", "c")},
+  CASE WHEN v >= 0 AND w >= 0 AND v + w <= 1 THEN {" + ".join(f"power(p{i} - a{i} - v * (b{i} - a{i}) - w * (c{i} - a{i}), 2)" for i in (1, 2, 3))} ELSE 1e18 END))) AS d FROM s GROUP BY brand, id)
+SELECT brand, count(*) AS samples, round(avg(d), 4) AS mean, round(sqrt(avg(d * d)), 4) AS rms, round(max(d), 4) AS largest FROM near GROUP BY brand""",
+)
+def j12d(spark, d):
+    """How far places of observations are from the triangles of their brand."""
+    p = parts(spark, d)
+    at = lambda c, more=0: (F.col(c) + more).cast("double")
+    tri = p.select("brand", F.col("part_id").alias("triangle"), at("r").alias("ax"), at("g").alias("ay"), at("b").alias("az"), at("r", F.col("size")).alias("bx"), at("g", 1).alias("by"), at("b").alias("bz"), at("r").alias("cx"), at("g", F.col("size")).alias("cy"), at("b", 2).alias("cz"))
+    li = table(spark, d, "lineitem").join(p.select(F.col("part_id").alias("l_partkey"), "brand"), "l_partkey")
+    pt = li.select("brand", (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"), (F.col("l_orderkey") * 17 % 300).cast("double").alias("x"), (F.col("l_suppkey") * 29 % 300).cast("double").alias("y"), (F.col("l_partkey") * 7 % 300).cast("double").alias("z"))
+    return rounded(spatial.surface_distances(pt, tri, ["brand"]), 4)
 
 
 @query("a14_silhouette_score")

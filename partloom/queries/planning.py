@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from partloom.operators import assembly, gates
 from partloom.plans import rules
 from partloom.queries.base import OBS, PARTS, observations, parts, query, rounded, table
-from partloom.sources import files
+from partloom.sources import files, sealed
 from partloom.streaming import progress
 
 
@@ -141,9 +141,19 @@ def s06(spark, d):
     return files.attach_preview(p, own.unionByName(mod), "brand", "type").select("part_id", "preview")
 
 
-@query("s07_load_bank", "SELECT coalesce(p_partkey, vec_id) AS vec_id, CASE WHEN p_partkey IS NULL THEN 'unknown' WHEN vec_id IS NULL THEN 'missing' WHEN len(embedding) <> 64 THEN 'wrong_size' ELSE 'ok' END AS status FROM part FULL JOIN embeddings ON p_partkey = vec_id")
+@query(
+    "s07_bank_status",
+    """WITH c AS (SELECT p_partkey AS vec_id FROM part), v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(x::DOUBLE * 1000)::BIGINT) AS vec FROM embeddings), b AS (SELECT vec_id, CASE WHEN vec_id % 50 = 0 THEN list_prepend(-vec[1], vec[2:]) WHEN vec_id % 51 = 0 THEN vec[2:] ELSE vec END AS vec FROM v UNION ALL SELECT vec_id, vec FROM v WHERE vec_id % 53 = 0)
+SELECT coalesce(c.vec_id, x.vec_id) AS vec_id, CASE WHEN c.vec_id IS NULL THEN 'unknown' WHEN x.vec_id IS NULL THEN 'missing' WHEN x.n > 1 THEN 'duplicate' WHEN x.size <> 64 THEN 'wrong_size' WHEN x.vec <> v.vec THEN 'changed' ELSE 'ok' END AS status
+FROM c FULL JOIN (SELECT vec_id, count(*) AS n, min(len(vec)) AS size, any_value(vec) AS vec FROM b GROUP BY vec_id) x ON c.vec_id = x.vec_id LEFT JOIN v ON v.vec_id = coalesce(c.vec_id, x.vec_id)""",
+)
 def s07(spark, d):
-    return files.load_bank(table(spark, d, "embeddings"), table(spark, d, "part").select(F.col("p_partkey").alias("vec_id")), "vec_id", "embedding", 64)
+    """A bank in which vectors were flipped, cut and doubled, against the catalogue and the hashes recorded before."""
+    v = table(spark, d, "embeddings").select("vec_id", F.transform("embedding", lambda x: F.floor(x.cast("double") * 1000)).alias("vec"))
+    k, rest = F.col("vec_id"), F.expr("slice(vec, 2, size(vec) - 1)")
+    bank = v.select("vec_id", F.when(k % 50 == 0, F.array_prepend(rest, -F.get("vec", F.lit(0)))).when(k % 51 == 0, rest).otherwise(F.col("vec")).alias("vec")).unionByName(v.where("vec_id % 53 = 0"))
+    recorded = v.select("vec_id", sealed.vector_digest("vec").alias("digest"))
+    return sealed.bank_status(bank, table(spark, d, "part").select(F.col("p_partkey").alias("vec_id")), "vec_id", "vec", 64, recorded)
 
 
 @query("s09_decode_part_ids", f"WITH {PARTS} SELECT part_id AS pixel, CASE WHEN size % 2 = 0 THEN part_id END AS part_id FROM parts")

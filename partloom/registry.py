@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from partloom.queries import base, exact, images, joining, planning, ranking, second, voting  # noqa: F401
+from partloom.queries import base, exact, images, joining, planning, ranking, rounds, second, voting  # noqa: F401
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Sources and sinks: inventories, fingerprints, strict JSON, libraries of definitions, sealed tables."""
+"""Sources and sinks: inventories, fingerprints, strict JSON, libraries of definitions."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from partloom.plans.rules import framed, sealed_digest
+from partloom.plans.rules import framed
 
 
 def file_inventory(spark: SparkSession, root: str, suffixes: Sequence[str], name_contains: str = "", exclude: str = "mask") -> DataFrame:
@@ -62,14 +62,6 @@ def attach_preview(catalog: DataFrame, files: DataFrame, module: str, export: st
     return out.select(*catalog.columns, F.coalesce("__own", "__module").alias("preview"))
 
 
-def load_bank(bank: DataFrame, catalog: DataFrame, key: str, vector: str, size: int) -> DataFrame:
-    """Coverage of a catalogue by a bank of vectors: ok, missing vector, unknown entry or wrong size."""
-    b = bank.select(key, F.size(vector).alias("__size"))
-    both = catalog.select(key, F.lit(True).alias("__known")).join(b, key, "full")
-    status = F.when(F.col("__known").isNull(), "unknown").when(F.col("__size").isNull(), "missing").when(F.col("__size") != size, "wrong_size").otherwise("ok")
-    return both.select(key, status.alias("status"))
-
-
 def pixel_table(images: DataFrame, step: int = 1) -> DataFrame:
     """(image, x, y, r, g, b) of decoded images (image, width, height, channels in BGR order, data), each ``step``-th pixel of each ``step``-th row. Images are cut into rows first, and rows into pixels."""
     wide = F.col("width") * F.col("channels")
@@ -86,21 +78,6 @@ def decode_part_ids(pixels: DataFrame, parts: DataFrame) -> DataFrame:
     return pixels.withColumn("__c", packed).join(parts.select("part_id", F.col("colour").alias("__c")), "__c", "left").drop("__c")
 
 
-def write_sealed(df: DataFrame, path: str, keys: Sequence[str]) -> None:
-    """Writes a table, and beside it a digest for each key."""
-    df.write.mode("overwrite").parquet(f"{path}/data")
-    sealed_digest(df, keys, sorted(df.columns)).write.mode("overwrite").parquet(f"{path}/seal")
-
-
-def verify_sealed(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
-    """Keys whose rows no longer match their digest: changed, missing or unknown."""
-    data = spark.read.parquet(f"{path}/data")
-    now = sealed_digest(data, keys, sorted(data.columns)).select(*keys, F.col("digest").alias("__now"))
-    both = spark.read.parquet(f"{path}/seal").select(*keys, "digest").join(now, list(keys), "full")
-    status = F.when(F.col("digest").isNull(), "unknown").when(F.col("__now").isNull(), "missing").when(F.col("digest") != F.col("__now"), "changed").otherwise("ok")
-    return both.select(*keys, status.alias("status")).where("status <> 'ok'")
-
-
 def build_manifest(results: DataFrame, reports: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row for each asset: number of deliveries, worst quality and the sorted distinct limitations (a set of fixed codes)."""
     d = results.groupBy(*keys).agg(F.count(F.lit(1)).alias("deliveries"))

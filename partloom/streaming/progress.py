@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 #: The mark of an event line, its fields and states.
 MARK = "@@progress "
@@ -90,3 +91,48 @@ def lifecycle_stream(events: DataFrame, ttl_ms: int = 3_600_000) -> DataFrame:
         yield pd.DataFrame(out, columns=["job", "event_id", "before", "state", "legal"])
 
     return events.groupBy("job").applyInPandasWithState(step, "job long, event_id long, before string, state string, legal boolean", "state string", "append", "ProcessingTimeTimeout")
+
+
+class Tail(StatefulProcessor):
+    """The last ``n`` lines of a job as a list in keyed state: lines are appended, and once the list has twice as many it is cut to its last ``n``, so a line is rewritten once on average."""
+
+    def __init__(self, n: int, ttl_ms: int):
+        self._n, self._ttl = n, ttl_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        kept = {"ttlDurationMs": self._ttl} if self._ttl else {}
+        self._lines = handle.getListState("lines", "seq long, line string", **kept)
+        self._size = handle.getValueState("size", "size long, seen long", **kept)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        new = [(int(seq), line) for frame in rows for seq, line in zip(frame["seq"], frame["line"], strict=True)]
+        held = list(self._lines.get()) if self._lines.exists() else []
+        size, seen = self._size.get() if self._size.exists() else (0, 0)
+        seen += len(new)
+        last = sorted([*held, *new], key=lambda x: x[0])[-self._n :]
+        if size + len(new) > 2 * self._n:
+            self._lines.put(last)
+            self._size.update((len(last), seen))
+        else:
+            self._lines.appendList(new)
+            self._size.update((size + len(new), seen))
+        yield pd.DataFrame({"job": [key[0]] * len(last), "seq": [x[0] for x in last], "line": [x[1] for x in last], "from_end": list(range(len(last), 0, -1)), "seen": [seen] * len(last)})
+
+    def close(self) -> None:
+        pass
+
+
+#: The store that lists in keyed state need.
+_ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def log_tail_stream(lines: DataFrame, n: int = 2000, ttl_ms: int = 86_400_000) -> DataFrame:
+    """The whole tail of each job that a trigger has lines of: (job, seq, line, from_end, seen: the job's lines so far), as :func:`log_tail` has it over all lines so far. lines: a stream of (job long, seq long, line string).
+
+    State is at most two tails a job, and goes ``ttl_ms`` after a job's lines were written (0: never; a query with a time to live makes batches until it is stopped, so a run over what is available now takes 0). For append mode, so that any sink takes it; a job's newest tail is the one with most ``seen``. The session gets the RocksDB state store if it has Spark's default.
+    """
+    conf, name = lines.sparkSession.conf, "spark.sql.streaming.stateStore.providerClass"
+    if "RocksDB" not in conf.get(name, ""):
+        conf.set(name, _ROCKS)
+    keyed = lines.select("job", "seq", "line").groupBy("job")
+    return keyed.transformWithStateInPandas(Tail(n, ttl_ms), "job long, seq long, line string, from_end long, seen long", "append", "ProcessingTime" if ttl_ms else "None")

@@ -217,14 +217,6 @@ def test_palettes_do_not_depend_on_the_order_of_rows(spark):
     assert ("a", "red", 2, 2, 2, "metal", True) in out and sum(r[1].startswith("blue") for r in out) == 2
 
 
-def test_sealed_tables_show_changes(spark, tmp_path):
-    df = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "k long, v string")
-    files.write_sealed(df, str(tmp_path / "t"), ["k"])
-    assert files.verify_sealed(spark, str(tmp_path / "t"), ["k"]).count() == 0
-    spark.createDataFrame([(1, "a"), (1, "x"), (3, "c")], "k long, v string").write.mode("overwrite").parquet(str(tmp_path / "t" / "data"))
-    assert {r.k: r.status for r in files.verify_sealed(spark, str(tmp_path / "t"), ["k"]).collect()} == {1: "changed", 2: "missing", 3: "unknown"}
-
-
 def test_contract_faults(spark):
     from pyspark.sql import types as T
 

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from partloom.functions import color
-from partloom.operators import fusion, gates, graph, joins, mesh, pixels, rank, stats
+from partloom.operators import fusion, gates, graph, joins, mesh, pixels, rank, spatial, stats
 from partloom.plans import rules
 from partloom.sources import files
 
@@ -168,7 +168,7 @@ def test_welds_and_distances(spark):
     got = joins.point_distances(a, b, ["k"], ["x", "y"], 5.0).first()
     assert (got.matched, got.unmatched) == (2, 1) and abs(got.mean - (3 + math.sqrt(10)) / 2) < 1e-6 and abs(got.rms - math.sqrt((9 + 10) / 2)) < 1e-5 and abs(got.largest - math.sqrt(10)) < 1e-6
     p = spark.createDataFrame([("k", i, x, 0.0) for i, x in ((1, 0.0), (2, 0.004), (3, 0.02))], "k string, id long, x double, y double")
-    assert {x.id: x.welded for x in joins.weld_points(p, ["k"], ["x", "y"], 0.01).collect()} == {1: 1, 2: 1, 3: 3}
+    assert {x.id: x.welded for x in spatial.weld_points(p, ["k"], ["x", "y"], 0.01).collect()} == {1: 1, 2: 1, 3: 3}
 
 
 def test_pieces_and_loose_points(spark):
