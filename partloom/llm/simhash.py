@@ -14,8 +14,9 @@ node names the 65 numbers within 1 bit and all that name the same one are linked
 
 Texts alike (:func:`similar_texts`, for the pipeline): 64 bits cannot tell pairs of similarity 0.8 from others and share
 blocks too. There a fingerprint is so long that it is cut into ``blocks_for(...)`` blocks of as many bits as the number of documents has:
-two texts with the shingle similarity share a block with the wanted probability, and few others do. Pairs of small buckets are verified by Hamming distance
-over all bits; a bucket with more than ``bucket`` nodes is linked to its smallest node and cut again by the next two blocks.
+two texts with the shingle similarity share a block with the wanted probability, and few others do. Pairs of small buckets are sifted by Hamming distance
+over all bits; of a bucket with more than ``bucket`` nodes each meets the smallest, and the bucket is cut again by the next two blocks. What is left is verified on
+the sets of shingles themselves, so no pair below the similarity is linked: first each node's nearest pair, then those that still lie between two groups.
 
 Groups: connected components by alternating large-star and small-star steps, each
 step written to the shared folder. Nothing is collected but a count of changes.
@@ -196,20 +197,21 @@ def long_fingerprint(hashes: np.ndarray, bits: int) -> np.ndarray:
 
 
 def long_fingerprints(df: DataFrame, id_col: str, text_col: str, shingle: int, blocks: int, width: int) -> DataFrame:
-    """(id, ``blocks`` array<long>, ``probe`` long): the bits of a long fingerprint by block, and ``PROBE`` further ones. No shuffle."""
+    """(id, own: a hash of the text, ``blocks`` array<long>, ``probe`` long, n): the bits of a long fingerprint by block, ``PROBE`` further ones, and how many different shingles there are. No shuffle."""
     bounded_batches(df.sparkSession)
-    rows = texts(df, id_col, text_col)
-    schema = with_fields(rows, ["__text"], [("blocks", T.ArrayType(T.LongType(), False)), ("probe", T.LongType())])
+    rows = texts(df, id_col, text_col).select(F.col(f"`{id_col}`").alias("id"), F.xxhash64("__text").alias("own"), "__text")
+    schema = with_fields(rows, ["__text"], [("blocks", T.ArrayType(T.LongType(), False)), ("probe", T.LongType()), ("n", T.LongType())])
     place = 1 << np.arange(width, dtype=np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         released()
         for batch in slices(batches, by="__text"):
-            bits = np.stack([long_fingerprint(h, blocks * width + PROBE) for h in shingles_of(batch.column("__text").to_pylist(), shingle)])
+            sets = shingles_of(batch.column("__text").to_pylist(), shingle)
+            bits = np.stack([long_fingerprint(h, blocks * width + PROBE) for h in sets])
             keys = (bits[:, : blocks * width].reshape(len(bits), blocks, width) * place).sum(2)
             probe = np.packbits(bits[:, blocks * width :], axis=1, bitorder="little").view("<i8")[:, 0]
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(bits) + 1, dtype=np.int32) * blocks), pa.array(keys.reshape(-1)))
-            yield replaced(batch, schema, {"blocks": lists, "probe": pa.array(probe)})
+            yield replaced(batch, schema, {"blocks": lists, "probe": pa.array(probe), "n": pa.array([len(h) for h in sets], pa.int64())})
 
     return rows.mapInArrow(run, schema)
 
@@ -226,18 +228,49 @@ def _meet(rows: DataFrame, by: Sequence[str], bucket: int, most: int, folder: st
     return pairs.unionByName(stars), crowded.drop("size", "hub")
 
 
-def similar_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8, recall: float = 0.95, slack: float = 1.5, bucket: int = 4) -> DataFrame:
+#: Texts that are looked up by a broadcast list at most.
+BROADCAST_TEXTS = 500_000
+
+
+def shingle_sets(df: DataFrame, wanted: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
+    """(node, shingles array<long>) of the texts (node, id, own) that are wanted: their different shingles, as hashes of 64 bits. One row for each node, though its row be repeated."""
+    few = wanted.limit(BROADCAST_TEXTS + 1).count() <= BROADCAST_TEXTS
+    rows = texts(df, id_col, text_col).select(F.col(f"`{id_col}`").alias("id"), F.xxhash64("__text").alias("own"), "__text")
+    met = rows.join(F.broadcast(wanted) if few else wanted, (rows["id"].eqNullSafe(wanted["id"])) & (rows["own"] == wanted["own"])).select("node", "__text")
+    schema = with_fields(met, ["__text"], [("shingles", T.ArrayType(T.LongType(), False))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        released()
+        for batch in slices(batches, by="__text"):
+            sets = shingles_of(batch.column("__text").to_pylist(), shingle)
+            ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(sets).view(np.int64)))
+            yield replaced(batch, schema, {"shingles": lists})
+
+    return met.mapInArrow(run, schema).groupBy("node").agg(F.any_value("shingles").alias("shingles"))
+
+
+def _alike(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (a, b) of nodes of which the sets have this Jaccard similarity or more."""
+    side = lambda n: sets.select(F.col("node").alias(n), F.col("shingles").alias(f"__{n}"))
+    both = F.size(F.array_intersect("__a", "__b"))
+    whole = F.size("__a") + F.size("__b") - both
+    return pairs.join(side("b"), "b").join(side("a"), "a").where(both >= F.lit(similarity) * whole - 1e-9).select("a", "b")
+
+
+def similar_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8, recall: float = 0.95, slack: float = 2.5, bucket: int = 4) -> DataFrame:
     """One row for each row of ``df``: the id and ``component_id``, the smallest id that can be reached over links of texts with this Jaccard similarity of their different shingles, or more.
 
-    recall: how many pairs of just this similarity share a block; of more similar ones more do. Similarity is measured by Hamming distance over all bits, which for a pair of
-    one similarity varies; ``slack`` standard deviations are allowed over the expected distance, so that few pairs of the similarity are lost and some that are a little less alike are linked.
+    recall: how many pairs of just this similarity share a block; of more similar ones more do. Pairs are sifted by Hamming distance over all bits, with ``slack`` standard deviations over the
+    distance that is expected at the similarity, and then verified by their shingles. Texts of one whole fingerprint are one node and are not compared.
     """
     folder = shared_folder(df.sparkSession)
     blocks, width = blocks_for(df.count(), similarity, recall)
     bits, share = blocks * width, differing(similarity)
     bound = lambda n, over: math.floor(n * share + over * math.sqrt(n * share * (1 - share)))
     marked = stored(long_fingerprints(df, id_col, text_col, shingle, blocks, width), folder, "fingerprints")
-    nodes = stored(marked.groupBy("blocks", "probe").agg(F.min(id_col).alias("first")).withColumn("node", F.monotonically_increasing_id()), folder, "nodes")
+    first = marked.groupBy("blocks", "probe").agg(F.min("id").alias("first"), F.min_by(F.struct("id", "own", "n"), F.struct("id", "own")).alias("rep"))
+    nodes = stored(first.withColumn("node", F.monotonically_increasing_id()), folder, "nodes")
     own = F.transform(F.sequence(F.lit(0), F.lit(blocks - 1)), lambda i: F.struct(*[F.get("blocks", (i + n) % blocks).alias(c) for n, c in enumerate(("key", "key2", "key3"))]))
     rows = nodes.select("node", "probe", F.posexplode(own).alias("block", "k")).select("node", "probe", "block", "k.*")
     most = bound(PROBE, 3)
@@ -246,12 +279,24 @@ def similar_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         more, crowded = _meet(crowded, by, bucket, most, folder, f"shared-{len(by) - 1}")
         found = found.unionByName(more)
     pairs = stored(found.distinct(), folder, "pairs")
-    side = lambda n: nodes.select(F.col("node").alias(n), F.col("blocks").alias(f"__{n}"), F.col("probe").alias(f"__p{n}"))
+    side = lambda n: nodes.select(F.col("node").alias(n), F.col("blocks").alias(f"__{n}"), F.col("probe").alias(f"__p{n}"), F.col("rep.n").alias(f"__n{n}"))
     apart = F.aggregate(F.zip_with("__a", "__b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.bit_count(F.col("__pa").bitwiseXOR(F.col("__pb"))), lambda s, n: s + n)
-    edges = pairs.join(side("a"), "a").join(side("b"), "b").where(apart <= bound(bits + PROBE, slack)).select("a", "b")
+    sized = F.least("__na", "__nb") >= F.lit(similarity) * F.greatest("__na", "__nb") - 1e-9
+    near = pairs.join(side("a"), "a").join(side("b"), "b").where(sized).select("a", "b", apart.alias("apart")).where(F.col("apart") <= bound(bits + PROBE, slack))
+    near = stored(near, folder, "near")
+    used = near.select(F.col("a").alias("node")).unionByName(near.select(F.col("b").alias("node"))).distinct()
+    wanted = stored(nodes.join(used, "node").select("node", F.col("rep.id").alias("id"), F.col("rep.own").alias("own")), folder, "wanted")
+    sets = stored(shingle_sets(df, wanted, id_col, text_col, shingle), folder, "sets")
+    nearest = near.groupBy("b").agg(F.min(F.struct("apart", "a")).alias("m")).select("m.a", "b")
+    sure = stored(_alike(nearest, sets, similarity), folder, "edges-nearest")
+    groups = stored(components(sure, f"{folder}/nearest"), folder, "groups")
+    end = lambda n: groups.select(F.col("node").alias(n), F.col("root").alias(f"__r{n}"))
+    between = near.join(nearest, ["a", "b"], "left_anti").join(end("a"), "a", "left").join(end("b"), "b", "left")
+    between = between.where(F.coalesce("__ra", "a") != F.coalesce("__rb", "b")).select("a", "b")
+    edges = stored(sure.unionByName(_alike(between, sets, similarity)), folder, "edges-all")
     named = _named(nodes.select("node", "first"), "node", edges, folder)
     whole = nodes.select("node", "blocks", "probe").join(named, "node").drop("node")
-    return marked.join(whole, ["blocks", "probe"]).select(id_col, "component_id")
+    return marked.join(whole, ["blocks", "probe"]).select(F.col("id").alias(id_col), "component_id")
 
 
 def as_hex(fingerprint: Column) -> Column:

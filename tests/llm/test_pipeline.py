@@ -9,7 +9,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from partloom.llm import decontamination, exact_dedup, license_scan, line_dedup, queries, secret_scan, simhash, toxicity
-from tests.llm.test_operators import brute_contamination, labelled
+from tests.llm.test_operators import brute_contamination, jaccard, labelled, shingle_sets
 
 
 @pytest.fixture(scope="module")
@@ -40,11 +40,7 @@ def test_run_equals_the_plain_stages(spark, folder):
         last[texts[i] or ""] = i
     left = set(last.values())
     order = sorted(left)
-    blocks, width = simhash.blocks_for(len(order), 0.8, 0.95)
-    bits = blocks * width + simhash.PROBE
-    prints = dict(zip(order, (simhash.long_fingerprint(h, bits) for h in simhash.shingles_of([texts[i] or "" for i in order], 5)), strict=True))
-    share = simhash.differing(0.8)
-    bound = bits * share + 1.5 * (bits * share * (1 - share)) ** 0.5
+    sets = dict(zip(order, shingle_sets([texts[i] for i in order]), strict=True))
     parent = {i: i for i in left}
 
     def top(i):
@@ -54,7 +50,7 @@ def test_run_equals_the_plain_stages(spark, folder):
 
     for n, a in enumerate(order):
         for b in order[n + 1 :]:
-            if (prints[a] != prints[b]).sum() <= bound:
+            if jaccard(sets[a], sets[b]) >= 0.8:
                 x, y = top(a), top(b)
                 parent[max(x, y)] = min(x, y)
     left = {top(i) for i in left}
