@@ -5,11 +5,10 @@
 2. The pages of a host are told apart by template: the sectioning elements that are no boilerplate, and whether there is an article or main element.
    The distinct streams of a template are merged into one wrapper, ``FAN`` at a time and then the results again: what
    both sides have stays, what just one has becomes optional, equal neighbours become a repeated group. The wrapper accepts all streams.
-3. Each page is matched against the wrapper of its template, which says in which slot each of its texts stands. A slot that holds
-   the same text on all pages of the template, ``LITERAL_PAGES`` different ones at least, is a literal and no content. Nor are slots
-   in menus, headers, footers, sidebars, notices, adverts, forms and reader comments. Of the others, those inside an article
-   or main element are, or, if the template has none, those inside the element with the most text.
-4. A page's text is that of its content slots; a page that has none of them falls back to its own element with the most text.
+3. Each page is matched against the wrapper of its template, which says in which slot each of its texts stands. The content slots are chosen for the wrapper as a whole: those
+   inside its article or main elements, or, if it has none, inside the smallest element that holds the most text that varies from page to page. Slots in menus, headers, footers, sidebars, notices, adverts,
+   forms and reader comments are no content. A text inside the root that is the same on all pages is kept.
+4. A page's text is that of its content slots, and of nothing else.
 
 Pages are parsed once, into the shared folder. Streams and slots are counted before anything is grouped by template, so a host with a third of all pages
 is a few rows. Wrappers are broadcast while there are at most ``BROADCAST_HOSTS``; beyond, pages are joined by template, and large ones are split by adaptive execution.
@@ -20,13 +19,14 @@ out; an empty table gives an empty table. Markup that is cut off or left open is
 
 from __future__ import annotations
 
+import bisect
 import functools
 import hashlib
 import html
 import json
 import re
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator, Sequence
 from difflib import SequenceMatcher
 
@@ -42,8 +42,6 @@ from partloom.llm.common import bounded_batches, replaced, shared_folder, slices
 BROADCAST_HOSTS = 20_000
 #: Wrappers that one task merges at a time.
 FAN = 32
-#: Different pages of a template that a text must be the same on to count as the template's own.
-LITERAL_PAGES = 5
 #: Element names.
 RAW = frozenset("script style noscript template svg iframe object canvas".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -60,14 +58,32 @@ NO_CONTENT_WORDS = frozenset(
 CONTENT = frozenset("article main".split())
 #: Elements that tell templates apart.
 SECTIONING = frozenset("article aside div footer header main nav section table".split())
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)(?:>|\Z)|<[!?][^>]*>?", re.S)
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9]*)|<[!?][^>]*>?", re.S)
+_IN_TAG = re.compile(r"[>\"']")
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 
 
+#: Block elements that a path names from the outermost on, and letters of one element's names; what lies deeper or is longer is taken for its parent, or cut. Bounds a page's paths, not its text.
+PATH_ELEMENTS, LABEL_LETTERS = 64, 200
+
+
+def tag_end(page: str, at: int, last: dict[str, int]) -> int:
+    """Where the attributes of a tag end: at the next ">" outside quotes. last: the last place of either quote; a quote that none follows is a letter like others."""
+    while (m := _IN_TAG.search(page, at)) is not None:
+        at, quote = m.end(), m.group()
+        if quote == ">":
+            return m.start()
+        if m.start() < last[quote]:
+            at = page.index(quote, at) + 1
+    return len(page)
+
+
 def blocks(page: str) -> Iterator[tuple[str, str]]:
-    """(path, text) of each block in page order; the path names the open block elements with their classes. Text of raw elements is left out."""
-    stack: list[tuple[str, str]] = []
-    path, parts, at, end = "", [], 0, len(page)
+    """(path, text) of each block in page order; the path names the open block elements with their classes. Text of raw elements is left out. Time and memory grow with the page, however it is nested or cut off."""
+    stack: list[tuple[str, str, int]] = []  # name, path, block elements
+    opened: dict[str, int] = defaultdict(int)
+    path, depth, parts, at, end = "", 0, [], 0, len(page)
+    last = {q: page.rfind(q) for q in "\"'"}
 
     def flush():
         nonlocal parts
@@ -75,6 +91,13 @@ def blocks(page: str) -> Iterator[tuple[str, str]]:
         parts = []
         return [(path, text)] if text else []
 
+    def pop() -> str:
+        nonlocal path, depth
+        name = stack.pop()[0]
+        opened[name] -= 1
+        _, path, depth = stack[-1] if stack else ("", "", 0)
+        return name
+
     while at < end:
         m = _TOKEN.search(page, at)
         if m is None:
@@ -82,17 +105,24 @@ def blocks(page: str) -> Iterator[tuple[str, str]]:
             break
         if m.start() > at:
             parts.append(page[at : m.start()])
-        at = max(m.end(), at + 1)
+        at = m.end()
         if m.group(2) is None:
             continue
-        name = m.group(2).lower()
+        name, inner = m.group(2).lower(), at
+        stop = tag_end(page, at, last)
+        at = min(stop + 1, end)
         if m.group(1):
-            if any(n == name for n, _ in stack):
-                if name in BLOCK or any(n in BLOCK for n, _ in stack[[n for n, _ in stack].index(name) :]):
+            if opened[name]:
+                here, left = path, False
+                while True:
+                    gone = pop()
+                    left = left or gone in BLOCK
+                    if gone == name:
+                        break
+                if left:
+                    after, path = path, here
                     yield from flush()
-                while stack.pop()[0] != name:
-                    pass
-                path = "/".join(label for n, label in stack if n in BLOCK)
+                    path = after
             continue
         if name in RAW:
             close = re.compile(rf"</{name}\b[^>]*(?:>|\Z)", re.I).search(page, at)
@@ -102,17 +132,21 @@ def blocks(page: str) -> Iterator[tuple[str, str]]:
             yield from flush()
         if name in VOID:
             continue
-        if name in CLOSES:
-            group = CLOSES[name].split()
+        group = CLOSES.get(name, "").split()
+        if any(opened[g] for g in group):
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k][0] in group:
-                    del stack[k:]
+                    while len(stack) > k:
+                        pop()
                     break
                 if stack[k][0] in ("ul", "ol", "table", "article", "main", "section", "div", "dl", "select", "body"):
                     break
-        names = sorted({w for g in _NAMES.findall(m.group(3)) for w in "".join(g).lower().split()}) if m.group(3) else []
-        stack.append((name, ".".join([name, *names])))
-        path = "/".join(label for n, label in stack if n in BLOCK)
+        if name in BLOCK and depth < PATH_ELEMENTS:
+            names = sorted({w for g in _NAMES.findall(page, inner, stop) for w in "".join(g).lower().split()}) if stop > inner else []
+            label = ".".join([name, *names])[:LABEL_LETTERS]
+            path, depth = f"{path}/{label}" if path else label, depth + 1
+        stack.append((name, path, depth))
+        opened[name] += 1
     yield from flush()
 
 
@@ -172,6 +206,37 @@ def _key(item):
     return group[0] if len(group) == 1 else tuple(_key(g) for g in group)
 
 
+#: Pairs of items that two streams are aligned by in one go.
+ALIGNED_PAIRS = 250_000
+
+
+def opcodes(a: list, b: list) -> list[tuple[str, int, int, int, int]]:
+    """How to turn ``a`` into ``b``, as difflib has it. Long streams are first cut at the items that both have just once and in the same order; stretches that stay too long have nothing in common."""
+    if len(a) * len(b) <= ALIGNED_PAIRS:
+        return SequenceMatcher(None, a, b, autojunk=False).get_opcodes()
+    once = [{x for x, n in Counter(y).items() if n == 1} for y in (a, b)]
+    place = {x: k for k, x in enumerate(b)}
+    pairs = [(i, place[x]) for i, x in enumerate(a) if x in once[0] and x in once[1]]
+    tails, heads, before = [], [], [-1] * len(pairs)  # the longest run of rising places
+    for k, (_, j) in enumerate(pairs):
+        at = bisect.bisect_left(tails, j)
+        before[k] = heads[at - 1] if at else -1
+        tails[at:], heads[at:] = [j, *tails[at + 1 :]], [k, *heads[at + 1 :]]
+    chain, k = [], heads[-1] if heads else -1
+    while k >= 0:
+        chain.append(pairs[k])
+        k = before[k]
+    out, i, j = [], 0, 0
+    for x, y in [*reversed(chain), (len(a), len(b))]:
+        if i < x or j < y:
+            cut = (x - i) * (y - j) <= ALIGNED_PAIRS
+            out += [(op, p + i, q + i, r + j, t + j) for op, p, q, r, t in SequenceMatcher(None, a[i:x], b[j:y], autojunk=False).get_opcodes()] if cut else [("replace", i, x, j, y)]
+        if x < len(a):
+            out.append(("equal", x, x + 1, y, y + 1))
+        i, j = x + 1, y + 1
+    return out
+
+
 def align(wrapper: tuple, other: tuple) -> tuple:
     """A wrapper that accepts all that one of the two accepts: mismatches become optional, equal neighbours a repeated group."""
     out: list = []
@@ -202,7 +267,7 @@ def align(wrapper: tuple, other: tuple) -> tuple:
             else:
                 add(group, True, repeated)
 
-    for op, a, b, c, d in SequenceMatcher(None, [_key(w) for w in wrapper], [_key(w) for w in other], autojunk=False).get_opcodes():
+    for op, a, b, c, d in opcodes([_key(w) for w in wrapper], [_key(w) for w in other]):
         if op == "equal":
             for x, y in zip(wrapper[a:b], other[c:d], strict=True):
                 (g, o, r), (h, p, q) = _parts(x), _parts(y)
@@ -316,30 +381,37 @@ def template(paths: Sequence[str]) -> str:
     return json.dumps([any(map(in_content, free)), *sorted(found)])
 
 
-def content(paths: Sequence[str], mass: Sequence[int], literal: Sequence[bool]) -> list[int]:
-    """The numbers of a wrapper's content slots."""
-    free = [k for k, p in enumerate(paths) if not literal[k] and not boilerplate(p)]
+def content(paths: Sequence[str], mass: Sequence[int], same: Sequence[bool]) -> list[int]:
+    """The numbers of a wrapper's content slots: all that lie in the content root and in nothing that is no content by its name.
+
+    The root is every article or main element that holds free slots; in a template without one, the smallest element that holds the most text of slots that vary from page to page (of all slots, if none does).
+    What stands in an article stays, the same on all pages or not: a standing heading is part of it. In other roots a sectioning element of its own whose slots are all the same on different pages is
+    the template's and goes; headings and paragraphs that stand in the root itself stay.
+    """
+    free = [k for k, p in enumerate(paths) if not boilerplate(p)]
     inside = [k for k in free if in_content(paths[k])]
     if inside:
         return inside
     by: dict[str, int] = defaultdict(int)
-    for k in free:
+    for k in [k for k in free if not same[k]] or free:
         by[paths[k]] += mass[k]
     root = heaviest(by)
-    return [k for k in free if under(paths[k], root)]
+    within = [k for k in free if under(paths[k], root)]
+    inner = {k: sections(paths[k], root) for k in within}
+    varied = {x for k in within if not same[k] for x in inner[k]}
+    return [k for k in within if all(x in varied for x in inner[k])] if any(not same[k] for k in within) else within
+
+
+def sections(path: str, root: str) -> list[str]:
+    """The sectioning elements below the root that a path lies in."""
+    labels, depth = path.split("/"), len(root.split("/"))
+    return ["/".join(labels[: k + 1]) for k in range(depth, len(labels)) if labels[k].split(".")[0] in SECTIONING]
 
 
-def main_text(paths: Sequence[str], texts: Sequence[str], wrapper: str, wanted: frozenset[int], literal: frozenset[int]) -> str:
-    at = _matched(wrapper, tuple(paths)) or [-1] * len(paths)
-    out = [t for k, t in zip(at, texts, strict=True) if k in wanted]
-    if out:
-        return " ".join(out)
-    free = [(p, t) for k, p, t in zip(at, paths, texts, strict=True) if k not in literal and not boilerplate(p)]
-    mass: dict[str, int] = defaultdict(int)
-    for p, t in free:
-        mass[p] += len(t)
-    root = heaviest({p: n for p, n in mass.items() if in_content(p)} or mass)
-    return " ".join(t for p, t in free if under(p, root))
+def main_text(paths: Sequence[str], texts: Sequence[str], wrapper: str, wanted: frozenset[int]) -> str:
+    """The text of the page's blocks that stand in wanted slots of the wrapper, which accepts every page that it was inferred from."""
+    at = _matched(wrapper, tuple(paths)) or ()
+    return " ".join(t for k, t in zip(at, texts, strict=False) if k in wanted)
 
 
 def host(url: Column) -> Column:
@@ -382,7 +454,7 @@ def infer(parsed: DataFrame, folder: str, fan: int = FAN) -> DataFrame:
 
 
 def choose(met: DataFrame, folder: str) -> DataFrame:
-    """(host, template, wrapper, wanted, literal): numbers of the content slots and of the literals. met: parsed pages with their wrappers."""
+    """(host, template, wrapper, wanted): numbers of the content slots. met: parsed pages with their wrappers."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -401,19 +473,18 @@ def choose(met: DataFrame, folder: str) -> DataFrame:
             yield pa.RecordBatch.from_pydict(out, schema=pa.schema([(c, pa.int64() if c in ("slot", "mass", "page") else pa.string()) for c in out]))
 
     seen = met.select("host", "template", "wrapper", "paths", "texts").mapInArrow(read, "host string, template string, wrapper string, slot bigint, mass bigint, lo string, hi string, page bigint")
-    stats = seen.groupBy("host", "template", "wrapper", "slot").agg(F.sum("mass").alias("mass"), (F.min("lo") == F.max("hi")).alias("same"), F.approx_count_distinct("page", 0.02).alias("pages"))
+    stats = seen.groupBy("host", "template", "wrapper", "slot").agg(F.sum("mass").alias("mass"), (F.min("lo") == F.max("hi")).alias("same"), (F.min("page") < F.max("page")).alias("pages"))
 
     def decide(pdf: pd.DataFrame) -> pd.DataFrame:
         wrapper = pdf["wrapper"].iloc[0]
         paths = _matcher(wrapper).paths
-        mass, literal = [0] * len(paths), [False] * len(paths)
+        mass, alike = [0] * len(paths), [False] * len(paths)
         for k, m, same, pages in zip(pdf["slot"], pdf["mass"], pdf["same"], pdf["pages"], strict=True):
-            mass[k], literal[k] = int(m), bool(same) and pages >= LITERAL_PAGES
-        out = {"host": pdf["host"].iloc[0], "template": pdf["template"].iloc[0], "wrapper": wrapper, "wanted": content(paths, mass, literal), "literal": [k for k, x in enumerate(literal) if x]}
+            mass[k], alike[k] = int(m), bool(same and pages)
+        out = {"host": pdf["host"].iloc[0], "template": pdf["template"].iloc[0], "wrapper": wrapper, "wanted": content(paths, mass, alike)}
         return pd.DataFrame({c: [v] for c, v in out.items()})
 
-    schema = "host string, template string, wrapper string, wanted array<bigint>, literal array<bigint>"
-    return stored(stats.groupBy("host", "template").applyInPandas(decide, schema), folder, "chosen")
+    return stored(stats.groupBy("host", "template").applyInPandas(decide, "host string, template string, wrapper string, wanted array<bigint>"), folder, "chosen")
 
 
 def _small(df: DataFrame) -> DataFrame:
@@ -427,13 +498,13 @@ def extract(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_c
     pages = df.select(F.col(id_col).alias(id_col), F.col(url_col).alias(url_col), host(F.col(url_col)).alias("host"), F.coalesce(F.col(html_col).cast("string"), F.lit("")).alias("__html"))
     parsed = parse(pages, folder)
     chosen = choose(parsed.join(_small(infer(parsed, folder)), keys), folder)
-    rows = parsed.join(_small(chosen), keys, "left").select(id_col, url_col, "paths", "texts", "wrapper", "wanted", "literal")
-    schema = with_fields(rows, ["paths", "texts", "wrapper", "wanted", "literal"], [("text", T.StringType())])
+    rows = parsed.join(_small(chosen), keys, "left").select(id_col, url_col, "paths", "texts", "wrapper", "wanted")
+    schema = with_fields(rows, ["paths", "texts", "wrapper", "wanted"], [("text", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            columns = [batch.column(c).to_pylist() for c in ("paths", "texts", "wrapper", "wanted", "literal")]
-            out = [main_text(p, t, w or "[]", frozenset(k or ()), frozenset(x or ())) for p, t, w, k, x in zip(*columns, strict=True)]
+            columns = [batch.column(c).to_pylist() for c in ("paths", "texts", "wrapper", "wanted")]
+            out = [main_text(p, t, w or "[]", frozenset(k or ())) for p, t, w, k in zip(*columns, strict=True)]
             yield replaced(batch, schema, {"text": pa.array(out, pa.string())})
 
     return rows.mapInArrow(run, schema).withColumn("n_chars", F.char_length("text").cast("long"))
