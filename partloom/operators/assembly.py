@@ -28,9 +28,15 @@ def admitted(pixels: Column, overlap: Column, tier: Column, barred: Sequence[int
     return (pixels >= min_pixels) & (overlap >= min_overlap) & ~tier.isin(*barred)
 
 
+#: Poses of a list.
+MOST_POSES = 1000
+
+
 def pose_candidates(views: DataFrame, view: str, words: str, poses: DataFrame, pose: str, names: str) -> DataFrame:
-    """(view, pose): the poses of which a name is among the view's words; a view without any takes all. poses: a fixed, short list, of which the names are read once."""
-    listed = [(r[0], list(r[1])) for r in poses.select(pose, names).orderBy(pose).limit(1000).collect()]
+    """(view, pose): the poses of which a name is among the view's words; a view without any takes all. poses: a fixed, short list, of which the names are read once; more than ``MOST_POSES`` are an error."""
+    listed = [(r[0], list(r[1])) for r in poses.select(pose, names).orderBy(pose).limit(MOST_POSES + 1).collect()]
+    if len(listed) > MOST_POSES:
+        raise ValueError(f"more than {MOST_POSES} poses")
     hits = F.array_compact(F.array(*[F.when(F.arrays_overlap(words, F.array(*map(F.lit, n))), F.lit(p)) for p, n in listed]))
     return views.select(view, F.explode(F.when(F.size(hits) > 0, hits).otherwise(F.array(*[F.lit(p) for p, _ in listed]))).alias(pose))
 

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import itertools
+import math
+from collections import defaultdict
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from partloom.operators.stats import quantiles, weighted_median
 
@@ -121,28 +126,70 @@ def component_consensus(members: DataFrame, rankings: DataFrame, component: Sequ
     return out.select(*c, "members", route.alias("route"), F.when(route == "locked", F.col("__lock")).when(route == "majority", F.col("__top")).when(route == "ranking", F.col("__fall")).alias("choice"))
 
 
+class CompleteLink:
+    """Clusters of points taken one after another: a point joins the first cluster of which all members are within ``radius``, else it begins one.
+
+    Only clusters whose first member lies in the cells around a point can take it. The box of a cluster's members mostly settles it: a side too far away refuses, a farthest
+    corner near enough accepts; only between the two are members looked at.
+    """
+
+    def __init__(self, radius: float):
+        self._radius, self._cells, self._boxes, self._members = radius, defaultdict(list), [], []
+
+    def place(self, point: tuple[float, ...] | None) -> int:
+        """The number of the point's cluster; a point without a place is near to none."""
+        r, cell = self._radius, None
+        if point is not None:
+            cell = tuple(math.floor(x / r) if r > 0 else x for x in point)
+            around = itertools.product(*[(x - 1, x, x + 1) for x in cell]) if r > 0 else [cell]
+            for c in sorted(n for x in around for n in self._cells.get(x, ())):
+                if self._takes(c, point):
+                    self._members[c].append(point)
+                    self._boxes[c] = [(min(lo, x), max(hi, x)) for (lo, hi), x in zip(self._boxes[c], point, strict=True)]
+                    return c
+        self._members.append([point])
+        self._boxes.append([(x, x) for x in point or ()])
+        if cell is not None:
+            self._cells[cell].append(len(self._members) - 1)
+        return len(self._members) - 1
+
+    def _takes(self, c: int, point: tuple[float, ...]) -> bool:
+        r, ends = self._radius, [(x - lo, hi - x) for (lo, hi), x in zip(self._boxes[c], point, strict=True)]
+        if any(a > r or b > r for a, b in ends):
+            return False
+        if math.sqrt(sum(max(a, b) ** 2 for a, b in ends)) <= r:
+            return True
+        return all(math.sqrt(sum((x - y) * (x - y) for x, y in zip(m, point, strict=True))) <= r for m in self._members[c])
+
+
 def coating_components(parts: DataFrame, keys: Sequence[str], id_col: str, weight: str, max_distance: float, most: int | None = None) -> DataFrame:
     """Greedy complete-link clusters inside a key: in order of weight, a part joins the first cluster whose members are all within ``max_distance`` in Lab.
 
-    Parts of one colour always share a cluster: the later ones meet the same distances as the first. So just the first part of each colour is folded, as one array
-    for each key because the order matters, and the others follow it by a join. If the caller sets ``most``, parts of keys with more parts come out with cluster null and a reason.
+    Parts of one colour always share a cluster: the later ones meet the same distances as the first. So just the first part of each colour is clustered, in order, as the rows of a key stream through
+    a task that holds its different colours (:class:`CompleteLink`); the others follow by a join. Keys lie on as many tasks. If the caller sets ``most``, parts of keys with more parts come out with cluster null and a reason.
     """
     sized = parts.select(*keys, F.col(id_col).alias("id"), F.col(weight).alias("w"), "lab").withColumn("__n", F.lit(0) if most is None else F.count(F.lit(1)).over(Window.partitionBy(*keys)))
     large = sized.where(F.col("__n") > (most or 0)).select(*keys, "id", F.lit(None).cast("long").alias("cluster"), F.lit("key_too_large").alias("reason"))
-    rows = F.array_sort(F.collect_list(F.struct("first.o", "first.id", *[F.col(f"__{c}").alias(c) for c in "lab"])))
-    far = "sqrt(pow(m.l - x.l, 2) + pow(m.a - x.a, 2) + pow(m.b - x.b, 2))"
-    fold = f"""aggregate(rows, cast(array() as array<array<struct<o:double,id:bigint,l:double,a:double,b:double>>>), (s, x) ->
-        aggregate(array(coalesce(array_position(transform(s, c -> forall(c, m -> {far} <= {max_distance})), true), 0)), s, (t, k) ->
-            if(k = 0, array_append(t, array(x)), transform(t, (c, i) -> if(i = k - 1, array_append(c, x), c)))))"""
     typed = sized.where(F.col("__n") <= (most or 0)).select(*keys, F.col("w").cast("double").alias("w"), F.col("id").cast("long").alias("id"), *[F.col(f"lab.{c}").cast("double").alias(f"__{c}") for c in "lab"])
     # a part without a colour is near to none
-    own = lambda p, i: F.when(F.col(f"{p}l").isNull() | F.col(f"{p}a").isNull() | F.col(f"{p}b").isNull(), F.col(i))
+    typed = typed.withColumn("__own", F.when(F.col("__l").isNull() | F.col("__a").isNull() | F.col("__b").isNull(), F.col("id")))
     colour = [*[f"__{c}" for c in "lab"], "__own"]
-    typed = typed.withColumn("__own", own("__", "id"))
-    firsts = typed.groupBy(*keys, *colour).agg(F.min(F.struct((-F.col("w")).alias("o"), "id")).alias("first"))
-    clusters = firsts.groupBy(*keys).agg(rows.alias("rows")).select(*keys, F.posexplode(F.expr(fold)).alias("cluster", "members"))
-    led = clusters.select(*[F.col(k).alias(f"__k_{k}") for k in keys], F.explode("members").alias("m"), F.col("cluster").cast("long").alias("cluster"))
-    led = led.select(*[f"__k_{k}" for k in keys], *[F.col(f"m.{c}").alias(f"__{c}_") for c in "lab"], own("m.", "m.id").alias("__own_"), "cluster")
+    firsts = typed.groupBy(*keys, *colour).agg(F.min(F.struct((-F.col("w")).alias("o"), "id")).alias("first")).select(*keys, *colour, "first.o", "first.id")
+    ordered = firsts.repartition(*keys).sortWithinPartitions(*keys, "o", "id")
+    schema = T.StructType([*[ordered.schema[c] for c in (*keys, *colour)], T.StructField("cluster", T.LongType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, clusters = None, None
+        for batch in batches:
+            names = list(zip(*[batch.column(k).to_pylist() for k in keys], strict=True)) if keys else [()] * batch.num_rows
+            out = []
+            for own, lone, *point in zip(names, batch.column("__own").to_pylist(), *[batch.column(f"__{c}").to_pylist() for c in "lab"], strict=True):
+                if clusters is None or own != key:
+                    key, clusters = own, CompleteLink(max_distance)
+                out.append(clusters.place(None if lone is not None else tuple(point)))
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in (*keys, *colour)], pa.array(out, pa.int64())], names=[*keys, *colour, "cluster"])
+
+    led = ordered.mapInArrow(run, schema).select(*[F.col(c).alias(f"__k_{c}") for c in keys], *[F.col(c).alias(f"{c}_") for c in colour], "cluster")
     same = [F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in keys] + [F.col(c).eqNullSafe(F.col(f"{c}_")) for c in colour]
     return typed.join(led, same).select(*keys, "id", "cluster", F.lit(None).cast("string").alias("reason")).unionByName(large)
 

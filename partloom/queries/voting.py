@@ -96,7 +96,11 @@ _SHARES = """sa AS (SELECT part_id, category, sum(weight) AS n FROM obs WHERE li
 sb AS (SELECT part_id, category, sum(weight) AS n FROM obs WHERE line > 3 GROUP BY ALL), tb AS (SELECT part_id, category, n / sum(n) OVER (PARTITION BY part_id) AS b FROM sb)"""
 
 
-@query("a10_histogram_score", f"WITH {OBS}, {_SHARES} SELECT part_id, round(sum(least(coalesce(a, 0), coalesce(b, 0))), 6) AS intersection FROM ta FULL JOIN tb USING (part_id, category) GROUP BY part_id")
+@query(
+    "a10_histogram_score",
+    f"""WITH {OBS}, x AS (SELECT part_id, category, sum(weight) FILTER (line <= 3) AS a, sum(weight) FILTER (line > 3) AS b FROM obs GROUP BY ALL), t AS (SELECT *, sum(a) OVER (PARTITION BY part_id) AS p, sum(b) OVER (PARTITION BY part_id) AS q FROM x)
+SELECT part_id, floor(coalesce(sum(least(coalesce(a, 0) * q, coalesce(b, 0) * p)) / max(p * q), 0) * 1000000 + 0.5) / 1000000 AS intersection FROM t GROUP BY part_id""",
+)
 def a10(spark, d):
     o = observations(spark, d)
     return rounded(stats.histogram_score(o.where("line <= 3"), o.where("line > 3"), ["part_id"], "category", "weight"))

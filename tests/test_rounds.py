@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from partloom.operators import assembly, fusion, joins, pixels, rank, spatial
+from partloom.operators import assembly, fusion, gates, joins, pixels, rank, spatial
 from partloom.plans import rules
 from partloom.sources import sealed
 from partloom.streaming import progress
@@ -358,3 +358,26 @@ def test_large_assignments_are_optimal():
     cost = u[:, None] + v[None, :] + r.integers(1, 500, (200, 200))
     cost[np.arange(200), diagonal] = u + v[diagonal]
     assert (joins.least_cost(cost) == diagonal).all()
+
+
+# --- complete-link clusters
+
+
+def test_clusters_of_very_many_colours_in_one_key(spark):
+    r = np.random.default_rng(4)
+    lab = np.round(np.stack([r.uniform(0, 100, 30_000), r.uniform(-90, 90, 30_000), r.uniform(-90, 90, 30_000)], axis=1), 3)
+    weight = r.integers(1, 50, len(lab))
+    df = spark.createDataFrame([("k", i, float(w), tuple(map(float, p))) for i, (w, p) in enumerate(zip(weight, lab, strict=True))], "k string, part long, w double, lab struct<l:double,a:double,b:double>")
+    got = {x.id: x.cluster for x in gates.coating_components(df, ["k"], "part", "w", 12.0).collect()}
+    members = defaultdict(list)
+    for i in sorted(range(len(lab)), key=lambda i: (-weight[i], i)):
+        members[got[i]].append(i)
+    assert sorted(members) == list(range(len(members)))
+    for c in r.choice(len(members), 40, replace=False):
+        own = lab[members[c]]
+        assert np.linalg.norm(own[:, None] - own[None], axis=2).max() <= 12.0
+    seen = defaultdict(list)
+    for i in sorted(range(len(lab)), key=lambda i: (-weight[i], i))[:3000]:  # the fold, as far as it is quick
+        first = next((c for c in range(len(seen)) if np.linalg.norm(lab[seen[c]] - lab[i], axis=1).max() <= 12.0), len(seen))
+        assert got[i] == first
+        seen[first].append(i)
