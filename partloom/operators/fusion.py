@@ -40,8 +40,16 @@ def fuse_palettes(groups: DataFrame, keys: Sequence[str], view: str, colour: str
     return out.withColumn("supported", (F.col("views") >= 2) & apart).drop("__only")
 
 
-def mass_audit(reference: DataFrame, rendered: DataFrame, keys: Sequence[str], bin_col: str, amount: str, dominant: float = 0.4, lead: float = 0.05, recall: float = 0.8, deficit: float = 0.08) -> DataFrame:
-    """Whether the dominant group of the reference lost mass: hard failure if it dominates clearly and both recall and share fall too far."""
+#: Scores from which views are strongly aligned, and silhouettes overlap enough; and of a colour that only the rendering has: its least share, the reference's largest share, the least excess.
+STRONG_ALIGNMENT, LEAST_IOU = 0.55, 0.75
+UNREFERENCED_SHARE, UNREFERENCED_REFERENCE, UNREFERENCED_EXCESS = 0.05, 0.01, 0.05
+
+
+def mass_audit(reference: DataFrame, rendered: DataFrame, keys: Sequence[str], bin_col: str, amount: str, dominant: float = 0.4, lead: float = 0.05, recall: float = 0.8, deficit: float = 0.08, views: DataFrame | None = None) -> DataFrame:
+    """Whether the dominant group of the reference lost mass: hard failure if it dominates clearly and both recall and share fall too far.
+
+    views: (keys, alignment, iou); where given, a failure also needs a strong alignment and silhouettes that overlap enough. Views without these numbers do not fail.
+    """
     k = list(keys)
     share = lambda d, n: d.groupBy(*k, bin_col).agg(F.sum(amount).alias("__n")).withColumn(n, F.col("__n") / F.sum("__n").over(Window.partitionBy(*k))).drop("__n")
     w = Window.partitionBy(*k).orderBy(F.round("__a", 8).desc(), bin_col)
@@ -50,8 +58,30 @@ def mass_audit(reference: DataFrame, rendered: DataFrame, keys: Sequence[str], b
     lost = F.round(F.col("__a") - F.col("__b"), 8)
     kept = F.round(F.col("__b") / F.col("__a"), 8)
     hard = (F.round("__a", 8) >= dominant) & (F.round("__lead", 8) >= lead) & (kept < recall) & (lost >= deficit)
+    if views is not None:
+        both = both.join(views.select(*k, "alignment", "iou"), k, "left")
+        hard = hard & F.coalesce((F.col("alignment") >= STRONG_ALIGNMENT) & (F.col("iou") >= LEAST_IOU), F.lit(False))
     return both.select(*k, F.col(bin_col).alias("dominant"), F.col("__a").alias("share"), F.col("__lead").alias("margin"), kept.alias("recall"), lost.alias("deficit"), hard.alias("hard_failure"))
 
+def unreferenced_mass(reference: DataFrame, rendered: DataFrame, views: DataFrame, keys: Sequence[str], bin_col: str, amount: str, chromatic: Sequence[str], trusted: DataFrame | None = None) -> DataFrame:
+    """(keys, bin, reference_share, render_share, excess, raw_failure, status, reason) for each view and chromatic bin: colour that only the rendering has.
+
+    views: (keys, alignment, censored): where the reference's mask was cut by colour, nothing can be said of colours outside it, and the status is NOT_APPLICABLE. trusted: (keys, bin), colours that the
+    view's evidence goes with; they pass. Else a strongly aligned view FAILs in a bin that the reference hardly has and the rendering has much more of. excess is 0 where it does not count.
+    """
+    k = list(keys)
+    share = lambda d, n: d.groupBy(*k, bin_col).agg(F.sum(amount).alias("__n")).withColumn(n, F.col("__n") / F.sum("__n").over(Window.partitionBy(*k))).select(*k, bin_col, n)
+    bins = views.select(*k, "alignment", "censored", F.explode(F.array(*map(F.lit, chromatic))).alias(bin_col))
+    met = bins.join(share(reference, "__a"), [*k, bin_col], "left").join(share(rendered, "__b"), [*k, bin_col], "left")
+    met = met.join(trusted.select(*k, bin_col).distinct().withColumn("__t", F.lit(True)), [*k, bin_col], "left") if trusted is not None else met.withColumn("__t", F.lit(False))
+    a, b = F.coalesce("__a", F.lit(0.0)), F.coalesce("__b", F.lit(0.0))
+    more = F.greatest(F.lit(0.0), b - a)
+    raw = F.coalesce(F.col("alignment") >= STRONG_ALIGNMENT, F.lit(False)) & (F.round(b, 9) >= UNREFERENCED_SHARE) & (F.round(a, 9) <= UNREFERENCED_REFERENCE) & (F.round(more, 9) >= UNREFERENCED_EXCESS)
+    censored, known = F.coalesce("censored", F.lit(False)), F.coalesce("__t", F.lit(False))
+    status = F.when(censored, "NOT_APPLICABLE").when(~known & raw, "FAIL").otherwise("PASS")
+    reason = F.when(censored, "REFERENCE_MASK_COLOR_CENSORED").when(known, "TRUSTED_COMPATIBLE_COLOR_FAMILY").otherwise("")
+    return met.select(*k, bin_col, a.alias("reference_share"), b.alias("render_share"), F.when(censored | known, 0.0).otherwise(more).alias("excess"), raw.alias("raw_failure"), status.alias("status"), reason.alias("reason"))
+
 
 def lighting_stats(samples: DataFrame, keys: Sequence[str], view: str, role: str, value: str) -> DataFrame:
     """Target and anchor medians of reference and render in each view, normalised by the anchors; views that lack one of the four are skipped with a reason."""

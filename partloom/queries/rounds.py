@@ -156,3 +156,23 @@ def x09_locked(spark, d):
     n = table(spark, d, "supplier").groupBy((F.col("s_nationkey") % 3).alias("asset_id"), (F.col("s_nationkey") % 4).alias("view"), (F.col("s_suppkey") % 5).alias("pose")).agg(F.round(F.max("s_acctbal") / 10000, 6).alias("score"))
     locked = n.select("asset_id", F.lit(0).cast(n.schema["view"].dataType).alias("view"), F.lit(0).cast(n.schema["pose"].dataType).alias("pose")).distinct()
     return assembly.assignment_margin(n, "asset_id", "view", "pose", "score", locked)
+
+
+_VIEWS = "v AS (SELECT DISTINCT part_id, part_id % 100 / 100 AS alignment, part_id % 11 = 0 AS censored FROM obs)"
+
+
+@query(
+    "a12_unreferenced_mass",
+    f"""WITH {OBS}, {_VIEWS}, cells AS (SELECT part_id, view_id % 10 AS cell, sum(weight) FILTER (line <= 3) AS n, sum(weight) FILTER (line > 3) AS m FROM obs GROUP BY ALL),
+s AS (SELECT *, n / sum(n) OVER (PARTITION BY part_id) AS a, m / sum(m) OVER (PARTITION BY part_id) AS b FROM cells), t AS (SELECT DISTINCT part_id, view_id % 10 AS cell FROM obs WHERE part_id % 2 = 0 AND view_id % 10 IN (3, 4)),
+x AS (SELECT v.part_id, b.cell::BIGINT AS cell, coalesce(s.a, 0) AS a, coalesce(s.b, 0) AS b, alignment, censored, t.cell IS NOT NULL AS known FROM v CROSS JOIN (SELECT unnest(range(2, 10)) AS cell) b LEFT JOIN s ON s.part_id = v.part_id AND s.cell = b.cell LEFT JOIN t ON t.part_id = v.part_id AND t.cell = b.cell),
+r AS (SELECT *, alignment >= 0.55 AND round(b, 9) >= 0.05 AND round(a, 9) <= 0.01 AND round(greatest(0, b - a), 9) >= 0.05 AS raw_failure FROM x)
+SELECT part_id, cell, raw_failure, CASE WHEN censored THEN 'NOT_APPLICABLE' WHEN NOT known AND raw_failure THEN 'FAIL' ELSE 'PASS' END AS status, CASE WHEN censored THEN 'REFERENCE_MASK_COLOR_CENSORED' WHEN known THEN 'TRUSTED_COMPATIBLE_COLOR_FAMILY' ELSE '' END AS reason FROM r""",
+)
+def a12_unreferenced(spark, d):
+    """Colours (of ten, the first two without chroma) that only the second reading of a part has."""
+    o = observations(spark, d).withColumn("cell", (F.col("view_id") % 10).cast("long"))
+    views = o.select("part_id", (F.col("part_id") % 100 / 100).alias("alignment"), (F.col("part_id") % 11 == 0).alias("censored")).distinct()
+    trusted = o.where("part_id % 2 = 0 and cell in (3, 4)").select("part_id", "cell")
+    found = fusion.unreferenced_mass(o.where("line <= 3"), o.where("line > 3"), views, ["part_id"], "cell", "weight", list(range(2, 10)), trusted)
+    return found.select("part_id", F.col("cell").cast("long").alias("cell"), "raw_failure", "status", "reason")

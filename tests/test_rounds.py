@@ -381,3 +381,26 @@ def test_clusters_of_very_many_colours_in_one_key(spark):
         first = next((c for c in range(len(seen)) if np.linalg.norm(lab[seen[c]] - lab[i], axis=1).max() <= 12.0), len(seen))
         assert got[i] == first
         seen[first].append(i)
+
+
+# --- colour that only a rendering has
+
+
+def test_unreferenced_mass_on_rows_written_out(spark):
+    rows = lambda *x: spark.createDataFrame([(v, b, float(n)) for v, b, n in x], "v string, b string, n double")
+    reference = rows(*[(v, "grey", 99) for v in "abcde"], *[(v, "red", 1) for v in "abcd"], ("e", "red", 2))
+    rendered = rows(*[(v, b, n) for v in "abce" for b, n in (("grey", 80), ("red", 14), ("blue", 6))], ("d", "grey", 95), ("d", "blue", 4), ("d", "red", 1))
+    views = spark.createDataFrame([("a", 0.55, False), ("b", 0.54, False), ("c", 0.9, True), ("d", 0.9, False), ("e", 0.9, None), ("f", None, False)], "v string, alignment double, censored boolean")
+    trusted = spark.createDataFrame([("e", "blue")], "v string, b string")
+    got = {(x.v, x.b): (x.status, x.reason, x.raw_failure, round(x.excess, 6)) for x in fusion.unreferenced_mass(reference, rendered, views, ["v"], "b", "n", ["red", "blue"], trusted).collect()}
+    assert len(got) == 12
+    assert got["a", "red"] == ("FAIL", "", True, 0.13) and got["a", "blue"] == ("FAIL", "", True, 0.06)
+    assert got["b", "red"] == ("PASS", "", False, 0.13)  # not aligned
+    assert got["c", "red"] == ("NOT_APPLICABLE", "REFERENCE_MASK_COLOR_CENSORED", True, 0.0)
+    assert got["d", "blue"] == ("PASS", "", False, 0.04) and got["d", "red"][0] == "PASS"
+    assert got["e", "blue"] == ("PASS", "TRUSTED_COMPATIBLE_COLOR_FAMILY", True, 0.0) and got["e", "red"][:3] == ("PASS", "", False)  # the reference has over a hundredth
+    assert got["f", "red"] == ("PASS", "", False, 0.0)
+    lost = rows(("a", "grey", 50), ("a", "red", 50))
+    hard = lambda v: [x.hard_failure for x in fusion.mass_audit(reference.where("v = 'a'"), lost, ["v"], "b", "n", views=v).collect()]
+    seen = lambda a, i: spark.createDataFrame([("a", a, i)], "v string, alignment double, iou double")
+    assert (hard(None), hard(seen(0.55, 0.75)), hard(seen(0.54, 0.9)), hard(seen(0.9, 0.74)), hard(seen(0.9, None))) == ([True], [True], [False], [False], [False])
