@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from partloom.operators.spread import merged
+
 
 def quantiles(df: DataFrame, keys: Sequence[str], value: str | Column, points: dict[str, float]) -> DataFrame:
     """Interpolated quantiles of each key, by name, and ``n``. Equal values are counted before the shuffle and the counts run up in order, so no key's values are held in one buffer."""
@@ -90,12 +92,12 @@ def medoid_colour(df: DataFrame, keys: Sequence[str], order: str, max_distance:
     medians = None
     for c in "lab":
         one = quantiles(df, k, F.col(f"lab.{c}"), {f"__{c}": 0.5}).drop("n")
-        medians = one if medians is None else medians.join(one, k)
+        medians = one if medians is None else medians.join(merged(one), k)
     far = lambda a: F.sqrt(sum((F.pow(F.col(f"lab.{c}") - F.col(f"{a}{c}"), F.lit(2)) for c in "ab"), F.pow(F.col("lab.l") - F.col(f"{a}l"), F.lit(2))))
-    near = df.join(medians, k).groupBy(*k).agg(F.min(F.struct(F.round(far("__"), 8).alias("d"), F.col(order).alias("o"), *[F.col(f"lab.{c}").alias(c) for c in "lab"])).alias("m"))
-    around = df.join(near.select(*k, F.col("m.o").alias("medoid"), *[F.col(f"m.{c}").alias(f"__m{c}") for c in "lab"]), k).withColumn("__d", far("__m"))
+    near = df.join(merged(medians), k).groupBy(*k).agg(F.min(F.struct(F.round(far("__"), 8).alias("d"), F.col(order).alias("o"), *[F.col(f"lab.{c}").alias(c) for c in "lab"])).alias("m"))
+    around = df.join(merged(near.select(*k, F.col("m.o").alias("medoid"), *[F.col(f"m.{c}").alias(f"__m{c}") for c in "lab"])), k).withColumn("__d", far("__m"))
     inside = around.groupBy(*k, "medoid").agg(F.count(F.lit(1)).alias("n"), F.avg((F.col("__d") <= max_distance).cast("double")).alias("inliers"))
-    return inside.join(quantiles(around, k, "__d", {"p90": 0.9}).drop("n"), k).select(*k, "medoid", "n", "inliers", "p90")
+    return inside.join(merged(quantiles(around, k, "__d", {"p90": 0.9}).drop("n")), k).select(*k, "medoid", "n", "inliers", "p90")
 
 
 def median_of_medians(df: DataFrame, keys: Sequence[str], view: str, values: Sequence[str], least: int = 6) -> DataFrame:
@@ -112,7 +114,7 @@ def median_of_medians(df: DataFrame, keys: Sequence[str], view: str, values: Seq
 def histogram_score(a: DataFrame, b: DataFrame, keys: Sequence[str], bin_col: str, amount: str) -> DataFrame:
     """Sum over bins of the smaller share of two tables, by key. Amounts are brought to the product of both totals and divided once, so that sums of whole amounts are exact in any order."""
     total = lambda d, n: d.groupBy(*keys, bin_col).agg(F.sum(amount).alias(n)).withColumn(f"{n}_all", F.sum(n).over(Window.partitionBy(*keys)))
-    both = total(a, "__a").join(total(b, "__b"), [*keys, bin_col], "full")
+    both = total(a, "__a").join(merged(total(b, "__b")), [*keys, bin_col], "full")
     by_key = both.withColumn("__p", F.coalesce("__a_all", F.max("__a_all").over(Window.partitionBy(*keys)))).withColumn("__q", F.coalesce("__b_all", F.max("__b_all").over(Window.partitionBy(*keys))))
     common = F.least(F.coalesce("__a", F.lit(0)) * F.col("__q"), F.coalesce("__b", F.lit(0)) * F.col("__p"))
     return by_key.groupBy(*keys).agg(F.coalesce(F.sum(common) / F.max(F.col("__p") * F.col("__q")), F.lit(0.0)).alias("intersection"))
