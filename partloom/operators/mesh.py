@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from partloom.operators.graph import connected_components
+from partloom.operators.spread import merged
 
 
 def directed_edges(corners: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -28,7 +29,7 @@ def edge_topology(corners: DataFrame, keys: Sequence[str]) -> DataFrame:
 def triangles(corners: DataFrame, points: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Fans of each face around its first corner, with coordinates p, q, r as structs."""
     p = points.select(*keys, "vertex", F.struct("x", "y", "z").alias("at"))
-    placed = corners.join(p, [*keys, "vertex"])
+    placed = corners.join(merged(p), [*keys, "vertex"])
     w = Window.partitionBy(*keys, "face").orderBy("corner")
     out = placed.select(*keys, "face", "corner", F.first("at").over(w).alias("p"), F.col("at").alias("q"), F.lead("at").over(w).alias("r"), F.row_number().over(w).alias("__n"))
     return out.where("__n > 1 and r is not null").drop("__n", "corner")
@@ -61,34 +62,34 @@ def mesh_metrics(corners: DataFrame, points: DataFrame, keys: Sequence[str]) ->
     area = with_area(triangles(corners, points, keys)).groupBy(*keys).agg(F.sum("area").alias("area"))
     span = {c: F.max(c) - F.min(c) for c in "xyz"}
     box = points.groupBy(*keys).agg(F.count(F.lit(1)).alias("vertices"), F.sqrt(sum((span[c] * span[c] for c in "yz"), span["x"] * span["x"])).alias("diagonal"))
-    return arity.join(area, list(keys)).join(box, list(keys))
+    return arity.join(merged(area), list(keys)).join(merged(box), list(keys))
 
 
 def region_metrics(tris: DataFrame, regions: DataFrame, keys: Sequence[str], corners: DataFrame) -> DataFrame:
     """Of each region of faces: area, area-weighted centroid and normal, the largest angle in degrees between a face's normal and the region's, and the edges at the mesh's boundary (of one face only). regions: (keys, face, region)."""
     k = list(keys)
-    t = with_area(tris).join(regions, [*k, "face"])
+    t = with_area(tris).join(merged(regions), [*k, "face"])
     middle = [(F.sum(F.col("area") * (F.col(f"p.{c}") + F.col(f"q.{c}") + F.col(f"r.{c}")) / 3) / F.sum("area")).alias(f"c{c}") for c in "xyz"]
     by = t.groupBy(*k, "region").agg(F.count_distinct("face").alias("faces"), F.sum("area").alias("area"), *middle, *[F.sum(f"n{c}").alias(f"__n{c}") for c in "xyz"])
     size = lambda n: F.sqrt(sum((F.col(f"{n}{c}") * F.col(f"{n}{c}") for c in "yz"), F.col(f"{n}x") * F.col(f"{n}x")))
-    normals = t.groupBy(*k, "region", "face").agg(*[F.sum(f"n{c}").alias(f"__f{c}") for c in "xyz"]).join(by, [*k, "region"])
+    normals = t.groupBy(*k, "region", "face").agg(*[F.sum(f"n{c}").alias(f"__f{c}") for c in "xyz"]).join(merged(by), [*k, "region"])
     dot = sum((F.col(f"__f{c}") * F.col(f"__n{c}") for c in "yz"), F.col("__fx") * F.col("__nx")) / (size("__f") * size("__n"))
     angle = F.when(size("__f") * size("__n") > 0, F.degrees(F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.round(dot, 12))))))
     turned = normals.groupBy(*k, "region").agg(F.max(angle).alias("deviation"))
     e = directed_edges(corners, k).select(*k, "face", F.least("u", "v").alias("lo"), F.greatest("u", "v").alias("hi"))
     single = e.groupBy(*k, "lo", "hi").agg(F.count(F.lit(1)).alias("__e"), F.min("face").alias("face")).where("__e = 1")
-    open_edges = single.join(regions, [*k, "face"]).groupBy(*k, "region").agg(F.count(F.lit(1)).alias("boundary"))
-    out = by.join(turned, [*k, "region"]).join(open_edges, [*k, "region"], "left")
+    open_edges = single.join(merged(regions), [*k, "face"]).groupBy(*k, "region").agg(F.count(F.lit(1)).alias("boundary"))
+    out = by.join(merged(turned), [*k, "region"]).join(merged(open_edges), [*k, "region"], "left")
     return out.select(*k, "region", "faces", "area", "cx", "cy", "cz", *[F.when(size("__n") > 0, F.col(f"__n{c}") / size("__n")).alias(f"n{c}") for c in "xyz"], "deviation", F.coalesce("boundary", F.lit(0)).alias("boundary"))
 
 
 def geometry_digest(points: DataFrame, corners: DataFrame, keys: Sequence[str], digits: int = 9) -> DataFrame:
     """SHA-256 of a mesh that does not change when it is moved: points relative to the middle of the box, and faces in order. One mesh is one row."""
     mid = points.groupBy(*keys).agg(*[((F.max(c) + F.min(c)) / 2).alias(f"__{c}") for c in "xyz"])
-    rel = points.join(mid, list(keys)).select(*keys, "vertex", *[F.format_number(F.round(F.col(c) - F.col(f"__{c}"), digits) + 0.0, digits).alias(c) for c in "xyz"])
+    rel = points.join(merged(mid), list(keys)).select(*keys, "vertex", *[F.format_number(F.round(F.col(c) - F.col(f"__{c}"), digits) + 0.0, digits).alias(c) for c in "xyz"])
     shape = rel.groupBy(*keys).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("vertex", F.concat_ws(",", "x", "y", "z").alias("t")))), lambda s: s["t"]), ";").alias("__p"))
     faces = corners.groupBy(*keys).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("face", "corner", "vertex"))), lambda s: F.concat_ws(":", s["face"].cast("string"), s["vertex"].cast("string"))), ";").alias("__f"))
-    return shape.join(faces, list(keys)).select(*keys, F.sha2(F.concat_ws("|", "__p", "__f"), 256).alias("digest"))
+    return shape.join(merged(faces), list(keys)).select(*keys, F.sha2(F.concat_ws("|", "__p", "__f"), 256).alias("digest"))
 
 
 def estimate_mass(df: DataFrame, density: str, volume: str, box_volume: str, low: float = 0.01, high: float = 10_000.0) -> DataFrame:
@@ -119,13 +120,13 @@ def uv_overlap(tris: DataFrame, keys: Sequence[str], grid: int) -> DataFrame:
     used = inside.groupBy(*keys).agg((F.count(F.lit(1)) / (grid * grid)).alias("used"), (F.count_if(F.col("n") > 1) / F.count(F.lit(1))).alias("overlapping"))
     outside = F.greatest("u0", "u1", "u2", "v0", "v1", "v2") > 1
     outs = tris.groupBy(*keys).agg(F.avg((outside | (F.least("u0", "u1", "u2", "v0", "v1", "v2") < 0)).cast("double")).alias("out_of_bounds"))
-    return outs.join(used, list(keys), "left").select(*keys, F.coalesce("used", F.lit(0.0)).alias("used"), F.coalesce("overlapping", F.lit(0.0)).alias("overlapping"), "out_of_bounds")
+    return outs.join(merged(used), list(keys), "left").select(*keys, F.coalesce("used", F.lit(0.0)).alias("used"), F.coalesce("overlapping", F.lit(0.0)).alias("overlapping"), "out_of_bounds")
 
 
 def loose_vertices(corners: DataFrame, points: DataFrame, keys: Sequence[str]) -> DataFrame:
     """How many points of each mesh no face uses."""
     used = corners.select(*keys, "vertex").distinct()
-    by = points.join(used.withColumn("__u", F.lit(1)), [*keys, "vertex"], "left").groupBy(*keys).agg(F.count_if(F.col("__u").isNull()).alias("loose"))
+    by = points.join(merged(used.withColumn("__u", F.lit(1))), [*keys, "vertex"], "left").groupBy(*keys).agg(F.count_if(F.col("__u").isNull()).alias("loose"))
     return by
 
 
@@ -136,8 +137,8 @@ def face_components(corners: DataFrame, keys: Sequence[str]) -> DataFrame:
     name = F.concat_ws("\x1f", *[F.col(c).cast("string") for c in k], F.col("face").cast("string"))
     named = e.withColumn("node", name)
     first = named.groupBy(*k, "lo", "hi").agg(F.min("node").alias("a"))
-    labels = connected_components(named.join(first, [*k, "lo", "hi"]).select("a", F.col("node").alias("b")), named.select("node"))
-    return named.select(*k, "node").distinct().join(labels, "node").groupBy(*k).agg(F.count_distinct("component").alias("components"))
+    labels = connected_components(named.join(merged(first), [*k, "lo", "hi"]).select("a", F.col("node").alias("b")), named.select("node"))
+    return named.select(*k, "node").distinct().join(merged(labels), "node").groupBy(*k).agg(F.count_distinct("component").alias("components"))
 
 
 #: An axis is up if it holds at least so much of the unit vector, and each other at most so much.

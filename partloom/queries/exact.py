@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from partloom.functions import color
 from partloom.operators import fusion, gates, graph, joins, mesh, rank, spatial, stats
 from partloom.operators import pixels as px
+from partloom.operators.spread import merged
 from partloom.plans import rules
 from partloom.queries.base import OBS, PARTS, observations, parts, query, rounded, table
 from partloom.queries.images import grid
@@ -151,7 +152,7 @@ def g04b(spark, d):
     """Points that no face uses (every third box has one more) and pieces of the boxes."""
     corners, points = boxes(spark, d)
     more = parts(spark, d).where("size % 3 = 0").select("part_id", F.lit(99).alias("vertex"), *[F.lit(0.0).alias(c) for c in "xyz"])
-    return mesh.loose_vertices(corners, points.unionByName(more), ["part_id"]).join(mesh.face_components(corners, ["part_id"]), "part_id")
+    return mesh.loose_vertices(corners, points.unionByName(more), ["part_id"]).join(merged(mesh.face_components(corners, ["part_id"])), "part_id")
 
 
 @query(

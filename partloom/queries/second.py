@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from partloom.functions import color
 from partloom.operators import assembly, fusion, graph, mesh, rank
+from partloom.operators.spread import merged, spread
 from partloom.queries.base import OBS, PARTS, lab_sql, observations, parts, query, rounded, table
 from partloom.queries.ranking import CAND, candidates
 from partloom.sources import files
@@ -218,7 +219,7 @@ def x18(spark, d):
 
 def boxes(spark, d):
     """A box mesh for each part: six quads over eight vertices, as long, wide and high as its keys say; every fifth lacks its last face."""
-    p = parts(spark, d).select("part_id", (F.col("size") + 1.0).alias("w"), (F.col("r") / 16 + 1.0).alias("h"), (F.col("g") / 16 + 1.0).alias("l"))
+    p = spread(parts(spark, d).select("part_id", (F.col("size") + 1.0).alias("w"), (F.col("r") / 16 + 1.0).alias("h"), (F.col("g") / 16 + 1.0).alias("l")), ["part_id"], 24)
     faces = ((0, 3, 2, 1), (4, 5, 6, 7), (0, 1, 5, 4), (1, 2, 6, 5), (2, 3, 7, 6), (3, 0, 4, 7))
     corner = F.explode(F.array(*[F.struct(F.lit(f).alias("face"), F.lit(c).alias("corner"), F.lit(v).alias("vertex")) for f, q in enumerate(faces) for c, v in enumerate(q)]))
     corners = p.select("part_id", corner.alias("c")).select("part_id", "c.*").where("part_id % 5 <> 0 or face < 5")
@@ -274,7 +275,7 @@ def g03(spark, d):
     t = mesh.with_area(mesh.triangles(c, p, ["part_id"])).where("area > 0")
     faces = t.groupBy("part_id", F.col("face").cast("long").alias("face")).agg(*[(F.sum(f"n{x}") / F.sum(F.col("area") * 2)).alias(f"n{x}") for x in "xyz"])
     e = mesh.directed_edges(c, ["part_id"]).select("part_id", F.col("face").cast("long").alias("face"), F.least("u", "v").alias("lo"), F.greatest("u", "v").alias("hi"))
-    adjacency = e.withColumnRenamed("face", "a").join(e.withColumnRenamed("face", "b"), ["part_id", "lo", "hi"]).where("a < b").select("part_id", "a", "b")
+    adjacency = e.withColumnRenamed("face", "a").join(merged(e.withColumnRenamed("face", "b")), ["part_id", "lo", "hi"]).where("a < b").select("part_id", "a", "b")
     return graph.coherent_regions(faces, adjacency, ["part_id"], 0.5)
 
 
