@@ -20,7 +20,8 @@ def rank_lanes(df: DataFrame, keys: Sequence[str], id_col: str, lanes: Sequence[
     """(keys, id, lane, rank): the rows ranked by each of several scores, in one pass over the keys; nulls are left out."""
     place = lambda c: F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc_nulls_last(c), id_col))
     ranked = df.select(*keys, id_col, *[F.when(F.col(c).isNotNull(), place(c)).alias(c) for c in lanes])
-    return ranked.unpivot([*keys, id_col], list(lanes), "lane", "rank").where(F.col("rank").isNotNull())
+    places = F.explode(F.array(*[F.struct(F.lit(c).alias("lane"), F.col(c).alias("rank")) for c in lanes]))  # unlike unpivot, keeps the partitions of the keys
+    return ranked.select(*keys, id_col, places.alias("__place")).select(*keys, id_col, "__place.*").where(F.col("rank").isNotNull())
 
 
 def rrf(rankings: DataFrame, keys: Sequence[str], id_col: str, lane: str, weights: dict[str, float], k: int = 60) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from partloom.operators import assembly, rank
+from partloom.operators.spread import spread
 from partloom.queries.base import OBS, PARTS, observations, parts, query, rounded
 
 #: Candidates of a part: its views with one score for each lane.
@@ -12,7 +13,7 @@ CAND = "cand AS (SELECT part_id, view_id, round(max(score), 6) AS colour, round(
 
 
 def candidates(spark, d):
-    o = observations(spark, d)
+    o = spread(observations(spark, d), ["part_id"])
     return o.groupBy("part_id", "view_id").agg(F.round(F.max("score"), 6).alias("colour"), F.round(F.avg("tax"), 6).alias("texture"), F.round(F.sum("weight"), 6).alias("pixels"), (F.min("category") == "A").alias("gate"))
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from partloom.functions import color
 from partloom.operators import gates, rank, stats
+from partloom.operators.spread import spread
 from partloom.queries.base import OBS, PARTS, lab_sql, observations, parts, query, rounded
 
 
@@ -75,7 +76,7 @@ r AS (SELECT *, concat_ws(',', CASE WHEN views < 2 THEN 'too_few_views' END, CAS
 SELECT part_id, views, round(score, 6) AS score, round(tax, 6) AS tax, CASE WHEN reasons = '' THEN 'auto' ELSE 'preserve' END AS mode, reasons FROM r""",
 )
 def a08(spark, d):
-    return gates.fuse_evidence(observations(spark, d), ["part_id"], ["score", "tax"], "status", "view_id", 0.3333)
+    return gates.fuse_evidence(spread(observations(spark, d), ["part_id"]), ["part_id"], ["score", "tax"], "status", "view_id", 0.3333)
 
 
 HSV = """hsv AS (SELECT part_id, brand, mx AS v, CASE WHEN mx = 0 THEN 0 ELSE (mx - mn) / mx END AS s,
@@ -131,7 +132,7 @@ def a16(spark, d):
 
 @query("a17_median_of_medians", f"WITH {OBS}, p AS (SELECT part_id, view_id, count(*) AS n, median(price) AS price, median(tax) AS tax FROM obs GROUP BY ALL) SELECT part_id, count(*) AS views, round(median(price), 4) AS price, round(median(tax), 4) AS tax FROM p WHERE n >= 2 GROUP BY part_id")
 def a17(spark, d):
-    return rounded(stats.median_of_medians(observations(spark, d), ["part_id"], "view_id", ["price", "tax"], least=2), 4)
+    return rounded(stats.median_of_medians(spread(observations(spark, d), ["part_id"]), ["part_id"], "view_id", ["price", "tax"], least=2), 4)
 
 
 @query(
