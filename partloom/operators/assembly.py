@@ -49,12 +49,18 @@ def paint_parameters(colour: Column, verified: Column, low: float = 0.02, high:
 def default_choice(parts: DataFrame, alternatives: DataFrame, module: str, id_col: str, tone: str, words: str, k: int = 2) -> DataFrame:
     """The best alternative of a part's module: 80 for an equal tone, else -35; 4 for each of the first ``k`` words that is equal; 45 for the part itself. None if the best score is not above 0."""
     side = lambda d, n: d.select(F.col(module).alias("__m"), *[F.col(c).alias(f"{n}_{c}") for c in (id_col, tone, words)])
-    met = side(parts, "x").join(side(alternatives, "y"), "__m")
-    score = F.when(F.col(f"x_{tone}") == F.col(f"y_{tone}"), 80).otherwise(-35) + F.when(F.col(f"x_{id_col}") == F.col(f"y_{id_col}"), 45).otherwise(0)
+    kind = lambda n: F.struct(F.col(f"{n}_{tone}").alias("tone"), *[F.get(f"{n}_{words}", F.lit(i)).alias(f"word{i}") for i in range(k)])
+    x, y = (side(d, n).withColumn(f"__{n}", kind(n)) for d, n in ((parts, "x"), (alternatives, "y")))
+    score = F.when(F.col("__x.tone") == F.col("__y.tone"), 80).otherwise(-35)
     for i in range(k):
-        score = score + F.when(F.get(f"x_{words}", F.lit(i)) == F.get(f"y_{words}", F.lit(i)), 4).otherwise(0)
-    scored = met.select(F.col(f"x_{id_col}").alias(id_col), F.col(f"y_{id_col}").alias("candidate"), score.cast("long").alias("score"))
-    best = scored.groupBy(id_col).agg(F.min(F.struct((-F.col("score")).alias("s"), "candidate")).alias("b"))
+        score = score + F.when(F.col(f"__x.word{i}") == F.col(f"__y.word{i}"), 4).otherwise(0)
+    # only the kinds of a module (its tones and first words) meet one another, each with its first alternative; then every part meets itself
+    first = y.groupBy("__m", "__y").agg(F.min(f"y_{id_col}").alias("candidate"))
+    met = x.select("__m", "__x").distinct().join(first, "__m").groupBy("__m", "__x").agg(F.min(F.struct((-score.cast("long")).alias("s"), "candidate")).alias("b"))
+    of_kind = x.withColumnRenamed("__m", "__n").withColumnRenamed("__x", "__k").join(met, F.col("__n").eqNullSafe(F.col("__m")) & F.col("__k").eqNullSafe(F.col("__x")))
+    itself = x.join(y, (x["__m"] == y["__m"]) & (F.col(f"x_{id_col}") == F.col(f"y_{id_col}")))
+    scored = of_kind.select(F.col(f"x_{id_col}").alias(id_col), "b").unionByName(itself.select(F.col(f"x_{id_col}").alias(id_col), F.struct((-(score + 45).cast("long")).alias("s"), F.col(f"y_{id_col}").alias("candidate")).alias("b")))
+    best = scored.groupBy(id_col).agg(F.min("b").alias("b"))
     return best.where(F.col("b.s") < 0).select(id_col, F.col("b.candidate").alias("candidate"), (-F.col("b.s")).alias("score"))
 
 
