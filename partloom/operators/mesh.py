@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from partloom.operators.graph import connected_components
-from partloom.operators.spread import merged
+from partloom.operators.spread import merged, spread
 
 
 def directed_edges(corners: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -108,7 +108,11 @@ def distribute_mass(df: DataFrame, keys: Sequence[str], id_col: str, weight: str
 
 
 def uv_overlap(tris: DataFrame, keys: Sequence[str], grid: int) -> DataFrame:
-    """Cells of a ``grid`` x ``grid`` unit square whose centre lies in UV triangles (u0..v2): used and overlapping shares, and triangles out of bounds."""
+    """Cells of a ``grid`` x ``grid`` unit square whose centre lies in UV triangles (u0..v2): used and overlapping shares, and triangles out of bounds.
+
+    Triangles are dealt by key over as many partitions as their cells need, and stay there.
+    """
+    tris = spread(tris, keys, grid * grid // 2)
     lo = lambda c: F.floor(F.least(f"{c}0", f"{c}1", f"{c}2") * grid)
     hi = lambda c: F.floor(F.greatest(f"{c}0", f"{c}1", f"{c}2") * grid)
     clip = lambda x: F.greatest(F.lit(0), F.least(F.lit(grid - 1), x))
