@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from partloom.functions import color
 from partloom.operators import assembly, gates, graph, joins, mesh
+from partloom.operators.spread import spread
 from partloom.plans import rules
 from partloom.queries.base import OBS, PARTS, lab_sql, observations, parts, query, rounded, table
 
@@ -186,7 +187,7 @@ def j16(spark, d):
 @query("j17_assign_one_to_one")
 def j17(spark, d):
     """The views of an order to poses; tested against all assignments."""
-    o = observations(spark, d).groupBy("asset_id", F.col("line").alias("view"), (F.col("view_id") % 5).alias("pose")).agg(F.round(F.max("score"), 6).alias("score"))
+    o = spread(observations(spark, d), ["asset_id"]).groupBy("asset_id", F.col("line").alias("view"), (F.col("view_id") % 5).alias("pose")).agg(F.round(F.max("score"), 6).alias("score"))
     return joins.assign_one_to_one(o, ["asset_id"], "view", "pose", "score").select("asset_id", F.array_join("path", ",", "-").alias("path"), F.round("total", 6).alias("total"), "matched")
 
 

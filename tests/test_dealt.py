@@ -1,12 +1,14 @@
 """Keys of many pairs, and tables that are dealt once: results are those of the plain way, over partitions that follow the rows and pairs."""
 
+import itertools
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from partloom import registry
-from partloom.operators import fusion, spread
+from partloom.operators import fusion, joins, spread
 
 SF = "/root/testdata/sf0.001"
 
@@ -63,5 +65,26 @@ def test_crowded_views_meet_in_cells(spark, monkeypatch):
 def test_boxes_meet_by_brand(spark):
     """Parts meet the seeds of their brand in a view, not all of them, and seeds of all views are not compared by colour first."""
     text = plan(registry.queries()["x07_extend_beside"](spark, SF))
-    joins = [line for line in text.splitlines() if "SortMergeJoin" in line and "cx" in line]
-    assert joins and all("brand" in line for line in joins)
+    met = [line for line in text.splitlines() if "SortMergeJoin" in line and "cx" in line]
+    assert met and all("brand" in line for line in met)
+
+
+def test_assignments_of_many_keys_at_once(spark):
+    """All assignments of small keys, ties and path order included; and no round is written or shuffled."""
+    r = random.Random(3)
+    rows = [(k, v, p, round(r.choice([0.1, 0.2, 0.3, 0.5, -0.1]), 3)) for k in range(40) for v in range(1 + k % 4) for p in (1, 2, 10, 20) if r.random() < 0.7]
+    got = {x.k: x for x in joins.assign_one_to_one(spark.createDataFrame(rows, "k long, v long, p long, s double"), ["k"], "v", "p", "s").collect()}
+    assert set(got) == {x[0] for x in rows}
+    for k, x in got.items():
+        own = {(v, p): s for n, v, p, s in rows if n == k}
+        views = sorted({v for v, _ in own})
+        best = None
+        for path in itertools.product([None, 1, 2, 10, 20], repeat=len(views)):
+            taken = [p for p in path if p is not None]
+            if len(set(taken)) < len(taken) or any((v, p) not in own for v, p in zip(views, path, strict=True) if p is not None):
+                continue
+            key = (-round(sum(own[v, p] for v, p in zip(views, path, strict=True) if p is not None), 9), -len(taken), ",".join("~" if p is None else str(p) for p in path))
+            best = min(best, key) if best else key
+        assert (round(x.total, 9), x.matched, ",".join(p or "~" for p in x.path)) == (-best[0], -best[1], best[2] + ",~" * (4 - len(views)))  # all paths are as long as the longest
+    rest = plan(joins.assign_one_to_one(spark.createDataFrame(rows, "k long, v long, p long, s double"), ["k"], "v", "p", "s"))
+    assert rest.count("Exchange") == 1
