@@ -17,6 +17,7 @@ blocks too. There a fingerprint is so long that it is cut into ``blocks_for(...)
 two texts with the shingle similarity share a block with the wanted probability, and few others do. Pairs of small buckets are sifted by Hamming distance
 over all bits; of a bucket with more than ``bucket`` nodes each meets the smallest, and the bucket is cut again by the next two blocks. What is left is verified on
 the sets of shingles themselves, so no pair below the similarity is linked: first each node's nearest pair, then those that still lie between two groups.
+Pairs of crowded buckets that this leaves in different groups are then all met, sifted and verified likewise. So groups are those of all pairs that share a block, whatever ``bucket`` is.
 
 Groups: connected components by alternating large-star and small-star steps, each
 step written to the shared folder. Nothing is collected but a count of changes.
@@ -40,6 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from partloom.llm.common import bounded_batches, released, replaced, shared_folder, slices, stored, texts, with_fields
+from partloom.operators.spread import met
 
 #: The letters that are lower-cased.
 _LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
@@ -134,14 +136,13 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     folder = shared_folder(df.sparkSession)
     marked = stored(fingerprints(df, id_col, text_col, shingle), folder, "fingerprints")
     nodes = stored(marked.groupBy(F.col("fingerprint").alias("fp")).agg(F.min(id_col).alias("first")), folder, "nodes")
-    named = _named(nodes, "fp", links(nodes.select("fp"), max_bits, blocks, bucket), folder)
+    named = _named(nodes, "fp", components(links(nodes.select("fp"), max_bits, blocks, bucket), folder))
     return marked.join(named.withColumnRenamed("fp", "fingerprint"), "fingerprint").select(id_col, "fingerprint", "component_id")
 
 
-def _named(nodes: DataFrame, node: str, edges: DataFrame, folder: str) -> DataFrame:
-    """(node, component_id): the smallest ``first`` of each node's component."""
-    roots = components(edges, folder).withColumnRenamed("node", node)
-    placed = nodes.join(roots, node, "left").select(node, "first", F.coalesce("root", node).alias("root"))
+def _named(nodes: DataFrame, node: str, roots: DataFrame) -> DataFrame:
+    """(node, component_id): the smallest ``first`` of each node's component. roots: (node, root) as :func:`components` gives them."""
+    placed = nodes.join(roots.withColumnRenamed("node", node), node, "left").select(node, "first", F.coalesce("root", node).alias("root"))
     names = placed.groupBy("root").agg(F.min("first").alias("component_id"))
     return placed.join(names, "root").select(node, "component_id")
 
@@ -228,6 +229,21 @@ def _meet(rows: DataFrame, by: Sequence[str], bucket: int, most: int, folder: st
     return pairs.unionByName(stars), crowded.drop("size", "hub")
 
 
+def _across(crowded: DataFrame, by: Sequence[str], similarity: float, most: int, folder: str) -> DataFrame:
+    """Pairs (a, b) of nodes in one bucket that are in different groups (``root``), of which the probes differ in at most ``most`` bits and the sizes ``n`` allow the similarity: all of them.
+
+    In each bucket the nodes outside its largest group meet all others, so what is compared is at most twice the pairs between groups; buckets with many are dealt over shares.
+    """
+    parts = crowded.groupBy(*by, "root").agg(F.count(F.lit(1)).alias("members"))
+    mixed = parts.groupBy(*by).agg(F.max_by("root", F.struct("members", "root")).alias("main"), F.count(F.lit(1)).alias("groups")).where("groups > 1").drop("groups")
+    rows = stored(crowded.join(mixed, list(by)), folder, "mixed")
+    side = lambda d, n: d.select(*by, F.col("node").alias(n), F.col("root").alias(f"__r{n}"), F.col("probe").alias(f"__{n}"), F.col("n").alias(f"__n{n}"), (F.col("root") == F.col("main")).alias(f"__m{n}"))
+    once = (F.col("__ra") != F.col("__rb")) & (F.col("__mb") | (F.col("a") < F.col("b")))
+    near = (F.bit_count(F.col("__a").bitwiseXOR(F.col("__b"))) <= most) & (F.least("__na", "__nb") >= F.lit(similarity) * F.greatest("__na", "__nb") - 1e-9)
+    pairs = met(side(rows.where("root <> main"), "a"), side(rows, "b"), by).where(once & near)
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
 #: Texts that are looked up by a broadcast list at most.
 BROADCAST_TEXTS = 500_000
 
@@ -274,27 +290,37 @@ def similar_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     own = F.transform(F.sequence(F.lit(0), F.lit(blocks - 1)), lambda i: F.struct(*[F.get("blocks", (i + n) % blocks).alias(c) for n, c in enumerate(("key", "key2", "key3"))]))
     rows = nodes.select("node", "probe", F.posexplode(own).alias("block", "k")).select("node", "probe", "block", "k.*")
     most = bound(PROBE, 3)
-    found, crowded = _meet(rows, ["block", "key"], bucket, most, folder, "shared-1")
+    found, crowds = _meet(rows, ["block", "key"], bucket, most, folder, "shared-1")
+    crowded = crowds
     for by in (["block", "key", "key2"], ["block", "key", "key2", "key3"]):
         more, crowded = _meet(crowded, by, bucket, most, folder, f"shared-{len(by) - 1}")
         found = found.unionByName(more)
-    pairs = stored(found.distinct(), folder, "pairs")
     side = lambda n: nodes.select(F.col("node").alias(n), F.col("blocks").alias(f"__{n}"), F.col("probe").alias(f"__p{n}"), F.col("rep.n").alias(f"__n{n}"))
     apart = F.aggregate(F.zip_with("__a", "__b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.bit_count(F.col("__pa").bitwiseXOR(F.col("__pb"))), lambda s, n: s + n)
     sized = F.least("__na", "__nb") >= F.lit(similarity) * F.greatest("__na", "__nb") - 1e-9
-    near = pairs.join(side("a"), "a").join(side("b"), "b").where(sized).select("a", "b", apart.alias("apart")).where(F.col("apart") <= bound(bits + PROBE, slack))
-    near = stored(near, folder, "near")
-    used = near.select(F.col("a").alias("node")).unionByName(near.select(F.col("b").alias("node"))).distinct()
-    wanted = stored(nodes.join(used, "node").select("node", F.col("rep.id").alias("id"), F.col("rep.own").alias("own")), folder, "wanted")
-    sets = stored(shingle_sets(df, wanted, id_col, text_col, shingle), folder, "sets")
+    sifted = lambda pairs: pairs.join(side("a"), "a").join(side("b"), "b").where(sized).select("a", "b", apart.alias("apart")).where(F.col("apart") <= bound(bits + PROBE, slack))
+    ends = lambda pairs: pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+
+    def sets_of(used: DataFrame, name: str) -> DataFrame:
+        wanted = stored(nodes.join(used, "node").select("node", F.col("rep.id").alias("id"), F.col("rep.own").alias("own")), folder, f"wanted-{name}")
+        return stored(shingle_sets(df, wanted, id_col, text_col, shingle), folder, f"sets-{name}")
+
+    near = stored(sifted(stored(found.distinct(), folder, "pairs")), folder, "near")
+    sets = sets_of(ends(near), "first")
+    star = lambda groups: groups.select(F.col("root").alias("a"), F.col("node").alias("b"))
     nearest = near.groupBy("b").agg(F.min(F.struct("apart", "a")).alias("m")).select("m.a", "b")
-    sure = stored(_alike(nearest, sets, similarity), folder, "edges-nearest")
-    groups = stored(components(sure, f"{folder}/nearest"), folder, "groups")
+    groups = stored(components(_alike(nearest, sets, similarity), f"{folder}/nearest"), folder, "groups")
     end = lambda n: groups.select(F.col("node").alias(n), F.col("root").alias(f"__r{n}"))
     between = near.join(nearest, ["a", "b"], "left_anti").join(end("a"), "a", "left").join(end("b"), "b", "left")
     between = between.where(F.coalesce("__ra", "a") != F.coalesce("__rb", "b")).select("a", "b")
-    edges = stored(sure.unionByName(_alike(between, sets, similarity)), folder, "edges-all")
-    named = _named(nodes.select("node", "first"), "node", edges, folder)
+    roots = components(star(groups).unionByName(_alike(between, sets, similarity)), f"{folder}/between")
+    placed = crowds.select("block", "key", "node", "probe").join(nodes.select("node", F.col("rep.n").alias("n")), "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    across = _across(placed, ["block", "key"], similarity, most, folder).join(near.select("a", "b"), ["a", "b"], "left_anti")
+    left = stored(sifted(across), folder, "near-across")
+    if left.limit(1).count():
+        more = sets_of(ends(left).join(sets.select("node"), "node", "left_anti"), "across")
+        roots = components(star(roots).unionByName(_alike(left.select("a", "b"), sets.unionByName(more), similarity)), f"{folder}/across")
+    named = _named(nodes.select("node", "first"), "node", roots)
     whole = nodes.select("node", "blocks", "probe").join(named, "node").drop("node")
     return marked.join(whole, ["blocks", "probe"]).select(F.col("id").alias(id_col), "component_id")
 

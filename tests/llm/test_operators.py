@@ -2,6 +2,7 @@
 
 import functools
 import hashlib
+import math
 import random
 import re
 
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from partloom.llm import bpe, decontamination, exact_dedup, html_wrapper, license_scan, line_dedup, queries, secret_scan, simhash, spelling, token_counts, toxicity
+from partloom.operators import spread
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 LONG = "the quick brown fox " * 9000
@@ -220,6 +222,41 @@ def test_crowded_buckets_of_near_copies(spark):
     assert {got[i] for i in range(400)} == {0} and all(got[i] == i for i in range(400, 450))
 
 
+def test_pairs_of_crowded_buckets_are_all_met(spark, monkeypatch):
+    """Blocks of two bits crowd every bucket with unlike texts: groups are those of all pairs that share a block and pass the sift."""
+    monkeypatch.setattr(simhash, "blocks_for", lambda *_: (2, 2))
+    monkeypatch.setattr(spread, "TASK_PAIRS", 500)
+    r = random.Random(11)
+    texts = []
+    for _ in range(60):
+        base = [r.choice("abcdefghij") + str(r.randrange(500)) for _ in range(r.randint(100, 160))]
+        for k in range(r.choice([1, 2, 2, 3])):
+            w = list(base)
+            for _ in range(k):
+                w[r.randrange(len(w))] = f"x{r.randrange(10**6)}"
+            texts.append(" ".join(w))
+    r.shuffle(texts)
+    sets = simhash.shingles_of(texts, 5)
+    bits = [simhash.long_fingerprint(h, 4 + simhash.PROBE) for h in sets]
+    near = lambda a, b, n, over: (a[-n:] != b[-n:]).sum() <= math.floor(n * simhash.differing(0.8) + over * math.sqrt(n * simhash.differing(0.8) * (1 - simhash.differing(0.8))))
+    parent = list(range(len(texts)))
+
+    def top(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for a in range(len(texts)):
+        for b in range(a):
+            x, y = bits[a], bits[b]
+            met = (x[:2] == y[:2]).all() or (x[2:4] == y[2:4]).all()
+            if (x == y).all() or met and near(x, y, simhash.PROBE, 3) and near(x, y, 4 + simhash.PROBE, 2.5) and jaccard(set(sets[a].tolist()), set(sets[b].tolist())) >= 0.8:
+                parent[max(top(a), top(b))] = min(top(a), top(b))
+    want = {i: top(i) for i in range(len(texts))}
+    assert sum(i != c for i, c in want.items()) > 30
+    assert {x.doc_id: x.component_id for x in simhash.similar_texts(table(spark, texts)).collect()} == want
+
+
 def test_distances_without_a_way_for_crowded_buckets_are_refused(spark):
     with pytest.raises(ValueError):
         simhash.links(spark.range(3).select(F.col("id").alias("fp")), max_bits=3)
