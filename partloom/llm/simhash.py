@@ -17,7 +17,8 @@ blocks too. There a fingerprint is so long that it is cut into ``blocks_for(...)
 two texts with the shingle similarity share a block with the wanted probability, and few others do. Pairs of small buckets are sifted by Hamming distance
 over all bits; of a bucket with more than ``bucket`` nodes each meets the smallest, and the bucket is cut again by the next two blocks. What is left is verified on
 the sets of shingles themselves, so no pair below the similarity is linked: first each node's nearest pair, then those that still lie between two groups.
-Pairs of crowded buckets that this leaves in different groups are then all met, sifted and verified likewise. So groups are those of all pairs that share a block, whatever ``bucket`` is.
+Nodes of crowded buckets that are near by their probes to one of another group are then joined on the rarest shingles of their sets, as sets of the similarity share one of
+those: each with the node in which a shingle stands foremost, then all that are still in different groups. These pairs are sifted and verified likewise, and none with the similarity is left out. So groups are those of all pairs that share a block, whatever ``bucket`` is.
 
 Groups: connected components by alternating large-star and small-star steps, each
 step written to the shared folder. Nothing is collected but a count of changes.
@@ -41,7 +42,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from partloom.llm.common import bounded_batches, released, replaced, shared_folder, slices, stored, texts, with_fields
-from partloom.operators.spread import met
+from partloom.operators.spread import having, merged, met
 
 #: The letters that are lower-cased.
 _LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
@@ -229,21 +230,76 @@ def _meet(rows: DataFrame, by: Sequence[str], bucket: int, most: int, folder: st
     return pairs.unionByName(stars), crowded.drop("size", "hub")
 
 
-def _across(crowded: DataFrame, by: Sequence[str], similarity: float, most: int, folder: str) -> DataFrame:
-    """Pairs (a, b) of nodes in one bucket that are in different groups (``root``), of which the probes differ in at most ``most`` bits and the sizes ``n`` allow the similarity: all of them.
+def _divided(rows: DataFrame, by: Sequence[str]) -> DataFrame:
+    """The rows of keys with more than one group (``root``), and ``main``, the group with most rows of the key."""
+    parts = rows.groupBy(*by, "root").agg(F.count(F.lit(1)).alias("members"))
+    mixed = parts.groupBy(*by).agg(F.max_by("root", F.struct("members", "root")).alias("main"), F.count(F.lit(1)).alias("groups")).where("groups > 1").drop("groups")
+    return rows.join(mixed, list(by))
+
+
+def _probed(most: int, similarity: float) -> Column:
+    """Whether rows a and b are of different groups, their probes differ in at most ``most`` bits and their sizes allow the similarity."""
+    sized = F.least("__na", "__nb") >= F.lit(similarity) * F.greatest("__na", "__nb") - 1e-9
+    return (F.col("__ra") != F.col("__rb")) & (F.bit_count(F.col("__pa").bitwiseXOR(F.col("__pb"))) <= most) & sized
+
+
+def _sided(rows: DataFrame, by: Sequence[str], n: str, *more: str) -> DataFrame:
+    """A side of a join of nodes, with the columns that :func:`_probed` reads."""
+    return rows.select(*by, F.col("node").alias(n), F.col("root").alias(f"__r{n}"), F.col("probe").alias(f"__p{n}"), F.col("n").alias(f"__n{n}"), *[F.col(c).alias(f"__{c}_{n}") for c in more])
 
-    In each bucket the nodes outside its largest group meet all others, so what is compared is at most twice the pairs between groups; buckets with many are dealt over shares.
+
+def _parted(crowded: DataFrame, by: Sequence[str], similarity: float, most: int, folder: str) -> DataFrame:
+    """(node, probe, n): the nodes that share a bucket with one of another group that is near enough by its probe. Pairs are compared, those with nodes outside the bucket's largest group, but none is made."""
+    rows = stored(_divided(crowded, by), folder, "mixed")
+    outside = rows.where("root <> main")
+    back = having(_sided(rows, by, "a"), _sided(outside, by, "b"), by, _probed(most, similarity))
+    forth = having(_sided(outside, by, "a"), _sided(rows.where("root = main"), by, "b"), by, _probed(most, similarity))
+    return back.unionByName(forth).select(F.col("a").alias("node"), F.col("__pa").alias("probe"), F.col("__na").alias("n")).distinct()
+
+
+def _postings(nodes: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """(token, node, probe, n, at, rarest, place) for the rarest shingles of each node that others have too: two sets of the similarity share one of the first ``n - similarity * n + 1``.
+
+    The shingles of all sets are in one order, rare ones first; those of one node alone come before all others and need no row. rarest: the node's shingles with rows; place: this one's place among them; at: among all, from 0.
     """
-    parts = crowded.groupBy(*by, "root").agg(F.count(F.lit(1)).alias("members"))
-    mixed = parts.groupBy(*by).agg(F.max_by("root", F.struct("members", "root")).alias("main"), F.count(F.lit(1)).alias("groups")).where("groups > 1").drop("groups")
-    rows = stored(crowded.join(mixed, list(by)), folder, "mixed")
-    side = lambda d, n: d.select(*by, F.col("node").alias(n), F.col("root").alias(f"__r{n}"), F.col("probe").alias(f"__{n}"), F.col("n").alias(f"__n{n}"), (F.col("root") == F.col("main")).alias(f"__m{n}"))
-    once = (F.col("__ra") != F.col("__rb")) & (F.col("__mb") | (F.col("a") < F.col("b")))
-    near = (F.bit_count(F.col("__a").bitwiseXOR(F.col("__b"))) <= most) & (F.least("__na", "__nb") >= F.lit(similarity) * F.greatest("__na", "__nb") - 1e-9)
-    pairs = met(side(rows.where("root <> main"), "a"), side(rows, "b"), by).where(once & near)
+    held = sets.join(nodes, "node").select("node", F.explode("shingles").alias("token"))
+    common = held.groupBy("token").agg(F.count(F.lit(1)).alias("seen")).where("seen > 1")
+    ordered = held.join(merged(common), "token").groupBy("node").agg(F.array_sort(F.collect_list(F.struct("seen", "token"))).alias("all"))
+    own = F.col("n") - F.size("all")
+    first = F.greatest(F.lit(0), (F.col("n") - F.ceil(F.lit(similarity) * F.col("n") - 1e-9) + 1 - own).cast("int"))
+    rows = ordered.join(nodes, "node").select("node", "probe", "n", own.alias("own"), F.transform(F.slice("all", F.lit(1), first), lambda x: x["token"]).alias("rarest"))
+    return rows.select("node", "probe", "n", "own", "rarest", F.posexplode("rarest").alias("place", "token")).select("token", "node", "probe", "n", (F.col("own") + F.col("place")).alias("at"), "rarest", "place")
+
+
+def _allowed(similarity: float) -> Column:
+    """Whether what follows a first shared shingle is enough for the similarity."""
+    rest = F.least(F.col("__na") - F.col("__at_a"), F.col("__nb") - F.col("__at_b"))
+    return rest >= F.lit(similarity / (1 + similarity)) * (F.col("__na") + F.col("__nb")) - 1e-6
+
+
+def _paired(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+def _foremost(postings: DataFrame, similarity: float, most: int) -> DataFrame:
+    """Pairs (a, b) of each node with the one of another group in which a shared shingle stands foremost: the one with the fewest rare shingles, which many variants of a text are nearest to. No more pairs than postings."""
+    hubs = postings.groupBy("token").agg(F.min(F.struct("at", "node", "root", "probe", "n")).alias("hub"), F.count(F.lit(1)).alias("size")).where("size > 1").select("token", "hub.*")
+    return _paired(_sided(postings, ["token"], "a", "at").join(merged(_sided(hubs, ["token"], "b", "at")), "token").where(_probed(most, similarity) & _allowed(similarity)))
+
+
+def _across(postings: DataFrame, similarity: float, most: int, folder: str) -> DataFrame:
+    """Pairs (a, b) of nodes of different groups that have a rare shingle in common and can have the similarity: all of them, each met at its first shared shingle.
+
+    Of each shingle the nodes outside its largest group meet all others; shingles with many are dealt over shares.
+    """
+    rows = stored(_divided(postings, ["token"]).withColumn("inner", F.col("root") == F.col("main")), folder, "mixed-tokens")
+    side = lambda d, n: _sided(d, ["token"], n, "at", "rarest", "place", "inner")
+    once = F.col("__inner_b") | (F.col("a") < F.col("b"))
+    before = lambda n: F.slice(f"__rarest_{n}", F.lit(1), F.col(f"__place_{n}"))
+    pairs = met(side(rows.where("not inner"), "a"), side(rows, "b"), ["token"])
+    return _paired(pairs.where(once & _probed(most, similarity) & _allowed(similarity) & ~F.arrays_overlap(before("a"), before("b"))))
+
+
 #: Texts that are looked up by a broadcast list at most.
 BROADCAST_TEXTS = 500_000
 
@@ -298,7 +354,8 @@ def similar_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     side = lambda n: nodes.select(F.col("node").alias(n), F.col("blocks").alias(f"__{n}"), F.col("probe").alias(f"__p{n}"), F.col("rep.n").alias(f"__n{n}"))
     apart = F.aggregate(F.zip_with("__a", "__b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.bit_count(F.col("__pa").bitwiseXOR(F.col("__pb"))), lambda s, n: s + n)
     sized = F.least("__na", "__nb") >= F.lit(similarity) * F.greatest("__na", "__nb") - 1e-9
-    sifted = lambda pairs: pairs.join(side("a"), "a").join(side("b"), "b").where(sized).select("a", "b", apart.alias("apart")).where(F.col("apart") <= bound(bits + PROBE, slack))
+    shared = F.exists(F.zip_with("__a", "__b", lambda x, y: x == y), lambda same: same)
+    sifted = lambda pairs: pairs.join(side("a"), "a").join(side("b"), "b").where(sized & shared).select("a", "b", apart.alias("apart")).where(F.col("apart") <= bound(bits + PROBE, slack))
     ends = lambda pairs: pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
 
     def sets_of(used: DataFrame, name: str) -> DataFrame:
@@ -314,12 +371,19 @@ def similar_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     between = near.join(nearest, ["a", "b"], "left_anti").join(end("a"), "a", "left").join(end("b"), "b", "left")
     between = between.where(F.coalesce("__ra", "a") != F.coalesce("__rb", "b")).select("a", "b")
     roots = components(star(groups).unionByName(_alike(between, sets, similarity)), f"{folder}/between")
-    placed = crowds.select("block", "key", "node", "probe").join(nodes.select("node", F.col("rep.n").alias("n")), "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    across = _across(placed, ["block", "key"], similarity, most, folder).join(near.select("a", "b"), ["a", "b"], "left_anti")
-    left = stored(sifted(across), folder, "near-across")
-    if left.limit(1).count():
-        more = sets_of(ends(left).join(sets.select("node"), "node", "left_anti"), "across")
-        roots = components(star(roots).unionByName(_alike(left.select("a", "b"), sets.unionByName(more), similarity)), f"{folder}/across")
+
+    def further(pairs: DataFrame, name: str) -> DataFrame:
+        left = stored(sifted(pairs.join(near.select("a", "b"), ["a", "b"], "left_anti")), folder, f"near-{name}")
+        return components(star(roots).unionByName(_alike(left.select("a", "b"), sets, similarity)), f"{folder}/{name}") if left.limit(1).count() else roots
+
+    grouped = lambda d: d.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    placed = grouped(crowds.select("block", "key", "node", "probe").join(nodes.select("node", F.col("rep.n").alias("n")), "node"))
+    parted = stored(_parted(placed, ["block", "key"], similarity, most, folder), folder, "parted")
+    if parted.limit(1).count():
+        sets = sets.unionByName(sets_of(parted.select("node").join(sets.select("node"), "node", "left_anti"), "parted"))
+        postings = stored(_postings(parted, sets, similarity), folder, "postings")
+        roots = further(_foremost(grouped(postings), similarity, most), "foremost")
+        roots = further(_across(grouped(postings), similarity, most, folder), "across")
     named = _named(nodes.select("node", "first"), "node", roots)
     whole = nodes.select("node", "blocks", "probe").join(named, "node").drop("node")
     return marked.join(whole, ["blocks", "probe"]).select(F.col("id").alias(id_col), "component_id")

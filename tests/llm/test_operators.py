@@ -257,6 +257,33 @@ def test_pairs_of_crowded_buckets_are_all_met(spark, monkeypatch):
     assert {x.doc_id: x.component_id for x in simhash.similar_texts(table(spark, texts)).collect()} == want
 
 
+def test_many_unlike_variants_of_a_text_make_no_table_of_pairs(spark, monkeypatch):
+    """Variants that are near by their bits and not alike share all buckets: no written table has more than a share of their pairs, and those that are alike are linked."""
+    r = random.Random(5)
+    base = [f"v{r.randrange(5000)}" for _ in range(150)]
+    texts = []
+    for i in range(300):
+        w = list(base)
+        for k in r.sample(range(150), 6 if i % 10 else 1):
+            w[k] = f"x{i}.{k}"
+        texts.append(" ".join(w))
+    monkeypatch.setattr(simhash, "blocks_for", lambda *_: (3, 2))
+    made, store = {}, simhash.stored
+
+    def counted(df, folder, name, *more):
+        out = store(df, folder, name, *more)
+        made[name] = max(made.get(name, 0), out.count())
+        return out
+
+    monkeypatch.setattr(simhash, "stored", counted)
+    got = {x.doc_id: x.component_id for x in simhash.similar_texts(table(spark, texts)).collect()}
+    sets = shingle_sets(texts)
+    assert all(jaccard(sets[a], sets[b]) < 0.8 for a in range(300) for b in range(a) if a % 10 and b % 10)
+    assert {got[i] for i in range(0, 300, 10)} == {0}
+    pairs = {k: v for k, v in made.items() if k in ("pairs", "near", "near-foremost", "near-across")}
+    assert max(pairs.values()) < 300 * 299 / 2 / 10, pairs
+
+
 def test_distances_without_a_way_for_crowded_buckets_are_refused(spark):
     with pytest.raises(ValueError):
         simhash.links(spark.range(3).select(F.col("id").alias("fp")), max_bits=3)
