@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from partloom.operators.graph import Rounds
+from partloom.operators.spread import merged
 
 
 def rank_scores(df: DataFrame, keys: Sequence[str], score: str, id_col: str, k: int | None = None) -> DataFrame:
@@ -106,16 +107,21 @@ def stratified_order(df: DataFrame, keys: Sequence[str], n: int) -> DataFrame:
     return df.withColumn("__c", F.count(F.lit(1)).over(Window.partitionBy(*keys))).where(_even(F.col("rank") - 1, n, F.col("__c"))).drop("__c")
 
 
+def _step(base: Column, winner: Column, score: Column, base_score: Column, lead: Column, min_gain: float, min_margin: float) -> Column:
+    """The reason of a round's outcome: ``changed``, or why the baseline stays."""
+    return (
+        F.when(base.isNull(), "no_baseline")
+        .when(winner == base, "baseline_best")
+        .when(F.round(score - base_score, 8) < min_gain, "gain_too_small")
+        .when(lead.isNotNull() & (F.round(lead, 8) < min_margin), "margin_too_small")
+        .otherwise("changed")
+    )
+
+
 def group_step(df: DataFrame, keys: Sequence[str], id_col: str, score: str, baseline: str, min_gain: float, min_margin: float) -> DataFrame:
     """Winner of a round: enough gain over the baseline's score and enough lead over the runner-up; else the baseline, with the reason."""
     top = margin(df, keys, score, id_col).join(df.groupBy(*keys).agg(F.max(F.when(F.col(baseline), F.col(id_col))).alias("base"), F.max(F.when(F.col(baseline), F.col(score))).alias("base_score")), list(keys))
-    reason = (
-        F.when(F.col("base").isNull(), "no_baseline")
-        .when(F.col("winner") == F.col("base"), "baseline_best")
-        .when(F.round(F.col("score") - F.col("base_score"), 8) < min_gain, "gain_too_small")
-        .when(F.col("margin").isNotNull() & (F.round("margin", 8) < min_margin), "margin_too_small")
-        .otherwise("changed")
-    )
+    reason = _step(*[F.col(c) for c in ("base", "winner", "score", "base_score", "margin")], min_gain, min_margin)
     return top.select(*keys, reason.alias("reason"), F.when(reason == "changed", F.col("winner")).otherwise(F.col("base")).alias("selected"))
 
 
@@ -195,40 +201,59 @@ def select_membership(views: DataFrame, keys: Sequence[str], expanded: str, base
     return g.select(*keys, "improved", "regressed", F.when(won, "M1").otherwise("M0").alias("mode"))
 
 
-Scorer = Callable[[DataFrame, DataFrame], DataFrame]
+@dataclass(frozen=True)
+class Scorer:
+    """own: (keys, group, id, further columns), one row for each candidate that is known; score: a candidate's score, from its row (a struct of ``own``'s further columns) and an array of the rows of what the plan has for the asset's other groups."""
+
+    own: DataFrame
+    score: Callable[[Column, Column], Column]
 
 
 def coupled_scorer(own: DataFrame, keys: Sequence[str], group: str, id_col: str, like: str, bonus: float) -> Scorer:
     """A candidate's own score, and ``bonus`` for each other group of the asset whose choice in the plan has the same value of ``like``. own: (keys, group, id, like, score)."""
-    k = list(keys)
-
-    def score(plan: DataFrame, trial: DataFrame) -> DataFrame:
-        rated = trial.join(own.select(*k, group, id_col, like, F.col("score").alias("__own")), [*k, group, id_col])  # keeps the trial's columns
-        chosen = plan.join(own.select(*k, group, id_col, like), [*k, group, id_col]).select(*k, F.col(group).alias("__g"), like)
-        near = rated.join(chosen, [*k, like], "left").groupBy(*k, group, id_col, "baseline", "__own").agg(F.count_if(F.col("__g") != F.col(group)).alias("__same"))
-        return near.select(*k, group, id_col, "baseline", (F.col("__own") + F.lit(bonus) * F.col("__same")).alias("score"))
-
-    return score
+    same = lambda c, others: F.size(F.filter(others, lambda o: o[like] == c[like])).cast("long")
+    return Scorer(own.select(*keys, group, id_col, like, "score"), lambda c, others: c["score"] + F.lit(bonus) * same(c, others))
 
 
 def group_tournament(plan: DataFrame, candidates: DataFrame, footprints: DataFrame, keys: Sequence[str], group: str, id_col: str, scorer: Scorer, min_gain: float, min_margin: float) -> tuple[DataFrame, DataFrame]:
     """The plan after every group has had its round, and the log of rounds (keys, group, id: what was there, selected, reason, turn).
 
-    plan: (keys, group, id), one choice a group; candidates: the same columns; footprints: (keys, group, footprint). The groups of an asset take turns by falling footprint, then name; all assets are in
-    step. In a turn the plan's choice and the group's candidates are scored with the plan as it is by then, so what a turn selects is the baseline of those that follow. Every
-    turn's plan is written to the shared folder. scorer: adds ``score`` to a trial (keys, group, id, baseline), given the plan. Groups without a choice in the plan stay without one.
+    plan: (keys, group, id), one choice a group; candidates: the same columns; footprints: (keys, group, footprint). The groups of an asset take turns by falling footprint, then name. In a turn the plan's
+    choice and the group's candidates are scored with the plan as it is by then, so what a turn selects is the baseline of those that follow. Groups without a choice in the plan stay without one.
+
+    Tables are dealt by the keys, those that are already are not dealt again, and an asset takes its turns in one row, as arrays: no turn is written or shuffled. So an asset's candidates are one task's.
     """
-    k, rounds = list(keys), Rounds(plan, "tournament")
-    turn = F.row_number().over(Window.partitionBy(*k).orderBy(F.desc("footprint"), group))
-    queue = footprints.select(*k, group, turn.alias("turn"))
-    plan, log = rounds.stored(plan.select(*k, group, id_col).join(queue, [*k, group], "left")), None
-    for n in range(1, (plan.agg(F.max("turn")).first()[0] or 0) + 1):
-        held = plan.where(F.col("turn") == n).select(*k, group, F.col(id_col).alias("__held"))
-        offered = candidates.select(*k, group, id_col).join(held, [*k, group]).withColumn("baseline", F.col(id_col) == F.col("__held")).drop("__held")
-        trial = offered.unionByName(held.select(*k, group, F.col("__held").alias(id_col), F.lit(True).alias("baseline"))).groupBy(*k, group, id_col).agg(F.max("baseline").alias("baseline"))
-        scored = scorer(plan.drop("turn"), trial)
-        decided = rounds.stored(group_step(scored, [*k, group], id_col, "score", "baseline", min_gain, min_margin).join(held, [*k, group]).select(*k, group, F.col("__held").alias(id_col), "selected", "reason", F.lit(n).cast("long").alias("turn")))
-        log = decided if log is None else log.unionByName(decided)
-        plan = rounds.stored(plan.join(decided.select(*k, group, F.col("selected").alias("__new")), [*k, group], "left").select(*k, group, F.coalesce("__new", id_col).alias(id_col), "turn"))
-    plan = plan.drop("turn")
-    return plan, log
+    k = list(keys)
+    dealt = lambda d, *cols: d.select(*k, group, *cols)
+    queue = dealt(footprints, F.row_number().over(Window.partitionBy(*k).orderBy(F.desc("footprint"), group)).alias("turn"))
+    info = [c for c in scorer.own.columns if c not in (*k, group, id_col)]
+    known = scorer.own.groupBy(*k, group).agg(F.collect_list(F.struct(F.col(id_col).alias("__id"), *info)).alias("__own"))
+    offered = candidates.groupBy(*k, group).agg(F.collect_set(id_col).alias("__ids"))
+    met = dealt(plan, F.col(id_col).alias("__held"))
+    for side in (queue, known, offered):
+        met = met.join(merged(side), [*k, group], "left")
+    own = F.coalesce("__own", F.array().cast(met.schema["__own"].dataType))
+    offers = F.filter(own, lambda w: (w["__id"] == F.col("__held")) | F.coalesce(F.array_contains("__ids", w["__id"]), F.lit(False)))
+    row = F.struct(F.col("turn").isNull().alias("idle"), "turn", F.col(group).alias("group"), F.col("__held").alias("held"), F.get(F.filter(own, lambda w: w["__id"] == F.col("__held")), F.lit(0)).alias("own"), offers.alias("offers"))
+    assets = met.groupBy(*k).agg(F.array_sort(F.collect_list(row)).alias("__groups"))
+
+    def decided(now: Column, i: Column, held: Column, choices: Column) -> Column:
+        others = F.transform(F.filter(now, lambda x, j: (j != i) & x["own"].isNotNull()), lambda x: x["own"])
+        rated = F.transform(choices, lambda c: F.struct(scorer.score(c, others).alias("score"), c.alias("own")))
+        place = lambda x: F.struct(x["score"].isNull().alias("none"), (~F.isnan(x["score"].cast("double"))).alias("number"), (-x["score"]).alias("less"), x["own"]["__id"].alias("id"), x["score"].alias("score"), x["own"].alias("own"))
+        return F.get(F.transform(F.array(F.array_sort(F.transform(rated, place))), lambda ranked: outcome(ranked, held)), F.lit(0))
+
+    def outcome(ranked: Column, held: Column) -> Column:
+        top, base = F.get(ranked, F.lit(0)), F.get(F.filter(ranked, lambda x: x["id"] == held), F.lit(0))
+        reason = F.when(F.size(ranked) > 0, _step(base["id"], top["id"], top["score"], base["score"], top["score"] - F.get(ranked, F.lit(1))["score"], min_gain, min_margin))
+        return F.struct(F.when(reason == "changed", top["own"]).otherwise(base["own"]).alias("own"), F.when(reason == "changed", top["id"]).otherwise(base["id"]).alias("id"), reason.alias("reason"))
+
+    start = F.transform("__groups", lambda g: F.struct(g["own"].alias("own"), g["held"].alias("id"), F.lit(None).cast("string").alias("reason")))
+    places = F.transform(F.filter("__groups", lambda g: ~g["idle"]), lambda g, i: i)
+    own_turn = lambda now, i: decided(now, i, F.get("__groups", i)["held"], F.get("__groups", i)["offers"])
+    turn = lambda now, i: F.transform(now, lambda x, j: F.when(j == i, own_turn(now, i)).otherwise(x))
+    ended = assets.select(*k, "__groups", F.aggregate(places, start, turn).alias("__end"))
+    both = F.transform("__groups", lambda g, i: F.struct(g["group"].alias(group), g["held"].alias("__held"), F.get("__end", i)["id"].alias("selected"), F.get("__end", i)["reason"].alias("reason"), g["turn"].cast("long").alias("turn")))
+    rows = ended.select(*k, F.explode(both).alias("__row")).select(*k, "__row.*")
+    log = rows.where("reason is not null").select(*k, group, F.col("__held").alias(id_col), "selected", "reason", "turn")
+    return rows.select(*k, group, F.coalesce("selected", "__held").alias(id_col)), log

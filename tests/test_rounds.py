@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from partloom.operators import assembly, fusion, gates, joins, pixels, rank, spatial
+from partloom.operators import assembly, fusion, gates, graph, joins, pixels, rank, spatial
 from partloom.plans import rules
 from partloom.sources import sealed
 from partloom.streaming import progress
@@ -174,6 +174,20 @@ def test_tournament_equals_a_sequential_loop(spark):
     assert {(x.a, x.g): "changed" if x.reason == "changed" else "kept" for x in log.collect()} == reasons
 
 
+def test_tournament_writes_and_shuffles_no_turn(spark, monkeypatch):
+    """Many turns plan as many shuffles as few; no table is written; a group of unknown candidates or without a footprint keeps its choice and has no log."""
+    written = []
+    monkeypatch.setattr(graph.Rounds, "stored", lambda self, df: written.append(df) or df)
+    own = spark.createDataFrame([(a, g, c, "rgb"[(a + g + c) % 3], (7 * a + 5 * g + 11 * c) % 30) for a in range(3) for g in range(6) for c in range(3)], "a long, g long, c long, like string, score long")
+    start = spark.createDataFrame([(a, g, 0) for a in range(3) for g in range(8)], "a long, g long, c long")
+    foot = spark.createDataFrame([(a, g, 1.0 + g) for a in range(3) for g in range(7) if g != 5], "a long, g long, footprint double")
+    plan, log = rank.group_tournament(start, own.select("a", "g", "c"), foot, ["a"], "g", "c", rank.coupled_scorer(own, ["a"], "g", "c", "like", 6), 4, 2)
+    assert not written and str(plan._jdf.queryExecution().executedPlan()).count("Exchange") < 12
+    got = {(x.a, x.g): x.c for x in plan.collect()}
+    assert len(got) == 24 and all(got[a, g] == 0 for a in range(3) for g in (5, 6, 7))
+    assert {x.g for x in log.collect()} == {0, 1, 2, 3, 4} and any(got.values())
+
+
 # --- aliases inside texts
 
 
