@@ -2,12 +2,14 @@
 
 import os
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from partloom import registry
-from partloom.operators import fusion
+from partloom.operators import fusion, joins
 
-SF = "/root/testdata/sf0.001"
+SF, LARGER = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 
 
 @pytest.mark.skipif(not os.path.exists(SF), reason="no tables")
@@ -16,3 +18,35 @@ def test_every_part_is_an_anchor(spark, monkeypatch):
     monkeypatch.setattr(fusion, "robust_similarity", lambda anchors, *a: seen.append(anchors.count()) or fit(anchors, *a))
     registry.queries()["g15_robust_similarity"](spark, SF)
     assert seen == [spark.read.parquet(f"{SF}/part.parquet").count()]
+
+
+@pytest.mark.skipif(not os.path.exists(LARGER), reason="no tables")
+def test_every_part_is_a_place_and_every_lock_stands(spark, monkeypatch):
+    given = []
+    monkeypatch.setattr(joins, "assign_optimal", lambda *a: given.extend(a))
+    registry.queries()["j17_assign_optimal"](spark, LARGER)
+    suppliers = spark.read.parquet(f"{LARGER}/supplier.parquet")
+    assert given[0].select("pose").distinct().count() == spark.read.parquet(f"{LARGER}/lineitem.parquet").select("l_partkey").distinct().count()
+    assert given[5].count() == given[5].select("nation", "pose").distinct().count() == suppliers.where("s_suppkey % 10 = 0").count()
+
+
+def test_assignments_of_pairs_alone():
+    """Where only some pairs are there, and none may cost less: the total of the whole table's solver."""
+    r = np.random.default_rng(1)
+    for most in [4, 1000] * 40:
+        n = r.integers(1, 9)
+        m = r.integers(n, 14)
+        cost = np.where(r.random((n, m)) < r.random(), -r.integers(1, most, (n, m)), 1)
+        whole = np.concatenate([cost, np.zeros((n, n), np.int64)], axis=1)
+        i, j = np.nonzero(cost < 0)
+        got = joins.least_sparse(np.searchsorted(i, np.arange(n + 1)), j, cost[i, j], m)
+        pairs = [(a, b) for a, b in enumerate(got) if b >= 0]
+        assert len({b for _, b in pairs}) == len(pairs) and all(cost[p] < 0 for p in pairs)
+        assert sum(cost[p] for p in pairs) == whole[np.arange(n), joins.least_cost(whole)].sum()
+
+
+def test_a_key_of_any_size_is_assigned(spark):
+    """2,500 items on both sides, of which each would rather have its neighbour's place: all but the last get it."""
+    df = spark.range(5000).select(F.lit(1).alias("k"), F.floor(F.col("id") / 2).alias("l"), F.floor((F.col("id") + 1) / 2).alias("r"), F.when(F.col("id") % 2 == 1, 0.5).otherwise(0.25).alias("s"))
+    got = joins.assign_optimal(df, ["k"], "l", "r", "s").collect()
+    assert len({x.l for x in got}) == len({x.r for x in got}) == len(got) == 2500 and sum(x.s for x in got) == 1250
