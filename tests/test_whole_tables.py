@@ -50,3 +50,22 @@ def test_a_key_of_any_size_is_assigned(spark):
     df = spark.range(5000).select(F.lit(1).alias("k"), F.floor(F.col("id") / 2).alias("l"), F.floor((F.col("id") + 1) / 2).alias("r"), F.when(F.col("id") % 2 == 1, 0.5).otherwise(0.25).alias("s"))
     got = joins.assign_optimal(df, ["k"], "l", "r", "s").collect()
     assert len({x.l for x in got}) == len({x.r for x in got}) == len(got) == 2500 and sum(x.s for x in got) == 1250
+
+
+def test_equal_rows_are_scored_once(spark, monkeypatch):
+    """300 groups of 5 kinds and 200 profiles of 7, unknown channels among them: 35 pairs are scored, and the result is that of all 60,000."""
+    met, against = [], joins.against
+    monkeypatch.setattr(joins, "against", lambda q, b, key: met.append((q.count(), b.count())) or against(q, b, key))
+    value = lambda i, n: None if i % n == 0 else i % n / 10
+    g, p = {i: (value(i, 5), 0.5) for i in range(300)}, {199 - i: (value(i, 7), 0.0) for i in range(200)}
+    df = lambda rows, n: spark.createDataFrame([(i, *v) for i, v in rows.items()], f"{n} long, rough double, metal double")
+    got = {}
+    for r in joins.channel_prior(df(g, "g"), df(p, "p"), "g", "p", ["rough", "metal"], 40).collect():
+        got.setdefault(r.group, []).append((r.rank, r.profile, r.prior, r.channels))
+    assert met == [(5, 7)]
+    for i, a in g.items():
+        scored = []
+        for j, b in p.items():
+            terms = [1 - abs(x - y) for x, y in zip(a, b, strict=True) if x is not None and y is not None]
+            scored.append((-round(sum(terms) / len(terms), 8), j, len(terms)))
+        assert [(-round(x[2], 8), x[1], x[3]) for x in sorted(got[i])] == sorted(scored)[:40]
