@@ -85,3 +85,32 @@ def test_components_meet_by_colour(spark, monkeypatch):
         want.setdefault(i, set()).update(c for c, _, _, b in seeds if abs(a[0] - b[0]) <= 5)
     assert got == {i: min(c) for i, c in want.items() if len(c) == 1} and got
     assert seen == [(6, len({s[3] for s in seeds}))]
+
+
+def test_vectors_meet_in_packs(spark, monkeypatch):
+    """Of 90 vectors in packs of about 20, with equal ones and some without a cosine: ranks and similarities of all pairs. No pair of vectors is a row of a join."""
+    monkeypatch.setattr(joins, "PACK_ROWS", 20)
+    r = np.random.default_rng(3)
+    vectors = [[float(x) for x in np.float32(r.normal(size=6))] for _ in range(60)]
+    vectors = [None if i == 7 else vectors[i % 60][:5] if i == 9 else vectors[i % 60] for i in range(90)]
+    e = spark.createDataFrame([(i, i % 3, v) for i, v in enumerate(vectors)], "vec_id long, entity long, vec array<float>").cache()
+    cosine = lambda a, b: None if a is None or b is None or len(a) != len(b) else round(sum(x * y for x, y in zip(a, b, strict=True)) / (sum(x * x for x in a) * sum(x * x for x in b)) ** 0.5, 6)
+    got = {}
+    for k in (5, 89):
+        found = joins.knn(e.where("vec_id % 10 = 0 or vec_id in (7, 9)"), e, "vec_id", "vec_id", "vec", k)
+        for x in found.collect():
+            got.setdefault((k, x.query), []).append((x.rank, x.candidate, x.score))
+        for q in [0, 7, 9, *range(10, 90, 10)]:
+            s = [(c := cosine(vectors[q], v), i) for i, v in enumerate(vectors)]
+            want = sorted(s, key=lambda x: (x[0] is None, -(x[0] or 0), x[1]))[:k]
+            assert [(i, c) for _, i, c in sorted(got[k, q])] == [(i, c) for c, i in want], (k, q)
+    pairs = spark.createDataFrame([(0, 1), (1, 2), (0, 2)], "left long, right long")
+    tokens = e.where("vec_id not in (7, 9)").withColumnRenamed("vec_id", "token")
+    similar = joins.set_similarity(pairs, tokens)
+    assert "t_left" not in similar._jdf.queryExecution().optimizedPlan().toString()
+    for x in similar.collect():
+        a, b = ([np.array(v) for i, v in enumerate(vectors) if i % 3 == n and i not in (7, 9)] for n in (x.left, x.right))
+        cos = lambda p, q: p @ q / (p @ p * (q @ q)) ** 0.5
+        table = np.array([[cos(p, q) for q in b] for p in a])
+        want = 0.75 * (table.max(1).mean() + table.max(0).mean()) / 2 + 0.25 * cos(np.mean(a, 0), np.mean(b, 0))
+        assert abs(x.similarity - want) < 1e-9
