@@ -1,6 +1,8 @@
 """Queries read all rows of their tables, and equal rows are worked on once."""
 
 import os
+import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -8,6 +10,7 @@ from pyspark.sql import functions as F
 
 from partloom import registry
 from partloom.operators import fusion, joins
+from partloom.operators import pixels as pixel_ops
 
 SF, LARGER = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 
@@ -114,3 +117,36 @@ def test_vectors_meet_in_packs(spark, monkeypatch):
         table = np.array([[cos(p, q) for q in b] for p in a])
         want = 0.75 * (table.max(1).mean() + table.max(0).mean()) / 2 + 0.25 * cos(np.mean(a, 0), np.mean(b, 0))
         assert abs(x.similarity - want) < 1e-9
+
+
+@pytest.mark.skipif(not os.path.exists(SF), reason="no tables")
+@pytest.mark.parametrize("name", ["a21_project_groups", "x02_null_control"])
+def test_pixels_stay_in_the_partitions_of_their_pictures(spark, name):
+    text = registry.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange hashpartitioning") == text.count("REPARTITION_BY_NUM") > 0
+
+
+def test_shifted_pictures_equal_all_pairs(spark):
+    """Pixels given twice, unknown groups and hits, pictures without a match, in slices of any size."""
+    r = random.Random(5)
+    pixels = [(k, r.randint(0, 4), r.randint(-2, 3), r.choice(["p", "q", None])) for k in range(12) for _ in range(9)] + [(99, 500, 500, "p")]
+    labels = [(k, r.randint(0, 4), r.randint(-2, 3), r.choice(["a", "b", "c", None]), r.choice([1, 0, None])) for k in range(1, 13) for _ in range(14)] + [(99, 0, 0, "a", 1)]
+    p, t = spark.createDataFrame(pixels, "k long, x long, y long, part string"), spark.createDataFrame(labels, "k long, x long, y long, g string, h int")
+    shifts = [(0, 0), (1, 0), (0, -2)]
+    met = [(a[0], a[3], o, b[3], b[4]) for a in pixels for b in labels for o, (i, j) in enumerate(shifts) if a[0] == b[0] and (a[1] + i, a[2] + j) == (b[1], b[2])]
+    want = {}
+    for k, part in {m[:2] for m in met}:
+        tops = {}
+        for o in range(3):
+            n = Counter(m[3] for m in met if m[:3] == (k, part, o))
+            if n:
+                tops[o] = min(n, key=lambda g: (-n[g], g is not None, g or ""))
+        want[k, part] = (tops.get(0), len({g for g in tops.values() if g is not None}) == 1)
+    assert {(x.k, x.part): (x.winner, x.stable) for x in pixel_ops.project_groups(p, t, ["k"], "part", "g", shifts).collect()} == want
+    got = {x.k: (x.observed, x.control) for x in pixel_ops.null_control(p, t, ["k"], F.col("t_h") == 1, shifts[1:]).collect()}
+    assert got.keys() == {m[0] for m in met}
+    for k, (observed, control) in got.items():
+        shares = [[m[4] for m in met if m[0] == k and m[2] == o and m[4] is not None] for o in range(3)]
+        shares = [float(np.mean(s)) if s else None for s in shares]
+        moved = [s for s in shares[1:] if s is not None]
+        assert observed == shares[0] and (control is None if not moved else abs(control - np.quantile(moved, 0.75)) < 1e-12)
