@@ -150,3 +150,10 @@ def test_shifted_pictures_equal_all_pairs(spark):
         shares = [float(np.mean(s)) if s else None for s in shares]
         moved = [s for s in shares[1:] if s is not None]
         assert observed == shares[0] and (control is None if not moved else abs(control - np.quantile(moved, 0.75)) < 1e-12)
+
+
+@pytest.mark.skipif(not os.path.exists(SF), reason="no tables")
+def test_textures_sort_and_shuffle_no_pixel(spark):
+    """Pictures are arrays: no window runs over pixels; beside the pictures, each side's histograms are dealt once."""
+    text = registry.queries()["a13_texture_score"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in text and text.count("Exchange hashpartitioning") == 4 and text.count("REPARTITION_BY_NUM") == 2
