@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from partloom import registry
-from partloom.operators import fusion, joins
+from partloom.operators import fusion, joins, spread
 from partloom.operators import pixels as pixel_ops
 
 SF, LARGER = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
@@ -157,3 +157,15 @@ def test_textures_sort_and_shuffle_no_pixel(spark):
     """Pictures are arrays: no window runs over pixels; beside the pictures, each side's histograms are dealt once."""
     text = registry.queries()["a13_texture_score"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in text and text.count("Exchange hashpartitioning") == 4 and text.count("REPARTITION_BY_NUM") == 2
+
+
+def test_crowded_keys_are_written_by_the_root_of_their_pairs(spark, monkeypatch):
+    """Two keys of 400 rows a side in shares of 100 pairs: all pairs once, and rows are written some 40 times and not 1,600."""
+    monkeypatch.setattr(spread, "TASK_PAIRS", 100)
+    df = lambda n: spark.range(1210).select(F.least(F.floor(F.col("id") / 400), F.lit(3)).alias("k"), F.col("id").alias(n)).where("k <> 2 or id % 2 = 0")
+    pairs = spread.met(df("l"), df("r"), ["k"])
+    assert pairs.distinct().count() == pairs.count() == 400 * 400 * 2 + 200 * 200 + 10 * 10
+    left, right = spread._dealt(df("l"), df("r"), ["k"], True)
+    assert left.count() < 45 * 1010 and right.count() < 45 * 1010
+    there = spread.having(df("l").where("l % 3 = 0"), df("r").where("r < 500"), ["k"], F.col("l") == F.col("r"))
+    assert there.count() == len([i for i in range(500) if i % 3 == 0])
