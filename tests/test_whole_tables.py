@@ -169,3 +169,9 @@ def test_crowded_keys_are_written_by_the_root_of_their_pairs(spark, monkeypatch)
     assert left.count() < 45 * 1010 and right.count() < 45 * 1010
     there = spread.having(df("l").where("l % 3 = 0"), df("r").where("r < 500"), ["k"], F.col("l") == F.col("r"))
     assert there.count() == len([i for i in range(500) if i % 3 == 0])
+
+
+@pytest.mark.skipif(not os.path.exists(SF), reason="no tables")
+def test_medoids_shuffle_no_pixel(spark):
+    text = registry.queries()["x01_registered_score"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in text and text.count("SortMergeJoin") == 1 and text.count("Exchange hashpartitioning") == text.count("REPARTITION_BY_NUM") == 2
